@@ -304,6 +304,8 @@ def _raw_line(df: DataFrame):
     from tidelake.sources.raw import TIMESTAMP_TEXT
     return F.to_csv(F.struct(*df.columns), {"sep": BEL, "nullValue": "\\N", "emptyValue": "",
                                              "quote": "", "escapeQuotes": "false",
+                                             "ignoreLeadingWhiteSpace": "false",
+                                             "ignoreTrailingWhiteSpace": "false",
                                              "timestampNTZFormat": TIMESTAMP_TEXT})
 
 

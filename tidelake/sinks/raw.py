@@ -12,12 +12,14 @@ def write_raw(df: DataFrame, path: str, mode: str = "append", partition_by=None,
               sep: str = BEL, null_marker: str = NULL_MARKER, compression: str | None = None):
     """Delimited raw sink: BEL-separated, NULL as ``\\N``, empty as empty, never quoted.
 
-    Timestamps keep microseconds so a raw round trip is lossless.  A value that itself holds
+    Values are written as they are (no trimming of surrounding spaces).  Timestamps keep
+    microseconds so a raw round trip is lossless.  A value that itself holds
     the separator or a line break cannot be carried by this format (as in the source system).
     """
     w = (df.write.mode(mode)
          .options(sep=sep, nullValue=null_marker, emptyValue="", quote="", escapeQuotes=False,
-                  header=False, timestampNTZFormat=TIMESTAMP_TEXT, timestampFormat=TIMESTAMP_TEXT,
+                  header=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                  timestampNTZFormat=TIMESTAMP_TEXT, timestampFormat=TIMESTAMP_TEXT,
                   dateFormat="yyyy-MM-dd"))
     if compression:
         w = w.option("compression", compression)
