@@ -53,8 +53,11 @@ def repair_escaped_lines(spark: SparkSession, path, **options) -> DataFrame:
                          F.max(F.when(F.col("prev_cont").isNull() | ~F.col("prev_cont"), F.col("seq")))
                          .over(running)))
 
+    # every branch below reads the same shuffle of ``lines`` (all of its columns are used
+    # here too, so column pruning cannot make this branch's exchange differ and Spark
+    # reuses one exchange: the text is scanned and shuffled once)
     splits = (lines.groupBy("file_path", "blk")
-              .agg(F.max(F.struct("seq", "cont")).getField("cont").alias("last_cont"),
+              .agg(F.max(F.struct("seq", "cont", "value")).getField("cont").alias("last_cont"),
                    F.max("local_start").alias("last_start"),
                    F.min("seq").alias("s_head")))
     in_file = Window.partitionBy("file_path").orderBy("blk")
