@@ -43,14 +43,18 @@ def route_first_match(files: DataFrame, control: DataFrame, key_cols=("file_name
                       broadcast_limit: int = BROADCAST_CONTROL_ROWS) -> DataFrame:
     """Only the first matching control row (lowest ``order_col``) routes the file.
 
-    The reduction is a group-by on the file key with partial aggregation; a file name
-    has at most one row per control line, so no group can be hot.
+    The reduction keeps just the winning ``order_col`` per file key (a fixed-width buffer,
+    so Spark uses a hash aggregate with map-side partial aggregation); the control row's
+    other columns are then looked up by that number.  A file has at most one match per
+    control line, so no group can be hot.  ``order_col`` must identify a control row.
     """
     key_cols = list(key_cols)
-    ctrl_cols = [c for c in control.columns if c != order_col]
     file_cols = [c for c in files.columns if c not in key_cols]
     m = _matches(files, control, name_col, pattern_col, broadcast_limit)
-    best = F.min(F.struct(F.col(order_col), *[F.col(c) for c in ctrl_cols + file_cols])).alias("_m")
-    out = m.groupBy(*key_cols).agg(best)
-    return out.select(*key_cols, F.col(f"_m.{order_col}").alias(order_col),
-                      *[F.col(f"_m.{c}").alias(c) for c in file_cols + ctrl_cols])
+    first = m.groupBy(*key_cols).agg(F.min(order_col).alias(order_col))
+    if file_cols:
+        first = first.join(files, key_cols)
+    n_control = control.count()
+    ctrl = F.broadcast(control) if n_control <= broadcast_limit else control
+    return first.join(ctrl, order_col).select(*key_cols, order_col, *file_cols,
+                                              *[c for c in control.columns if c != order_col])

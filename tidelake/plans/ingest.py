@@ -11,7 +11,7 @@ from tidelake.operators.increments import append_increment, increment_bounds, la
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
 from tidelake.operators.state import append_state, read_state, seed_from_state, utc_now
 from tidelake.operators.validate import validate_table_control
-from tidelake.session import scratch_path
+from tidelake.session import sibling_staging, swap_into_place
 from tidelake.sinks.raw import write_raw
 from tidelake.sinks.tables import PARTITION, stamp_date
 from tidelake.sources.relational import jdbc_options, read_jdbc
@@ -40,13 +40,6 @@ def _write(df: DataFrame, path: str, run_date, mode: str, fmt: str, obs: Observa
         out.write.mode(mode).format(fmt).partitionBy(PARTITION).save(path)
 
 
-def _read_back(spark: SparkSession, path: str, fmt: str, schema):
-    if fmt == "raw":
-        from tidelake.sources.raw import read_raw
-        return read_raw(spark, path, schema=schema)
-    return spark.read.format(fmt).load(path)
-
-
 def _register(spark, row, df: DataFrame, fmt: str):
     if row.get("hive_normal") != "hive" or not row.get("hive_table_name"):
         return
@@ -64,8 +57,8 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
                   staging: bool = True) -> DataFrame:
     """Import every control row; returns the run report.
 
-    * snapshot: the whole target is replaced by today's load (written to staging first, so
-      a failing source leaves the target as it was);
+    * snapshot: the whole target is replaced by today's load (written next to it first and
+      renamed into place, so a failing source leaves the target as it was);
     * append: rows above the stored (or seeded) value up to the maximum seen at run start;
     * lastmodified: rows changed in ``[last, run_start)``, appended.
 
@@ -93,13 +86,10 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
                 df = df.where(row["where_clause"])
             obs = Observation(f"rows_{table}")
             if mode == "snapshot":
+                dest = sibling_staging(row["target_dir"]) if staging else row["target_dir"]
+                _write(df, dest, run_date, "overwrite", fmt, obs)
                 if staging:
-                    stage = scratch_path(spark, f"snapshot-{table}")
-                    _write(df, stage, run_date, "overwrite", fmt, obs)
-                    staged = _read_back(spark, stage, fmt, df.schema).drop(PARTITION)
-                    _write(staged, row["target_dir"], run_date, "overwrite", fmt)
-                else:
-                    _write(df, row["target_dir"], run_date, "overwrite", fmt, obs)
+                    swap_into_place(spark, dest, row["target_dir"])
                 n = obs.get["n"]
                 _register(spark, row, df, fmt)
                 outcomes.append(Outcome(app, table, kind, OK, n_rows=n))

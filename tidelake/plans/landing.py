@@ -104,7 +104,8 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
                                     for r in valid])
     members = zip_members(archives).withColumn("file_name", F.substring_index("member", "/", -1))
     routing = ctrl.where(F.col("error").isNull()).select("line_no", "pattern", "table_name")
-    routed = route_first_match(members, routing, key_cols=("archive", "member"))
+    routed = route_first_match(members.select("archive", "member", "file_name"), routing,
+                               key_cols=("archive", "member", "file_name"))
     per_table = {r["table_name"]: r["n"] for r in
                  routed.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     tables = sorted({r["table_name"] for r in valid})

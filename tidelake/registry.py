@@ -137,8 +137,8 @@ def cleansed_append_twice(spark, sf_dir):
 def snapshot_replace(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     target = scratch_path(spark, "snapshot-orders")
-    replace_snapshot(orders, target, run_date=PREV_DATE, staging=scratch_path(spark, "stage"))
-    replace_snapshot(orders, target, run_date=RUN_DATE, staging=scratch_path(spark, "stage"))
+    replace_snapshot(orders, target, run_date=PREV_DATE)
+    replace_snapshot(orders, target, run_date=RUN_DATE)
     return spark.read.parquet(target)
 
 

@@ -40,3 +40,30 @@ def local_os_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
+
+
+def sibling_staging(path: str) -> str:
+    """Staging folder next to ``path`` (same file system, so it can be renamed into place)."""
+    return f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
+
+
+def swap_into_place(spark: SparkSession, staging: str, target: str):
+    """Replace ``target`` by the fully written ``staging`` folder with file-system renames
+    (a metadata operation on HDFS-like stores), so readers never see a half-written table."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(target)
+    fs = dst.getFileSystem(conf)
+    old = None
+    if fs.exists(dst):
+        old = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.__old-{uuid.uuid4().hex[:12]}")
+        if not fs.rename(dst, old):
+            raise OSError(f"cannot move {target} aside")
+    else:
+        fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        if old is not None:
+            fs.rename(old, dst)
+        raise OSError(f"cannot move {staging} to {target}")
+    if old is not None:
+        fs.delete(old, True)

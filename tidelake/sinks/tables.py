@@ -35,19 +35,21 @@ def write_cleansed(df: DataFrame, path: str, run_date=None, fmt: str = AVRO,
 
 
 def replace_snapshot(df: DataFrame, path: str, run_date=None, fmt: str = "parquet",
-                     staging: str | None = None, **options):
+                     staged: bool = True, **options):
     """Snapshot replace: the whole target (every ``date_part``) becomes ``df`` under today.
 
-    With ``staging`` the snapshot is first written there in full and only then copied over
-    the target, so a failing source read never leaves the target empty.
+    With ``staged`` (default) the snapshot is written in full next to the target and then
+    renamed into place, so a failing source read never leaves the target empty or half
+    written; the data is written once.
     """
+    from tidelake.session import sibling_staging, swap_into_place
+
     out = stamp_date(df, run_date)
-    spark = df.sparkSession
-    if staging is not None:
-        out.write.mode("overwrite").format(fmt).options(**options).partitionBy(PARTITION).save(staging)
-        out = spark.read.format(fmt).options(**options).load(staging)
+    dest = sibling_staging(path) if staged else path
     (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .format(fmt).options(**options).partitionBy(PARTITION).save(path))
+     .format(fmt).options(**options).partitionBy(PARTITION).save(dest))
+    if staged:
+        swap_into_place(df.sparkSession, dest, path)
 
 
 def append_partition(df: DataFrame, path: str, run_date=None, fmt: str = "parquet",
