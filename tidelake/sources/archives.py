@@ -114,17 +114,18 @@ def open_output(path: str):
     return filesystem.open_output_stream(inner)
 
 
-def _pack_fn(out_dir: str, suffix: str):
-    import uuid
-
+def _pack_fn(out_dir: str, suffix: str, run_tag: str):
     def run(batches):
+        from pyspark import TaskContext
+
         frames = list(batches)
         if not frames:
             return
         pdf = pd.concat(frames, ignore_index=True)
         if pdf.empty:
             return
-        tag = uuid.uuid4().hex[:12]
+        # named by partition: a retried or speculative attempt rewrites the same archive
+        tag = f"{run_tag}_{TaskContext.get().partitionId():05d}"
         archive = f"{out_dir.rstrip('/')}/drop_{tag}.zip"
         rows = []
         with open_output(archive) as fh, zipfile.ZipFile(fh, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -140,5 +141,8 @@ def pack_zip_drops(lines: DataFrame, out_dir: str, num_archives: int, suffix: st
     """Write ``(table_name, value)`` lines as zip drops: ``num_archives`` archives, each
     holding one member per table (``<table>_<tag><suffix>``).  Returns the member list
     ``(archive, member, n_lines)``; evaluating it writes the archives."""
+    import uuid
+
     spread = lines.select("table_name", "value").repartition(int(num_archives))
-    return spread.mapInPandas(_pack_fn(out_dir, suffix), "archive string, member string, n_lines bigint")
+    return spread.mapInPandas(_pack_fn(out_dir, suffix, uuid.uuid4().hex[:8]),
+                              "archive string, member string, n_lines bigint")
