@@ -97,6 +97,9 @@ def test_lastmodified_window(spark, tmp):
     assert rep[0].n_rows == want
     rep2 = ingest_tables(spark, ctrl, tmp + "/state", source=lambda r: orders, run_start="1999-01-01 00:00:00").collect()
     assert rep2[0].n_rows == orders.where("o_orderdate >= '1998-06-01' and o_orderdate < '1999-01-01'").count()
+    rep3 = ingest_tables(spark, ctrl, tmp + "/state", source=lambda r: orders, run_start="1999-01-01 00:00:00").collect()
+    assert rep3[0].status == "no_new_data"
+    assert read_raw(spark, tmp + "/o", schema=ddl_of(orders)).count() == rep[0].n_rows + rep2[0].n_rows
 
 
 def test_gzip_landing_twice_then_nothing_new(spark, tmp):

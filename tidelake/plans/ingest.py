@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +57,7 @@ def _register(spark, row, df: DataFrame, fmt: str):
 
 def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, source: Source,
                   app: str = "app", run_date=None, run_start=None, fmt: str = "raw",
-                  staging: bool = True) -> DataFrame:
+                  staging: bool = True, max_parallel: int = 4) -> DataFrame:
     """Import every control row; returns the run report.
 
     * snapshot: the whole target is replaced by today's load (written next to it first and
@@ -63,63 +66,70 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
     * lastmodified: rows changed in ``[last, run_start)``, appended.
 
     Watermarks are written only after the data commits.  A failing table is reported and
-    the next one runs.  Control rows are configuration and are iterated on the driver; each
-    table's read and write run as Spark jobs.
+    the others still run.  Control rows are configuration and are handed out on the driver;
+    each table's read and write run as Spark jobs, up to ``max_parallel`` at a time.
     """
     run_start = run_start or utc_now()
     state = read_state(spark, state_path)
     key = F.concat(F.lit(app + "/"), F.col("rdbms_table_name"))
-    rows = validate_table_control(seed_from_state(control, state, key)).collect()
-    outcomes = []
-    for r in rows:
-        row = r.asDict()
+    rows = [r.asDict() for r in validate_table_control(seed_from_state(control, state, key)).collect()]
+    state_lock = threading.Lock()
+
+    def run(row: dict) -> Outcome:
         table = row.get("rdbms_table_name")
         if row["error"] is not None or not row.get("target_dir"):
-            outcomes.append(Outcome(app, table, row.get("mode"), INVALID,
-                                    message=row["error"] or "target_dir"))
-            continue
-        mode = row["mode"]
+            return Outcome(app, table, row.get("mode"), INVALID, message=row["error"] or "target_dir")
         kind = (row.get("table_type") or "snapshot").strip().lower()
         try:
-            df = source(row)
-            if row.get("where_clause"):
-                df = df.where(row["where_clause"])
-            obs = Observation(f"rows_{table}")
-            if mode == "snapshot":
-                dest = sibling_staging(row["target_dir"]) if staging else row["target_dir"]
-                _write(df, dest, run_date, "overwrite", fmt, obs)
-                if staging:
-                    swap_into_place(spark, dest, row["target_dir"])
-                n = obs.get["n"]
-                _register(spark, row, df, fmt)
-                outcomes.append(Outcome(app, table, kind, OK, n_rows=n))
-                continue
-            check, last = row["check_column"], row.get("last_value")
-            ctype = df.schema[check].dataType.simpleString()
-            if kind == "append":
-                b = increment_bounds(df, check, last) if last is not None else \
-                    df.agg(F.max(check).alias("hi"), F.count(F.lit(1)).alias("n")).first().asDict()
-                if not b["n"]:
-                    outcomes.append(Outcome(app, table, kind, NO_NEW_DATA, n_rows=0))
-                    continue
-                inc = append_increment(df, check, last, b["hi"]) if last is not None else \
-                    df.where(F.col(check) <= F.lit(str(b["hi"])).cast(ctype))
-                new_value = str(b["hi"])
-            else:
-                lo = last if last is not None else "0001-01-01 00:00:00"
-                inc = lastmodified_increment(df, check, lo, str(run_start))
-                n_new = inc.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-                if not n_new:
-                    outcomes.append(Outcome(app, table, kind, NO_NEW_DATA, n_rows=0))
-                    continue
-                new_value = str(run_start)
-            _write(inc, row["target_dir"], run_date, "append", fmt, obs)
-            n = obs.get["n"]
-            _register(spark, row, df, fmt)
-            st = spark.createDataFrame([(f"{app}/{table}", new_value, ctype)],
-                                       "source string, value string, value_type string")
-            append_state(st, state_path)
-            outcomes.append(Outcome(app, table, kind, OK, n_rows=n))
+            return _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
+                               run_start, fmt, staging)
         except Exception as e:  # reported per table; the others still run
-            outcomes.append(Outcome(app, table, kind, FAILED, message=str(e)[:1000]))
+            return Outcome(app, table, kind, FAILED, message=str(e)[:1000])
+
+    # tables are independent Spark jobs: run a few at once so small tables do not leave a
+    # large cluster idle (Spark schedules concurrent jobs from several driver threads)
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rows) or 1))) as pool:
+        outcomes = list(pool.map(run, rows))
     return report_frame(spark, outcomes)
+
+
+def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, run_start, fmt,
+                staging) -> Outcome:
+    table = row.get("rdbms_table_name")
+    df = source(row)
+    if row.get("where_clause"):
+        df = df.where(row["where_clause"])
+    obs = Observation(f"rows_{table}_{uuid.uuid4().hex[:6]}")
+    if row["mode"] == "snapshot":
+        dest = sibling_staging(row["target_dir"]) if staging else row["target_dir"]
+        _write(df, dest, run_date, "overwrite", fmt, obs)
+        if staging:
+            swap_into_place(spark, dest, row["target_dir"])
+        _register(spark, row, df, fmt)
+        return Outcome(app, table, kind, OK, n_rows=obs.get["n"])
+    check, last = row["check_column"], row.get("last_value")
+    ctype = df.schema[check].dataType.simpleString()
+    if kind == "append":
+        # upper bound fixed once at run start (one MAX query; every split reads the same range)
+        hi = increment_bounds(df, check, last)["hi"] if last is not None else \
+            df.agg(F.max(check).alias("hi")).first()["hi"]
+        if hi is None:
+            return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
+        inc = append_increment(df, check, last, hi) if last is not None else \
+            df.where(F.col(check) <= F.lit(str(hi)).cast(ctype))
+        new_value = str(hi)
+    else:
+        lo = last if last is not None else "0001-01-01 00:00:00"
+        inc = lastmodified_increment(df, check, lo, str(run_start))
+        new_value = str(run_start)
+    # an empty increment writes no partition folder, so the target stays as it was
+    _write(inc, row["target_dir"], run_date, "append", fmt, obs)
+    n = obs.get["n"]
+    if kind == "lastmodified" and n == 0:
+        return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
+    _register(spark, row, df, fmt)
+    st = spark.createDataFrame([(f"{app}/{table}", new_value, ctype)],
+                               "source string, value string, value_type string")
+    with state_lock:  # appends to one state folder must not overlap
+        append_state(st, state_path)
+    return Outcome(app, table, kind, OK, n_rows=n)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +38,8 @@ def _new_files(manifest: DataFrame, wm, precision: str) -> DataFrame:
 
 
 def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: str = "app",
-               mode: str | None = None, run_date=None, precision: str = "second") -> DataFrame:
+               mode: str | None = None, run_date=None, precision: str = "second",
+               max_parallel: int = 4) -> DataFrame:
     """Land new files named by a file control table; returns the run report.
 
     ``mode=None``: every control row is handled on its own — files ``pattern*`` in its
@@ -58,38 +62,47 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     rows = [r.asDict() for r in ctrl.orderBy("control_file", "line_no").collect()]
     if mode == "consolidated":
         return _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision)
-    outcomes = []
-    for row in rows:
+    state_lock = threading.Lock()
+
+    def run(row: dict) -> Outcome:
         table = row["table_name"]
         if row["error"] is not None:
-            outcomes.append(Outcome(app, table, "files", INVALID, message=row["error"]))
-            continue
+            return Outcome(app, table, "files", INVALID, message=row["error"])
         try:
-            source = f"{app}/{table}"
-            wm = _watermark(spark, state, source)
-            manifest = _new_files(list_files(spark, row["source_dir"], pattern=row["pattern"]), wm,
-                                  precision)
-            summary = manifest.agg(F.count(F.lit(1)).alias("n"), F.max("modified").alias("hi")).first()
-            if not summary["n"]:
-                outcomes.append(Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0))
-                continue
-            # the same file set the manifest saw: name prefix, (cut-off, newest listed];
-            # the modification-time bounds prune files in the file index, before any task
-            mtime = F.col("_metadata.file_modification_time")
-            lines = (spark.read.option("pathGlobFilter", _glob_escape(row["pattern"]) + "*")
-                     .text(row["source_dir"])
-                     .where((mtime > F.lit(_cutoff(wm, precision))) & (mtime <= F.lit(summary["hi"])))
-                     .select("value"))
-            obs = Observation(f"land_{table}")
-            out = stamp_date(lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
-            write_lines(out, f"{row['target_dir'].rstrip('/')}/{table}", partition_by=PARTITION)
-            append_state(advance_watermarks(manifest, F.lit(source)), state_path)
-            outcomes.append(Outcome(app, table, "files", OK, n_files=summary["n"], n_rows=obs.get["n"]))
+            return _land_table(spark, row, state, state_path, state_lock, app, run_date, precision)
         except Exception as e:
-            outcomes.append(Outcome(app, table, "files", FAILED, message=str(e)[:1000]))
+            return Outcome(app, table, "files", FAILED, message=str(e)[:1000])
+
+    # control rows are independent jobs; a few run at once to keep a large cluster busy
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rows) or 1))) as pool:
+        outcomes = list(pool.map(run, rows))
     return report_frame(spark, outcomes)
 
 
+def _land_table(spark, row, state, state_path, state_lock, app, run_date, precision) -> Outcome:
+    table = row["table_name"]
+    source = f"{app}/{table}"
+    wm = _watermark(spark, state, source)
+    manifest = _new_files(list_files(spark, row["source_dir"], pattern=row["pattern"]), wm, precision)
+    summary = manifest.agg(F.count(F.lit(1)).alias("n"), F.max("modified").alias("hi")).first()
+    if not summary["n"]:
+        return Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0)
+    # the same file set the manifest saw: name prefix, (cut-off, newest listed];
+    # the modification-time bounds prune files in the file index, before any task
+    mtime = F.col("_metadata.file_modification_time")
+    lines = (spark.read.option("pathGlobFilter", _glob_escape(row["pattern"]) + "*")
+             .text(row["source_dir"])
+             .where((mtime > F.lit(_cutoff(wm, precision))) & (mtime <= F.lit(summary["hi"])))
+             .select("value"))
+    obs = Observation(f"land_{table}_{uuid.uuid4().hex[:6]}")
+    out = stamp_date(lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
+    write_lines(out, f"{row['target_dir'].rstrip('/')}/{table}", partition_by=PARTITION)
+    marks = advance_watermarks(manifest, F.lit(source))
+    with state_lock:
+        append_state(marks, state_path)
+    return Outcome(app, table, "files", OK, n_files=summary["n"], n_rows=obs.get["n"])
+
+
 def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision):
     valid = [r for r in rows if r["error"] is None]
     if not valid:
@@ -109,7 +122,7 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
     per_table = {r["table_name"]: r["n"] for r in
                  routed.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     tables = sorted({r["table_name"] for r in valid})
-    obs = Observation("zip_rows")
+    obs = Observation(f"zip_rows_{uuid.uuid4().hex[:6]}")
     lines = zip_member_lines(routed.select("archive", "member", "table_name"))
     lines = lines.observe(obs, *[F.sum(F.when(F.col("table_name") == t, 1).otherwise(0)).alias(f"t{i}")
                                  for i, t in enumerate(tables)])
@@ -137,7 +150,7 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
     mtime = F.col("_metadata.file_modification_time")
     new_lines = (spark.read.text(source_dir)
                  .where((mtime > F.lit(wm)) & (mtime <= F.lit(summary["hi"]))).select("value"))
-    obs = Observation("pickup")
+    obs = Observation(f"pickup_{uuid.uuid4().hex[:6]}")
     lines = stamp_date(new_lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
     write_lines(lines, stage_dir, partition_by=PARTITION)
     append_state(advance_watermarks(manifest, F.lit(source)), state_path)
