@@ -97,4 +97,20 @@ select target_dir, case when error is null then mode0 end as mode, error from e"
     "table_query": "select c_custkey from customer where c_mktsegment = 'FURNITURE'",
     "pipe_display": ("select concat_ws('|', c_custkey, c_name, coalesce(nullif(c_mktsegment, 'FURNITURE'), 'null')) "
                      "as line from customer"),
+    "whole_file_repair": "select doc_id, replace(text, chr(10), chr(92) || ' ') as text from documents",
+    "repair_to_raw": "select doc_id, replace(text, chr(10), chr(92) || ' ') as text from documents",
+    "route_first_match_equijoin": (f"select file_name, arg_min(tab, line_no) as table_name from {M} m "
+                                   f"join {ROUTES} c on starts_with(file_name, pattern) group by 1"),
+    "route_all_matches_equijoin": (f"select file_name, tab as table_name from {M} m "
+                                   f"join {ROUTES} c on starts_with(file_name, pattern)"),
+    "bucket_listing_line": f"select strftime(modified, '%Y%m%d%H%M%S') || '|' || file_name as line from {M}",
+    "bucket_pickup": "select * from customer",
+    "incremental_lastmodified": ("select *, date '2024-01-02' as date_part from orders "
+                                 "where o_orderdate >= timestamp '1998-01-01' and o_orderdate < timestamp '1999-01-01'"),
+    "cleansed_replace_partition": "select *, date '2024-01-02' as date_part from orders",
+    "raw_scan_csv_mode": "select * from customer",
+    "run_summary": ("select 'customer' as table_name, 'ok' as status, cast(2 as bigint) as n_runs, "
+                    "cast(null as bigint) as n_files, 2 * count(*) as n_rows from customer union all "
+                    "select 'orders', 'ok', 1, null, count(*) from orders union all "
+                    "select 'orders', 'no_new_data', 1, null, 0"),
 }

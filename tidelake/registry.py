@@ -101,15 +101,8 @@ def field_split_exact(spark, sf_dir):
 
 
 def multiline_repair(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    escaped = F.concat(F.col("doc_id").cast("string"), F.lit(BEL),
-                       F.regexp_replace("text", "\n", "\\\\\n"))
-    tmp = scratch_path(spark, "tmp-documents")
-    write_lines(docs.select(escaped.alias("value")), tmp)
-    fixed = repair_escaped_lines(spark, tmp)
-    sep = F.instr(F.col("value"), BEL)
-    return fixed.select(F.expr("substr(value, 1, instr(value, char(7)) - 1)").cast("bigint").alias("doc_id"),
-                        F.expr("substr(value, instr(value, char(7)) + 1)").alias("text"))
+    """Escaped line breaks (documents written as raw lines) joined again, line-based."""
+    return _doc_fields(repair_escaped_lines(spark, _escaped_documents(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- layer promotion and sinks
@@ -445,6 +438,96 @@ def table_ddl_query(spark, sf_dir):
     return table_ddl(spark, _registered_customer(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- further operator paths
+
+def _escaped_documents(spark, sf_dir) -> str:
+    docs = table(spark, sf_dir, "documents")
+    escaped = F.concat(F.col("doc_id").cast("string"), F.lit(BEL),
+                       F.regexp_replace("text", "\n", "\\\\\n"))
+    tmp = scratch_path(spark, "tmp-documents")
+    write_lines(docs.select(escaped.alias("value")), tmp)
+    return tmp
+
+
+def _doc_fields(df: DataFrame) -> DataFrame:
+    return df.select(F.expr("substr(value, 1, instr(value, char(7)) - 1)").cast("bigint").alias("doc_id"),
+                     F.expr("substr(value, instr(value, char(7)) + 1)").alias("text"))
+
+
+def whole_file_repair(spark, sf_dir):
+    from tidelake.operators.repair import repair_documents
+    return _doc_fields(repair_documents(spark, _escaped_documents(spark, sf_dir)))
+
+
+def repair_to_raw(spark, sf_dir):
+    from tidelake.plans.cleansed import repair_raw
+    raw = scratch_path(spark, "raw-documents")
+    return _doc_fields(repair_raw(spark, _escaped_documents(spark, sf_dir), f"{raw}/date_part={RUN_DATE}")
+                       .select("value"))
+
+
+def route_first_match_equijoin(spark, sf_dir):
+    m = manifest(spark, sf_dir).select("file_name")
+    return routing.route_first_match(m, _routes(spark), broadcast_limit=0).select("file_name", "table_name")
+
+
+def route_all_matches_equijoin(spark, sf_dir):
+    m = manifest(spark, sf_dir).select("file_name")
+    return routing.route_all_matches(m, _routes(spark), broadcast_limit=0).select("file_name", "table_name")
+
+
+def bucket_listing_line(spark, sf_dir):
+    from tidelake.sources.listing import listing_line
+    return listing_line(manifest(spark, sf_dir))
+
+
+def bucket_pickup(spark, sf_dir):
+    from tidelake.plans.landing import pickup_files
+    cust = table(spark, sf_dir, "customer")
+    bucket, stage, st = scratch_path(spark, "bucket"), scratch_path(spark, "stage"), scratch_path(spark, "state")
+    write_raw(cust, bucket)
+    pickup_files(spark, bucket, stage, st, source="crm", run_date=RUN_DATE).collect()
+    pickup_files(spark, bucket, stage, st, source="crm", run_date=RUN_DATE).collect()  # nothing new
+    return read_raw(spark, stage, schema=ddl_of(cust)).drop("date_part")
+
+
+def incremental_lastmodified(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    target = scratch_path(spark, "lake-orders")
+    ctrl = _table_control(spark, [("lastmodified", "oracle", "normal", "ORDERS", "TPCH", None, target, None,
+                                   None, None, None, "o_orderdate", "1998-01-01 00:00:00")])
+    ingest_tables(spark, ctrl, scratch_path(spark, "state"), source=lambda row: orders, app="erp",
+                  run_date=RUN_DATE, run_start="1999-01-01 00:00:00").collect()
+    return read_raw(spark, target, schema=ddl_of(orders))
+
+
+def cleansed_replace_partition(spark, sf_dir):
+    orders, root = _orders_raw_partition(spark, sf_dir)
+    out = scratch_path(spark, "cleansed-orders")
+    raw_to_cleansed(spark, root, out, run_date=RUN_DATE, schema=ddl_of(orders), mode="replace_partition")
+    return raw_to_cleansed(spark, root, out, run_date=RUN_DATE, schema=ddl_of(orders), mode="replace_partition")
+
+
+def raw_scan_csv_mode(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer")
+    return read_raw(spark, _raw_copy(spark, cust, "raw-customer"), schema=ddl_of(cust), exact=False)
+
+
+def run_summary(spark, sf_dir):
+    from tidelake.operators.report import summarize
+    srcs = {n: table(spark, sf_dir, n) for n in ("customer", "orders")}
+    root, st = scratch_path(spark, "lake"), scratch_path(spark, "state")
+    ctrl = _table_control(spark, [
+        ("snapshot", "teradata", "normal", "customer", "TPCH", None, f"{root}/customer", None,
+         None, None, None, None, None),
+        ("append", "oracle", "normal", "orders", "TPCH", None, f"{root}/orders", None,
+         None, None, None, "o_orderkey", None),
+    ])
+    reports = [ingest_tables(spark, ctrl, st, source=lambda row: srcs[row["rdbms_table_name"]], app="erp",
+                             run_date=RUN_DATE) for _ in range(2)]
+    return summarize(reports[0].unionByName(reports[1]))
+
+
 QUERIES = {
     "raw_delimited_scan": raw_delimited_scan,
     "raw_scan_untyped": raw_scan_untyped,
@@ -484,4 +567,14 @@ QUERIES = {
     "pipe_display": pipe_display,
     "table_preview": table_preview,
     "table_ddl": table_ddl_query,
+    "whole_file_repair": whole_file_repair,
+    "repair_to_raw": repair_to_raw,
+    "route_first_match_equijoin": route_first_match_equijoin,
+    "route_all_matches_equijoin": route_all_matches_equijoin,
+    "bucket_listing_line": bucket_listing_line,
+    "bucket_pickup": bucket_pickup,
+    "incremental_lastmodified": incremental_lastmodified,
+    "cleansed_replace_partition": cleansed_replace_partition,
+    "raw_scan_csv_mode": raw_scan_csv_mode,
+    "run_summary": run_summary,
 }
