@@ -32,7 +32,9 @@ class Outcome:
 
 def report_frame(spark: SparkSession, outcomes: list[Outcome]) -> DataFrame:
     """Outcomes are per control row (configuration-sized), gathered on the driver."""
-    return spark.createDataFrame([o.row() for o in outcomes], REPORT_SCHEMA)
+    from tidelake.session import local_frame
+
+    return local_frame(spark, [o.row() for o in outcomes], REPORT_SCHEMA)
 
 
 def summarize(report: DataFrame) -> DataFrame:

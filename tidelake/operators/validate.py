@@ -26,7 +26,8 @@ def table_mode(table_type: Column) -> Column:
 
 def validate_table_control(control: DataFrame) -> DataFrame:
     """Adds ``mode`` and ``error`` (comma list of bad fields, NULL when the row is valid)."""
-    mode = table_mode(F.col("table_type"))
+    staged = control.withColumn("_mode", table_mode(F.col("table_type")))
+    mode = F.col("_mode")
     checks = [
         F.when(mode.isNull(), F.lit("table_type")),
         F.when(~F.coalesce(F.lower(F.trim("db_name")).isin(*VENDORS), F.lit(False)), F.lit("db_name")),
@@ -35,8 +36,9 @@ def validate_table_control(control: DataFrame) -> DataFrame:
         F.when(_blank(F.col("rdbms_table_name")), F.lit("rdbms_table_name")),
         F.when((mode == "incremental") & _blank(F.col("check_column")), F.lit("check_column")),
     ]
-    error = F.nullif(F.concat_ws(",", *checks), F.lit(""))
-    return control.withColumn("mode", F.when(error.isNull(), mode)).withColumn("error", error)
+    staged = staged.withColumn("error", F.nullif(F.concat_ws(",", *checks), F.lit("")))
+    return (staged.withColumn("mode", F.when(F.col("error").isNull(), mode)).drop("_mode")
+            .select(*control.columns, "mode", "error"))
 
 
 def validate_file_control(control: DataFrame) -> DataFrame:

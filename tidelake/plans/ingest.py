@@ -14,7 +14,7 @@ from tidelake.operators.increments import append_increment, increment_bounds, la
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
 from tidelake.operators.state import append_state, read_state, seed_from_state, utc_now
 from tidelake.operators.validate import validate_table_control
-from tidelake.session import sibling_staging, swap_into_place
+from tidelake.session import local_frame, sibling_staging, swap_into_place
 from tidelake.sinks.raw import write_raw
 from tidelake.sinks.tables import PARTITION, stamp_date
 from tidelake.sources.relational import jdbc_options, read_jdbc
@@ -128,8 +128,8 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
     if kind == "lastmodified" and n == 0:
         return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
     _register(spark, row, df, fmt)
-    st = spark.createDataFrame([(f"{app}/{table}", new_value, ctype)],
-                               "source string, value string, value_type string")
+    st = local_frame(spark, [(f"{app}/{table}", new_value, ctype)],
+                     "source string, value string, value_type string")
     with state_lock:  # appends to one state folder must not overlap
         append_state(st, state_path)
     return Outcome(app, table, kind, OK, n_rows=n)

@@ -18,11 +18,12 @@ from tidelake.operators.validate import validate_file_control
 from tidelake.sinks.raw import write_lines
 from tidelake.sinks.tables import PARTITION, stamp_date, write_routed_lines
 from tidelake.sources.archives import zip_member_lines, zip_members
+from tidelake.session import local_frame
 from tidelake.sources.listing import _glob_escape, list_files
 
 
 def _watermark(spark, state, source: str):
-    src = spark.createDataFrame([(source,)], "source string")
+    src = local_frame(spark, [(source,)], "source string")
     return watermarks_with_default(src, state, dtype="timestamp").first()["high_water"]
 
 

@@ -23,7 +23,7 @@ from tidelake.plans.cleansed import raw_to_cleansed
 from tidelake.plans.ingest import ingest_tables
 from tidelake.plans.landing import land_files
 from tidelake.plans.query import display_lines, query_table
-from tidelake.session import scratch_path
+from tidelake.session import local_frame, scratch_path
 from tidelake.sinks.raw import write_lines, write_raw
 from tidelake.sinks.tables import AVRO, replace_snapshot, write_catalog_table
 from tidelake.sources.control import read_control
@@ -164,7 +164,7 @@ def _table_control(spark, rows) -> DataFrame:
     ddl = ("table_type string, db_name string, hive_normal string, rdbms_table_name string, "
            "schema_name string, hive_table_name string, target_dir string, where_clause string, "
            "split_by_col string, fetch_size int, num_mapper int, check_column string, last_value string")
-    return spark.createDataFrame(rows, ddl)
+    return local_frame(spark, rows, ddl)
 
 
 def _orders_ingest(spark, sf_dir, first_source):
@@ -261,7 +261,7 @@ def watermark_seed_join(spark, sf_dir):
 
 
 def _routes(spark):
-    return spark.createDataFrame(ROUTES, "line_no int, pattern string, table_name string")
+    return local_frame(spark, ROUTES, "line_no int, pattern string, table_name string")
 
 
 def route_first_match(spark, sf_dir):
@@ -277,8 +277,8 @@ def route_all_matches(spark, sf_dir):
 # ---------------------------------------------------------------- landing
 
 def _file_control(spark, rows) -> DataFrame:
-    return spark.createDataFrame(
-        [("ctl", i, *r) for i, r in enumerate(rows, start=1)],
+    return local_frame(
+        spark, [("ctl", i, *r) for i, r in enumerate(rows, start=1)],
         "control_file string, line_no int, pattern string, table_name string, "
         "source_dir string, target_dir string")
 

@@ -67,3 +67,19 @@ def swap_into_place(spark: SparkSession, staging: str, target: str):
         raise OSError(f"cannot move {staging} to {target}")
     if old is not None:
         fs.delete(old, True)
+
+
+def local_frame(spark: SparkSession, rows, ddl: str):
+    """A small DataFrame from driver-side rows (control rows, report rows, state rows),
+    built from literals so it is planned as an inline table and read without Python
+    workers.  Only for configuration-sized data."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(ddl)
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
