@@ -95,3 +95,20 @@ def test_entry_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"table_preview", "table_ddl"}
+
+
+def test_large_member_split_into_byte_ranges(spark, tmp):
+    import random
+    rnd = random.Random(5)
+    lines = ["" if rnd.random() < 0.05 else "r%d_" % i + "y" * rnd.randint(0, 40) for i in range(3000)]
+    body = "".join(l + ("\r\n" if i % 7 == 0 else "\n") for i, l in enumerate(lines))
+    body = body.rstrip("\n").rstrip("\r")  # last line without a line break
+    os.makedirs(tmp + "/src")
+    _zip(tmp + "/src/big.zip", {"big.txt": body, "small.txt": "a\nb\n"})
+    members = zip_members(list_files(spark, tmp + "/src"))
+    whole = sorted((r.member, r.line_no, r.value) for r in zip_member_lines(members).collect())
+    split = sorted((r.member, r.line_no, r.value)
+                   for r in zip_member_lines(members, num_partitions=7, range_bytes=997).collect())
+    assert split == whole
+    assert [v for m, _, v in whole if m == "big.txt"] == lines
+    assert [n for m, n, _ in whole if m == "big.txt"] == list(range(len(lines)))

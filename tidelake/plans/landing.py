@@ -118,13 +118,13 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
                                     for r in valid])
     members = zip_members(archives).withColumn("file_name", F.substring_index("member", "/", -1))
     routing = ctrl.where(F.col("error").isNull()).select("line_no", "pattern", "table_name")
-    routed = route_first_match(members.select("archive", "member", "file_name"), routing,
-                               key_cols=("archive", "member", "file_name"))
+    routed = route_first_match(members.select("archive", "member", "file_name", "member_size"), routing,
+                               key_cols=("archive", "member", "file_name", "member_size"))
     per_table = {r["table_name"]: r["n"] for r in
                  routed.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     tables = sorted({r["table_name"] for r in valid})
     obs = Observation(f"zip_rows_{uuid.uuid4().hex[:6]}")
-    lines = zip_member_lines(routed.select("archive", "member", "table_name"))
+    lines = zip_member_lines(routed.select("archive", "member", "member_size", "table_name"))
     lines = lines.observe(obs, *[F.sum(F.when(F.col("table_name") == t, 1).otherwise(0)).alias(f"t{i}")
                                  for i, t in enumerate(tables)])
     try:

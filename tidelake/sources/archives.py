@@ -4,13 +4,13 @@
   gzip cannot be split), so :func:`read_gzip_lines` is a plain text scan.
 * zip: Hadoop has no zip codec.  Archives are opened on executors: one pass lists the
   members of each archive (central directory only), the member list is routed and
-  re-partitioned so that members spread over tasks, and a second pass streams each
-  member's lines out in Arrow batches — a large member never becomes one value.
+  re-partitioned so that members (and byte ranges of large members) spread over tasks,
+  and a second pass streams the lines out in Arrow batches — a large member never
+  becomes one value or one task's work.
 """
 
 from __future__ import annotations
 
-import io
 import zipfile
 
 import pandas as pd
@@ -22,6 +22,7 @@ from tidelake.session import is_local_path, local_os_path
 MEMBER_SCHEMA = "archive string, member string, member_size bigint"
 LINE_SCHEMA = "archive string, member string, line_no bigint, value string"
 BATCH_LINES = 8192
+RANGE_BYTES = 64 << 20  # uncompressed bytes of a member handled by one task
 
 
 def read_gzip_lines(spark: SparkSession, paths) -> DataFrame:
@@ -49,6 +50,50 @@ def _list_members(batches):
         yield pd.DataFrame(rows, columns=["archive", "member", "member_size"])
 
 
+READ_BYTES = 1 << 20
+
+
+def member_line_range(raw, start: int, end: int | None):
+    """Lines of a member stream whose first byte lies in ``[start, end)``.
+
+    Yields ``(line_no, text)`` with ``line_no`` counted from the member's first line.  Bytes
+    before ``start`` are inflated and only their line breaks counted (C-level
+    ``bytes.count``), so a member split into byte ranges gives every range its exact lines
+    and line numbers.  Lines end at LF; a CR before the LF is dropped.
+    """
+    line_no = 0
+    carry = b""        # bytes of the line in progress
+    carry_at = 0       # offset of carry[0] in the member
+    while True:
+        block = raw.read(READ_BYTES)
+        if not block:
+            break
+        data = carry + block
+        data_at = carry_at
+        # skip whole lines that start before ``start`` without a Python loop per line
+        if data_at < start:
+            limit = start - data_at            # bytes of data that lie before start
+            cut = data.rfind(b"\n", 0, min(limit, len(data)))
+            if cut >= 0:
+                line_no += data.count(b"\n", 0, cut + 1)
+                data, data_at = data[cut + 1:], data_at + cut + 1
+        last_nl = data.rfind(b"\n")
+        if last_nl < 0:
+            carry, carry_at = data, data_at
+            continue
+        complete, carry, carry_at = data[:last_nl], data[last_nl + 1:], data_at + last_nl + 1
+        at = data_at
+        for line in complete.split(b"\n"):
+            if end is not None and at >= end:
+                return
+            if at >= start:
+                yield line_no, line[:-1] if line.endswith(b"\r") else line
+            line_no += 1
+            at += len(line) + 1
+    if carry and carry_at >= start and (end is None or carry_at < end):
+        yield line_no, carry[:-1] if carry.endswith(b"\r") else carry
+
+
 def _member_lines_fn(extra):
     def run(batches):
         for pdf in batches:
@@ -56,24 +101,23 @@ def _member_lines_fn(extra):
                 with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
                     for rec in group.itertuples(index=False):
                         tags = {c: getattr(rec, c) for c in extra}
+                        end = None if rec.range_end < 0 else int(rec.range_end)
                         with zf.open(rec.member) as raw:
-                            text = io.TextIOWrapper(raw, encoding="utf-8", newline=None)
-                            buf, start = [], 0
-                            for line in text:
-                                buf.append(line[:-1] if line.endswith("\n") else line)
+                            nos, buf = [], []
+                            for no, line in member_line_range(raw, int(rec.range_start), end):
+                                nos.append(no)
+                                buf.append(line.decode("utf-8", errors="replace"))
                                 if len(buf) >= BATCH_LINES:
-                                    yield _lines_frame(archive, rec.member, start, buf, tags)
-                                    start += len(buf)
-                                    buf = []
+                                    yield _lines_frame(archive, rec.member, nos, buf, tags)
+                                    nos, buf = [], []
                             if buf:
-                                yield _lines_frame(archive, rec.member, start, buf, tags)
+                                yield _lines_frame(archive, rec.member, nos, buf, tags)
     return run
 
 
-def _lines_frame(archive, member, start, lines, tags):
+def _lines_frame(archive, member, line_nos, lines, tags):
     n = len(lines)
-    cols = {"archive": [archive] * n, "member": [member] * n,
-            "line_no": range(start, start + n), "value": lines}
+    cols = {"archive": [archive] * n, "member": [member] * n, "line_no": line_nos, "value": lines}
     for c, v in tags.items():
         cols[c] = [v] * n
     return pd.DataFrame(cols)
@@ -84,18 +128,28 @@ def zip_members(archives: DataFrame, path_col: str = "path") -> DataFrame:
     return archives.select(F.col(path_col).alias("archive")).mapInPandas(_list_members, MEMBER_SCHEMA)
 
 
-def zip_member_lines(members: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def zip_member_lines(members: DataFrame, num_partitions: int | None = None,
+                     range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Lines of the given members: ``(archive, member, line_no, value)`` plus any other
     string columns of ``members`` (e.g. the routed table name), carried along per member.
 
-    Members are hash-spread over ``num_partitions`` tasks (default: shuffle partitions), so
-    the archives of one drop are unpacked in parallel, one member stream per task at a time.
+    A member larger than ``range_bytes`` (uncompressed, from ``member_size``) is cut into
+    byte ranges handled by different tasks, so one huge member is no hot task: each range
+    inflates the stream up to its end but decodes and emits only its own lines.  Ranges are
+    hash-spread over ``num_partitions`` tasks (default: shuffle partitions).
     """
     spark = members.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     extra = [c for c in members.columns if c not in ("archive", "member", "member_size")]
-    spread = members.select("archive", "member", *[F.col(c).cast("string") for c in extra])
-    spread = spread.repartition(n, "archive", "member")
+    size = F.col("member_size") if "member_size" in members.columns else F.lit(0).cast("bigint")
+    n_ranges = F.greatest(F.lit(1), F.ceil(size / F.lit(range_bytes))).cast("int")
+    ranges = (members.select("archive", "member", *[F.col(c).cast("string") for c in extra],
+                             F.explode(F.sequence(F.lit(0), n_ranges - 1)).alias("_r"), n_ranges.alias("_n"))
+              .withColumn("range_start", (F.col("_r") * range_bytes).cast("bigint"))
+              .withColumn("range_end", F.when(F.col("_r") == F.col("_n") - 1, F.lit(-1).cast("bigint"))
+                          .otherwise(((F.col("_r") + 1) * range_bytes).cast("bigint")))
+              .drop("_r", "_n"))
+    spread = ranges.repartition(n, "archive", "member", "range_start")
     schema = LINE_SCHEMA + "".join(f", {c} string" for c in extra)
     return spread.mapInPandas(_member_lines_fn(extra), schema)
 
