@@ -107,3 +107,28 @@ def test_seed_from_state_prefers_state(spark, tmp):
     ctrl = spark.createDataFrame([("ORDERS", "10"), ("PARTS", "3")], "t string, last_value string")
     out = state.seed_from_state(ctrl, state.read_state(spark, path), F.concat(F.lit("erp/"), F.col("t")))
     assert dict(out.select("t", "last_value").collect()) == {"ORDERS": "500", "PARTS": "3"}
+
+
+def test_compact_state_keeps_current_watermarks(spark, tmp):
+    path = tmp + "/state"
+    for day in (1, 2, 3):
+        m = spark.createDataFrame([("a", f"a{day}", dt.datetime(2024, 1, day)), ("b", f"b{day}", dt.datetime(2024, 2, day))],
+                                  "src string, file_name string, modified timestamp_ntz")
+        state.append_state(state.advance_watermarks(m, "src"), path)
+    before = sorted(tuple(r) for r in state.current_watermarks(state.read_state(spark, path)).collect())
+    compacted = state.compact_state(spark, path)
+    assert compacted.count() == 2
+    after = sorted(tuple(r) for r in state.current_watermarks(compacted).collect())
+    assert after == before
+
+
+def test_invalid_date_part_folder_stays_a_date_column(spark, tmp):
+    from tidelake.sinks.raw import write_raw
+    from tidelake.sources.raw import read_raw
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    write_raw(df, tmp + "/t/date_part=2018-09-17")
+    write_raw(df, tmp + "/t/date_part=2018-09-47")
+    out = read_raw(spark, tmp + "/t", schema="k int, v string")
+    assert dict(out.dtypes)["date_part"] == "date"
+    got = sorted((r.date_part.isoformat() if r.date_part else "") for r in out.collect())
+    assert got == ["", "2018-09-17"]

@@ -88,5 +88,22 @@ def seed_from_state(control: DataFrame, state: DataFrame | None, key, seed_col:
     return joined.withColumn(out_col, F.coalesce(F.col("_sv"), F.col(seed_col))).drop("_k", "_sv")
 
 
+def compact_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rewrite the state table as one row per source (its current watermark), replacing the
+    many small files that one append per run leaves behind.  Run it when no pipeline writes
+    to the same state table."""
+    from tidelake.session import sibling_staging, swap_into_place
+
+    state = read_state(spark, path)
+    if state is None:
+        return None
+    last_run = state.groupBy("source").agg(F.max("run_ts").alias("run_ts"))
+    cur = current_watermarks(state).join(last_run, "source")
+    staging = sibling_staging(path)
+    cur.select(*state.columns).coalesce(1).write.parquet(staging)
+    swap_into_place(spark, staging, path)
+    return read_state(spark, path)
+
+
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -30,6 +30,15 @@ def read_raw_lines(spark: SparkSession, path, **options) -> DataFrame:
     return reader.load(path)
 
 
+def _typed_date_part(df: DataFrame) -> DataFrame:
+    """A ``date_part`` folder that is not a date (e.g. ``2018-09-47``) makes partition
+    discovery fall back to strings for every folder; keep the column a DATE and give rows of
+    invalid folders NULL instead."""
+    if "date_part" in df.columns and dict(df.dtypes)["date_part"] == "string":
+        return df.withColumn("date_part", F.col("date_part").try_cast("date"))
+    return df
+
+
 def read_raw(
     spark: SparkSession,
     path,
@@ -61,9 +70,9 @@ def read_raw(
             reader = reader.option(k, v)
         if st is not None:
             reader = reader.schema(st)
-        return reader.csv(path)
+        return _typed_date_part(reader.csv(path))
 
-    lines = read_raw_lines(spark, path, **options)
+    lines = _typed_date_part(read_raw_lines(spark, path, **options))
     part_cols = [c for c in lines.columns if c != "value"]
     fields = split_exact("value", sep)
     if st is None:
