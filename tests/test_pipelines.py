@@ -157,3 +157,26 @@ def test_stream_landing_runs_and_archives_with_one_run_lag(spark, tmp):
     assert spark.read.text(target).count() == 6
     archived = spark.read.option("recursiveFileLookup", "true").text(archive).count()
     assert archived >= 4
+
+
+def test_watermark_not_advanced_when_the_write_fails(spark, tmp):
+    from tidelake.operators.state import read_state
+    orders = table(spark, SF_SMALL, "orders")
+    target, st = tmp + "/orders", tmp + "/state"
+    ctrl = _orders_ctrl(spark, target)
+    broken = orders.withColumn("o_comment", F.raise_error(F.lit("disk full")))
+    rep = ingest_tables(spark, ctrl, st, source=lambda row: broken, app="erp").collect()
+    assert rep[0].status == "failed" and read_state(spark, st) is None
+    rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
+    assert (rep[0].status, rep[0].n_rows) == ("ok", orders.count())
+
+
+def test_file_names_with_spaces_land(spark, tmp):
+    src, target = tmp + "/src", tmp + "/lake"
+    os.makedirs(src)
+    with open(src + "/daily sales 01.txt", "w") as f:
+        f.write("1\u0007a\n2\u0007b\n")
+    ctrl = _file_control(spark, [("daily sales", "sales", src, target)])
+    rep = land_files(spark, ctrl, tmp + "/state", app="shop").collect()
+    assert (rep[0].status, rep[0].n_files, rep[0].n_rows) == ("ok", 1, 2)
+    assert spark.read.text(target + "/sales").count() == 2

@@ -29,13 +29,21 @@ def read_gzip_lines(spark: SparkSession, paths) -> DataFrame:
     return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
+def _arrow_fs(path: str):
+    from pyarrow import fs as pafs
+
+    # Hadoop's S3 connector schemes name the same store pyarrow calls s3
+    for scheme in ("s3a://", "s3n://"):
+        if path.startswith(scheme):
+            path = "s3://" + path[len(scheme):]
+    return pafs.FileSystem.from_uri(path)
+
+
 def open_binary(path: str):
     """Random-access binary handle for a local or cluster file system path."""
     if is_local_path(path):
         return open(local_os_path(path), "rb")
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
+    filesystem, inner = _arrow_fs(path)
     return filesystem.open_input_file(inner)
 
 
@@ -162,9 +170,7 @@ def open_output(path: str):
         p = local_os_path(path)
         os.makedirs(os.path.dirname(p), exist_ok=True)
         return open(p, "wb")
-    from pyarrow import fs as pafs
-
-    filesystem, inner = pafs.FileSystem.from_uri(path)
+    filesystem, inner = _arrow_fs(path)
     return filesystem.open_output_stream(inner)
 
 
