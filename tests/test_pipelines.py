@@ -180,3 +180,14 @@ def test_file_names_with_spaces_land(spark, tmp):
     rep = land_files(spark, ctrl, tmp + "/state", app="shop").collect()
     assert (rep[0].status, rep[0].n_files, rep[0].n_rows) == ("ok", 1, 2)
     assert spark.read.text(target + "/sales").count() == 2
+
+
+def test_first_control_row_per_file(spark, tmp):
+    from tidelake.sources.control import first_row
+    p = tmp + "/files.ctrl"
+    with open(p, "w") as f:
+        f.write("pattern,table_name,source_dir,target_dir\n"
+                "cust,customer,/in/a,/lake\n"
+                "supp,supplier,/in/b,/lake\n")
+    ctrl = read_control(spark, p, "files")
+    assert [(r.line_no, r.source_dir) for r in first_row(ctrl).collect()] == [(1, "/in/a")]

@@ -59,3 +59,10 @@ def test_partition_column_is_discovered_and_typed(spark, tmp):
     write_raw(df, tmp + "/t/date_part=2024-01-01")
     out = read_raw(spark, tmp + "/t", schema="k int, v string")
     assert dict(out.dtypes)["date_part"] == "date"
+
+
+def test_other_separator_is_taken_literally(spark, tmp):
+    df = spark.createDataFrame([(1, "a.b", None), (2, "", "c")], "k int, a string, b string")
+    write_raw(df, tmp + "/t", sep="|")
+    out = sorted(tuple(r) for r in read_raw(spark, tmp + "/t", schema="k int, a string, b string", sep="|").collect())
+    assert out == [(1, "a.b", None), (2, "", "c")]

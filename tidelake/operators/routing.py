@@ -17,9 +17,8 @@ BROADCAST_CONTROL_ROWS = 10_000
 
 
 def _matches(files: DataFrame, control: DataFrame, name_col: str, pattern_col: str,
-             broadcast_limit: int) -> DataFrame:
-    n_control = control.count()
-    if n_control <= broadcast_limit:
+             broadcast: bool) -> DataFrame:
+    if broadcast:
         return files.join(F.broadcast(control), F.col(name_col).startswith(F.col(pattern_col)))
     lengths = [r[0] for r in control.select(F.length(pattern_col).alias("n")).distinct().collect()]
     cut = (files.withColumn("_plen", F.explode(F.array(*[F.lit(n) for n in lengths])))
@@ -34,7 +33,7 @@ def route_all_matches(files: DataFrame, control: DataFrame, name_col: str = "fil
                       pattern_col: str = "pattern",
                       broadcast_limit: int = BROADCAST_CONTROL_ROWS) -> DataFrame:
     """Every matching control row routes the file (a file matching two rows lands twice)."""
-    return _matches(files, control, name_col, pattern_col, broadcast_limit)
+    return _matches(files, control, name_col, pattern_col, control.count() <= broadcast_limit)
 
 
 def route_first_match(files: DataFrame, control: DataFrame, key_cols=("file_name",),
@@ -50,11 +49,11 @@ def route_first_match(files: DataFrame, control: DataFrame, key_cols=("file_name
     """
     key_cols = list(key_cols)
     file_cols = [c for c in files.columns if c not in key_cols]
-    m = _matches(files, control, name_col, pattern_col, broadcast_limit)
+    small = control.count() <= broadcast_limit
+    m = _matches(files, control, name_col, pattern_col, small)
     first = m.groupBy(*key_cols).agg(F.min(order_col).alias(order_col))
     if file_cols:
         first = first.join(files, key_cols)
-    n_control = control.count()
-    ctrl = F.broadcast(control) if n_control <= broadcast_limit else control
+    ctrl = F.broadcast(control) if small else control
     return first.join(ctrl, order_col).select(*key_cols, order_col, *file_cols,
                                               *[c for c in control.columns if c != order_col])

@@ -48,6 +48,7 @@ def open_binary(path: str):
 
 
 def _list_members(batches):
+    cols = ["archive", "member", "member_size"]
     for pdf in batches:
         rows = []
         for archive in pdf["archive"]:
@@ -55,7 +56,11 @@ def _list_members(batches):
                 for info in zf.infolist():
                     if not info.is_dir():
                         rows.append((archive, info.filename, info.file_size))
-        yield pd.DataFrame(rows, columns=["archive", "member", "member_size"])
+                        if len(rows) >= BATCH_LINES:
+                            yield pd.DataFrame(rows, columns=cols)
+                            rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=cols)
 
 
 READ_BYTES = 1 << 20
