@@ -41,3 +41,20 @@ def append_increment(df: DataFrame, check_col: str, last, hi=None) -> DataFrame:
 def lastmodified_increment(df: DataFrame, check_col: str, last, run_start) -> DataFrame:
     c = F.col(check_col)
     return df.where((c >= _typed(df, check_col, last)) & (c < _typed(df, check_col, run_start)))
+
+
+def read_increment(df: DataFrame, check_col: str, last, mode: str = "append", run_start=None,
+                   hi=None) -> DataFrame:
+    """Increment of ``df`` by mode: ``append`` -> ``(last, hi]`` (``hi`` = maximum at run
+    start, taken here when not given); ``lastmodified`` -> ``[last, run_start)``."""
+    if mode == "append":
+        if hi is None:
+            hi = increment_bounds(df, check_col, last)["hi"]
+        if hi is None:
+            return df.where(F.lit(False))
+        return append_increment(df, check_col, last, hi)
+    if mode == "lastmodified":
+        if run_start is None:
+            raise ValueError("lastmodified needs run_start")
+        return lastmodified_increment(df, check_col, last, run_start)
+    raise ValueError(f"mode must be 'append' or 'lastmodified', got {mode!r}")
