@@ -191,3 +191,14 @@ def test_first_control_row_per_file(spark, tmp):
                 "supp,supplier,/in/b,/lake\n")
     ctrl = read_control(spark, p, "files")
     assert [(r.line_no, r.source_dir) for r in first_row(ctrl).collect()] == [(1, "/in/a")]
+
+
+def test_read_increment_modes(spark):
+    from tidelake.operators.increments import read_increment
+    orders = table(spark, SF_SMALL, "orders")
+    assert read_increment(orders, "o_orderkey", "1000").count() == orders.where("o_orderkey > 1000").count()
+    assert read_increment(orders, "o_orderkey", "99999").count() == 0
+    lm = read_increment(orders, "o_orderdate", "1998-01-01", "lastmodified", run_start="1999-01-01")
+    assert lm.count() == orders.where("o_orderdate >= '1998-01-01' and o_orderdate < '1999-01-01'").count()
+    with pytest.raises(ValueError):
+        read_increment(orders, "o_orderkey", "1", "merge")

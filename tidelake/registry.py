@@ -25,7 +25,7 @@ from tidelake.plans.landing import land_files
 from tidelake.plans.query import display_lines, query_table
 from tidelake.session import local_frame, scratch_path
 from tidelake.sinks.raw import write_lines, write_raw
-from tidelake.sinks.tables import AVRO, replace_snapshot, write_catalog_table
+from tidelake.sinks.tables import replace_snapshot, write_catalog_table
 from tidelake.sources.control import read_control
 from tidelake.sources.raw import read_raw
 from tidelake.sources.tables import register_raw_table, table_ddl
