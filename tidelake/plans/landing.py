@@ -22,9 +22,15 @@ from tidelake.session import local_frame
 from tidelake.sources.listing import _glob_escape, list_files
 
 
+def _watermarks(spark, state, sources) -> dict:
+    """Current watermark of each source (default when none is stored), in one job."""
+    src = local_frame(spark, [(s,) for s in sorted(set(sources))], "source string")
+    return {r["source"]: r["high_water"]
+            for r in watermarks_with_default(src, state, dtype="timestamp").collect()}
+
+
 def _watermark(spark, state, source: str):
-    src = local_frame(spark, [(source,)], "source string")
-    return watermarks_with_default(src, state, dtype="timestamp").first()["high_water"]
+    return _watermarks(spark, state, [source])[source]
 
 
 def _cutoff(wm, precision: str):
@@ -64,13 +70,15 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     if mode == "consolidated":
         return _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision)
     state_lock = threading.Lock()
+    marks = _watermarks(spark, state, [f"{app}/{r['table_name']}" for r in rows if r["error"] is None])
 
     def run(row: dict) -> Outcome:
         table = row["table_name"]
         if row["error"] is not None:
             return Outcome(app, table, "files", INVALID, message=row["error"])
         try:
-            return _land_table(spark, row, state, state_path, state_lock, app, run_date, precision)
+            return _land_table(spark, row, marks[f"{app}/{table}"], state_path, state_lock, app,
+                               run_date, precision)
         except Exception as e:
             return Outcome(app, table, "files", FAILED, message=str(e)[:1000])
 
@@ -80,10 +88,9 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     return report_frame(spark, outcomes)
 
 
-def _land_table(spark, row, state, state_path, state_lock, app, run_date, precision) -> Outcome:
+def _land_table(spark, row, wm, state_path, state_lock, app, run_date, precision) -> Outcome:
     table = row["table_name"]
     source = f"{app}/{table}"
-    wm = _watermark(spark, state, source)
     manifest = _new_files(list_files(spark, row["source_dir"], pattern=row["pattern"]), wm, precision)
     summary = manifest.agg(F.count(F.lit(1)).alias("n"), F.max("modified").alias("hi")).first()
     if not summary["n"]:
