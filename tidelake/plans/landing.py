@@ -10,7 +10,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.operators.filters import files_newer_than, files_newer_than_minute, files_non_empty
+from tidelake.operators.filters import (
+    files_newer_than,
+    files_newer_than_minute,
+    files_non_empty,
+    files_with_prefix,
+)
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
 from tidelake.operators.routing import route_first_match
 from tidelake.operators.state import advance_watermarks, append_state, read_state, watermarks_with_default
@@ -70,15 +75,18 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     if mode == "consolidated":
         return _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision)
     state_lock = threading.Lock()
-    marks = _watermarks(spark, state, [f"{app}/{r['table_name']}" for r in rows if r["error"] is None])
+    valid = [r for r in rows if r["error"] is None]
+    marks = _watermarks(spark, state, [f"{app}/{r['table_name']}" for r in valid])
+    # one listing per source folder, shared by every control row reading from it
+    listings = {d: list_files(spark, d) for d in sorted({r["source_dir"] for r in valid})}
 
     def run(row: dict) -> Outcome:
         table = row["table_name"]
         if row["error"] is not None:
             return Outcome(app, table, "files", INVALID, message=row["error"])
         try:
-            return _land_table(spark, row, marks[f"{app}/{table}"], state_path, state_lock, app,
-                               run_date, precision)
+            return _land_table(spark, row, listings[row["source_dir"]], marks[f"{app}/{table}"],
+                               state_path, state_lock, app, run_date, precision)
         except Exception as e:
             return Outcome(app, table, "files", FAILED, message=str(e)[:1000])
 
@@ -88,10 +96,10 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     return report_frame(spark, outcomes)
 
 
-def _land_table(spark, row, wm, state_path, state_lock, app, run_date, precision) -> Outcome:
+def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date, precision) -> Outcome:
     table = row["table_name"]
     source = f"{app}/{table}"
-    manifest = _new_files(list_files(spark, row["source_dir"], pattern=row["pattern"]), wm, precision)
+    manifest = _new_files(files_with_prefix(listing, row["pattern"]), wm, precision)
     summary = manifest.agg(F.count(F.lit(1)).alias("n"), F.max("modified").alias("hi")).first()
     if not summary["n"]:
         return Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0)
