@@ -112,3 +112,21 @@ def test_large_member_split_into_byte_ranges(spark, tmp):
     assert split == whole
     assert [v for m, _, v in whole if m == "big.txt"] == lines
     assert [n for m, n, _ in whole if m == "big.txt"] == list(range(len(lines)))
+
+
+@pytest.mark.parametrize("read_bytes", [7, 64, 1 << 20])
+def test_member_line_batches_ranges_cover_every_line_once(monkeypatch, read_bytes):
+    import random
+    from tidelake.sources import archives
+    monkeypatch.setattr(archives, "READ_BYTES", read_bytes)
+    rnd = random.Random(read_bytes)
+    lines = ["é%d" % i + "z" * rnd.randint(0, 30) if rnd.random() > 0.1 else "" for i in range(400)]
+    body = "".join(l + ("\r\n" if rnd.random() < 0.3 else "\n") for l in lines).encode() + b"tail"
+    expected = list(enumerate(lines + ["tail"]))
+    for size in (50, 333, 5000, len(body) + 1):
+        got = []
+        for lo in range(0, len(body), size):
+            hi = lo + size if lo + size < len(body) else None
+            for first, batch in archives.member_line_batches(io.BytesIO(body), lo, hi):
+                got.extend(enumerate(batch, start=first))
+        assert got == expected

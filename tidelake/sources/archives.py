@@ -66,27 +66,25 @@ def _list_members(batches):
 READ_BYTES = 1 << 20
 
 
-def member_line_range(raw, start: int, end: int | None):
-    """Lines of a member stream whose first byte lies in ``[start, end)``.
-
-    Yields ``(line_no, text)`` with ``line_no`` counted from the member's first line.  Bytes
-    before ``start`` are inflated and only their line breaks counted (C-level
-    ``bytes.count``), so a member split into byte ranges gives every range its exact lines
-    and line numbers.  Lines end at LF; a CR before the LF is dropped.
+def member_line_batches(raw, start: int, end: int | None):
+    """Lines of a member stream whose first byte lies in ``[start, end)``, in blocks.
+
+    Yields ``(first_line_no, lines)`` with line numbers counted from the member's first
+    line.  Bytes before ``start`` are inflated and only their line breaks counted; blocks
+    lying wholly inside the range are split and decoded with single C-level calls, so
+    Python touches individual lines only at the two range borders.  A member split into
+    byte ranges thus gives every range exactly its own lines.  Lines end at LF; a CR
+    before the LF is dropped.
     """
     line_no = 0
-    carry = b""        # bytes of the line in progress
-    carry_at = 0       # offset of carry[0] in the member
+    carry, carry_at = b"", 0          # bytes of the line in progress and its offset
     while True:
         block = raw.read(READ_BYTES)
         if not block:
             break
-        data = carry + block
-        data_at = carry_at
-        # skip whole lines that start before ``start`` without a Python loop per line
-        if data_at < start:
-            limit = start - data_at            # bytes of data that lie before start
-            cut = data.rfind(b"\n", 0, min(limit, len(data)))
+        data, data_at = carry + block, carry_at
+        if data_at < start:                                  # skip lines starting before start
+            cut = data.rfind(b"\n", 0, min(start - data_at, len(data)))
             if cut >= 0:
                 line_no += data.count(b"\n", 0, cut + 1)
                 data, data_at = data[cut + 1:], data_at + cut + 1
@@ -95,16 +93,34 @@ def member_line_range(raw, start: int, end: int | None):
             carry, carry_at = data, data_at
             continue
         complete, carry, carry_at = data[:last_nl], data[last_nl + 1:], data_at + last_nl + 1
-        at = data_at
-        for line in complete.split(b"\n"):
+        parts = complete.split(b"\n")
+        if data_at >= start and (end is None or carry_at <= end):
+            yield line_no, _decode(parts)                    # whole block inside the range
+            line_no += len(parts)
+            continue
+        keep, first, at = [], None, data_at
+        for part in parts:                                   # border block
             if end is not None and at >= end:
+                if keep:
+                    yield first, _decode(keep)
                 return
             if at >= start:
-                yield line_no, line[:-1] if line.endswith(b"\r") else line
+                first = line_no if first is None else first
+                keep.append(part)
             line_no += 1
-            at += len(line) + 1
+            at += len(part) + 1
+        if keep:
+            yield first, _decode(keep)
     if carry and carry_at >= start and (end is None or carry_at < end):
-        yield line_no, carry[:-1] if carry.endswith(b"\r") else carry
+        yield line_no, _decode([carry])
+
+
+def _decode(parts: list) -> list:
+    joined = b"\n".join(parts)
+    text = joined.decode("utf-8", errors="replace").split("\n")
+    if b"\r" in joined:
+        text = [t[:-1] if t.endswith("\r") else t for t in text]
+    return text
 
 
 def _member_lines_fn(extra):
@@ -116,15 +132,11 @@ def _member_lines_fn(extra):
                         tags = {c: getattr(rec, c) for c in extra}
                         end = None if rec.range_end < 0 else int(rec.range_end)
                         with zf.open(rec.member) as raw:
-                            nos, buf = [], []
-                            for no, line in member_line_range(raw, int(rec.range_start), end):
-                                nos.append(no)
-                                buf.append(line.decode("utf-8", errors="replace"))
-                                if len(buf) >= BATCH_LINES:
-                                    yield _lines_frame(archive, rec.member, nos, buf, tags)
-                                    nos, buf = [], []
-                            if buf:
-                                yield _lines_frame(archive, rec.member, nos, buf, tags)
+                            for first, lines in member_line_batches(raw, int(rec.range_start), end):
+                                for i in range(0, len(lines), BATCH_LINES):
+                                    chunk = lines[i:i + BATCH_LINES]
+                                    nos = range(first + i, first + i + len(chunk))
+                                    yield _lines_frame(archive, rec.member, nos, chunk, tags)
     return run
 
 
