@@ -202,3 +202,21 @@ def test_read_increment_modes(spark):
     assert lm.count() == orders.where("o_orderdate >= '1998-01-01' and o_orderdate < '1999-01-01'").count()
     with pytest.raises(ValueError):
         read_increment(orders, "o_orderkey", "1", "merge")
+
+
+def test_pickup_archives_previous_batch(spark, tmp):
+    src, stage, arch, st = tmp + "/bucket", tmp + "/stage", tmp + "/archive", tmp + "/state"
+    os.makedirs(src)
+
+    def drop(name, t, text):
+        with open(f"{src}/{name}", "w") as f:
+            f.write(text)
+        os.utime(f"{src}/{name}", (t, t))
+    drop("a.txt", 1_700_000_000, "a1\na2\n")
+    pickup_files(spark, src, stage, st, archive_dir=arch).collect()
+    drop("b.txt", 1_700_000_100, "b1\n")
+    pickup_files(spark, src, stage, st, archive_dir=arch).collect()
+    assert sorted(r.value for r in spark.read.text(stage).collect()) == ["b1"]
+    assert sorted(r.value for r in spark.read.option("recursiveFileLookup", "true").text(arch).collect()) == ["a1", "a2"]
+    assert pickup_files(spark, src, stage, st, archive_dir=arch).first().status == "no_new_data"
+    assert sorted(r.value for r in spark.read.text(stage).collect()) == ["b1"]

@@ -113,4 +113,6 @@ select target_dir, case when error is null then mode0 end as mode, error from e"
                     "cast(null as bigint) as n_files, 2 * count(*) as n_rows from customer union all "
                     "select 'orders', 'ok', 1, null, count(*) from orders union all "
                     "select 'orders', 'no_new_data', 1, null, 0"),
+    "bucket_pickup_archive": ("select 5 as n_fields, cast(0 as bigint) as n_staged, count(*) as n_archived "
+                              "from customer union all select 4, count(*), 0 from supplier"),
 }

@@ -23,7 +23,7 @@ from tidelake.operators.validate import validate_file_control
 from tidelake.sinks.raw import write_lines
 from tidelake.sinks.tables import PARTITION, stamp_date, write_routed_lines
 from tidelake.sources.archives import zip_member_lines, zip_members
-from tidelake.session import local_frame
+from tidelake.session import local_frame, move_path
 from tidelake.sources.listing import _glob_escape, list_files
 
 
@@ -154,15 +154,23 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
 
 
 def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_path: str,
-                 source: str = "bucket", run_date=None) -> DataFrame:
+                 source: str = "bucket", run_date=None, archive_dir: str | None = None) -> DataFrame:
     """Bucket pickup: objects newer (to the second, strictly) than the stored stamp are
-    copied as lines into ``stage_dir/date_part=D``; the stamp advances to the newest one."""
+    copied as lines into ``stage_dir/date_part=D``; the stamp advances to the newest one.
+
+    With ``archive_dir``, the batch staged by the previous run is moved (one folder rename)
+    to ``archive_dir/batch-<time>`` before the new batch is written, so ``stage_dir`` holds
+    only the latest batch for the dependent load.  Nothing is moved when nothing is new.
+    """
     state = read_state(spark, state_path)
     wm = _watermark(spark, state, source)
     manifest = files_newer_than(list_files(spark, source_dir), wm)
     summary = manifest.agg(F.count(F.lit(1)).alias("n"), F.max("modified").alias("hi")).first()
     if not summary["n"]:
         return report_frame(spark, [Outcome(source, None, "pickup", NO_NEW_DATA, 0, 0)])
+    if archive_dir:
+        stamp = dt.datetime.now().strftime("%Y%m%d%H%M%S%f")
+        move_path(spark, stage_dir, f"{archive_dir.rstrip('/')}/batch-{stamp}")
     mtime = F.col("_metadata.file_modification_time")
     new_lines = (spark.read.text(source_dir)
                  .where((mtime > F.lit(wm)) & (mtime <= F.lit(summary["hi"]))).select("value"))

@@ -491,6 +491,23 @@ def bucket_pickup(spark, sf_dir):
     return read_raw(spark, stage, schema=ddl_of(cust)).drop("date_part")
 
 
+def bucket_pickup_archive(spark, sf_dir):
+    """Two drops (customer, then supplier); the second run archives the first batch."""
+    from tidelake.plans.landing import pickup_files
+    bucket, stage = scratch_path(spark, "bucket"), scratch_path(spark, "stage")
+    archive, st = scratch_path(spark, "archive"), scratch_path(spark, "state")
+    for name in ("customer", "supplier"):
+        write_raw(table(spark, sf_dir, name), f"{bucket}/{name}")
+        pickup_files(spark, f"{bucket}/*", stage, st, source="crm", run_date=RUN_DATE,
+                     archive_dir=archive).collect()
+    n_fields = F.size(split_exact("value")).alias("n_fields")
+    staged = spark.read.text(stage).select(n_fields, F.lit(1).alias("s"), F.lit(0).alias("a"))
+    archived = (spark.read.option("recursiveFileLookup", "true").text(archive)
+                .select(n_fields, F.lit(0).alias("s"), F.lit(1).alias("a")))
+    return (staged.unionByName(archived).groupBy("n_fields")
+            .agg(F.sum("s").cast("bigint").alias("n_staged"), F.sum("a").cast("bigint").alias("n_archived")))
+
+
 def incremental_lastmodified(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     target = scratch_path(spark, "lake-orders")
@@ -577,4 +594,5 @@ QUERIES = {
     "cleansed_replace_partition": cleansed_replace_partition,
     "raw_scan_csv_mode": raw_scan_csv_mode,
     "run_summary": run_summary,
+    "bucket_pickup_archive": bucket_pickup_archive,
 }

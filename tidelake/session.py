@@ -47,6 +47,21 @@ def sibling_staging(path: str) -> str:
     return f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
 
 
+def move_path(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename ``src`` to ``dst`` on the cluster file system (parents created); False when
+    ``src`` does not exist."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s.getFileSystem(conf)
+    if not fs.exists(s):
+        return False
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise OSError(f"cannot move {src} to {dst}")
+    return True
+
+
 def swap_into_place(spark: SparkSession, staging: str, target: str):
     """Replace ``target`` by the fully written ``staging`` folder with file-system renames
     (a metadata operation on HDFS-like stores), so readers never see a half-written table."""
