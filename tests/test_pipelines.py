@@ -220,3 +220,18 @@ def test_pickup_archives_previous_batch(spark, tmp):
     assert sorted(r.value for r in spark.read.option("recursiveFileLookup", "true").text(arch).collect()) == ["a1", "a2"]
     assert pickup_files(spark, src, stage, st, archive_dir=arch).first().status == "no_new_data"
     assert sorted(r.value for r in spark.read.text(stage).collect()) == ["b1"]
+
+
+def test_stream_raw_to_cleansed_runs(spark, tmp):
+    from tidelake.streaming.landing import stream_raw_to_cleansed
+    nation = table(spark, SF_SMALL, "nation")
+    raw, out, ckpt = tmp + "/raw", tmp + "/cleansed", tmp + "/ckpt"
+    write_raw(nation.where("n_regionkey < 2"), raw)
+    r1 = stream_raw_to_cleansed(spark, raw, out, ddl_of(nation), checkpoint=ckpt, run_date="2024-01-01")
+    write_raw(nation.where("n_regionkey >= 2"), raw)
+    r2 = stream_raw_to_cleansed(spark, raw, out, ddl_of(nation), checkpoint=ckpt, run_date="2024-01-02")
+    r3 = stream_raw_to_cleansed(spark, raw, out, ddl_of(nation), checkpoint=ckpt, run_date="2024-01-03")
+    assert (r1["rows"] + r2["rows"], r3["rows"]) == (25, 0)
+    got = spark.read.format("com.databricks.spark.avro").load(out)
+    assert got.drop("date_part").exceptAll(nation).count() == 0 and got.count() == 25
+    assert {r[0].isoformat() for r in got.select("date_part").distinct().collect()} == {"2024-01-01", "2024-01-02"}

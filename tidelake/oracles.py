@@ -115,4 +115,5 @@ select target_dir, case when error is null then mode0 end as mode, error from e"
                     "select 'orders', 'no_new_data', 1, null, 0"),
     "bucket_pickup_archive": ("select 5 as n_fields, cast(0 as bigint) as n_staged, count(*) as n_archived "
                               "from customer union all select 4, count(*), 0 from supplier"),
+    "stream_cleansed": "select *, date '2024-01-02' as date_part from orders",
 }

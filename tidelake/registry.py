@@ -385,6 +385,18 @@ def stream_landing(spark, sf_dir):
     return read_raw(spark, target, schema=ddl_of(cust)).drop("date_part")
 
 
+def stream_cleansed(spark, sf_dir):
+    """Raw -> cleansed as a stream over two raw drops of orders."""
+    from tidelake.streaming.landing import stream_raw_to_cleansed
+    orders = table(spark, sf_dir, "orders")
+    raw, out, ckpt = scratch_path(spark, "raw-orders"), scratch_path(spark, "cleansed"), scratch_path(spark, "ckpt")
+    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    for drop in (orders.where(~late | F.col("o_orderdate").isNull()), orders.where(late)):
+        write_raw(drop, raw)
+        stream_raw_to_cleansed(spark, raw, out, ddl_of(orders), checkpoint=ckpt, run_date=RUN_DATE)
+    return spark.read.format("com.databricks.spark.avro").load(out)
+
+
 def stream_landing_archive(spark, sf_dir):
     src, target = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-target")
     archive, ckpt = scratch_path(spark, "stream-archive"), scratch_path(spark, "stream-ckpt")
@@ -595,4 +607,5 @@ QUERIES = {
     "raw_scan_csv_mode": raw_scan_csv_mode,
     "run_summary": run_summary,
     "bucket_pickup_archive": bucket_pickup_archive,
+    "stream_cleansed": stream_cleansed,
 }

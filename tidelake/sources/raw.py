@@ -73,27 +73,30 @@ def read_raw(
         return _typed_date_part(reader.csv(path))
 
     lines = _typed_date_part(read_raw_lines(spark, path, **options))
-    part_cols = [c for c in lines.columns if c != "value"]
-    fields = split_exact("value", sep)
     if st is None:
-        first = lines.select(F.size(fields).alias("n")).where("n > 0").limit(1).collect()
+        first = (lines.select(F.size(split_exact("value", sep)).alias("n")).where("n > 0")
+                 .limit(1).collect())
         width = first[0]["n"] if first else 0
-        names = [f"_c{i}" for i in range(width)]
-        types = ["string"] * width
-    else:
-        names = [f.name for f in st.fields]
-        types = [f.dataType for f in st.fields]
+        st = StructType.fromDDL(", ".join(f"_c{i} string" for i in range(width))) if width else StructType()
+    return parse_raw_lines(lines, st, sep=sep, null_marker=null_marker)
+
 
+def parse_raw_lines(lines: DataFrame, schema, sep: str = BEL,
+                    null_marker: str | None = NULL_MARKER) -> DataFrame:
+    """Fields of raw lines (column ``value``) as typed columns; other columns (partition
+    columns) are kept.  Works on batch and streaming DataFrames alike."""
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    part_cols = [c for c in lines.columns if c != "value"]
     f = F.col("_f")
     cols = []
-    for i, (name, typ) in enumerate(zip(names, types)):
+    for i, fld in enumerate(st.fields):
         v = F.get(f, i)
         if null_marker is not None:
             v = F.when(v != F.lit(null_marker), v)
-        if typ != "string":
-            v = v.try_cast(typ)
-        cols.append(v.alias(name))
-    return lines.select(fields.alias("_f"), *part_cols).select(*cols, *part_cols)
+        if fld.dataType.simpleString() != "string":
+            v = v.try_cast(fld.dataType)
+        cols.append(v.alias(fld.name))
+    return lines.select(split_exact("value", sep).alias("_f"), *part_cols).select(*cols, *part_cols)
 
 
 def read_documents(spark: SparkSession, path) -> DataFrame:
