@@ -235,3 +235,22 @@ def test_stream_raw_to_cleansed_runs(spark, tmp):
     got = spark.read.format("com.databricks.spark.avro").load(out)
     assert got.drop("date_part").exceptAll(nation).count() == 0 and got.count() == 25
     assert {r[0].isoformat() for r in got.select("date_part").distinct().collect()} == {"2024-01-01", "2024-01-02"}
+
+
+def test_pickup_watermark_independent_of_session_time_zone(spark, tmp):
+    src, stage, st = tmp + "/bucket", tmp + "/stage", tmp + "/state"
+    os.makedirs(src)
+    with open(f"{src}/a.txt", "w") as f:
+        f.write("a\n")
+    os.utime(f"{src}/a.txt", (1_700_000_000, 1_700_000_000))
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert pickup_files(spark, src, stage, st).first().n_files == 1
+        with open(f"{src}/b.txt", "w") as f:
+            f.write("b\n")
+        os.utime(f"{src}/b.txt", (1_700_000_060, 1_700_000_060))
+        rep = pickup_files(spark, src, stage, st).first()
+        assert (rep.status, rep.n_files) == ("ok", 1)
+        assert pickup_files(spark, src, stage, st).first().status == "no_new_data"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

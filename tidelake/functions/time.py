@@ -39,8 +39,17 @@ def minute_cutoff(ts) -> Column:
 
 
 def watermark_literal(value, dtype: str = "timestamp_ntz") -> Column:
+    """A watermark as a literal of the manifest's timestamp type.
+
+    A Python ``datetime`` compared with a zoned ``timestamp`` is passed as is: PySpark turns
+    naive datetimes into instants with the same (system) zone it uses when collecting them,
+    so a watermark read back from the state table compares exactly whatever the session
+    time zone is.  For ``timestamp_ntz`` the wall-clock text is used (no zone involved).
+    """
     if isinstance(value, Column):
         return value.cast(dtype)
     if isinstance(value, dt.datetime):
+        if dtype == "timestamp":
+            return F.lit(value)
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(str(value)).cast(dtype)

@@ -28,7 +28,8 @@ def jdbc_source(spark: SparkSession, connections: dict) -> Source:
     def read(row: dict) -> DataFrame:
         opts = jdbc_options(row["db_name"], table=row["rdbms_table_name"], schema=row["schema_name"],
                             **connections.get(row["db_name"], {}))
-        return read_jdbc(spark, opts, split_by=row.get("split_by_col"),
+        # the where also bounds the split query; applying it again later is a no-op filter
+        return read_jdbc(spark, opts, where=row.get("where_clause"), split_by=row.get("split_by_col"),
                          num_partitions=row.get("num_mapper"), fetch_size=row.get("fetch_size"))
     return read
 
