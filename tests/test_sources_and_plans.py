@@ -37,7 +37,9 @@ def _zip(path, members):
 def test_zip_members_and_lines(spark, tmp):
     os.makedirs(tmp + "/src/sub")
     _zip(tmp + "/src/a.zip", {"cust_1.txt": "1\u0007x\n2\u0007y\n", "dir/supp_1.txt": "7\r\n8\r\n"})
-    _zip(tmp + "/src/sub/b.zip", {"cust_2.txt": "3\u0007z", "junk.txt": "q\n"})
+    _zip(tmp + "/src/sub/b c#1.zip", {"cust_2.txt": "3\u0007z", "junk.txt": "q\n"})
+    with open(tmp + "/src/readme.txt", "w") as f:  # not an archive: skipped
+        f.write("hello\n")
     archives = list_files(spark, tmp + "/src", recursive=True)
     members = zip_members(archives)
     assert members.count() == 4

@@ -52,7 +52,11 @@ def _list_members(batches):
     for pdf in batches:
         rows = []
         for archive in pdf["archive"]:
-            with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
+            with open_binary(archive) as fh:
+                if not zipfile.is_zipfile(fh):
+                    continue  # not an archive: nothing to unpack (as unzip would refuse it)
+                fh.seek(0)
+                zf = zipfile.ZipFile(fh)
                 for info in zf.infolist():
                     if not info.is_dir():
                         rows.append((archive, info.filename, info.file_size))
