@@ -66,3 +66,20 @@ def test_trailing_escaped_break_at_end_of_file(spark, tmp):
 def test_crlf_is_consumed_whole(spark):
     df = spark.createDataFrame([("x\\\r\ny",), ("x\\\ry",), ("x\\\ny",)], "v string")
     assert {r[0] for r in df.select(repair_escaped_breaks("v")).collect()} == {"x\\ y"}
+
+
+def test_record_spanning_several_whole_splits(spark, tmp):
+    os.makedirs(tmp + "/t")
+    pieces = [f"p{i}" + "q" * 50 for i in range(200)]          # ~10 KB, one record
+    big_in = "\\\n".join(pieces)
+    big_out = "\\ ".join(pieces)
+    with open(tmp + "/t/a.txt", "w") as f:
+        f.write("before\n" + big_in + "\nafter\\\nend\nlast\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = repair_escaped_lines(spark, tmp + "/t").orderBy("block_start", "line_seq").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.value for r in rows] == ["before", big_out, "after\\ end", "last"]
