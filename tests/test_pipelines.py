@@ -254,3 +254,20 @@ def test_pickup_watermark_independent_of_session_time_zone(spark, tmp):
         assert pickup_files(spark, src, stage, st).first().status == "no_new_data"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_catalog_partitions_follow_appends_and_snapshots(spark, tmp):
+    orders = table(spark, SF_SMALL, "orders")
+    app_ctrl = _table_control(spark, [("append", "oracle", "hive", "ORDERS", "TPCH", "tl_orders_app",
+                                       tmp + "/a", None, None, None, None, "o_orderkey", None)])
+    snap_ctrl = _table_control(spark, [("snapshot", "oracle", "hive", "ORDERS", "TPCH", "tl_orders_snap",
+                                        tmp + "/s", None, None, None, None, None, None)])
+    for day, src in (("2024-01-01", orders.where("o_orderkey <= 700")), ("2024-01-02", orders)):
+        for ctrl, st in ((app_ctrl, tmp + "/st_a"), (snap_ctrl, tmp + "/st_s")):
+            rep = ingest_tables(spark, ctrl, st, source=lambda row, s=src: s, run_date=day).collect()
+            assert rep[0].status == "ok"
+    parts = lambda t: sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect())
+    assert parts("tl_orders_app") == ["date_part=2024-01-01", "date_part=2024-01-02"]
+    assert spark.table("tl_orders_app").count() == orders.count()
+    assert parts("tl_orders_snap") == ["date_part=2024-01-02"]
+    assert spark.table("tl_orders_snap").count() == orders.count()

@@ -14,11 +14,11 @@ from tidelake.operators.increments import append_increment, increment_bounds, la
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
 from tidelake.operators.state import append_state, read_state, seed_from_state, utc_now
 from tidelake.operators.validate import validate_table_control
-from tidelake.session import local_frame, sibling_staging, swap_into_place
+from tidelake.session import local_frame, sibling_staging, swap_into_place, today
 from tidelake.sinks.raw import write_raw
 from tidelake.sinks.tables import PARTITION, stamp_date
 from tidelake.sources.relational import jdbc_options, read_jdbc
-from tidelake.sources.tables import register_raw_table
+from tidelake.sources.tables import register_raw_table, sync_partitions
 
 Source = Callable[[dict], DataFrame]
 
@@ -44,16 +44,20 @@ def _write(df: DataFrame, path: str, run_date, mode: str, fmt: str, obs: Observa
         out.write.mode(mode).format(fmt).partitionBy(PARTITION).save(path)
 
 
-def _register(spark, row, df: DataFrame, fmt: str):
-    if row.get("hive_normal") != "hive" or not row.get("hive_table_name"):
+def _register(spark, row, df: DataFrame, fmt: str, run_date, replaced: bool):
+    """``hive`` target: create the external catalog table on first load, then only add the
+    new partition (append) or re-sync partitions (snapshot)."""
+    name = row.get("hive_table_name")
+    if row.get("hive_normal") != "hive" or not name:
         return
-    if fmt == "raw":
+    if spark.catalog.tableExists(name):
+        sync_partitions(spark, name, run_date, replaced=replaced)
+    elif fmt == "raw":
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        register_raw_table(spark, row["hive_table_name"], row["target_dir"], ddl)
+        register_raw_table(spark, name, row["target_dir"], ddl)
     else:
-        spark.sql(f"DROP TABLE IF EXISTS {row['hive_table_name']}")
-        spark.catalog.createTable(row["hive_table_name"], path=row["target_dir"], source=fmt)
-        spark.sql(f"MSCK REPAIR TABLE {row['hive_table_name']}")
+        spark.catalog.createTable(name, path=row["target_dir"], source=fmt)
+        spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, source: Source,
@@ -71,6 +75,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
     each table's read and write run as Spark jobs, up to ``max_parallel`` at a time.
     """
     run_start = run_start or utc_now()
+    run_date = run_date or today(spark)  # one load date for every table of the run
     state = read_state(spark, state_path)
     key = F.concat(F.lit(app + "/"), F.col("rdbms_table_name"))
     rows = [r.asDict() for r in validate_table_control(seed_from_state(control, state, key)).collect()]
@@ -106,7 +111,7 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
         _write(df, dest, run_date, "overwrite", fmt, obs)
         if staging:
             swap_into_place(spark, dest, row["target_dir"])
-        _register(spark, row, df, fmt)
+        _register(spark, row, df, fmt, run_date, replaced=True)
         return Outcome(app, table, kind, OK, n_rows=obs.get["n"])
     check, last = row["check_column"], row.get("last_value")
     ctype = df.schema[check].dataType.simpleString()
@@ -128,7 +133,7 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
     n = obs.get["n"]
     if kind == "lastmodified" and n == 0:
         return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
-    _register(spark, row, df, fmt)
+    _register(spark, row, df, fmt, run_date, replaced=False)
     st = local_frame(spark, [(f"{app}/{table}", new_value, ctype)],
                      "source string, value string, value_type string")
     with state_lock:  # appends to one state folder must not overlap

@@ -23,7 +23,7 @@ from tidelake.operators.validate import validate_file_control
 from tidelake.sinks.raw import write_lines
 from tidelake.sinks.tables import PARTITION, stamp_date, write_routed_lines
 from tidelake.sources.archives import zip_member_lines, zip_members
-from tidelake.session import local_frame, move_path
+from tidelake.session import local_frame, move_path, today
 from tidelake.sources.listing import _glob_escape, list_files
 
 
@@ -69,6 +69,7 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     """
     if mode not in (None, "", "consolidated"):
         raise ValueError(f"mode must be None or 'consolidated', got {mode!r}")
+    run_date = run_date or today(spark)  # one load date for every table of the run
     state = read_state(spark, state_path)
     ctrl = validate_file_control(control)
     rows = [r.asDict() for r in ctrl.orderBy("control_file", "line_no").collect()]
@@ -162,6 +163,7 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
     to ``archive_dir/batch-<time>`` before the new batch is written, so ``stage_dir`` holds
     only the latest batch for the dependent load.  Nothing is moved when nothing is new.
     """
+    run_date = run_date or today(spark)
     state = read_state(spark, state_path)
     wm = _watermark(spark, state, source)
     manifest = files_newer_than(list_files(spark, source_dir), wm)

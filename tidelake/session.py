@@ -98,3 +98,11 @@ def local_frame(spark: SparkSession, rows, ddl: str):
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
                for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def today(spark: SparkSession) -> str:
+    """The session's current date (``YYYY-MM-DD``), fixed once so that every table of a run
+    is stamped with the same load date even when the run crosses midnight."""
+    from pyspark.sql import functions as F
+
+    return spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd")).first()[0]

@@ -40,6 +40,17 @@ def register_raw_table(spark: SparkSession, name: str, path: str, ddl: str,
         spark.sql(f"MSCK REPAIR TABLE {_q(name)}")
 
 
+def sync_partitions(spark: SparkSession, name: str, new_date=None, replaced: bool = False):
+    """Bring a partitioned catalog table up to date after a load: add just the new
+    ``date_part`` for an append, or re-sync all partitions (dropping vanished ones) after a
+    snapshot replaced the folder.  Avoids re-listing every partition on each append."""
+    if replaced or new_date is None:
+        spark.sql(f"MSCK REPAIR TABLE {_q(name)} SYNC PARTITIONS")
+    else:
+        spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS PARTITION (date_part = {_sql_str(str(new_date))})")
+    spark.catalog.refreshTable(name)  # drop cached file listings of the table
+
+
 def table_ddl(spark: SparkSession, name: str) -> DataFrame:
     """``SHOW CREATE TABLE`` as a one-row DataFrame (column ``createtab_stmt``)."""
     return spark.sql(f"SHOW CREATE TABLE {_q(name)}")
