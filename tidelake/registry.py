@@ -310,8 +310,7 @@ def zip_landing(spark, sf_dir):
              .unionByName(supp.select(F.lit("supplier").alias("table_name"), _raw_line(supp).alias("value"))))
     src = scratch_path(spark, "zip-src")
     target = scratch_path(spark, "zip-target")
-    n_archives = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
-    pack_zip_drops(lines, src, n_archives).collect()
+    pack_zip_drops(lines, src).collect()
     ctrl = _file_control(spark, [("customer_", "customer", src, target),
                                  ("supplier_", "supplier", src, target),
                                  ("cust", "other", src, target)])

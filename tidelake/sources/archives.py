@@ -218,12 +218,15 @@ def _pack_fn(out_dir: str, suffix: str, run_tag: str):
     return run
 
 
-def pack_zip_drops(lines: DataFrame, out_dir: str, num_archives: int, suffix: str = ".txt") -> DataFrame:
-    """Write ``(table_name, value)`` lines as zip drops: ``num_archives`` archives, each
-    holding one member per table (``<table>_<tag><suffix>``).  Returns the member list
+def pack_zip_drops(lines: DataFrame, out_dir: str, num_archives: int | None = None,
+                   suffix: str = ".txt") -> DataFrame:
+    """Write ``(table_name, value)`` lines as zip drops, each archive holding one member per
+    table (``<table>_<tag><suffix>``).  By default there is one archive per input partition,
+    so archive size follows the split size, not the data size.  Returns the member list
     ``(archive, member, n_lines)``; evaluating it writes the archives."""
     import uuid
 
-    spread = lines.select("table_name", "value").repartition(int(num_archives))
+    n = num_archives or lines.rdd.getNumPartitions()
+    spread = lines.select("table_name", "value").repartition(max(1, int(n)))
     return spread.mapInPandas(_pack_fn(out_dir, suffix, uuid.uuid4().hex[:8]),
                               "archive string, member string, n_lines bigint")
