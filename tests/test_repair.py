@@ -83,3 +83,21 @@ def test_record_spanning_several_whole_splits(spark, tmp):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [r.value for r in rows] == ["before", big_out, "after\\ end", "last"]
+
+
+def test_documents_repaired_exactly_over_many_small_splits(spark):
+    import duckdb
+    from tests.conftest import SF_ORACLE
+    from tidelake import registry as R
+    tmp = R._escaped_documents(spark, SF_ORACLE)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(32 * 1024))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(tmp).rdd.getNumPartitions() > 20
+        got = sorted((r.doc_id, r.text) for r in R._doc_fields(repair_escaped_lines(spark, tmp)).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = sorted(duckdb.sql("select doc_id, replace(text, chr(10), chr(92) || ' ') "
+                             f"from '{SF_ORACLE}/documents.parquet'").fetchall())
+    assert got == want
