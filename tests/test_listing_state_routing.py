@@ -94,10 +94,13 @@ def test_routing_broadcast_and_equi_join_paths_agree(spark):
     assert all_sig == 3
 
 
-def test_broadcast_path_plans_a_broadcast_join(spark):
+def test_routing_is_an_equi_join_never_a_nested_loop(spark):
     ctrl = spark.createDataFrame(ROUTES, "line_no int, pattern string, table_name string")
-    plan = routing.route_all_matches(_manifest(spark), ctrl)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" in plan
+    small = routing.route_all_matches(_manifest(spark), ctrl)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in small and "NestedLoop" not in small and "Cartesian" not in small
+    large = routing.route_all_matches(_manifest(spark), ctrl, broadcast_limit=0)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_seed_from_state_prefers_state(spark, tmp):

@@ -1,11 +1,13 @@
 """Prefix routing of files (or archive members) to tables.
 
 Control rows ``(line_no, pattern, table_name, ...)`` are matched against names with
-``name startsWith pattern``.  Control tables are configuration; when one is small (checked)
-it is broadcast and the match is a broadcast nested-loop join with the file list streaming
-through.  Above the limit the same match runs as an exact equi-join: every name is cut to
-each distinct pattern length and joined on ``prefix == pattern``, so no side is broadcast
-and no pair is produced that does not match.
+``name startsWith pattern``.  The match is an exact equi-join, not a nested loop: every name
+is cut to each distinct pattern length (a handful) and joined on
+``(prefix, length) == (pattern, length(pattern))``, so the work is names × distinct lengths
+instead of names × control rows, and no pair is produced that does not match.  Control
+tables are configuration; when one is small (row count checked) it is broadcast and the
+join is a broadcast hash join with the names streaming through; above the limit both sides
+are shuffled on the prefix (AQE splits a hot prefix).
 """
 
 from __future__ import annotations
@@ -18,12 +20,16 @@ BROADCAST_CONTROL_ROWS = 10_000
 
 def _matches(files: DataFrame, control: DataFrame, name_col: str, pattern_col: str,
              broadcast: bool) -> DataFrame:
-    if broadcast:
-        return files.join(F.broadcast(control), F.col(name_col).startswith(F.col(pattern_col)))
-    lengths = [r[0] for r in control.select(F.length(pattern_col).alias("n")).distinct().collect()]
+    # distinct pattern lengths: bounded by the longest pattern, collected to build the cut
+    lengths = sorted(r[0] for r in control.select(F.length(pattern_col).alias("n"))
+                     .where(F.col("n").isNotNull()).distinct().collect())
+    if not lengths:
+        return files.join(control, F.lit(False))
     cut = (files.withColumn("_plen", F.explode(F.array(*[F.lit(n) for n in lengths])))
            .withColumn("_prefix", F.expr(f"substring({name_col}, 1, _plen)")))
     ctrl = control.withColumn("_plen_c", F.length(pattern_col))
+    if broadcast:
+        ctrl = F.broadcast(ctrl)
     joined = cut.join(ctrl, (F.col("_prefix") == F.col(pattern_col)) &
                       (F.col("_plen") == F.col("_plen_c")))
     return joined.drop("_plen", "_prefix", "_plen_c")

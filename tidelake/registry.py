@@ -478,11 +478,13 @@ def repair_to_raw(spark, sf_dir):
 
 
 def route_first_match_equijoin(spark, sf_dir):
+    """First-match routing without a forced broadcast of the control rows (large-control path)."""
     m = manifest(spark, sf_dir).select("file_name")
     return routing.route_first_match(m, _routes(spark), broadcast_limit=0).select("file_name", "table_name")
 
 
 def route_all_matches_equijoin(spark, sf_dir):
+    """Every-match routing without a forced broadcast of the control rows (large-control path)."""
     m = manifest(spark, sf_dir).select("file_name")
     return routing.route_all_matches(m, _routes(spark), broadcast_limit=0).select("file_name", "table_name")
 
