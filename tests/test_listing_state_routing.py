@@ -135,3 +135,10 @@ def test_invalid_date_part_folder_stays_a_date_column(spark, tmp):
     assert dict(out.dtypes)["date_part"] == "date"
     got = sorted((r.date_part.isoformat() if r.date_part else "") for r in out.collect())
     assert got == ["", "2018-09-17"]
+
+
+def test_routing_with_no_usable_pattern_is_empty(spark):
+    ctrl = spark.createDataFrame([(1, None, "t")], "line_no int, pattern string, table_name string")
+    out = routing.route_all_matches(_manifest(spark), ctrl)
+    assert out.count() == 0 and "table_name" in out.columns
+    assert routing.route_first_match(_manifest(spark), ctrl).count() == 0

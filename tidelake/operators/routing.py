@@ -23,8 +23,9 @@ def _matches(files: DataFrame, control: DataFrame, name_col: str, pattern_col: s
     # distinct pattern lengths: bounded by the longest pattern, collected to build the cut
     lengths = sorted(r[0] for r in control.select(F.length(pattern_col).alias("n"))
                      .where(F.col("n").isNotNull()).distinct().collect())
-    if not lengths:
-        return files.join(control, F.lit(False))
+    if not lengths:  # no usable pattern: nothing matches (empty result, same columns)
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in control.schema.fields]
+        return files.where(F.lit(False)).select("*", *nulls)
     cut = (files.withColumn("_plen", F.explode(F.array(*[F.lit(n) for n in lengths])))
            .withColumn("_prefix", F.expr(f"substring({name_col}, 1, _plen)")))
     ctrl = control.withColumn("_plen_c", F.length(pattern_col))
