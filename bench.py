@@ -9,9 +9,11 @@ measures steady-state work at the target scale; the warm-up total is reported as
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -36,11 +38,40 @@ def lineitem_raw(spark, sf):
     return raw, ddl_of(li)
 
 
+def stage_volumes(log_dir: str) -> dict:
+    """Bytes read, shuffled and written per job group, from Spark's event log."""
+    groups, stage_group, out = {}, {}, {}
+    files = [p for p in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True) if os.path.isfile(p)]
+    for path in sorted(files):
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    g = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = g
+                elif kind == "SparkListenerTaskEnd":
+                    g = stage_group.get(ev.get("Stage ID"))
+                    m = ev.get("Task Metrics") or {}
+                    if g is None or not m:
+                        continue
+                    acc = out.setdefault(g, {"read_mb": 0.0, "shuffle_write_mb": 0.0, "written_mb": 0.0})
+                    acc["read_mb"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0) / 1e6
+                    acc["shuffle_write_mb"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0) / 1e6
+                    acc["written_mb"] += (m.get("Output Metrics") or {}).get("Bytes Written", 0) / 1e6
+    return {g: {k: round(v, 2) for k, v in acc.items()} for g, acc in out.items()}
+
+
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    log_dir = tempfile.mkdtemp(prefix="tidelake-bench-events-")
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("tidelake-bench")
              .config("spark.ui.enabled", "false")
+             .config("spark.eventLog.enabled", "true")
+             .config("spark.eventLog.dir", log_dir)
+             .config("spark.eventLog.compress", "false")
              .config("spark.sql.shuffle.partitions", str(int(cpus) * 2))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
@@ -57,18 +88,23 @@ def main():
     warmup = round(time.perf_counter() - t_warm, 3)
     times = {}
     raw, ddl = lineitem_raw(spark, sf)
+    spark.sparkContext.setJobGroup("lineitem_raw_to_cleansed", "bench")
     t0 = time.perf_counter()
     raw_to_cleansed(spark, raw, scratch_path(spark, "bench-cleansed"), run_date="2024-01-02", schema=ddl)
     times["lineitem_raw_to_cleansed"] = round(time.perf_counter() - t0, 3)
     for name, fn in runs.items():
+        spark.sparkContext.setJobGroup(name, "bench")
         t0 = time.perf_counter()
         fn(spark, sf).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    spark.sparkContext.setJobGroup("other", "bench")
     n_li = table(spark, sf, "lineitem").count()
     out = {"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
            "lineitem_rows_per_sec": round(n_li / times["lineitem_raw_to_cleansed"], 1),
            "warmup_sec_sf0.001": warmup}
+    spark.stop()  # flushes the event log
+    out["io_mb"] = {k: v for k, v in stage_volumes(log_dir).items() if k in times}
     print(json.dumps(out))
 
 
