@@ -32,9 +32,14 @@ def advance_watermarks(manifest: DataFrame, source, ts_col: str = "modified",
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """The state table, or None before the first run wrote one."""
+    from tidelake.session import path_exists
+
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException:  # folder without data files yet
         return None
 
 

@@ -47,6 +47,12 @@ def sibling_staging(path: str) -> str:
     return f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def move_path(spark: SparkSession, src: str, dst: str) -> bool:
     """Rename ``src`` to ``dst`` on the cluster file system (parents created); False when
     ``src`` does not exist."""
