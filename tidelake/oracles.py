@@ -116,4 +116,7 @@ select target_dir, case when error is null then mode0 end as mode, error from e"
     "bucket_pickup_archive": ("select 5 as n_fields, cast(0 as bigint) as n_staged, count(*) as n_archived "
                               "from customer union all select 4, count(*), 0 from supplier"),
     "stream_cleansed": "select *, date '2024-01-02' as date_part from orders",
+    "watermark_compacted": (f"select event_type as source, max(modified) as high_water, "
+                            f"arg_max(file_name, (modified, file_name)) as file_name from {M} group by 1"),
+    "gzip_landing_minute": "select *, date '2024-01-02' as date_part from customer",
 }

@@ -243,6 +243,17 @@ def watermark_default(spark, sf_dir):
     return state.watermarks_with_default(m, state.read_state(spark, st_path), source_col="event_type")
 
 
+def watermark_compacted(spark, sf_dir):
+    """Watermarks appended by three runs (earlier events first), then compacted."""
+    m = manifest(spark, sf_dir)
+    st_path = scratch_path(spark, "state")
+    for cut in ("1995-01-01", "2000-01-01", None):
+        part = m if cut is None else m.where(F.col("modified") < F.lit(cut).cast("timestamp_ntz"))
+        state.append_state(state.advance_watermarks(part, "event_type"), st_path)
+    compacted = state.compact_state(spark, st_path)
+    return state.current_watermarks(compacted).select("source", "high_water", "file_name")
+
+
 def watermark_parse(spark, sf_dir):
     line = F.concat_ws("|", compact_stamp("modified"), F.col("file_name"))
     return manifest(spark, sf_dir).select(before_first(line, "|").alias("stamp"))
@@ -293,6 +304,17 @@ def gzip_landing(spark, sf_dir):
     return read_raw(spark, f"{target}/customer", schema=ddl_of(cust))
 
 
+def gzip_landing_minute(spark, sf_dir):
+    """Per-table gzip landing with the minute-granular cut-off."""
+    cust = table(spark, sf_dir, "customer")
+    src, target = scratch_path(spark, "landing-src"), scratch_path(spark, "landing-target")
+    write_raw(cust, src, compression="gzip")
+    ctrl = _file_control(spark, [("part-", "customer", src, target)])
+    land_files(spark, ctrl, scratch_path(spark, "state"), app="crm", run_date=RUN_DATE,
+               precision="minute").collect()
+    return read_raw(spark, f"{target}/customer", schema=ddl_of(cust))
+
+
 def _raw_line(df: DataFrame):
     from tidelake.sources.raw import TIMESTAMP_TEXT
     return F.to_csv(F.struct(*df.columns), {"sep": BEL, "nullValue": "\\N", "emptyValue": "",
@@ -609,4 +631,6 @@ QUERIES = {
     "run_summary": run_summary,
     "bucket_pickup_archive": bucket_pickup_archive,
     "stream_cleansed": stream_cleansed,
+    "watermark_compacted": watermark_compacted,
+    "gzip_landing_minute": gzip_landing_minute,
 }
