@@ -271,3 +271,51 @@ def test_catalog_partitions_follow_appends_and_snapshots(spark, tmp):
     assert spark.table("tl_orders_app").count() == orders.count()
     assert parts("tl_orders_snap") == ["date_part=2024-01-02"]
     assert spark.table("tl_orders_snap").count() == orders.count()
+
+
+def _crash_once(monkeypatch, module, name):
+    real = getattr(module, name)
+    calls = {"n": 0}
+
+    def boom(*a, **k):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("driver died")
+        return real(*a, **k)
+    monkeypatch.setattr(module, name, boom)
+
+
+def test_append_rerun_after_crash_before_watermark_loads_once(spark, tmp, monkeypatch):
+    import tidelake.operators.state as state_mod
+    orders = table(spark, SF_SMALL, "orders")
+    target, st = tmp + "/orders", tmp + "/state"
+    ctrl = _orders_ctrl(spark, target)
+    _crash_once(monkeypatch, state_mod, "append_state")
+    rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
+    assert rep[0].status == "failed"
+    assert read_raw(spark, target, schema=ddl_of(orders)).count() == orders.count()  # data landed, uncommitted
+    rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
+    assert (rep[0].status, rep[0].n_rows) == ("ok", orders.count())
+    out = read_raw(spark, target, schema=ddl_of(orders))
+    assert out.count() == orders.count() and out.drop("date_part").exceptAll(orders).count() == 0
+
+
+def test_landing_rerun_after_crash_midway_through_commit_loads_once(spark, tmp, monkeypatch):
+    import tidelake.sinks.loads as loads_mod
+    cust = table(spark, SF_SMALL, "customer")
+    src, target, st = tmp + "/src", tmp + "/lake", tmp + "/state"
+    write_raw(cust.repartition(4), src, compression="gzip")
+    ctrl = _file_control(spark, [("part-", "customer", src, target)])
+    real = loads_mod.commit_files
+
+    def half(spark_, staging, target_, load_id, files):
+        real(spark_, staging, target_, load_id, files[:1])  # first file moved, then the driver dies
+        raise RuntimeError("driver died")
+    monkeypatch.setattr(loads_mod, "commit_files", half)
+    assert land_files(spark, ctrl, st, app="crm").collect()[0].status == "failed"
+    monkeypatch.setattr(loads_mod, "commit_files", real)
+    rep = land_files(spark, ctrl, st, app="crm").collect()[0]
+    assert (rep.status, rep.n_rows) == ("ok", cust.count())
+    out = read_raw(spark, target + "/customer", schema=ddl_of(cust))
+    assert out.count() == cust.count()
+    assert land_files(spark, ctrl, st, app="crm").collect()[0].status == "no_new_data"

@@ -2,7 +2,7 @@
 
 One append-only table (parquet at a path) replaces the watermark text files:
 ``source string, high_water <timestamp>, file_name string, value string,
-value_type string, run_ts timestamp``.  ``high_water``/``file_name`` serve file pickers,
+value_type string, run_ts timestamp, load_id string``.  ``high_water``/``file_name`` serve file pickers,
 ``value``/``value_type`` serve relational increments (the check column may be a number,
 date or timestamp).  Reads reduce to one row per source with partial aggregation, so a
 source with a long history is no hot group.
@@ -38,13 +38,17 @@ def read_state(spark: SparkSession, path: str) -> DataFrame | None:
     if not path_exists(spark, path):
         return None
     try:
-        return spark.read.parquet(path)
+        state = spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException:  # folder without data files yet
         return None
+    if "load_id" not in state.columns:  # written before loads carried an id
+        state = state.withColumn("load_id", F.lit(None).cast("string"))
+    return state
 
 
-def append_state(rows: DataFrame, path: str, run_ts=None):
-    """Append watermark rows; call only after the data they describe is committed."""
+def append_state(rows: DataFrame, path: str, run_ts=None, load_id: str | None = None):
+    """Append watermark rows; call only after the data they describe is committed.
+    ``load_id`` marks the staged load these rows commit (see :mod:`tidelake.sinks.loads`)."""
     ts = F.current_timestamp() if run_ts is None else F.lit(str(run_ts)).cast("timestamp")
     cols = {"high_water": None, "file_name": "string", "value": "string", "value_type": "string"}
     out = rows
@@ -52,7 +56,8 @@ def append_state(rows: DataFrame, path: str, run_ts=None):
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast(t or "timestamp"))
     (out.select("source", "high_water", "file_name", "value", "value_type")
-     .withColumn("run_ts", ts).write.mode("append").parquet(path))
+     .withColumn("run_ts", ts).withColumn("load_id", F.lit(load_id).cast("string"))
+     .coalesce(1).write.mode("append").parquet(path))
 
 
 def current_watermarks(state: DataFrame) -> DataFrame:
@@ -94,15 +99,17 @@ def seed_from_state(control: DataFrame, state: DataFrame | None, key, seed_col:
 
 
 def compact_state(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rewrite the state table as one row per source (its current watermark), replacing the
-    many small files that one append per run leaves behind.  Run it when no pipeline writes
-    to the same state table."""
+    """Rewrite the state table as one row per source (its current watermark and the id of
+    its latest committed load), replacing the many small files that one append per run
+    leaves behind.  Run it when no pipeline writes to the same state table."""
     from tidelake.session import sibling_staging, swap_into_place
 
     state = read_state(spark, path)
     if state is None:
         return None
-    last_run = state.groupBy("source").agg(F.max("run_ts").alias("run_ts"))
+    last_run = (state.groupBy("source")
+                .agg(F.max(F.struct("run_ts", "load_id")).alias("_r"))
+                .select("source", F.col("_r.run_ts").alias("run_ts"), F.col("_r.load_id").alias("load_id")))
     cur = current_watermarks(state).join(last_run, "source")
     staging = sibling_staging(path)
     cur.select(*state.columns).coalesce(1).write.parquet(staging)

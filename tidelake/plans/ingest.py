@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from tidelake.operators.increments import append_increment, increment_bounds, lastmodified_increment
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
-from tidelake.operators.state import append_state, read_state, seed_from_state, utc_now
+from tidelake.operators.state import read_state, seed_from_state, utc_now
 from tidelake.operators.validate import validate_table_control
 from tidelake.session import local_frame, sibling_staging, swap_into_place, today
+from tidelake.sinks.loads import append_exactly_once
 from tidelake.sinks.raw import write_raw
 from tidelake.sinks.tables import PARTITION, stamp_date
 from tidelake.sources.relational import jdbc_options, read_jdbc
@@ -128,14 +129,13 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
         lo = last if last is not None else "0001-01-01 00:00:00"
         inc = lastmodified_increment(df, check, lo, str(run_start))
         new_value = str(run_start)
-    # an empty increment writes no partition folder, so the target stays as it was
-    _write(inc, row["target_dir"], run_date, "append", fmt, obs)
-    n = obs.get["n"]
-    if kind == "lastmodified" and n == 0:
-        return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
-    _register(spark, row, df, fmt, run_date, replaced=False)
     st = local_frame(spark, [(f"{app}/{table}", new_value, ctype)],
                      "source string, value string, value_type string")
-    with state_lock:  # appends to one state folder must not overlap
-        append_state(st, state_path)
-    return Outcome(app, table, kind, OK, n_rows=n)
+    # staged, renamed into place and committed with the watermark: a rerun after a crash
+    # between data and watermark removes the uncommitted files instead of duplicating them
+    written = append_exactly_once(spark, lambda path: _write(inc, path, run_date, "append", fmt, obs),
+                                  row["target_dir"], f"{app}/{table}", state_path, st, state_lock)
+    if not written:  # an empty increment leaves target and watermark as they were
+        return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
+    _register(spark, row, df, fmt, run_date, replaced=False)
+    return Outcome(app, table, kind, OK, n_rows=obs.get["n"])

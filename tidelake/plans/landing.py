@@ -18,8 +18,9 @@ from tidelake.operators.filters import (
 )
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
 from tidelake.operators.routing import route_first_match
-from tidelake.operators.state import advance_watermarks, append_state, read_state, watermarks_with_default
+from tidelake.operators.state import advance_watermarks, read_state, watermarks_with_default
 from tidelake.operators.validate import validate_file_control
+from tidelake.sinks.loads import append_exactly_once
 from tidelake.sinks.raw import write_lines
 from tidelake.sinks.tables import PARTITION, stamp_date, write_routed_lines
 from tidelake.sources.archives import zip_member_lines, zip_members
@@ -113,10 +114,9 @@ def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date,
              .select("value"))
     obs = Observation(f"land_{table}_{uuid.uuid4().hex[:6]}")
     out = stamp_date(lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
-    write_lines(out, f"{row['target_dir'].rstrip('/')}/{table}", partition_by=PARTITION)
-    marks = advance_watermarks(manifest, F.lit(source))
-    with state_lock:
-        append_state(marks, state_path)
+    append_exactly_once(spark, lambda path: write_lines(out, path, partition_by=PARTITION),
+                        f"{row['target_dir'].rstrip('/')}/{table}", source, state_path,
+                        advance_watermarks(manifest, F.lit(source)), state_lock)
     return Outcome(app, table, "files", OK, n_files=summary["n"], n_rows=obs.get["n"])
 
 
@@ -144,11 +144,11 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
     lines = lines.observe(obs, *[F.sum(F.when(F.col("table_name") == t, 1).otherwise(0)).alias(f"t{i}")
                                  for i, t in enumerate(tables)])
     try:
-        write_routed_lines(lines, first["target_dir"], run_date)
+        append_exactly_once(spark, lambda path: write_routed_lines(lines, path, run_date),
+                            first["target_dir"], app, state_path, advance_watermarks(archives, F.lit(app)))
     except Exception as e:
         return report_frame(spark, [Outcome(app, t, "zip", FAILED, message=str(e)[:1000]) for t in tables])
     counts = obs.get
-    append_state(advance_watermarks(archives, F.lit(app)), state_path)
     return report_frame(spark, [Outcome(app, t, "zip", OK, n_files=per_table.get(t, 0),
                                         n_rows=counts.get(f"t{i}", 0) or 0)
                                 for i, t in enumerate(tables)])
@@ -178,6 +178,6 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
                  .where((mtime > F.lit(wm)) & (mtime <= F.lit(summary["hi"]))).select("value"))
     obs = Observation(f"pickup_{uuid.uuid4().hex[:6]}")
     lines = stamp_date(new_lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
-    write_lines(lines, stage_dir, partition_by=PARTITION)
-    append_state(advance_watermarks(manifest, F.lit(source)), state_path)
+    append_exactly_once(spark, lambda path: write_lines(lines, path, partition_by=PARTITION), stage_dir,
+                        source, state_path, advance_watermarks(manifest, F.lit(source)))
     return report_frame(spark, [Outcome(source, None, "pickup", OK, summary["n"], obs.get["n"])])
