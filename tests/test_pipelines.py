@@ -319,3 +319,19 @@ def test_landing_rerun_after_crash_midway_through_commit_loads_once(spark, tmp,
     out = read_raw(spark, target + "/customer", schema=ddl_of(cust))
     assert out.count() == cust.count()
     assert land_files(spark, ctrl, st, app="crm").collect()[0].status == "no_new_data"
+
+
+def test_compaction_keeps_commit_markers(spark, tmp):
+    from tidelake.operators.state import compact_state
+    from tidelake.sinks.loads import loads_path, pending_load
+    orders = table(spark, SF_SMALL, "orders")
+    target, st = tmp + "/orders", tmp + "/state"
+    ctrl = _orders_ctrl(spark, target)
+    for src in (orders.where("o_orderkey <= 700"), orders):
+        ingest_tables(spark, ctrl, st, source=lambda row, s=src: s, app="erp").collect()
+    compact_state(spark, st)
+    assert spark.read.parquet(loads_path(st)).count() == 1
+    assert pending_load(spark, st, "erp/ORDERS") is None
+    rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
+    assert rep[0].status == "no_new_data"
+    assert read_raw(spark, target, schema=ddl_of(orders)).count() == orders.count()

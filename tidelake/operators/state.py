@@ -114,8 +114,25 @@ def compact_state(spark: SparkSession, path: str) -> DataFrame | None:
     staging = sibling_staging(path)
     cur.select(*state.columns).coalesce(1).write.parquet(staging)
     swap_into_place(spark, staging, path)
+    _compact_loads(spark, path)
     return read_state(spark, path)
 
 
+def _compact_loads(spark: SparkSession, path: str):
+    """Keep only each source's latest load intent (all a pending check looks at)."""
+    from tidelake.session import path_exists, sibling_staging, swap_into_place
+    from tidelake.sinks.loads import loads_path
+
+    lp = loads_path(path)
+    if not path_exists(spark, lp):
+        return
+    loads = spark.read.parquet(lp)
+    latest = (loads.groupBy("source").agg(F.max(F.struct("run_ts", "load_id", "target", "dirs")).alias("l"))
+              .select("source", "l.load_id", "l.target", "l.dirs", "l.run_ts"))
+    staging = sibling_staging(lp)
+    latest.select(*loads.columns).coalesce(1).write.parquet(staging)
+    swap_into_place(spark, staging, lp)
+
+
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
