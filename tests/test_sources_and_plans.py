@@ -132,3 +132,55 @@ def test_member_line_batches_ranges_cover_every_line_once(monkeypatch, read_byte
             for first, batch in archives.member_line_batches(io.BytesIO(body), lo, hi):
                 got.extend(enumerate(batch, start=first))
         assert got == expected
+
+
+class _FakeReader:
+    """Records what a JDBC read would be configured with (no database needed)."""
+
+    def __init__(self, log, frame):
+        self.log, self.frame = log, frame
+
+    def format(self, f):
+        self.log["format"] = f
+        return self
+
+    def options(self, **o):
+        self.log.setdefault("options", {}).update(o)
+        return self
+
+    def option(self, k, v):
+        self.log.setdefault("options", {})[k] = v
+        return self
+
+    def load(self):
+        return self.frame
+
+
+class _FakeSpark:
+    def __init__(self, log, frame):
+        self.read = _FakeReader(log, frame)
+
+
+def test_read_jdbc_wires_split_fetch_and_where(spark):
+    from tidelake.sources.relational import read_jdbc
+    log = {}
+    frame = table(spark, SF_SMALL, "nation")
+    opts = jdbc_options("oracle", server="db", port=1521, sid="ORCL", schema="TPCH", table="NATION")
+    df = read_jdbc(_FakeSpark(log, frame), opts, where="n_regionkey = 1", split_by="n_nationkey",
+                   num_partitions=4, fetch_size=500, bounds=(0, 24))
+    o = log["options"]
+    assert log["format"] == "jdbc" and o["dbtable"] == "TPCH.NATION"
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("n_nationkey", "0", "24", "4")
+    assert o["fetchsize"] == "500" and o["preferTimestampNTZ"] == "true"
+    assert df.count() == frame.where("n_regionkey = 1").count()
+
+
+def test_split_bounds_query_uses_the_where(spark):
+    from tidelake.sources.relational import split_bounds
+    log = {}
+    frame = spark.createDataFrame([(3, 9)], "lo int, hi int")
+    opts = jdbc_options("sqlserver", server="db", port=1433, schema="TPCH", table="ORDERS")
+    assert split_bounds(_FakeSpark(log, frame), opts, "o_orderkey", "o_orderstatus = 'F'") == (3, 9)
+    assert log["options"]["query"] == ("SELECT MIN(o_orderkey) AS lo, MAX(o_orderkey) AS hi FROM ORDERS "
+                                       "WHERE o_orderstatus = 'F'")
+    assert "dbtable" not in log["options"]
