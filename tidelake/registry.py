@@ -39,10 +39,12 @@ ROUTES = [(1, "s", "s_tab"), (2, "sig", "sig_tab"), (3, "p", "p_tab")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables, read whole."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ddl_of(df: DataFrame) -> str:
+    """DDL string of a DataFrame's schema."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
@@ -67,11 +69,13 @@ def _raw_copy(spark, df: DataFrame, name: str, **kw) -> str:
 # ---------------------------------------------------------------- raw text format
 
 def raw_delimited_scan(spark, sf_dir):
+    """customer through the raw sink and the typed raw reader."""
     cust = table(spark, sf_dir, "customer")
     return read_raw(spark, _raw_copy(spark, cust, "raw-customer"), schema=ddl_of(cust))
 
 
 def raw_scan_untyped(spark, sf_dir):
+    """Raw reader without a schema: string columns _c0.._cN."""
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return read_raw(spark, _raw_copy(spark, cust, "raw-untyped"))
 
@@ -82,16 +86,19 @@ def _priority_nulls(spark, sf_dir):
 
 
 def null_marker_roundtrip(spark, sf_dir):
+    """NULLs written as \\N and read back as NULL."""
     df = _priority_nulls(spark, sf_dir)
     return read_raw(spark, _raw_copy(spark, df, "raw-nulls"), schema=ddl_of(df))
 
 
 def null_marker_literal(spark, sf_dir):
+    """null_marker=None keeps \\N as text, as a reader without the option does."""
     df = _priority_nulls(spark, sf_dir)
     return read_raw(spark, _raw_copy(spark, df, "raw-nulls"), schema=ddl_of(df), null_marker=None)
 
 
 def field_split_exact(spark, sf_dir):
+    """Empty vs NULL vs text and a trailing empty field survive the exact splitter."""
     cust = table(spark, sf_dir, "customer")
     v = (F.when(F.col("c_custkey") % 3 == 0, F.lit(""))
          .when(F.col("c_custkey") % 3 == 1, F.lit(None).cast("string"))
@@ -115,12 +122,14 @@ def _orders_raw_partition(spark, sf_dir):
 
 
 def raw_to_cleansed_query(spark, sf_dir):
+    """Raw partition -> typed -> date_part replaced -> Avro."""
     orders, root = _orders_raw_partition(spark, sf_dir)
     out = scratch_path(spark, "cleansed-orders")
     return raw_to_cleansed(spark, root, out, run_date=RUN_DATE, schema=ddl_of(orders))
 
 
 def cleansed_append_twice(spark, sf_dir):
+    """Two cleansed appends of the same load: UNION ALL semantics (K1, D8 default)."""
     orders, root = _orders_raw_partition(spark, sf_dir)
     out = scratch_path(spark, "cleansed-orders")
     raw_to_cleansed(spark, root, out, run_date=RUN_DATE, schema=ddl_of(orders))
@@ -128,6 +137,7 @@ def cleansed_append_twice(spark, sf_dir):
 
 
 def snapshot_replace(spark, sf_dir):
+    """Two snapshots: only the latest date_part remains (K4)."""
     orders = table(spark, sf_dir, "orders")
     target = scratch_path(spark, "snapshot-orders")
     replace_snapshot(orders, target, run_date=PREV_DATE)
@@ -136,6 +146,7 @@ def snapshot_replace(spark, sf_dir):
 
 
 def catalog_table_sink(spark, sf_dir):
+    """hive target: external catalog table read back."""
     cust = table(spark, sf_dir, "customer")
     name = f"tidelake_customer_{uuid.uuid4().hex[:8]}"
     write_catalog_table(cust, name, path=scratch_path(spark, "catalog-customer"), target="hive")
@@ -145,17 +156,20 @@ def catalog_table_sink(spark, sf_dir):
 # ---------------------------------------------------------------- relational increments
 
 def append_increment_query(spark, sf_dir):
+    """Rows above the last value up to the maximum at run start."""
     orders = table(spark, sf_dir, "orders")
     b = increment_bounds(orders, "o_orderkey", "10000")
     return append_increment(orders, "o_orderkey", "10000", b["hi"])
 
 
 def lastmodified_increment_query(spark, sf_dir):
+    """Rows changed in [last, run_start)."""
     orders = table(spark, sf_dir, "orders")
     return lastmodified_increment(orders, "o_orderdate", "1998-01-01 00:00:00", "1999-01-01 00:00:00")
 
 
 def source_where_pushdown(spark, sf_dir):
+    """Per-table where evaluated at the source (F2; PushedFilters)."""
     orders = table(spark, sf_dir, "orders")
     return orders.where("o_orderstatus = 'F' AND o_totalprice > 100000").select("o_orderkey", "o_custkey")
 
@@ -180,14 +194,17 @@ def _orders_ingest(spark, sf_dir, first_source):
 
 
 def incremental_append(spark, sf_dir):
+    """Control-driven append: first load, then the increment under a new date_part."""
     return _orders_ingest(spark, sf_dir, lambda o: o.where(F.col("o_orderkey") <= 10000))
 
 
 def incremental_no_new_rows(spark, sf_dir):
+    """Second append run with nothing new leaves the target untouched."""
     return _orders_ingest(spark, sf_dir, lambda o: o)
 
 
 def run_report(spark, sf_dir):
+    """Per-table run report of a four-row control table, one invalid."""
     srcs = {n: table(spark, sf_dir, n) for n in ("customer", "orders", "supplier")}
     root = scratch_path(spark, "lake")
     ctrl = _table_control(spark, [
@@ -208,34 +225,42 @@ def run_report(spark, sf_dir):
 # ---------------------------------------------------------------- listings and watermarks
 
 def file_listing(spark, sf_dir):
+    """Listing projection: name and compact stamp."""
     return manifest(spark, sf_dir).select("file_name", compact_stamp("modified").alias("stamp"))
 
 
 def files_newer_than(spark, sf_dir):
+    """Strictly newer than the watermark, second precision."""
     return filters.files_newer_than(manifest(spark, sf_dir), WATERMARK).select("file_name")
 
 
 def files_newer_than_minute(spark, sf_dir):
+    """Newer than the minute after the watermark."""
     return filters.files_newer_than_minute(manifest(spark, sf_dir), WATERMARK).select("file_name")
 
 
 def files_non_empty(spark, sf_dir):
+    """Non-empty files only."""
     return filters.files_non_empty(manifest(spark, sf_dir)).select("file_name")
 
 
 def file_prefix_filter(spark, sf_dir):
+    """Names starting with a prefix."""
     return filters.files_with_prefix(manifest(spark, sf_dir), "sig").select("file_name")
 
 
 def latest_file(spark, sf_dir):
+    """Newest file, ties to the greatest name."""
     return filters.latest_file(manifest(spark, sf_dir)).select("file_name")
 
 
 def watermark_advance(spark, sf_dir):
+    """Newest stamp and its file per source (K9, A3)."""
     return state.advance_watermarks(manifest(spark, sf_dir), "event_type")
 
 
 def watermark_default(spark, sf_dir):
+    """Stored watermark where present, default 2000-01-01 elsewhere."""
     m = manifest(spark, sf_dir)
     st_path = scratch_path(spark, "state")
     state.append_state(state.advance_watermarks(m.where(F.col("event_type") == "click"), "event_type"),
@@ -255,11 +280,13 @@ def watermark_compacted(spark, sf_dir):
 
 
 def watermark_parse(spark, sf_dir):
+    """Text before the first | of a stamp|name line."""
     line = F.concat_ws("|", compact_stamp("modified"), F.col("file_name"))
     return manifest(spark, sf_dir).select(before_first(line, "|").alias("stamp"))
 
 
 def watermark_seed_join(spark, sf_dir):
+    """Saved state wins over the control row's seed value."""
     cust = table(spark, sf_dir, "customer")
     st_path = scratch_path(spark, "state")
     seeded = cust.where(F.col("c_acctbal") > 0).select(
@@ -276,11 +303,13 @@ def _routes(spark):
 
 
 def route_first_match(spark, sf_dir):
+    """First matching control line routes each file."""
     m = manifest(spark, sf_dir).select("file_name")
     return routing.route_first_match(m, _routes(spark)).select("file_name", "table_name")
 
 
 def route_all_matches(spark, sf_dir):
+    """Every matching control line routes the file."""
     m = manifest(spark, sf_dir).select("file_name")
     return routing.route_all_matches(m, _routes(spark)).select("file_name", "table_name")
 
@@ -295,6 +324,7 @@ def _file_control(spark, rows) -> DataFrame:
 
 
 def gzip_landing(spark, sf_dir):
+    """Per-table landing of gzip drops under <target>/<table>/date_part."""
     cust = table(spark, sf_dir, "customer")
     src = scratch_path(spark, "landing-src")
     target = scratch_path(spark, "landing-target")
@@ -325,6 +355,7 @@ def _raw_line(df: DataFrame):
 
 
 def zip_landing(spark, sf_dir):
+    """Consolidated zip drop: members routed by first match, landed per table."""
     from tidelake.sources.archives import pack_zip_drops
 
     cust, supp = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
@@ -385,10 +416,12 @@ CONTROL_COLUMNS = ["table_type", "db_name", "hive_normal", "rdbms_table_name", "
 
 
 def control_table_scan(spark, sf_dir):
+    """Control file derived from customer, read back with quoting and blanks."""
     return read_control(spark, _control_file(spark, sf_dir), "tables").select(*CONTROL_COLUMNS)
 
 
 def control_validate(spark, sf_dir):
+    """Validation and mode dispatch over the derived control table."""
     ctrl = read_control(spark, _control_file(spark, sf_dir), "tables")
     return validate_table_control(ctrl).select("target_dir", "mode", "error")
 
@@ -396,6 +429,7 @@ def control_validate(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 def stream_landing(spark, sf_dir):
+    """File-source stream over two drops: each file once (G1)."""
     cust = table(spark, sf_dir, "customer")
     src, target = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-target")
     ckpt = scratch_path(spark, "stream-ckpt")
@@ -419,6 +453,7 @@ def stream_cleansed(spark, sf_dir):
 
 
 def stream_landing_archive(spark, sf_dir):
+    """Three stream runs with archive: files of committed batches archived (K8)."""
     src, target = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-target")
     archive, ckpt = scratch_path(spark, "stream-archive"), scratch_path(spark, "stream-ckpt")
     key = "spark.sql.streaming.fileSource.cleaner.numThreads"
@@ -453,21 +488,25 @@ def _registered_customer(spark, sf_dir) -> str:
 
 
 def table_query(spark, sf_dir):
+    """Projection + equality filter over an external raw table."""
     return query_table(spark, _registered_customer(spark, sf_dir), ["c_custkey"],
                        {"c_mktsegment": "FURNITURE"})
 
 
 def pipe_display(spark, sf_dir):
+    """Rows shown as |-joined lines, NULL as null."""
     t = query_table(spark, _registered_customer(spark, sf_dir))
     return display_lines(t.select("c_custkey", "c_name",
                                   F.nullif(F.col("c_mktsegment"), F.lit("FURNITURE")).alias("seg")))
 
 
 def table_preview(spark, sf_dir):
+    """limit 10 preview (T2, P2; rows only)."""
     return query_table(spark, _registered_customer(spark, sf_dir), limit=10)
 
 
 def table_ddl_query(spark, sf_dir):
+    """SHOW CREATE TABLE of the raw table (S17; rows only)."""
     return table_ddl(spark, _registered_customer(spark, sf_dir))
 
 
@@ -488,11 +527,13 @@ def _doc_fields(df: DataFrame) -> DataFrame:
 
 
 def whole_file_repair(spark, sf_dir):
+    """Whole-file scan and repair (S2, X1) on the escaped documents."""
     from tidelake.operators.repair import repair_documents
     return _doc_fields(repair_documents(spark, _escaped_documents(spark, sf_dir)))
 
 
 def repair_to_raw(spark, sf_dir):
+    """Repair written back as raw text and read again."""
     from tidelake.plans.cleansed import repair_raw
     raw = scratch_path(spark, "raw-documents")
     return _doc_fields(repair_raw(spark, _escaped_documents(spark, sf_dir), f"{raw}/date_part={RUN_DATE}")
@@ -512,11 +553,13 @@ def route_all_matches_equijoin(spark, sf_dir):
 
 
 def bucket_listing_line(spark, sf_dir):
+    """stamp|name listing lines."""
     from tidelake.sources.listing import listing_line
     return listing_line(manifest(spark, sf_dir))
 
 
 def bucket_pickup(spark, sf_dir):
+    """Bucket pickup over real files; a second run finds nothing new."""
     from tidelake.plans.landing import pickup_files
     cust = table(spark, sf_dir, "customer")
     bucket, stage, st = scratch_path(spark, "bucket"), scratch_path(spark, "stage"), scratch_path(spark, "state")
@@ -544,6 +587,7 @@ def bucket_pickup_archive(spark, sf_dir):
 
 
 def incremental_lastmodified(spark, sf_dir):
+    """Control-driven lastmodified import."""
     orders = table(spark, sf_dir, "orders")
     target = scratch_path(spark, "lake-orders")
     ctrl = _table_control(spark, [("lastmodified", "oracle", "normal", "ORDERS", "TPCH", None, target, None,
@@ -554,6 +598,7 @@ def incremental_lastmodified(spark, sf_dir):
 
 
 def cleansed_replace_partition(spark, sf_dir):
+    """Cleansed load run twice with partition replace: no duplicates (D8 option)."""
     orders, root = _orders_raw_partition(spark, sf_dir)
     out = scratch_path(spark, "cleansed-orders")
     raw_to_cleansed(spark, root, out, run_date=RUN_DATE, schema=ddl_of(orders), mode="replace_partition")
@@ -561,11 +606,13 @@ def cleansed_replace_partition(spark, sf_dir):
 
 
 def raw_scan_csv_mode(spark, sf_dir):
+    """Raw reader on Spark's CSV source (exact=False)."""
     cust = table(spark, sf_dir, "customer")
     return read_raw(spark, _raw_copy(spark, cust, "raw-customer"), schema=ddl_of(cust), exact=False)
 
 
 def run_summary(spark, sf_dir):
+    """Run report of two runs summarised per table and status (A4)."""
     from tidelake.operators.report import summarize
     srcs = {n: table(spark, sf_dir, n) for n in ("customer", "orders")}
     root, st = scratch_path(spark, "lake"), scratch_path(spark, "state")
