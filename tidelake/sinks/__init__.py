@@ -1,6 +1,7 @@
 """Sinks: raw delimited text, cleansed Avro, snapshot / append / partition-replace writes,
 multi-table landing and catalog tables."""
 
+from tidelake.sinks.loads import append_exactly_once
 from tidelake.sinks.raw import write_lines, write_raw
 from tidelake.sinks.tables import (
     AVRO,
@@ -11,5 +12,5 @@ from tidelake.sinks.tables import (
     write_routed_lines,
 )
 
-__all__ = ["write_lines", "write_raw", "AVRO", "append_partition", "replace_snapshot",
+__all__ = ["append_exactly_once", "write_lines", "write_raw", "AVRO", "append_partition", "replace_snapshot",
            "write_catalog_table", "write_cleansed", "write_routed_lines"]
