@@ -142,3 +142,11 @@ def test_routing_with_no_usable_pattern_is_empty(spark):
     out = routing.route_all_matches(_manifest(spark), ctrl)
     assert out.count() == 0 and "table_name" in out.columns
     assert routing.route_first_match(_manifest(spark), ctrl).count() == 0
+
+
+def test_listing_modified_after_option(spark, tmp):
+    d, base = _files(tmp)
+    wm = base.replace(tzinfo=dt.timezone.utc) + dt.timedelta(minutes=2, microseconds=5)
+    wm_session = wm.replace(tzinfo=None)  # session time zone is UTC in tests
+    names = sorted(r.file_name for r in list_files(spark, d, modified_after=wm_session).collect())
+    assert names == ["sales_1.txt"]

@@ -29,7 +29,10 @@ def list_files(spark: SparkSession, path, pattern: str | None = None,
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if modified_after is not None:
-        reader = reader.option("modifiedAfter", str(modified_after).replace(" ", "T"))
+        # the option takes whole seconds, read in the session time zone
+        text = (modified_after.strftime("%Y-%m-%dT%H:%M:%S") if hasattr(modified_after, "strftime")
+                else str(modified_after).replace(" ", "T")[:19])
+        reader = reader.option("modifiedAfter", text)
     df = reader.load(path)
     return df.select(
         F.col("path"),
