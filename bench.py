@@ -5,6 +5,8 @@ Each query is run to completion (results go to Spark's no-op sink); times includ
 writes of the lake layers the query goes through.  Every query is first run once on the
 sf0.001 tables (JVM class loading, code generation, Python workers), so the timed run
 measures steady-state work at the target scale; the warm-up total is reported as well.
+Each query is timed ``BENCH_REPEATS`` times (default 2) and the best run is reported; byte
+volumes (``io_mb``) come from the first timed run's entries in Spark's event log.
 """
 
 from __future__ import annotations
@@ -88,21 +90,25 @@ def main():
     warmup = round(time.perf_counter() - t_warm, 3)
     times = {}
     raw, ddl = lineitem_raw(spark, sf)
-    spark.sparkContext.setJobGroup("lineitem_raw_to_cleansed", "bench")
-    t0 = time.perf_counter()
-    raw_to_cleansed(spark, raw, scratch_path(spark, "bench-cleansed"), run_date="2024-01-02", schema=ddl)
-    times["lineitem_raw_to_cleansed"] = round(time.perf_counter() - t0, 3)
-    for name, fn in runs.items():
-        spark.sparkContext.setJobGroup(name, "bench")
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    for rep in range(repeats):  # best of ``repeats``: the host's run-to-run noise is large
+        spark.sparkContext.setJobGroup("lineitem_raw_to_cleansed" if rep == 0 else "repeat", "bench")
         t0 = time.perf_counter()
-        fn(spark, sf).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        raw_to_cleansed(spark, raw, scratch_path(spark, "bench-cleansed"), run_date="2024-01-02", schema=ddl)
+        t = round(time.perf_counter() - t0, 3)
+        times["lineitem_raw_to_cleansed"] = min(t, times.get("lineitem_raw_to_cleansed", t))
+        for name, fn in runs.items():
+            spark.sparkContext.setJobGroup(name if rep == 0 else "repeat", "bench")
+            t0 = time.perf_counter()
+            fn(spark, sf).write.format("noop").mode("overwrite").save()
+            t = round(time.perf_counter() - t0, 3)
+            times[name] = min(t, times.get(name, t))
     spark.sparkContext.setJobGroup("other", "bench")
     n_li = table(spark, sf, "lineitem").count()
     out = {"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": os.path.basename(sf.rstrip("/")).replace("sf", ""),
            "lineitem_rows_per_sec": round(n_li / times["lineitem_raw_to_cleansed"], 1),
-           "warmup_sec_sf0.001": warmup}
+           "warmup_sec_sf0.001": warmup, "repeats": repeats}
     spark.stop()  # flushes the event log
     out["io_mb"] = {k: v for k, v in stage_volumes(log_dir).items() if k in times}
     print(json.dumps(out))
