@@ -335,3 +335,16 @@ def test_compaction_keeps_commit_markers(spark, tmp):
     rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
     assert rep[0].status == "no_new_data"
     assert read_raw(spark, target, schema=ddl_of(orders)).count() == orders.count()
+
+
+def test_stream_land_continuous_mode_returns_running_query(spark, tmp):
+    src, target = tmp + "/src", tmp + "/lake"
+    os.makedirs(src)
+    with open(src + "/a.txt", "w") as f:
+        f.write("x\ny\n")
+    q = stream_land(spark, src, target, checkpoint=tmp + "/ckpt", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.text(target).count() == 2

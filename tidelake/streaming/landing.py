@@ -3,8 +3,9 @@
 The file source remembers every file it has processed in the checkpoint, so a run picks up
 exactly the files not seen before (late files included, unlike a timestamp watermark) and
 the file sink commits each micro-batch once; a rerun after a failure resumes from the
-checkpoint.  ``availableNow`` processes what is there and stops, which is how a scheduled
-pickup runs.  With ``archive_dir`` the source moves the files of a committed batch there
+checkpoint.  ``availableNow`` (default) processes what is there and stops, which is how a
+scheduled pickup runs; ``processing_time="1 minute"`` keeps the query running and returns
+its handle (``run_date`` left empty then stamps each micro-batch with its own day).  With ``archive_dir`` the source moves the files of a committed batch there
 (the batch before the current one), like the source system's archive step.
 """
 
@@ -17,12 +18,29 @@ from tidelake.functions.time import run_date_col
 from tidelake.session import scratch_path
 
 
+def _run(writer, target: str, processing_time: str | None, timeout_s: float | None = None):
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start(target)
+    q = writer.trigger(availableNow=True).start(target)
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    progress = q.recentProgress
+    return {"batches": len([p for p in progress if p["numInputRows"] > 0]),
+            "rows": int(sum(p["numInputRows"] for p in progress))}
+
+
 def stream_land(spark: SparkSession, source_dir: str, target_dir: str,
                 checkpoint: str | None = None, archive_dir: str | None = None,
                 run_date=None, max_files_per_trigger: int | None = None,
-                timeout_s: float | None = None) -> dict:
+                timeout_s: float | None = None, processing_time: str | None = None):
     """Land new lines of ``source_dir`` into ``target_dir/date_part=D`` (text); returns
-    ``{"batches": n, "rows": n}`` for this run."""
+    ``{"batches": n, "rows": n}`` for this run, or the running query with
+    ``processing_time``."""
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
     reader = spark.readStream.format("text")
     if archive_dir:
@@ -30,24 +48,15 @@ def stream_land(spark: SparkSession, source_dir: str, target_dir: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     lines = reader.load(source_dir).withColumn("date_part", run_date_col(run_date))
-    q = (lines.writeStream.format("text").partitionBy("date_part")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target_dir))
-    if timeout_s is None:
-        q.awaitTermination()
-    else:
-        q.awaitTermination(timeout_s)
-        q.stop()
-    progress = q.recentProgress
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return {"batches": len([p for p in progress if p["numInputRows"] > 0]),
-            "rows": int(sum(p["numInputRows"] for p in progress))}
+    writer = (lines.writeStream.format("text").partitionBy("date_part")
+              .option("checkpointLocation", checkpoint))
+    return _run(writer, target_dir, processing_time, timeout_s)
 
 
 def stream_raw_to_cleansed(spark: SparkSession, raw_dir: str, cleansed_dir: str, schema,
                            checkpoint: str | None = None, run_date=None, sep: str = "\u0007",
                            null_marker: str | None = "\\N", fmt: str = "com.databricks.spark.avro",
-                           max_files_per_trigger: int | None = None) -> dict:
+                           max_files_per_trigger: int | None = None, processing_time: str | None = None):
     """Raw -> cleansed as a stream: new raw files are parsed with the batch reader's rules,
     stamped with ``date_part`` and appended to a date-partitioned Avro table by the file sink
     (exactly once per file via the checkpoint and the sink log).  Readers of ``cleansed_dir``
@@ -60,11 +69,5 @@ def stream_raw_to_cleansed(spark: SparkSession, raw_dir: str, cleansed_dir: str,
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     parsed = parse_raw_lines(reader.load(raw_dir).select("value"), schema, sep=sep, null_marker=null_marker)
     out = parsed.withColumn("date_part", run_date_col(run_date))
-    q = (out.writeStream.format(fmt).partitionBy("date_part").option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(cleansed_dir))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    progress = q.recentProgress
-    return {"batches": len([p for p in progress if p["numInputRows"] > 0]),
-            "rows": int(sum(p["numInputRows"] for p in progress))}
+    writer = out.writeStream.format(fmt).partitionBy("date_part").option("checkpointLocation", checkpoint)
+    return _run(writer, cleansed_dir, processing_time)
