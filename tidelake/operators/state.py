@@ -38,7 +38,7 @@ def read_state(spark: SparkSession, path: str) -> DataFrame | None:
     if not path_exists(spark, path):
         return None
     try:
-        state = spark.read.option("mergeSchema", "true").parquet(path)
+        state = spark.read.parquet(path)
     except AnalysisException:  # folder without data files yet
         return None
     if "load_id" not in state.columns:  # written before loads carried an id

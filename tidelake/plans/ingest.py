@@ -89,7 +89,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
         kind = (row.get("table_type") or "snapshot").strip().lower()
         try:
             return _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
-                               run_start, fmt, staging)
+                               run_start, fmt, staging, state)
         except Exception as e:  # reported per table; the others still run
             return Outcome(app, table, kind, FAILED, message=str(e)[:1000])
 
@@ -101,7 +101,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
 
 
 def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, run_start, fmt,
-                staging) -> Outcome:
+                staging, state=None) -> Outcome:
     table = row.get("rdbms_table_name")
     df = source(row)
     if row.get("where_clause"):
@@ -134,7 +134,8 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
     # staged, renamed into place and committed with the watermark: a rerun after a crash
     # between data and watermark removes the uncommitted files instead of duplicating them
     written = append_exactly_once(spark, lambda path: _write(inc, path, run_date, "append", fmt, obs),
-                                  row["target_dir"], f"{app}/{table}", state_path, st, state_lock)
+                                  row["target_dir"], f"{app}/{table}", state_path, st, state_lock,
+                                  state=state)
     if not written:  # an empty increment leaves target and watermark as they were
         return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
     _register(spark, row, df, fmt, run_date, replaced=False)

@@ -88,7 +88,7 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
             return Outcome(app, table, "files", INVALID, message=row["error"])
         try:
             return _land_table(spark, row, listings[row["source_dir"]], marks[f"{app}/{table}"],
-                               state_path, state_lock, app, run_date, precision)
+                               state_path, state_lock, app, run_date, precision, state)
         except Exception as e:
             return Outcome(app, table, "files", FAILED, message=str(e)[:1000])
 
@@ -98,7 +98,8 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     return report_frame(spark, outcomes)
 
 
-def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date, precision) -> Outcome:
+def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date, precision,
+                state=None) -> Outcome:
     table = row["table_name"]
     source = f"{app}/{table}"
     manifest = _new_files(files_with_prefix(listing, row["pattern"]), wm, precision)
@@ -116,7 +117,7 @@ def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date,
     out = stamp_date(lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
     append_exactly_once(spark, lambda path: write_lines(out, path, partition_by=PARTITION),
                         f"{row['target_dir'].rstrip('/')}/{table}", source, state_path,
-                        advance_watermarks(manifest, F.lit(source)), state_lock)
+                        advance_watermarks(manifest, F.lit(source)), state_lock, state=state)
     return Outcome(app, table, "files", OK, n_files=summary["n"], n_rows=obs.get["n"])
 
 

@@ -85,8 +85,9 @@ def clean_load(spark: SparkSession, target: str, load_id: str, dirs) -> int:
     return removed
 
 
-def pending_load(spark: SparkSession, state_path: str, source: str):
-    """The source's latest intent if no state row commits it, else None."""
+def pending_load(spark: SparkSession, state_path: str, source: str, state: DataFrame | None = None):
+    """The source's latest intent if no state row commits it, else None (``state``: the
+    state table if the caller has it open already)."""
     from tidelake.operators.state import read_state
     from tidelake.session import path_exists
 
@@ -97,14 +98,15 @@ def pending_load(spark: SparkSession, state_path: str, source: str):
             .agg(F.max(F.struct("run_ts", "load_id", "target", "dirs")).alias("l")).first()["l"])
     if last is None:
         return None
-    state = read_state(spark, state_path)
+    state = state if state is not None else read_state(spark, state_path)
     if state is not None and state.where(F.col("load_id") == last["load_id"]).limit(1).count():
         return None
     return last
 
 
 def append_exactly_once(spark: SparkSession, write: Callable[[str], None], target: str, source: str,
-                        state_path: str, state_rows: DataFrame, lock=None) -> bool:
+                        state_path: str, state_rows: DataFrame, lock=None,
+                        state: DataFrame | None = None) -> bool:
     """Run ``write(staging_folder)`` and commit it into ``target`` together with
     ``state_rows``; returns False (and commits nothing) when the load wrote no file."""
     from contextlib import nullcontext
@@ -112,7 +114,7 @@ def append_exactly_once(spark: SparkSession, write: Callable[[str], None], targe
     from tidelake.operators.state import append_state
 
     guard = lock or nullcontext()
-    pend = pending_load(spark, state_path, source)
+    pend = pending_load(spark, state_path, source, state)
     if pend is not None:
         clean_load(spark, pend["target"], pend["load_id"], pend["dirs"])
     staging = sibling_staging(target)
