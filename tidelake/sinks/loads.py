@@ -94,14 +94,15 @@ def pending_load(spark: SparkSession, state_path: str, source: str, state: DataF
     lp = loads_path(state_path)
     if not path_exists(spark, lp):
         return None
-    last = (spark.read.parquet(lp).where(F.col("source") == source)
-            .agg(F.max(F.struct("run_ts", "load_id", "target", "dirs")).alias("l")).first()["l"])
-    if last is None:
-        return None
+    latest = (spark.read.parquet(lp).where(F.col("source") == source)
+              .agg(F.max(F.struct("run_ts", "load_id", "target", "dirs")).alias("l"))
+              .select("l.*").where(F.col("load_id").isNotNull()))
     state = state if state is not None else read_state(spark, state_path)
-    if state is not None and state.where(F.col("load_id") == last["load_id"]).limit(1).count():
-        return None
-    return last
+    if state is not None:  # one query: the latest intent unless a state row commits it
+        committed = state.where(F.col("source") == source).select("load_id").where(F.col("load_id").isNotNull())
+        latest = latest.join(committed, "load_id", "left_anti")
+    rows = latest.collect()
+    return rows[0] if rows else None
 
 
 def append_exactly_once(spark: SparkSession, write: Callable[[str], None], target: str, source: str,
