@@ -348,3 +348,49 @@ def test_stream_land_continuous_mode_returns_running_query(spark, tmp):
     finally:
         q.stop()
     assert spark.read.text(target).count() == 2
+
+
+class _RecordingJdbc:
+    """Stands in for ``spark`` inside ``jdbc_source``: records each JDBC read's options and
+    returns a fixed table instead of querying a database."""
+
+    def __init__(self, frame):
+        self.frame, self.loads = frame, []
+
+    @property
+    def read(self):
+        outer, opts = self, {}
+
+        class R:
+            def format(self, f):
+                return self
+
+            def options(self, **o):
+                opts.update(o)
+                return self
+
+            def option(self, k, v):
+                opts[k] = v
+                return self
+
+            def load(self):
+                outer.loads.append(dict(opts))
+                return outer.frame
+        return R()
+
+
+def test_jdbc_increment_splits_over_the_increment_range(spark, tmp):
+    from tidelake.plans.ingest import jdbc_source
+    orders = table(spark, SF_SMALL, "orders")
+    fake = _RecordingJdbc(orders)
+    ctrl = _table_control(spark, [("append", "oracle", "normal", "ORDERS", "TPCH", None, tmp + "/o", None,
+                                   "o_orderkey", 1000, 4, "o_orderkey", "700")])
+    rep = ingest_tables(spark, ctrl, tmp + "/st", app="erp",
+                        source=jdbc_source(fake, {"oracle": {"server": "db", "port": 1521, "sid": "X"}})).collect()
+    want = orders.where("o_orderkey > 700")
+    assert (rep[0].status, rep[0].n_rows) == ("ok", want.count())
+    first, second = fake.loads
+    assert "partitionColumn" not in first and first["fetchsize"] == "1000"
+    lo, hi = want.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    assert (second["partitionColumn"], second["lowerBound"], second["upperBound"], second["numPartitions"]) == \
+        ("o_orderkey", str(lo), str(hi), "4")

@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.operators.increments import append_increment, increment_bounds, lastmodified_increment
+from tidelake.operators.increments import append_increment, lastmodified_increment
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
 from tidelake.operators.state import read_state, seed_from_state, utc_now
 from tidelake.operators.validate import validate_table_control
@@ -25,13 +25,23 @@ Source = Callable[[dict], DataFrame]
 
 
 def jdbc_source(spark: SparkSession, connections: dict) -> Source:
-    """Source factory over JDBC; ``connections[vendor]`` holds server/port/sid/user/password."""
+    """Source factory over JDBC; ``connections[vendor]`` holds server/port/sid/user/password.
+
+    Snapshots split on ``split_by_col`` with bounds from a MIN/MAX query over the table.  An
+    increment covers only part of the key range, so whole-table bounds would put nearly all
+    of it into the last split: increments are first read without splitting for one
+    aggregate (append bound and split range of the increment), then read again split over
+    ``row["split_bounds"]``.
+    """
     def read(row: dict) -> DataFrame:
         opts = jdbc_options(row["db_name"], table=row["rdbms_table_name"], schema=row["schema_name"],
                             **connections.get(row["db_name"], {}))
+        bounds = row.get("split_bounds")
+        split = row.get("split_by_col") if bounds is not None or row.get("mode") != "incremental" else None
         # the where also bounds the split query; applying it again later is a no-op filter
-        return read_jdbc(spark, opts, where=row.get("where_clause"), split_by=row.get("split_by_col"),
-                         num_partitions=row.get("num_mapper"), fetch_size=row.get("fetch_size"))
+        return read_jdbc(spark, opts, where=row.get("where_clause"), split_by=split,
+                         num_partitions=row.get("num_mapper"), fetch_size=row.get("fetch_size"),
+                         bounds=bounds)
     return read
 
 
@@ -116,19 +126,30 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
         return Outcome(app, table, kind, OK, n_rows=obs.get["n"])
     check, last = row["check_column"], row.get("last_value")
     ctype = df.schema[check].dataType.simpleString()
-    if kind == "append":
-        # upper bound fixed once at run start (one MAX query; every split reads the same range)
-        hi = increment_bounds(df, check, last)["hi"] if last is not None else \
-            df.agg(F.max(check).alias("hi")).first()["hi"]
-        if hi is None:
-            return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
-        inc = append_increment(df, check, last, hi) if last is not None else \
-            df.where(F.col(check) <= F.lit(str(hi)).cast(ctype))
-        new_value = str(hi)
-    else:
-        lo = last if last is not None else "0001-01-01 00:00:00"
-        inc = lastmodified_increment(df, check, lo, str(run_start))
-        new_value = str(run_start)
+    split = row.get("split_by_col") if (row.get("num_mapper") or 0) > 1 else None
+    lo = last if last is not None else "0001-01-01 00:00:00"
+
+    def increment(frame: DataFrame, hi=None) -> DataFrame:
+        if kind == "lastmodified":
+            return lastmodified_increment(frame, check, lo, str(run_start))
+        if last is None:
+            return frame if hi is None else frame.where(F.col(check) <= F.lit(str(hi)).cast(ctype))
+        return append_increment(frame, check, last, hi)
+
+    # one aggregate over the pushed increment range: the append upper bound (fixed once at
+    # run start, so every split reads the same range) and the split column's range
+    aggs = ([F.max(check).alias("hi")] if kind == "append" else []) + \
+        ([F.min(split).alias("s_lo"), F.max(split).alias("s_hi")] if split else [])
+    b = increment(df).agg(*aggs).first() if aggs else None
+    hi = b["hi"] if kind == "append" else None
+    if kind == "append" and hi is None:
+        return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
+    if split and b["s_lo"] is not None:
+        df = source({**row, "split_bounds": (b["s_lo"], b["s_hi"])})
+        if row.get("where_clause"):
+            df = df.where(row["where_clause"])
+    inc = increment(df, hi)
+    new_value = str(hi) if kind == "append" else str(run_start)
     st = local_frame(spark, [(f"{app}/{table}", new_value, ctype)],
                      "source string, value string, value_type string")
     # staged, renamed into place and committed with the watermark: a rerun after a crash
