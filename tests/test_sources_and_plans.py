@@ -184,3 +184,12 @@ def test_split_bounds_query_uses_the_where(spark):
     assert log["options"]["query"] == ("SELECT MIN(o_orderkey) AS lo, MAX(o_orderkey) AS hi FROM ORDERS "
                                        "WHERE o_orderstatus = 'F'")
     assert "dbtable" not in log["options"]
+
+
+def test_read_jdbc_text_split_column_reads_unsplit(spark):
+    from tidelake.sources.relational import read_jdbc
+    log = {}
+    opts = jdbc_options("teradata", server="td", schema="TPCH", table="NATION")
+    read_jdbc(_FakeSpark(log, table(spark, SF_SMALL, "nation")), opts, split_by="n_name",
+              num_partitions=4, bounds=("ALGERIA", "VIETNAM"))
+    assert "partitionColumn" not in log["options"]

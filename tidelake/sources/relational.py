@@ -64,7 +64,8 @@ def read_jdbc(spark: SparkSession, options: dict, where: str | None = None,
         reader = reader.option("fetchsize", str(int(fetch_size)))
     if split_by and num_partitions and int(num_partitions) > 1:
         lo, hi = bounds if bounds is not None else split_bounds(spark, options, split_by, where)
-        if lo is not None and hi is not None:
+        # Spark splits only numeric, date and timestamp columns; a text column is read unsplit
+        if lo is not None and hi is not None and not isinstance(lo, str):
             reader = (reader.option("partitionColumn", split_by).option("lowerBound", str(lo))
                       .option("upperBound", str(hi)).option("numPartitions", str(int(num_partitions))))
     df = reader.load()
