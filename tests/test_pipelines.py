@@ -394,3 +394,16 @@ def test_jdbc_increment_splits_over_the_increment_range(spark, tmp):
     lo, hi = want.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     assert (second["partitionColumn"], second["lowerBound"], second["upperBound"], second["numPartitions"]) == \
         ("o_orderkey", str(lo), str(hi), "4")
+
+
+def test_landing_file_names_with_glob_characters(spark, tmp):
+    src, target = tmp + "/src", tmp + "/lake"
+    os.makedirs(src)
+    for name in ("feed[1].txt", "feed{a,b}.txt", "feed*.txt"):
+        with open(f"{src}/{name}", "w") as f:
+            f.write(name + "\n")
+    ctrl = _file_control(spark, [("feed", "feed", src, target)])
+    rep = land_files(spark, ctrl, tmp + "/state", app="x").collect()[0]
+    assert (rep.status, rep.n_files, rep.n_rows) == ("ok", 3, 3)
+    assert sorted(r.value for r in spark.read.text(target + "/feed").collect()) == \
+        ["feed*.txt", "feed[1].txt", "feed{a,b}.txt"]

@@ -39,12 +39,6 @@ def _watermark(spark, state, source: str):
     return _watermarks(spark, state, [source])[source]
 
 
-def _cutoff(wm, precision: str):
-    if precision == "minute":
-        return wm.replace(second=0, microsecond=0) + dt.timedelta(minutes=1)
-    return wm
-
-
 def _new_files(manifest: DataFrame, wm, precision: str) -> DataFrame:
     newer = files_newer_than_minute if precision == "minute" else files_newer_than
     return files_non_empty(newer(manifest, wm))
@@ -103,22 +97,19 @@ def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date,
     table = row["table_name"]
     source = f"{app}/{table}"
     manifest = _new_files(files_with_prefix(listing, row["pattern"]), wm, precision)
-    summary = manifest.agg(F.count(F.lit(1)).alias("n"), F.max("modified").alias("hi")).first()
-    if not summary["n"]:
+    # the new files of this table, taken from the folder's one shared listing: reading them
+    # by path avoids listing the (possibly huge) source folder again for every control row
+    new = manifest.select("path").collect()
+    if not new:
         return Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0)
-    # the same file set the manifest saw: name prefix, (cut-off, newest listed];
-    # the modification-time bounds prune files in the file index, before any task
-    mtime = F.col("_metadata.file_modification_time")
-    lines = (spark.read.option("pathGlobFilter", _glob_escape(row["pattern"]) + "*")
-             .text(row["source_dir"])
-             .where((mtime > F.lit(_cutoff(wm, precision))) & (mtime <= F.lit(summary["hi"])))
-             .select("value"))
+    # paths are read as globs: escape glob characters that may occur in file names
+    lines = spark.read.text([_glob_escape(r["path"]) for r in new]).select("value")
     obs = Observation(f"land_{table}_{uuid.uuid4().hex[:6]}")
     out = stamp_date(lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
     append_exactly_once(spark, lambda path: write_lines(out, path, partition_by=PARTITION),
                         f"{row['target_dir'].rstrip('/')}/{table}", source, state_path,
                         advance_watermarks(manifest, F.lit(source)), state_lock, state=state)
-    return Outcome(app, table, "files", OK, n_files=summary["n"], n_rows=obs.get["n"])
+    return Outcome(app, table, "files", OK, n_files=len(new), n_rows=obs.get["n"])
 
 
 def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision):
