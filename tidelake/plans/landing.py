@@ -159,17 +159,15 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
     state = read_state(spark, state_path)
     wm = _watermark(spark, state, source)
     manifest = files_newer_than(list_files(spark, source_dir), wm)
-    summary = manifest.agg(F.count(F.lit(1)).alias("n"), F.max("modified").alias("hi")).first()
-    if not summary["n"]:
+    new = manifest.select("path").collect()  # this run's new objects, from the one listing
+    if not new:
         return report_frame(spark, [Outcome(source, None, "pickup", NO_NEW_DATA, 0, 0)])
     if archive_dir:
         stamp = dt.datetime.now().strftime("%Y%m%d%H%M%S%f")
         move_path(spark, stage_dir, f"{archive_dir.rstrip('/')}/batch-{stamp}")
-    mtime = F.col("_metadata.file_modification_time")
-    new_lines = (spark.read.text(source_dir)
-                 .where((mtime > F.lit(wm)) & (mtime <= F.lit(summary["hi"]))).select("value"))
+    new_lines = spark.read.text([_glob_escape(r["path"]) for r in new]).select("value")
     obs = Observation(f"pickup_{uuid.uuid4().hex[:6]}")
     lines = stamp_date(new_lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
     append_exactly_once(spark, lambda path: write_lines(lines, path, partition_by=PARTITION), stage_dir,
                         source, state_path, advance_watermarks(manifest, F.lit(source)))
-    return report_frame(spark, [Outcome(source, None, "pickup", OK, summary["n"], obs.get["n"])])
+    return report_frame(spark, [Outcome(source, None, "pickup", OK, len(new), obs.get["n"])])
