@@ -25,7 +25,7 @@ from tidelake.sinks.raw import write_lines
 from tidelake.sinks.tables import PARTITION, stamp_date, write_routed_lines
 from tidelake.sources.archives import zip_member_lines, zip_members
 from tidelake.session import local_frame, move_path, today
-from tidelake.sources.listing import _glob_escape, list_files
+from tidelake.sources.listing import glob_escape, list_files
 
 
 def _watermarks(spark, state, sources) -> dict:
@@ -103,7 +103,7 @@ def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date,
     if not new:
         return Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0)
     # paths are read as globs: escape glob characters that may occur in file names
-    lines = spark.read.text([_glob_escape(r["path"]) for r in new]).select("value")
+    lines = spark.read.text([glob_escape(r["path"]) for r in new]).select("value")
     obs = Observation(f"land_{table}_{uuid.uuid4().hex[:6]}")
     out = stamp_date(lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
     append_exactly_once(spark, lambda path: write_lines(out, path, partition_by=PARTITION),
@@ -165,7 +165,7 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
     if archive_dir:
         stamp = dt.datetime.now().strftime("%Y%m%d%H%M%S%f")
         move_path(spark, stage_dir, f"{archive_dir.rstrip('/')}/batch-{stamp}")
-    new_lines = spark.read.text([_glob_escape(r["path"]) for r in new]).select("value")
+    new_lines = spark.read.text([glob_escape(r["path"]) for r in new]).select("value")
     obs = Observation(f"pickup_{uuid.uuid4().hex[:6]}")
     lines = stamp_date(new_lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
     append_exactly_once(spark, lambda path: write_lines(lines, path, partition_by=PARTITION), stage_dir,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.text import basename
 
 
-def _glob_escape(s: str) -> str:
+def glob_escape(s: str) -> str:
     return re.sub(r"([\[\]\{\}\*\?\\])", r"\\\1", s)
 
 
@@ -25,7 +25,7 @@ def list_files(spark: SparkSession, path, pattern: str | None = None,
     """
     reader = spark.read.format("binaryFile")
     if pattern:
-        reader = reader.option("pathGlobFilter", _glob_escape(pattern) + "*")
+        reader = reader.option("pathGlobFilter", glob_escape(pattern) + "*")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if modified_after is not None:
