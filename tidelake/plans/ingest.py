@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tidelake.operators.increments import append_increment, lastmodified_increment
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
@@ -94,6 +95,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
 
     def run(row: dict) -> Outcome:
         table = row.get("rdbms_table_name")
+        spark.sparkContext.setJobDescription(f"tidelake ingest {app}/{table}")
         if row["error"] is not None or not row.get("target_dir"):
             return Outcome(app, table, row.get("mode"), INVALID, message=row["error"] or "target_dir")
         kind = (row.get("table_type") or "snapshot").strip().lower()
@@ -106,7 +108,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
     # tables are independent Spark jobs: run a few at once so small tables do not leave a
     # large cluster idle (Spark schedules concurrent jobs from several driver threads)
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rows) or 1))) as pool:
-        outcomes = list(pool.map(run, rows))
+        outcomes = list(pool.map(inheritable_thread_target(spark)(run), rows))
     return report_frame(spark, outcomes)
 
 

@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tidelake.operators.filters import (
     files_newer_than,
@@ -78,6 +79,7 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
 
     def run(row: dict) -> Outcome:
         table = row["table_name"]
+        spark.sparkContext.setJobDescription(f"tidelake land {app}/{table}")
         if row["error"] is not None:
             return Outcome(app, table, "files", INVALID, message=row["error"])
         try:
@@ -88,7 +90,7 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
 
     # control rows are independent jobs; a few run at once to keep a large cluster busy
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rows) or 1))) as pool:
-        outcomes = list(pool.map(run, rows))
+        outcomes = list(pool.map(inheritable_thread_target(spark)(run), rows))
     return report_frame(spark, outcomes)
 
 
