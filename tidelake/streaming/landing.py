@@ -12,7 +12,6 @@ its handle (``run_date`` left empty then stamps each micro-batch with its own da
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from tidelake.functions.time import run_date_col
 from tidelake.session import scratch_path
