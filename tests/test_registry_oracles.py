@@ -29,3 +29,17 @@ def test_registered_query(spark, con, name):
     cols = [d[0] for d in rel.description]
     assert sorted(df.columns) == sorted(cols)
     assert canon(rows, df.columns) == canon(rel.fetchall(), cols)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+PYTHON_MAP = ("MapInPandas", "PythonMapInArrow", "FlatMapGroupsInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_registered_plan_shape(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in FORBIDDEN if op in plan], plan
+    if "zip" not in name:
+        assert not [op for op in PYTHON_MAP if op in plan], plan
