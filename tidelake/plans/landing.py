@@ -130,20 +130,21 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
     routing = ctrl.where(F.col("error").isNull()).select("line_no", "pattern", "table_name")
     routed = route_first_match(members.select("archive", "member", "file_name", "member_size"), routing,
                                key_cols=("archive", "member", "file_name", "member_size"))
-    per_table = {r["table_name"]: r["n"] for r in
-                 routed.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     tables = sorted({r["table_name"] for r in valid})
     obs = Observation(f"zip_rows_{uuid.uuid4().hex[:6]}")
     lines = zip_member_lines(routed.select("archive", "member", "member_size", "table_name"))
-    lines = lines.observe(obs, *[F.sum(F.when(F.col("table_name") == t, 1).otherwise(0)).alias(f"t{i}")
-                                 for i, t in enumerate(tables)])
+    # rows and members (those with a first line) per table, counted while the lines are written
+    is_t = [F.col("table_name") == t for t in tables]
+    lines = lines.observe(
+        obs, *[F.sum(F.when(c, 1).otherwise(0)).alias(f"t{i}") for i, c in enumerate(is_t)],
+        *[F.sum(F.when(c & (F.col("line_no") == 0), 1).otherwise(0)).alias(f"f{i}") for i, c in enumerate(is_t)])
     try:
         append_exactly_once(spark, lambda path: write_routed_lines(lines, path, run_date),
                             first["target_dir"], app, state_path, advance_watermarks(archives, F.lit(app)))
     except Exception as e:
         return report_frame(spark, [Outcome(app, t, "zip", FAILED, message=str(e)[:1000]) for t in tables])
     counts = obs.get
-    return report_frame(spark, [Outcome(app, t, "zip", OK, n_files=per_table.get(t, 0),
+    return report_frame(spark, [Outcome(app, t, "zip", OK, n_files=counts.get(f"f{i}", 0) or 0,
                                         n_rows=counts.get(f"t{i}", 0) or 0)
                                 for i, t in enumerate(tables)])
 
