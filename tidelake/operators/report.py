@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REPORT_SCHEMA = ("app string, table_name string, mode string, status string, "
-                 "n_files bigint, n_rows bigint, message string")
+                 "n_files bigint, n_rows bigint, message string, seconds double")
 
 # Outcome names.
 OK, NO_NEW_DATA, FAILED, INVALID = "ok", "no_new_data", "failed", "invalid"
@@ -23,11 +23,27 @@ class Outcome:
     n_files: int | None = None
     n_rows: int | None = None
     message: str | None = None
+    seconds: float | None = None
 
     def row(self):
         return (self.app, self.table_name, self.mode, self.status,
                 None if self.n_files is None else int(self.n_files),
-                None if self.n_rows is None else int(self.n_rows), self.message)
+                None if self.n_rows is None else int(self.n_rows), self.message,
+                None if self.seconds is None else round(float(self.seconds), 3))
+
+
+def timed(fn):
+    """Wrap a per-table step so its Outcome carries the elapsed wall-clock seconds."""
+    import functools
+    import time
+
+    @functools.wraps(fn)
+    def run(*args, **kwargs):
+        t0 = time.perf_counter()
+        out = fn(*args, **kwargs)
+        out.seconds = time.perf_counter() - t0
+        return out
+    return run
 
 
 def report_frame(spark: SparkSession, outcomes: list[Outcome]) -> DataFrame:

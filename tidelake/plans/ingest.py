@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from tidelake.operators.increments import append_increment, lastmodified_increment
-from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
+from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame, timed
 from tidelake.operators.state import read_state, seed_from_state, utc_now
 from tidelake.operators.validate import validate_table_control
 from tidelake.session import local_frame, sibling_staging, swap_into_place, today
@@ -108,7 +108,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
     # tables are independent Spark jobs: run a few at once so small tables do not leave a
     # large cluster idle (Spark schedules concurrent jobs from several driver threads)
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rows) or 1))) as pool:
-        outcomes = list(pool.map(inheritable_thread_target(spark)(run), rows))
+        outcomes = list(pool.map(inheritable_thread_target(spark)(timed(run)), rows))
     return report_frame(spark, outcomes)
 
 

@@ -17,7 +17,7 @@ from tidelake.operators.filters import (
     files_non_empty,
     files_with_prefix,
 )
-from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame
+from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame, timed
 from tidelake.operators.routing import route_first_match
 from tidelake.operators.state import advance_watermarks, read_state, watermarks_with_default
 from tidelake.operators.validate import validate_file_control
@@ -90,7 +90,7 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
 
     # control rows are independent jobs; a few run at once to keep a large cluster busy
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rows) or 1))) as pool:
-        outcomes = list(pool.map(inheritable_thread_target(spark)(run), rows))
+        outcomes = list(pool.map(inheritable_thread_target(spark)(timed(run)), rows))
     return report_frame(spark, outcomes)
 
 
