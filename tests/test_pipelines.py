@@ -407,3 +407,17 @@ def test_landing_file_names_with_glob_characters(spark, tmp):
     assert (rep.status, rep.n_files, rep.n_rows) == ("ok", 3, 3)
     assert sorted(r.value for r in spark.read.text(target + "/feed").collect()) == \
         ["feed*.txt", "feed[1].txt", "feed{a,b}.txt"]
+
+
+def test_raw_to_cleansed_reads_only_selected_partitions(spark, tmp):
+    from tidelake.plans.cleansed import raw_to_cleansed
+    nation = table(spark, SF_SMALL, "nation")
+    for day in ("2024-01-01", "2024-01-02"):
+        write_raw(nation, f"{tmp}/raw/date_part={day}")
+    out = raw_to_cleansed(spark, tmp + "/raw", tmp + "/cleansed", run_date="2024-01-03",
+                          schema=ddl_of(nation), raw_partitions=["2024-01-02"])
+    assert out.count() == 25
+    from tidelake.sources.raw import read_raw as rr
+    plan = (rr(spark, tmp + "/raw", schema=ddl_of(nation)).where(F.col("date_part").isin(F.lit("2024-01-02").cast("date")))
+            ._jdf.queryExecution().executedPlan().toString())
+    assert "PartitionFilters: [isnotnull(date_part" in plan

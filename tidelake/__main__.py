@@ -1,6 +1,6 @@
 """Command-line jobs (run with ``spark-submit -m``-style launchers or ``python -m tidelake``).
 
-    python -m tidelake raw-to-cleansed RAW_PATH CLEANSED_PATH [--schema DDL] [--run-date D]
+    python -m tidelake raw-to-cleansed RAW_PATH CLEANSED_PATH [--schema DDL] [--run-date D] [--partition D]
     python -m tidelake repair TMP_PATH RAW_PATH
     python -m tidelake ingest --control APP.ctrl --state STATE --app APP --connections conn.json
     python -m tidelake land --control APP.ctrl --state STATE --app APP [--mode consolidated]
@@ -31,6 +31,8 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--schema", help="DDL of the raw columns (default: all strings)")
     c.add_argument("--run-date", help="load date YYYY-MM-DD (default: today)")
     c.add_argument("--mode", default="append", choices=["append", "replace_partition"])
+    c.add_argument("--partition", action="append", default=[],
+                   help="raw date_part to read (repeatable; default: the whole raw path)")
 
     r = sub.add_parser("repair", help="join escaped line breaks into one record per line")
     r.add_argument("tmp_path")
@@ -84,7 +86,7 @@ def main(argv=None, spark: SparkSession | None = None, out=sys.stdout) -> int:
     if args.command == "raw-to-cleansed":
         from tidelake.plans.cleansed import raw_to_cleansed
         raw_to_cleansed(spark, args.raw_path, args.cleansed_path, run_date=args.run_date,
-                        schema=args.schema, mode=args.mode)
+                        schema=args.schema, mode=args.mode, raw_partitions=args.partition or None)
         return 0
     if args.command == "repair":
         from tidelake.plans.cleansed import repair_raw
