@@ -67,6 +67,7 @@ def commit_files(spark: SparkSession, staging: str, target: str, load_id: str, f
         if not fs.rename(Path(_join(staging, rel, name)), Path(dst_dir, f"load-{load_id}-{name}")):
             raise OSError(f"cannot move staged file {rel}/{name} into {target}")
     fs.delete(Path(staging), True)
+    fs.create(Path(_join(target, "_SUCCESS")), True).close()  # for marker-driven schedulers
 
 
 def clean_load(spark: SparkSession, target: str, load_id: str, dirs) -> int:
