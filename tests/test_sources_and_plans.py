@@ -59,8 +59,11 @@ def test_zip_landing_first_match_and_purge(spark, tmp):
                                                run_date="2024-01-02").collect()}
     assert (rep["customer"].n_files, rep["customer"].n_rows) == (2, 3)
     assert rep["other"].n_rows == 0 and rep["supplier"].n_rows == 1
-    landed = {(r.table_name, r.value) for r in spark.read.text(target).collect()}
+    import os as _os
+    assert sorted(d for d in _os.listdir(target) if d[0] not in "_.") == ["customer", "supplier"]
+    landed = {(t, r.value) for t in ("customer", "supplier") for r in spark.read.text(f"{target}/{t}").collect()}
     assert ("customer", "3") in landed and all(v != "5" for _, v in landed)
+    assert {r.date_part.isoformat() for r in spark.read.text(f"{target}/customer").collect()} == {"2024-01-02"}
     again = land_files(spark, ctrl, tmp + "/state", app="a", mode="consolidated").collect()
     assert {r.status for r in again} == {"no_new_data"}
 

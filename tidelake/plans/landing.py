@@ -57,9 +57,9 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
 
     ``mode="consolidated"``: all files below the first row's ``source_dir`` newer than the
     app's watermark are zip archives; their members are routed to the first control row
-    whose pattern prefixes the member name and written in one job under
-    ``<target>/table_name=T/date_part=D`` (first row's ``target_dir``); unmatched members
-    are dropped.
+    whose pattern prefixes the member name, written in one job and committed under
+    ``<target>/<table>/date_part=D`` (first row's ``target_dir``), the layout of per-table
+    mode; unmatched members are dropped.
 
     ``precision="minute"`` reproduces the minute-granular cut-off of the source system.
     """
@@ -114,6 +114,16 @@ def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date,
     return Outcome(app, table, "files", OK, n_files=len(new), n_rows=obs.get["n"])
 
 
+def _table_folder(rel: str) -> str:
+    """``table_name=T/date_part=D`` (one partitioned write) -> ``T/date_part=D``."""
+    from urllib.parse import unquote
+
+    head, _, rest = rel.partition("/")
+    if not head.startswith("table_name="):
+        return rel
+    return f"{unquote(head.split('=', 1)[1])}/{rest}"  # partition values are %-escaped
+
+
 def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision):
     valid = [r for r in rows if r["error"] is None]
     if not valid:
@@ -139,8 +149,10 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
         obs, *[F.sum(F.when(c, 1).otherwise(0)).alias(f"t{i}") for i, c in enumerate(is_t)],
         *[F.sum(F.when(c & (F.col("line_no") == 0), 1).otherwise(0)).alias(f"f{i}") for i, c in enumerate(is_t)])
     try:
+        # one write for all tables, landed as <target>/<table>/date_part=D like per-table mode
         append_exactly_once(spark, lambda path: write_routed_lines(lines, path, run_date),
-                            first["target_dir"], app, state_path, advance_watermarks(archives, F.lit(app)))
+                            first["target_dir"], app, state_path, advance_watermarks(archives, F.lit(app)),
+                            place=_table_folder)
     except Exception as e:
         return report_frame(spark, [Outcome(app, t, "zip", FAILED, message=str(e)[:1000]) for t in tables])
     counts = obs.get

@@ -369,7 +369,10 @@ def zip_landing(spark, sf_dir):
                                  ("cust", "other", src, target)])
     land_files(spark, ctrl, scratch_path(spark, "state"), app="crm", mode="consolidated",
                run_date=RUN_DATE).collect()
-    landed = spark.read.text(target)
+    landed = None
+    for t in ("customer", "supplier"):  # landed as <target>/<table>/date_part=D
+        part = spark.read.text(f"{target}/{t}").select(F.lit(t).alias("table_name"), "value")
+        landed = part if landed is None else landed.unionByName(part)
     return (landed.groupBy("table_name")
             .agg(F.count(F.lit(1)).alias("n_rows"),
                  F.sum(F.substring_index("value", BEL, 1).cast("bigint")).alias("key_sum")))

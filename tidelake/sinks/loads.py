@@ -58,11 +58,14 @@ def _join(*parts: str) -> str:
     return "/".join(x.strip("/") if i else x.rstrip("/") for i, x in enumerate(parts) if x)
 
 
-def commit_files(spark: SparkSession, staging: str, target: str, load_id: str, files):
+def commit_files(spark: SparkSession, staging: str, target: str, load_id: str, files,
+                 place: Callable[[str], str] | None = None):
+    """Rename staged files into ``target`` (``place`` maps a staged folder to its target
+    folder, e.g. ``table_name=T/date_part=D`` -> ``T/date_part=D``)."""
     jvm, _, fs = _fs(spark, target)
     Path = jvm.org.apache.hadoop.fs.Path
     for rel, name in files:
-        dst_dir = Path(_join(target, rel))
+        dst_dir = Path(_join(target, place(rel) if place else rel))
         fs.mkdirs(dst_dir)
         if not fs.rename(Path(_join(staging, rel, name)), Path(dst_dir, f"load-{load_id}-{name}")):
             raise OSError(f"cannot move staged file {rel}/{name} into {target}")
@@ -108,9 +111,11 @@ def pending_load(spark: SparkSession, state_path: str, source: str, state: DataF
 
 def append_exactly_once(spark: SparkSession, write: Callable[[str], None], target: str, source: str,
                         state_path: str, state_rows: DataFrame, lock=None,
-                        state: DataFrame | None = None) -> bool:
+                        state: DataFrame | None = None,
+                        place: Callable[[str], str] | None = None) -> bool:
     """Run ``write(staging_folder)`` and commit it into ``target`` together with
-    ``state_rows``; returns False (and commits nothing) when the load wrote no file."""
+    ``state_rows``; returns False (and commits nothing) when the load wrote no file.
+    ``place`` maps staged folders to target folders (see :func:`commit_files`)."""
     from contextlib import nullcontext
 
     from tidelake.operators.state import append_state
@@ -127,12 +132,12 @@ def append_exactly_once(spark: SparkSession, write: Callable[[str], None], targe
         fs.delete(root, True)
         return False
     load_id = uuid.uuid4().hex[:16]
-    dirs = sorted({rel for rel, _ in files})
+    dirs = sorted({place(rel) if place else rel for rel, _ in files})
     intent = local_frame(spark, [(source, load_id, target, dirs, None)], LOADS_SCHEMA) \
         .withColumn("run_ts", F.current_timestamp())
     with guard:
         intent.coalesce(1).write.mode("append").parquet(loads_path(state_path))
-    commit_files(spark, staging, target, load_id, files)
+    commit_files(spark, staging, target, load_id, files, place)
     with guard:
         append_state(state_rows, state_path, load_id=load_id)
     return True
