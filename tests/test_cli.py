@@ -49,3 +49,14 @@ def test_cli_ingest_failure_sets_exit_status(spark, tmp):
                  "--connections", tmp + "/conn.json"], spark=spark, out=out) == 1
     text = out.getvalue()
     assert "|NATION|snapshot|failed|" in text and "|invalid|" in text
+
+
+def test_cli_repair_overwrite_is_idempotent(spark, tmp):
+    import os
+    os.makedirs(tmp + "/tmpdrop")
+    with open(tmp + "/tmpdrop/a.txt", "w") as f:
+        f.write("1\u0007a\\\nb\n2\u0007c\n")
+    for _ in range(2):
+        assert main(["repair", tmp + "/tmpdrop", tmp + "/raw/date_part=2024-01-02", "--mode", "overwrite"],
+                    spark=spark) == 0
+    assert sorted(r.value for r in spark.read.text(tmp + "/raw").collect()) == ["1\u0007a\\ b", "2\u0007c"]

@@ -1,7 +1,7 @@
 """Command-line jobs (run with ``spark-submit -m``-style launchers or ``python -m tidelake``).
 
     python -m tidelake raw-to-cleansed RAW_PATH CLEANSED_PATH [--schema DDL] [--run-date D] [--partition D]
-    python -m tidelake repair TMP_PATH RAW_PATH
+    python -m tidelake repair TMP_PATH RAW_PATH [--mode overwrite]
     python -m tidelake ingest --control APP.ctrl --state STATE --app APP --connections conn.json
     python -m tidelake land --control APP.ctrl --state STATE --app APP [--mode consolidated]
     python -m tidelake pickup SOURCE_DIR STAGE_DIR --state STATE [--archive DIR] [--source NAME]
@@ -37,6 +37,8 @@ def _parser() -> argparse.ArgumentParser:
     r = sub.add_parser("repair", help="join escaped line breaks into one record per line")
     r.add_argument("tmp_path")
     r.add_argument("raw_path")
+    r.add_argument("--mode", default="append", choices=["append", "overwrite", "errorifexists"],
+                   help="overwrite makes a rerun into the same raw partition idempotent")
 
     i = sub.add_parser("ingest", help="control-table driven relational import")
     i.add_argument("--control", required=True)
@@ -90,7 +92,7 @@ def main(argv=None, spark: SparkSession | None = None, out=sys.stdout) -> int:
         return 0
     if args.command == "repair":
         from tidelake.plans.cleansed import repair_raw
-        repair_raw(spark, args.tmp_path, args.raw_path)
+        repair_raw(spark, args.tmp_path, args.raw_path, mode=args.mode)
         return 0
     if args.command == "ingest":
         from tidelake.plans.ingest import ingest_tables, jdbc_source
