@@ -196,3 +196,18 @@ def test_read_jdbc_text_split_column_reads_unsplit(spark):
     read_jdbc(_FakeSpark(log, table(spark, SF_SMALL, "nation")), opts, split_by="n_name",
               num_partitions=4, bounds=("ALGERIA", "VIETNAM"))
     assert "partitionColumn" not in log["options"]
+
+
+def test_catalog_sink_targets(spark, tmp):
+    from tidelake.sinks.tables import write_catalog_table
+    from tidelake.sources.tables import register_raw_table, table_ddl
+    from tidelake.sinks.raw import write_raw
+    region = table(spark, SF_SMALL, "region")
+    write_catalog_table(region, "unused_name", path=tmp + "/normal", target="normal")
+    assert spark.read.parquet(tmp + "/normal").count() == 5
+    with pytest.raises(ValueError):
+        write_catalog_table(region, "x", path=tmp + "/x", target="both")
+    write_raw(region, tmp + "/flat")
+    register_raw_table(spark, "tl_region_flat", tmp + "/flat", "r_regionkey int, r_name string", partitioned=False)
+    assert spark.table("tl_region_flat").count() == 5
+    assert "CREATE TABLE" in table_ddl(spark, "tl_region_flat").first()[0]
