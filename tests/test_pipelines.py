@@ -421,3 +421,32 @@ def test_raw_to_cleansed_reads_only_selected_partitions(spark, tmp):
     plan = (rr(spark, tmp + "/raw", schema=ddl_of(nation)).where(F.col("date_part").isin(F.lit("2024-01-02").cast("date")))
             ._jdf.queryExecution().executedPlan().toString())
     assert "PartitionFilters: [isnotnull(date_part" in plan
+
+
+def test_recover_target_after_interrupted_swap(spark, tmp):
+    from tidelake.session import recover_target
+    nation = table(spark, SF_SMALL, "nation")
+    target = tmp + "/t"
+    nation.write.parquet(target + ".__old-aaa")          # target moved aside, never replaced
+    nation.limit(3).write.parquet(target + ".__staging-bbb")  # half-finished replacement
+    recover_target(spark, target)
+    assert spark.read.parquet(target).count() == 25
+    assert sorted(os.listdir(tmp)) == ["t"]
+    nation.limit(2).write.parquet(target + ".__staging-ccc")  # stale staging next to a good target
+    recover_target(spark, target)
+    assert sorted(os.listdir(tmp)) == ["t"] and spark.read.parquet(target).count() == 25
+
+
+def test_snapshot_after_interrupted_swap_runs_again(spark, tmp):
+    orders = table(spark, SF_SMALL, "orders")
+    target, st = tmp + "/orders", tmp + "/state"
+    ctrl = _orders_ctrl(spark, target, "snapshot")
+    ingest_tables(spark, ctrl, st, source=lambda row: orders, run_date="2024-01-01").collect()
+    os.rename(target, target + ".__old-zzz")  # the driver died right after moving the table aside
+    assert read_raw(spark, target + ".__old-zzz", schema=ddl_of(orders)).count() == orders.count()
+    rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, run_date="2024-01-02").collect()
+    assert rep[0].status == "ok"
+    out = read_raw(spark, target, schema=ddl_of(orders))
+    assert out.count() == orders.count()
+    assert [r[0].isoformat() for r in out.select("date_part").distinct().collect()] == ["2024-01-02"]
+    assert not [d for d in os.listdir(tmp) if "__" in d]

@@ -102,8 +102,9 @@ def compact_state(spark: SparkSession, path: str) -> DataFrame | None:
     """Rewrite the state table as one row per source (its current watermark and the id of
     its latest committed load), replacing the many small files that one append per run
     leaves behind.  Run it when no pipeline writes to the same state table."""
-    from tidelake.session import sibling_staging, swap_into_place
+    from tidelake.session import recover_target, sibling_staging, swap_into_place
 
+    recover_target(spark, path)
     state = read_state(spark, path)
     if state is None:
         return None

@@ -15,7 +15,7 @@ from tidelake.operators.increments import append_increment, lastmodified_increme
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame, timed
 from tidelake.operators.state import read_state, seed_from_state, utc_now
 from tidelake.operators.validate import validate_table_control
-from tidelake.session import local_frame, sibling_staging, swap_into_place, today
+from tidelake.session import local_frame, recover_target, sibling_staging, swap_into_place, today
 from tidelake.sinks.loads import append_exactly_once
 from tidelake.sinks.raw import write_raw
 from tidelake.sinks.tables import PARTITION, stamp_date
@@ -120,6 +120,7 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
         df = df.where(row["where_clause"])
     obs = Observation(f"rows_{table}_{uuid.uuid4().hex[:6]}")
     if row["mode"] == "snapshot":
+        recover_target(spark, row["target_dir"])
         dest = sibling_staging(row["target_dir"]) if staging else row["target_dir"]
         _write(df, dest, run_date, "overwrite", fmt, obs)
         if staging:

@@ -90,6 +90,29 @@ def swap_into_place(spark: SparkSession, staging: str, target: str):
         fs.delete(old, True)
 
 
+def recover_target(spark: SparkSession, target: str) -> None:
+    """Before writing to ``target``: undo a swap that a dead driver left half done (target
+    moved aside, replacement not yet in place: the old folder comes back, the interrupted
+    load simply runs again) and delete staging / moved-aside siblings of loads that never
+    finished.  Assumes one writer per target, which the control tables guarantee."""
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    dst = Path(target)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = target.rstrip("/")
+
+    def siblings(tag):
+        found = fs.globStatus(Path(f"{base}.__{tag}-*"))
+        return sorted(found or [], key=lambda st: st.getModificationTime())
+
+    olds = siblings("old")
+    if olds and not fs.exists(dst):
+        fs.rename(olds[-1].getPath(), dst)
+        olds = olds[:-1]
+    for st in olds + siblings("staging"):
+        fs.delete(st.getPath(), True)
+
+
 def local_frame(spark: SparkSession, rows, ddl: str):
     """A small DataFrame from driver-side rows (control rows, report rows, state rows),
     built from literals so it is planned as an inline table and read without Python

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.session import local_frame, sibling_staging
+from tidelake.session import local_frame, recover_target, sibling_staging
 
 LOADS_SCHEMA = "source string, load_id string, target string, dirs array<string>, run_ts timestamp"
 
@@ -124,6 +124,7 @@ def append_exactly_once(spark: SparkSession, write: Callable[[str], None], targe
     pend = pending_load(spark, state_path, source, state)
     if pend is not None:
         clean_load(spark, pend["target"], pend["load_id"], pend["dirs"])
+    recover_target(spark, target)
     staging = sibling_staging(target)
     write(staging)
     files = staged_files(spark, staging)

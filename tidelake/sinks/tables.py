@@ -42,8 +42,9 @@ def replace_snapshot(df: DataFrame, path: str, run_date=None, fmt: str = "parque
     renamed into place, so a failing source read never leaves the target empty or half
     written; the data is written once.
     """
-    from tidelake.session import sibling_staging, swap_into_place
+    from tidelake.session import recover_target, sibling_staging, swap_into_place
 
+    recover_target(df.sparkSession, path)
     out = stamp_date(df, run_date)
     dest = sibling_staging(path) if staged else path
     (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
