@@ -39,7 +39,9 @@ def stream_land(spark: SparkSession, source_dir: str, target_dir: str,
                 timeout_s: float | None = None, processing_time: str | None = None):
     """Land new lines of ``source_dir`` into ``target_dir/date_part=D`` (text); returns
     ``{"batches": n, "rows": n}`` for this run, or the running query with
-    ``processing_time``."""
+    ``processing_time``.  Pass the same ``checkpoint`` on every run: it is what remembers the
+    files already landed (without one, a fresh folder under the scratch root is used and
+    the run starts from nothing)."""
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
     reader = spark.readStream.format("text")
     if archive_dir:
@@ -59,7 +61,8 @@ def stream_raw_to_cleansed(spark: SparkSession, raw_dir: str, cleansed_dir: str,
     """Raw -> cleansed as a stream: new raw files are parsed with the batch reader's rules,
     stamped with ``date_part`` and appended to a date-partitioned Avro table by the file sink
     (exactly once per file via the checkpoint and the sink log).  Readers of ``cleansed_dir``
-    see only committed batches; keep batch writers out of a stream-written folder."""
+    see only committed batches; keep batch writers out of a stream-written folder.  As with
+    :func:`stream_land`, pass the same ``checkpoint`` on every run."""
     from tidelake.sources.raw import parse_raw_lines
 
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
