@@ -60,3 +60,15 @@ def test_cli_repair_overwrite_is_idempotent(spark, tmp):
         assert main(["repair", tmp + "/tmpdrop", tmp + "/raw/date_part=2024-01-02", "--mode", "overwrite"],
                     spark=spark) == 0
     assert sorted(r.value for r in spark.read.text(tmp + "/raw").collect()) == ["1\u0007a\\ b", "2\u0007c"]
+
+
+def test_cli_stream_land_remembers_files(spark, tmp):
+    import os
+    os.makedirs(tmp + "/in")
+    with open(tmp + "/in/a.txt", "w") as f:
+        f.write("x\ny\n")
+    args = ["stream-land", tmp + "/in", tmp + "/lake", "--checkpoint", tmp + "/ckpt"]
+    out = io.StringIO()
+    assert main(args, spark=spark, out=out) == 0 and out.getvalue().strip().endswith("|2")
+    out = io.StringIO()
+    assert main(args, spark=spark, out=out) == 0 and out.getvalue().strip().endswith("|0")

@@ -5,6 +5,7 @@
     python -m tidelake ingest --control APP.ctrl --state STATE --app APP --connections conn.json
     python -m tidelake land --control APP.ctrl --state STATE --app APP [--mode consolidated]
     python -m tidelake pickup SOURCE_DIR STAGE_DIR --state STATE [--archive DIR] [--source NAME]
+    python -m tidelake stream-land SOURCE_DIR TARGET_DIR --checkpoint CKPT [--archive DIR]
     python -m tidelake query TABLE [--columns a,b] [--where col=value ...] [--limit N]
 
 Pipelines print their run report; the exit status is 1 when any table failed or was
@@ -66,6 +67,13 @@ def _parser() -> argparse.ArgumentParser:
     pk.add_argument("--archive")
     pk.add_argument("--run-date")
 
+    sl = sub.add_parser("stream-land", help="land files not seen before (file-source stream, run to completion)")
+    sl.add_argument("source_dir")
+    sl.add_argument("target_dir")
+    sl.add_argument("--checkpoint", required=True, help="same folder on every run")
+    sl.add_argument("--archive", help="move files of committed batches here")
+    sl.add_argument("--run-date")
+
     q = sub.add_parser("query", help="projection + equality filters over a catalog table")
     q.add_argument("table")
     q.add_argument("--columns", help="comma-separated (default: all)")
@@ -115,6 +123,12 @@ def main(argv=None, spark: SparkSession | None = None, out=sys.stdout) -> int:
         report = pickup_files(spark, args.source_dir, args.stage_dir, args.state, source=args.source,
                               run_date=args.run_date, archive_dir=args.archive)
         return _report(report, out)
+    if args.command == "stream-land":
+        from tidelake.streaming.landing import stream_land
+        res = stream_land(spark, args.source_dir, args.target_dir, checkpoint=args.checkpoint,
+                          archive_dir=args.archive, run_date=args.run_date)
+        print(f"{args.source_dir}|{res['batches']}|{res['rows']}", file=out)
+        return 0
     if args.command == "query":
         from tidelake.plans.query import display_lines, query_table
         where = dict(w.split("=", 1) for w in args.where)
