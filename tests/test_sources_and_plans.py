@@ -211,3 +211,32 @@ def test_catalog_sink_targets(spark, tmp):
     register_raw_table(spark, "tl_region_flat", tmp + "/flat", "r_regionkey int, r_name string", partitioned=False)
     assert spark.table("tl_region_flat").count() == 5
     assert "CREATE TABLE" in table_ddl(spark, "tl_region_flat").first()[0]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abé\r", max_size=6), max_size=30),
+       st.booleans(), st.integers(min_value=1, max_value=40), st.integers(min_value=1, max_value=9))
+def test_member_line_ranges_property(lines, final_break, range_bytes, read_bytes):
+    from tidelake.sources import archives
+    old = archives.READ_BYTES
+    archives.READ_BYTES = read_bytes
+    try:
+        body = "\n".join(lines) + ("\n" if final_break and lines else "")
+        data = body.encode()
+        whole = [t for _, b in archives.member_line_batches(io.BytesIO(data), 0, None) for t in b]
+        got = []
+        for lo in range(0, max(len(data), 1), range_bytes):
+            hi = lo + range_bytes if lo + range_bytes < len(data) else None
+            for first, batch in archives.member_line_batches(io.BytesIO(data), lo, hi):
+                got.extend(enumerate(batch, start=first))
+        assert got == list(enumerate(whole))
+        expected = data.decode().split("\n")
+        if expected and expected[-1] == "":
+            expected = expected[:-1]
+        assert whole == [t[:-1] if t.endswith("\r") else t for t in expected]
+    finally:
+        archives.READ_BYTES = old
