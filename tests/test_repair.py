@@ -101,3 +101,27 @@ def test_documents_repaired_exactly_over_many_small_splits(spark):
     want = sorted(duckdb.sql("select doc_id, replace(text, chr(10), chr(92) || ' ') "
                              f"from '{SF_ORACLE}/documents.parquet'").fetchall())
     assert got == want
+
+
+
+def test_line_repair_random_records_and_splits(spark, tmp):
+    import random
+    rnd = random.Random(7)
+    for trial in range(6):
+        records = [["".join(rnd.choice("xyz \u00e9\u0007") for _ in range(rnd.randint(0, 30)))
+                    for _ in range(rnd.randint(1, 6))] for _ in range(rnd.randint(1, 25))]
+        brk = rnd.choice(["\n", "\r\n", "\r"])
+        d = f"{tmp}/t{trial}"
+        os.makedirs(d)
+        # one line-ending style per file (mixing bare-CR escapes with LF record ends would make
+        # backslash+CR+LF ambiguous: it is also an escaped CRLF)
+        with open(d + "/a.txt", "w", newline="") as f:
+            f.write("".join(("\\" + brk).join(p) + brk for p in records))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(rnd.randint(200, 700)))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            got = [r.value for r in repair_escaped_lines(spark, d).orderBy("block_start", "line_seq").collect()]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == ["\\ ".join(p) for p in records], (trial, brk)
