@@ -7,6 +7,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, canon
 
+from tidelake.registry import QUERIES
+
 ORACLES = E.oracle_sql()
 
 
@@ -18,9 +20,9 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_registered_query(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     if name not in ORACLES:
         assert df.columns
@@ -35,9 +37,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 PYTHON_MAP = ("MapInPandas", "PythonMapInArrow", "FlatMapGroupsInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_registered_plan_shape(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [op for op in FORBIDDEN if op in plan], plan
