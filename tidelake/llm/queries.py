@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from tidelake.llm.op1_token_files import op1_token_files
+from tidelake.llm.op3_minhash import op3_minhash
 from tidelake.llm.op7_packing import op7_packing
+from tidelake.llm.op10_secrets import op10_secrets, oracle as secrets_sql
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op3_minhash": op3_minhash,
     "op7_packing": op7_packing,
+    "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_secrets": secrets_sql(),
+}
