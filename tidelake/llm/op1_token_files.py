@@ -118,7 +118,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
             if batch.num_rows and out is None:
                 out = ShardWriter(tokens_file, seq_len, batch_rows, enc.vocab > 1 << 16)
             col = texts(batch, "text")
-            ids.append(column(batch, "doc_id"))
+            ids.append(pa.array(column(batch, "doc_id").to_pylist(), pa.int64()))  # a copy: the batch may go
             for lo, hi in by_bytes(col):
                 for raw in enc.encode(col.slice(lo, hi - lo).to_pylist()):
                     flat = np.frombuffer(raw + end, "<u4")

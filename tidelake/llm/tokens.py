@@ -1,22 +1,22 @@
 """Token ids of whole texts by the ``tokenizers`` library, with a bounded word cache.
 
-Byte-level BPE never merges across pre-tokens, and its pre-token pattern always starts a new
-one at a single space between two characters that are not white space.  A text in which every
-space is such a space is therefore the concatenation of its space-led words, each encoded on
-its own; repeated words are encoded once.  Any other text goes to the library whole.
+Byte-level BPE never merges across pre-tokens.  Its pre-token pattern always starts a new one
+at a single space between characters that are not white space, at a line feed between such
+characters and right after it, and at a comma or full stop after a letter.  A text that splits at
+such places is the concatenation of its parts, each encoded on its own, so a part that occurs
+again is not encoded again.  Any other text goes to the library whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 
-ODD_SPACE = re.compile(r"\s |^ | $| \s")
 CACHE_WORDS = 400_000
+PARTS = 20_000  # parts encoded in one call, line by line
 
 
 class Encoder:
@@ -29,30 +29,86 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocab = self.tok.get_vocab_size()
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes | None] = {}
+        self.again: set[str] = set()  # words that a later batch used again
+        self.mark = dict(zip(",.\n", self.library([",", ".", "\n"])))
+        self.line = np.frombuffer(self.mark["\n"], "<u4")
+        self.by_line = len(self.line) == 1 and np.array_equal(
+            np.frombuffer(self.library([" a\nb\n c."])[0], "<u4"),
+            np.frombuffer(b"".join(self.library([" a", "\n", "b", "\n", " c", "."])), "<u4"))
 
     def library(self, items: list[str]) -> list[bytes]:
         enc = self.tok.encode_batch_fast(items, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in enc]
 
-    def encode(self, items: list[str]) -> list[bytes]:
+    def lines(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts without line feeds: one call for many, cut at the line feeds' ids."""
+        out: list[bytes] = []
+        for lo in range(0, len(parts), PARTS):
+            some = parts[lo:lo + PARTS]
+            ids = np.array(self.tok.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.line[0])
+            if not self.by_line or len(cuts) != len(some) - 1:
+                out += self.library(some)
+                continue
+            raw, ends = ids.tobytes(), (4 * cuts).tolist() + [4 * len(ids)]
+            starts = [0] + [e + 4 for e in ends[:-1]]
+            out += [raw[a:b] for a, b in zip(starts, ends)]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Ids of each word after a space; None where white space at its ends forbids the cut."""
+        cache, mark = self.cache, self.mark
+        alone = [w for w in words if w.isalpha()]
+        cache.update(zip(alone, self.lines([" " + w for w in alone])))
+        stems: dict[str, str] = {}  # word -> what precedes its last comma or full stop
+        rest: dict[str, list[str]] = {}  # word -> its lines
+        for w in words.difference(alone):
+            if w[-1:] in mark and w[:-1].isalpha():
+                stems[w] = w[:-1]
+            elif not w or w[0].isspace() or w[-1].isspace():
+                cache[w] = None
+            else:
+                lines = w.split("\n")
+                if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+                    cache[w] = self.library([" " + w])[0]
+                else:
+                    lines[0] = " " + lines[0]
+                    rest[w] = lines
+        new = [s for s in set(stems.values()) if s not in cache]
+        cache.update(zip(new, self.lines([" " + s for s in new])))
+        for w, s in stems.items():
+            cache[w] = cache[s] + mark[w[-1]]
+        flat = iter(self.lines([x for lines in rest.values() for x in lines]))
+        for w, lines in rest.items():
+            cache[w] = mark["\n"].join([next(flat) for _ in lines])
+
+    def _trim(self) -> None:
+        """When the cache is full, keep the words that more than one batch used."""
         if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        cache, out = self.cache, []
-        split = [None if ODD_SPACE.search(t) else t.split(" ") for t in items]
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(w for w in words[1:] if w not in cache)
+            again = self.again if len(self.again) <= CACHE_WORDS // 2 else set()
+            self.cache = {w: self.cache[w] for w in again}
+            self.again = set()
+
+    def encode(self, items: list[str]) -> list[bytes]:
+        self._trim()
+        split = [t.split(" ") for t in items]
+        heads = [w[0] for w in split]
+        for w in split:
+            w[0] = "a"  # the first word has no space before it
+        used = set().union(*split)
+        new = used - self.cache.keys()
+        self.again |= used - new
         if new:
-            fresh = iter(new)
-            while part := list(islice(fresh, 20_000)):
-                cache.update(zip(part, self.library([" " + w for w in part])))
-        whole = iter(self.library([t if w is None else w[0] for t, w in zip(items, split)]))
-        for words in split:
-            head = next(whole)
-            out.append(head if words is None else head + b"".join([cache[w] for w in words[1:]]))
-        return out
+            self._learn(new)
+        of, out = self.cache.__getitem__, []
+        for words, head in zip(split, heads):
+            try:
+                out.append(None if head[-1:].isspace() else b"".join(map(of, islice(words, 1, None))))
+            except TypeError:  # a word that forbids the cut
+                out.append(None)
+        first = self.library([t if x is None else h for t, h, x in zip(items, heads, out)])
+        return [h if x is None else h + x for h, x in zip(first, out)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -65,7 +121,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def by_bytes(col: pa.Array, limit: int = 4 << 20):
+def by_bytes(col: pa.Array, limit: int = 1 << 20):
     """Row ranges of a string array of about ``limit`` bytes each (a longer row alone)."""
     off = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
     lo = 0
