@@ -86,7 +86,7 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of ``n`` words (across rows: the caller cuts by row)."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
-    acc = np.full(len(words) - n + 1, (n * int(GOLDEN)) % (1 << 64), dtype=np.uint64)
+    acc = np.full(len(words) - n + 1, (int(n) * int(GOLDEN)) % (1 << 64), dtype=np.uint64)
     for j in range(n):
         acc += words[j:len(words) - n + 1 + j] * np.uint64(pow(BASE, 2 * j + 3, 1 << 64))
     return mix(acc)
