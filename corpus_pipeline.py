@@ -1,12 +1,72 @@
-"""The corpus pipeline: named stages over ``documents``."""
+"""The corpus pipeline: language ID, near-duplicates, decontamination, secrets, packing.
+
+``STAGES`` lists (name, function) in order.  A function takes (spark, docs, sf_dir) and returns the
+documents that stay, with the columns they came with; the last returns packed pieces.  Each stage
+works on all that its predecessor kept; ``run`` writes every stage's result as Parquet in the
+shared folder and reads it again.
+
+Rows without ``doc_id`` pass the stages that decide by id, and are packed like others.  A text is
+never changed.  Columns that clash with a stage's own are kept as they were.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelake.llm.common import stored, table
+from tidelake.llm.op3_minhash import near_duplicates
+from tidelake.llm.op6_language import fit, label
+from tidelake.llm.op7_packing import pack
+from tidelake.llm.op8_decontaminate import contaminated
+from tidelake.llm.op10_secrets import scan_secrets
+
+MIN_LANGUAGE_SCORE = 0.5
+NEAR = (80, 100)  # similarity of the near-duplicate stage
+
+
+def by_id(docs: DataFrame, drop: DataFrame) -> DataFrame:
+    """``docs`` without the ids of ``drop`` (doc_id)."""
+    return docs.join(drop.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts whose language is recognised: not ``und``, and with a probability of at least one half."""
+    import public_tokenizers
+
+    model = fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return label(docs, model, "_pred", "_score").where(
+        (F.col("_pred") != "und") & (F.col("_score") >= MIN_LANGUAGE_SCORE)).drop("_pred", "_score")
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id; rows that
+    repeat its id are one document."""
+    found = stored(near_duplicates(docs, *NEAR), "near")
+    once = by_id(docs, found.where("not kept")).withColumn(
+        "_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return once.dropDuplicates(["doc_id", "_row"]).drop("_row")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of ``benchmark``."""
+    return by_id(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without secrets."""
+    return by_id(docs, scan_secrets(docs).where(F.size("found") > 0))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequence and offset."""
+    import public_tokenizers
+
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
 
-STAGES: list = []
+STAGES = [("language", language), ("near_duplicates", dedup), ("decontamination", decontaminate),
+          ("secrets", secrets), ("packing", packing)]
 
 ORACLE_SQL = None
 

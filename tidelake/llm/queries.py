@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from tidelake.llm.op1_token_files import op1_token_files
+from tidelake.llm.op2_neighbours import op2_neighbours
 from tidelake.llm.op3_minhash import op3_minhash
+from tidelake.llm.op4_html import op4_html
+from tidelake.llm.op5_toxicity import op5_toxicity
+from tidelake.llm.op6_language import op6_language
 from tidelake.llm.op7_packing import op7_packing
-from tidelake.llm.op10_secrets import op10_secrets, oracle as secrets_sql
+from tidelake.llm.op8_decontaminate import op8_decontaminate
+from tidelake.llm.op9_quality import op9_quality
+from tidelake.llm.op10_secrets import op10_secrets
+from tidelake.llm.op10_secrets import oracle as secrets_sql
 
-QUERIES = {
-    "op1_token_files": op1_token_files,
-    "op3_minhash": op3_minhash,
-    "op7_packing": op7_packing,
-    "op10_secrets": op10_secrets,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_neighbours, op3_minhash, op4_html, op5_toxicity, op6_language, op7_packing,
+    op8_decontaminate, op9_quality, op10_secrets)}
 
-ORACLES: dict[str, str] = {
-    "op10_secrets": secrets_sql(),
-}
+ORACLES: dict[str, str] = {"op10_secrets": secrets_sql()}

@@ -19,8 +19,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-VALUE = LOWER.astype(np.uint64) + np.uint64(1)
-VALUE[IS_SPACE] = 0
+NOT_ALNUM = np.ones(256, dtype=bool)  # ASCII letters, digits and all bytes of other letters stay
+NOT_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -51,8 +51,8 @@ def raw_text(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def word_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    space = IS_SPACE[data]
+def word_starts(data: np.ndarray, off: np.ndarray, gap: np.ndarray = IS_SPACE) -> np.ndarray:
+    space = gap[data]
     start = ~space
     before = np.ones(len(data), dtype=bool)
     before[1:] = space[:-1]
@@ -60,12 +60,14 @@ def word_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start & before)
 
 
-def hash_words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in row order, and each row's offsets into them."""
+def hash_words(col: pa.Array, gap: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in row order, and each row's offsets into them; ``gap`` tells the bytes
+    between words."""
     data, off = raw_text(col)
     if len(data) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
-    starts = word_starts(data, off)
+    starts = word_starts(data, off, gap)
+    value = np.where(gap, np.uint64(0), LOWER.astype(np.uint64) + np.uint64(1))
     rows = np.searchsorted(starts, off)
     out = np.empty(len(starts), np.uint64)
     lo = 0
@@ -76,7 +78,7 @@ def hash_words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hi = hi - 1 if hi < len(starts) and hi - 1 > lo else hi
         b = starts[hi] if hi < len(starts) else len(data)
         up, down = power_tables(max(SLICE, int(b - a)))
-        sums = np.add.reduceat(VALUE[data[a:b]] * up[:b - a], starts[lo:hi] - a)
+        sums = np.add.reduceat(value[data[a:b]] * up[:b - a], starts[lo:hi] - a)
         out[lo:hi] = mix(sums * down[starts[lo:hi] - a])
         lo = hi
     return out, rows
