@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tidelake.llm import op1_token_files, op3_minhash, op7_packing, op8_decontaminate, op10_secrets, trigrams, words
+from tidelake.llm import op1_token_files, op3_minhash, op7_packing, op8_decontaminate, op10_secrets, tokens, trigrams, words
 from tidelake.llm.common import id_bucket, shared_folder
 from tidelake.llm.components import components
 from tidelake.llm.tokens import Encoder
@@ -43,14 +43,27 @@ def edge_docs(spark, extra=()):
 
 # --- tokens ---------------------------------------------------------------------------------------
 
-def test_encoder_equals_library(library):
+def encoded(enc, texts):
+    ids, at = enc.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+
+
+def test_encoder_equals_library(library, monkeypatch):
     r = random.Random(5)
-    bits = ["a", "b", " ", "  ", "\n", "\t", ".", ",", "'s", "é", "\xa0", "1", "the", " word", "word,", "\n\n", "!", "　",
-            "漢", "\x1c", "don't", "<|endoftext|>", "😀", "\r\n", "̈"]
+    bits = ["a", "b", " ", "  ", "\n", "\t", ".", ",", "'s", "é", "É", "×", "\xa0", "1", "the", " word", "word,", "\n\n", "!", "\u3000",
+            "漢", "\x1c", "don't", "<|endoftext|>", "😀", "\r\n", "\u0308", "\u2009", "\x85", "x" * 70, "«", "”", ",\"", ".\n", "²"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 14))) for _ in range(6000)]
     enc = Encoder(BPE)
-    for _ in range(3000):
-        text = "".join(r.choice(bits) for _ in range(r.randint(0, 14)))
-        assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == library(text), text
+    for lo in range(0, len(texts), 500):
+        part = texts[lo:lo + 500]
+        for text, ids in zip(part, encoded(enc, part)):
+            assert ids == library(text), text
+    assert encoded(enc, texts[:50]) == [library(t) for t in texts[:50]]  # all from the cache
+    monkeypatch.setattr(tokens, "SLOTS_LOG2", 6)  # a cache that fills and is cleared again and again
+    small = Encoder(BPE)
+    for lo in range(0, 600, 10):
+        assert encoded(small, texts[lo:lo + 10]) == [library(t) for t in texts[lo:lo + 10]]
+    assert encoded(enc, []) == [] and encoded(enc, ["", ""]) == [[], []]
 
 
 def test_token_files_round_trip(spark, library):

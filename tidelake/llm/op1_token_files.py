@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidelake.llm.common import column, shared_folder, table, texts
 from tidelake.llm.shardio import make_folder, open_read, open_write
-from tidelake.llm.tokens import by_bytes, encoder
+from tidelake.llm.tokens import documents, encoder
 
 SEQ_LEN, BATCH_ROWS, END_ID = 1024, 256, 0
 MANIFEST = "shard long, tokens_file string, docs_file string, n_docs long, n_tokens long"
@@ -112,18 +112,16 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         enc = encoder(tokenizer_path)
         ctx = TaskContext.get()
         pid, name = ctx.partitionId(), f"{ctx.partitionId():06d}-{ctx.taskAttemptId()}"
-        end, out, ids, sizes = np.array([end_id], "<u4").tobytes(), None, [], []
+        out, ids, sizes = None, [], []
         tokens_file, docs_file = f"{folder}/tokens-{name}.arrow", f"{folder}/docs-{name}.arrow"
         for batch in batches:
             if batch.num_rows and out is None:
                 out = ShardWriter(tokens_file, seq_len, batch_rows, enc.vocab > 1 << 16)
             col = texts(batch, "text")
             ids.append(pa.array(column(batch, "doc_id").to_pylist(), pa.int64()))  # a copy: the batch may go
-            for lo, hi in by_bytes(col):
-                for raw in enc.encode(col.slice(lo, hi - lo).to_pylist()):
-                    flat = np.frombuffer(raw + end, "<u4")
-                    out.add(flat)
-                    sizes.append(len(flat))
+            for flat in documents(enc, col, end_id):
+                out.add(flat)
+                sizes.append(len(flat))
         if out is None:
             return
         out.close()

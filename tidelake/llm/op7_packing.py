@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import column, stored, table, texts
-from tidelake.llm.tokens import by_bytes, encoder
+from tidelake.llm.tokens import documents, encoder
 
 CAPACITY, END_ID = 1024, 2
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, pos long"
@@ -44,18 +44,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     def tokenise(batches):
         enc, task = encoder(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            col, ids = texts(batch, "text"), column(batch, "doc_id").to_pylist()
-            for lo, hi in by_bytes(col):
-                rows = []
-                for doc, raw in zip(ids[lo:hi], enc.encode(col.slice(lo, hi - lo).to_pylist())):
-                    raw += end
-                    for k, (a, n) in enumerate(cut(len(raw) // 4, capacity)):
-                        rows.append((doc, k, a, n, zlib.crc32(raw[4 * a:4 * (a + n)]), task, int(seen[n])))
-                        seen[n] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), SCHEMA.types)], schema=SCHEMA)
+            rows = []
+            for doc, ids in zip(column(batch, "doc_id").to_pylist(), documents(enc, texts(batch, "text"), end_id)):
+                for k, (a, n) in enumerate(cut(len(ids), capacity)):
+                    rows.append((doc, k, a, n, zlib.crc32(ids[a:a + n].astype("<u4")), task, int(seen[n])))
+                    seen[n] += 1
+            cols = list(zip(*rows)) or [()] * len(SCHEMA)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, SCHEMA.types)], schema=SCHEMA)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tokenise, PIECES)
 

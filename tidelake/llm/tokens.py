@@ -1,26 +1,76 @@
-"""Token ids of whole texts by the ``tokenizers`` library, with a bounded word cache.
-
-Byte-level BPE never merges across pre-tokens.  Its pre-token pattern always starts a new one
-at a single space between characters that are not white space, at a line feed between such
-characters and right after it, and at a comma or full stop after a letter.  A text that splits at
-such places is the concatenation of its parts, each encoded on its own, so a part that occurs
-again is not encoded again.  Any other text goes to the library whole.
+"""Token ids of whole texts by the ``tokenizers`` library, with a bounded cache of text parts.
+
+Byte-level BPE never merges across pre-tokens.  Its pre-token pattern starts a new one wherever
+white space follows another character, after a line feed alone between other characters, and at a
+comma or full stop after a letter.  So a text is the concatenation of the parts between such places,
+each encoded on its own, and a part that occurs again need not be encoded again.  Parts are found,
+hashed (64 bits) and looked up for a whole Arrow column at once; the library encodes those not seen
+before, many in a call.  Parts of more than ``LONG`` bytes are always encoded afresh.
 """
 
 from __future__ import annotations
 
 import os
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 
-CACHE_WORDS = 400_000
+from tidelake.llm.words import raw_text, run_hashes
+
+SLOTS_LOG2 = 22  # slots of the cache's hash table, filled to a half
+LONG = 64
 PARTS = 20_000  # parts encoded in one call, line by line
+PLAIN = np.arange(1, 257, dtype=np.uint64)
+
+# White space of one byte (the separators 1C-1F, which only some engines count, are
+# taken as such) and, as UTF-8, of more; letters that may stand before a comma or full stop.
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
+WIDE_SPACE = [c.encode() for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+              "\u2028\u2029\u202f\u205f\u3000"]
+WIDE_LEAD = np.zeros(256, dtype=bool)
+WIDE_LEAD[[w[0] for w in WIDE_SPACE]] = True
+LETTER = np.zeros(256, dtype=bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+
+
+def part_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Places where a pre-token certainly starts: each row's first byte, and within rows those named
+    above."""
+    n = len(data)
+    first = np.zeros(n + 1, dtype=bool)
+    first[off[:-1]] = True
+    space = SPACE[data]
+    ends, begins = space.copy(), space  # last and first bytes of white space
+    wide = np.flatnonzero(WIDE_LEAD[data])
+    if len(wide):
+        begins = space.copy()
+        for w in WIDE_SPACE:
+            at = wide[wide + len(w) <= n]
+            for k, byte in enumerate(w):
+                at = at[data[at + k] == byte]
+            begins[at] = True
+            ends[at + len(w) - 1] = True
+    after_text = np.zeros(n, dtype=bool)  # the byte before ends no white space and is of the same row
+    after_text[1:] = ~ends[:-1]
+    after_text &= ~first[:n]
+    starts = after_text & ((data == 0x20) | (data == 0x0A))
+    line = np.flatnonzero(starts & (data == 0x0A))
+    line = line[line + 1 < n]
+    line = line[~begins[line + 1] & ~first[line + 1]] + 1
+    starts[line] = True
+    mark = np.flatnonzero((data == 0x2C) | (data == 0x2E))
+    mark = mark[mark > 0]
+    mark = mark[~first[mark]]
+    before = data[mark - 1]
+    latin = (mark > 1) & (data[mark - 2] == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
+    starts[mark[LETTER[before] | latin]] = True
+    starts |= first[:n]
+    return np.flatnonzero(starts)
 
 
 class Encoder:
-    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
+    """``encode(column)`` gives all ids of a string column and each row's offsets into them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -29,86 +79,106 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocab = self.tok.get_vocab_size()
-        self.cache: dict[str, bytes | None] = {}
-        self.again: set[str] = set()  # words that a later batch used again
-        self.mark = dict(zip(",.\n", self.library([",", ".", "\n"])))
-        self.line = np.frombuffer(self.mark["\n"], "<u4")
-        self.by_line = len(self.line) == 1 and np.array_equal(
-            np.frombuffer(self.library([" a\nb\n c."])[0], "<u4"),
-            np.frombuffer(b"".join(self.library([" a", "\n", "b", "\n", " c", "."])), "<u4"))
-
-    def library(self, items: list[str]) -> list[bytes]:
-        enc = self.tok.encode_batch_fast(items, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in enc]
-
-    def lines(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts without line feeds: one call for many, cut at the line feeds' ids."""
-        out: list[bytes] = []
+        line = self.library(["\n"])[0]
+        self.line = line[0] if len(line) == 1 else None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys = np.zeros(1 << SLOTS_LOG2, np.uint64)  # 0: free
+        self.offset = np.zeros(1 << SLOTS_LOG2, np.uint32)
+        self.size = np.zeros(1 << SLOTS_LOG2, np.uint16)
+        self.pool, self.used, self.n = np.zeros(1 << 16, np.uint32), 0, 0
+
+    def library(self, items: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(items, add_special_tokens=False)]
+
+    def lines(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many parts and how many each has: one call, cut at the line feeds' ids."""
+        ids, sizes = [], []
         for lo in range(0, len(parts), PARTS):
             some = parts[lo:lo + PARTS]
-            ids = np.array(self.tok.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.line[0])
-            if not self.by_line or len(cuts) != len(some) - 1:
-                out += self.library(some)
-                continue
-            raw, ends = ids.tobytes(), (4 * cuts).tolist() + [4 * len(ids)]
-            starts = [0] + [e + 4 for e in ends[:-1]]
-            out += [raw[a:b] for a, b in zip(starts, ends)]
+            if self.line is not None and not any("\n" in p for p in some):
+                flat = np.array(self.library(["\n".join(some)])[0], np.uint32)
+                cut = np.flatnonzero(flat == self.line)
+                if len(cut) == len(some) - 1:
+                    sizes.append(np.diff(np.concatenate([[-1], cut, [len(flat)]])) - 1)
+                    ids.append(np.delete(flat, cut))
+                    continue
+            each = self.library(some)
+            sizes.append(np.array([len(e) for e in each]))
+            ids.append(np.array([i for e in each for i in e], np.uint32))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Slot of each key, or -1."""
+        mask = np.int64((1 << SLOTS_LOG2) - 1)
+        slot = (keys >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        todo = np.arange(len(keys))
+        while len(todo):
+            held = self.keys[slot[todo]]
+            hit = held == keys[todo]
+            out[todo[hit]] = slot[todo[hit]]
+            todo = todo[~hit & (held != 0)]
+            slot[todo] = (slot[todo] + 1) & mask
         return out
 
-    def _learn(self, words: set[str]) -> None:
-        """Ids of each word after a space; None where white space at its ends forbids the cut."""
-        cache, mark = self.cache, self.mark
-        alone = [w for w in words if w.isalpha()]
-        cache.update(zip(alone, self.lines([" " + w for w in alone])))
-        stems: dict[str, str] = {}  # word -> what precedes its last comma or full stop
-        rest: dict[str, list[str]] = {}  # word -> its lines
-        for w in words.difference(alone):
-            if w[-1:] in mark and w[:-1].isalpha():
-                stems[w] = w[:-1]
-            elif not w or w[0].isspace() or w[-1].isspace():
-                cache[w] = None
-            else:
-                lines = w.split("\n")
-                if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-                    cache[w] = self.library([" " + w])[0]
-                else:
-                    lines[0] = " " + lines[0]
-                    rest[w] = lines
-        new = [s for s in set(stems.values()) if s not in cache]
-        cache.update(zip(new, self.lines([" " + s for s in new])))
-        for w, s in stems.items():
-            cache[w] = cache[s] + mark[w[-1]]
-        flat = iter(self.lines([x for lines in rest.values() for x in lines]))
-        for w, lines in rest.items():
-            cache[w] = mark["\n"].join([next(flat) for _ in lines])
-
-    def _trim(self) -> None:
-        """When the cache is full, keep the words that more than one batch used."""
-        if len(self.cache) > CACHE_WORDS:
-            again = self.again if len(self.again) <= CACHE_WORDS // 2 else set()
-            self.cache = {w: self.cache[w] for w in again}
-            self.again = set()
-
-    def encode(self, items: list[str]) -> list[bytes]:
-        self._trim()
-        split = [t.split(" ") for t in items]
-        heads = [w[0] for w in split]
-        for w in split:
-            w[0] = "a"  # the first word has no space before it
-        used = set().union(*split)
-        new = used - self.cache.keys()
-        self.again |= used - new
-        if new:
-            self._learn(new)
-        of, out = self.cache.__getitem__, []
-        for words, head in zip(split, heads):
-            try:
-                out.append(None if head[-1:].isspace() else b"".join(map(of, islice(words, 1, None))))
-            except TypeError:  # a word that forbids the cut
-                out.append(None)
-        first = self.library([t if x is None else h for t, h, x in zip(items, heads, out)])
-        return [h if x is None else h + x for h, x in zip(first, out)]
+    def _add(self, keys: np.ndarray, parts: list[str]) -> None:
+        """Encode new parts and enter them under their keys (all different)."""
+        plain = [i for i, p in enumerate(parts) if "\n" not in p]
+        other = [i for i, p in enumerate(parts) if "\n" in p]
+        ids, size = self.lines([parts[i] for i in plain + other])
+        keys = keys[plain + other]
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        offset = self.used + np.cumsum(size) - size
+        self.used += len(ids)
+        self.n += len(keys)
+        mask = np.int64((1 << SLOTS_LOG2) - 1)
+        slot = (keys >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64)
+        todo = np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[slot[todo]] == 0]
+            _, one = np.unique(slot[free], return_index=True)
+            won = free[one]
+            self.keys[slot[won]], self.offset[slot[won]], self.size[slot[won]] = keys[won], offset[won], size[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            slot[todo] = (slot[todo] + 1) & mask
+
+    def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, off = raw_text(col)
+        if len(data) == 0:
+            return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
+        if self.n > 1 << (SLOTS_LOG2 - 1):
+            self._clear()
+        starts = part_starts(data, off)
+        ends = np.append(starts[1:], len(data))
+        keys = run_hashes(data, starts, PLAIN)
+        keys[keys == 0] = 1
+        raw = data.tobytes()
+        short = ends - starts <= LONG
+        slot = self._find(keys)
+        new, at = np.unique(np.where(short & (slot < 0), keys, np.uint64(0)), return_index=True)
+        if len(new) and new[0] == 0:
+            new, at = new[1:], at[1:]
+        if len(new):
+            self._add(new, [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            missing = np.flatnonzero(slot < 0)
+            slot[missing] = self._find(keys[missing])
+        size = self.size[slot].astype(np.int64)
+        offset = self.offset[slot].astype(np.int64)
+        long = np.flatnonzero(~short)
+        afresh = self.library([raw[a:b].decode() for a, b in zip(starts[long].tolist(), ends[long].tolist())]) if len(long) else []
+        size[long] = [len(x) for x in afresh]
+        offset[long] = 0
+        total = np.concatenate([[0], np.cumsum(size)])
+        index = np.repeat(offset - total[:-1], size) + np.arange(total[-1])
+        index[index >= self.used] = 0  # places of the parts filled in below
+        ids = self.pool[index]
+        for i, x in zip(long.tolist(), afresh):
+            ids[total[i]:total[i + 1]] = x
+        return ids, total[np.searchsorted(starts, off)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -129,3 +199,12 @@ def by_bytes(col: pa.Array, limit: int = 1 << 20):
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, side="right")) - 1)
         yield lo, hi
         lo = hi
+
+
+def documents(enc: Encoder, col: pa.Array, end_id: int):
+    """Ids of each row with ``end_id`` appended, in order."""
+    end = np.array([end_id], np.uint32)
+    for lo, hi in by_bytes(col):
+        ids, at = enc.encode(col.slice(lo, hi - lo))
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            yield np.concatenate([ids[a:b], end])

@@ -68,20 +68,25 @@ def hash_words(col: pa.Array, gap: np.ndarray = IS_SPACE) -> tuple[np.ndarray, n
         return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
     starts = word_starts(data, off, gap)
     value = np.where(gap, np.uint64(0), LOWER.astype(np.uint64) + np.uint64(1))
-    rows = np.searchsorted(starts, off)
+    return run_hashes(data, starts, value), np.searchsorted(starts, off)
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Hash of the bytes from each start to the next one (or the end), by ``value`` of each byte;
+    a byte of value 0 does not count.  Works in slices of about SLICE bytes."""
     out = np.empty(len(starts), np.uint64)
     lo = 0
     while lo < len(starts):
         hi = max(lo + 1, int(np.searchsorted(starts, starts[lo] + SLICE)))
         a = starts[lo]
-        # a slice ends where its last word's successor starts; only a single giant word exceeds SLICE
+        # a slice ends where its last run's successor starts; only a single giant run exceeds SLICE
         hi = hi - 1 if hi < len(starts) and hi - 1 > lo else hi
         b = starts[hi] if hi < len(starts) else len(data)
         up, down = power_tables(max(SLICE, int(b - a)))
         sums = np.add.reduceat(value[data[a:b]] * up[:b - a], starts[lo:hi] - a)
         out[lo:hi] = mix(sums * down[starts[lo:hi] - a])
         lo = hi
-    return out, rows
+    return out
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
