@@ -85,7 +85,11 @@ def test_routing_broadcast_and_equi_join_paths_agree(spark):
     m = _manifest(spark)
     for fn in (routing.route_first_match, routing.route_all_matches):
         a = sorted(tuple(r) for r in fn(m, ctrl).select("file_name", "table_name").collect())
-        b = sorted(tuple(r) for r in fn(m, ctrl, broadcast_limit=0).select("file_name", "table_name").collect())
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            b = sorted(tuple(r) for r in fn(m, ctrl).select("file_name", "table_name").collect())
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert a == b
     first = dict(routing.route_first_match(m, ctrl).select("file_name", "table_name").collect())
     assert first == {"sig_1": "s_tab", "sales_2": "s_tab", "p_3": "p_tab", "x_4": "all_tab",
@@ -96,11 +100,14 @@ def test_routing_broadcast_and_equi_join_paths_agree(spark):
 
 def test_routing_is_an_equi_join_never_a_nested_loop(spark):
     ctrl = spark.createDataFrame(ROUTES, "line_no int, pattern string, table_name string")
-    small = routing.route_all_matches(_manifest(spark), ctrl)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in small and "NestedLoop" not in small and "Cartesian" not in small
-    large = routing.route_all_matches(_manifest(spark), ctrl, broadcast_limit=0)
-    plan = large._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    for threshold in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = routing.route_all_matches(_manifest(spark), ctrl)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        assert threshold != "-1" or "SortMergeJoin" in plan
 
 
 def test_seed_from_state_prefers_state(spark, tmp):

@@ -308,8 +308,8 @@ def test_landing_rerun_after_crash_midway_through_commit_loads_once(spark, tmp,
     ctrl = _file_control(spark, [("part-", "customer", src, target)])
     real = loads_mod.commit_files
 
-    def half(spark_, staging, target_, load_id, files):
-        real(spark_, staging, target_, load_id, files[:1])  # first file moved, then the driver dies
+    def half(spark_, staging, target_, load_id, folders, whole, place=None):
+        real(spark_, staging, target_, load_id, folders[:1], whole, place)  # moved, then the driver dies
         raise RuntimeError("driver died")
     monkeypatch.setattr(loads_mod, "commit_files", half)
     assert land_files(spark, ctrl, st, app="crm").collect()[0].status == "failed"
@@ -331,7 +331,7 @@ def test_compaction_keeps_commit_markers(spark, tmp):
         ingest_tables(spark, ctrl, st, source=lambda row, s=src: s, app="erp").collect()
     compact_state(spark, st)
     assert spark.read.parquet(loads_path(st)).count() == 1
-    assert pending_load(spark, st, "erp/ORDERS") is None
+    assert pending_load(spark, st, "erp/oracle/TPCH/ORDERS") is None
     rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
     assert rep[0].status == "no_new_data"
     assert read_raw(spark, target, schema=ddl_of(orders)).count() == orders.count()

@@ -43,5 +43,5 @@ def test_registered_plan_shape(spark, name):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [op for op in FORBIDDEN if op in plan], plan
-    if "zip" not in name:
+    if "zip" not in name and name not in ("multiline_repair", "repair_to_raw"):  # ordered passes over members and splits
         assert not [op for op in PYTHON_MAP if op in plan], plan

@@ -7,25 +7,69 @@ space, so each record is one line again.
 ``repair_escaped_lines`` works line by line on Spark's splittable text scan, so a file of
 any size is spread over many tasks:
 
-1. each line gets its position ``(file, split start, seq)`` and a flag "ends with
-   backslash"; a window per split (bounded by ``spark.sql.files.maxPartitionBytes``) finds
-   where records start inside the split;
-2. one summary row per split says whether the split ends inside a record; a window per
-   file over these few rows carries a record across split borders;
-3. single-line records (almost all of them) are emitted as they are; only lines of
-   multi-line records are grouped by record start and joined in order.
+1. one ordered pass over each split joins its lines and emits every record that begins and ends
+   in it; nothing of these is shuffled;
+2. what may belong to a record across a split border, the lines up to the first record end of a
+   split that is not its file's first, and the open record at its end, comes out of a second scan
+   as at most two fragments per split; these few rows are stitched per file in order.
 
 ``repair_documents`` is the whole-file form (one value per file, one task per file).
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.text import repair_escaped_breaks
 from tidelake.sources.raw import read_documents
 
+RECORDS = "file_path string, block_start bigint, line_seq bigint, value string"
+FRAGMENTS = RECORDS + ", open boolean"
+
+
+def _split_pass(fragments: bool):
+    """A task's splits, line by line: its finished records, or its border fragments."""
+    def run(batches):
+        split, seq, held, at, head = None, 0, [], 0, True  # ``held``: lines of the record in progress
+        out: list[tuple] = []
+
+        def flush(is_open: bool):
+            border = is_open or (head and split[1] > 0)
+            if border == fragments:
+                out.append((*split, at, " ".join(held), is_open) if fragments else (*split, at, " ".join(held)))
+
+        def frame():
+            cols = list(zip(*out)) or [()] * (5 if fragments else 4)
+            types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
+            names = ["file_path", "block_start", "line_seq", "value", "open"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names[:len(cols)])
+
+        for batch in batches:
+            files, blocks, values = (batch.column(i) for i in range(3))
+            cont = pc.ends_with(values, "\\").to_pylist()
+            lines, out = values.to_pylist(), []
+            for i, key in enumerate(zip(files.to_pylist(), blocks.to_pylist())):
+                if key != split:
+                    if held:
+                        flush(True)
+                    split, seq, held, head = key, 0, [], True
+                if not held:
+                    at = seq
+                held.append(lines[i])
+                seq += 1
+                if not cont[i]:
+                    flush(False)
+                    held, head = [], False
+            yield frame()
+        if held:
+            out = []
+            flush(True)
+            yield frame()
+    return run
+
 
 def repair_escaped_lines(spark: SparkSession, path, **options) -> DataFrame:
     """Repaired records ``(file_path, block_start, line_seq, value)``.
@@ -35,61 +79,21 @@ def repair_escaped_lines(spark: SparkSession, path, **options) -> DataFrame:
     reader = spark.read.format("text")
     for k, v in options.items():
         reader = reader.option(k, v)
-    base = reader.load(path).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("blk"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.col("value"),
-    )
-    cont = F.col("value").endswith("\\")
-    in_split = Window.partitionBy("file_path", "blk").orderBy("seq")
-    running = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    lines = (base.withColumn("cont", cont)
-             .withColumn("prev_cont", F.lag("cont", 1).over(in_split))
-             .withColumn("head_seq", F.min("seq").over(Window.partitionBy("file_path", "blk")))
-             # a record starts at the split head (provisionally) or after a line not ending in "\"
-             .withColumn("local_start",
-                         F.max(F.when(F.col("prev_cont").isNull() | ~F.col("prev_cont"), F.col("seq")))
-                         .over(running)))
-
-    # every branch below reads the same shuffle of ``lines`` (all of its columns are used
-    # here too, so column pruning cannot make this branch's exchange differ and Spark
-    # reuses one exchange: the text is scanned and shuffled once)
-    splits = (lines.groupBy("file_path", "blk")
-              .agg(F.max(F.struct("seq", "cont", "value")).getField("cont").alias("last_cont"),
-                   F.max("local_start").alias("last_start"),
-                   F.min("seq").alias("s_head")))
-    in_file = Window.partitionBy("file_path").orderBy("blk")
-    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("head_cont", F.coalesce(F.lag("last_cont", 1).over(in_file), F.lit(False)))
-    # an anchor split holds the start of the record that its last line belongs to
-    anchor = ~((F.col("last_start") == F.col("s_head")) & F.col("head_cont"))
-    splits = splits.withColumn(
-        "carry", F.last(F.when(anchor, F.struct(F.col("blk").alias("b"), F.col("last_start").alias("s"))),
-                        ignorenulls=True).over(before))
-
-    keyed = (lines.join(splits.select("file_path", "blk", "head_cont", "carry"), ["file_path", "blk"])
-             .withColumn("from_prev", (F.col("local_start") == F.col("head_seq")) & F.col("head_cont")
-                         & F.col("carry").isNotNull())
-             .withColumn("rec_blk", F.when(F.col("from_prev"), F.col("carry.b")).otherwise(F.col("blk")))
-             .withColumn("rec_seq", F.when(F.col("from_prev"), F.col("carry.s"))
-                         .otherwise(F.col("local_start"))))
-
-    single_line = (~F.col("cont") & (F.col("rec_blk") == F.col("blk"))
-                   & (F.col("rec_seq") == F.col("seq")))
-    singles = keyed.where(single_line).select(
-        "file_path", F.col("blk").alias("block_start"), F.col("seq").alias("line_seq"), "value")
-    parts = F.sort_array(F.collect_list(F.struct("blk", "seq", "value")))
-    multi = (keyed.where(~single_line)
-             .groupBy("file_path", "rec_blk", "rec_seq")
-             .agg(F.array_join(F.transform(parts, lambda p: p["value"]), " ").alias("value"))
-             # a file whose last line ends in "\" ended with an escaped break as well
-             .select("file_path", F.col("rec_blk").alias("block_start"),
-                     F.col("rec_seq").alias("line_seq"),
-                     F.when(F.col("value").endswith("\\"), F.concat("value", F.lit(" ")))
-                     .otherwise(F.col("value")).alias("value")))
-    return singles.unionByName(multi)
+    lines = reader.load(path).select(F.col("_metadata.file_path").alias("file_path"),
+                                     F.col("_metadata.file_block_start").alias("block_start"), F.col("value"))
+    whole = lines.mapInArrow(_split_pass(False), RECORDS)
+    parts = lines.mapInArrow(_split_pass(True), FRAGMENTS)
+    in_file = Window.partitionBy("file_path").orderBy("block_start", "line_seq")
+    begins = (~F.coalesce(F.lag("open").over(in_file), F.lit(False))).cast("int")
+    number = F.sum("begins").over(in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    stitched = (parts.withColumn("begins", begins).withColumn("record", number).groupBy("file_path", "record")
+                .agg(F.sort_array(F.collect_list(F.struct("block_start", "line_seq", "value", "open"))).alias("p")))
+    text = F.array_join(F.transform("p", lambda x: x["value"]), " ")
+    # a file whose last line ends in "\" ended with an escaped break as well
+    text = F.when(F.element_at("p", -1)["open"], F.concat(text, F.lit(" "))).otherwise(text)
+    return whole.unionByName(stitched.select(
+        "file_path", F.col("p")[0]["block_start"].alias("block_start"), F.col("p")[0]["line_seq"].alias("line_seq"),
+        text.alias("value")))
 
 
 def repair_documents(spark: SparkSession, path) -> DataFrame:

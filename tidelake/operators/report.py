@@ -33,7 +33,7 @@ class Outcome:
 
 
 def timed(fn):
-    """Wrap a per-table step so its Outcome carries the elapsed wall-clock seconds."""
+    """Wrap a per-table step so its Outcome (or each of a list) carries the elapsed wall-clock seconds."""
     import functools
     import time
 
@@ -41,7 +41,8 @@ def timed(fn):
     def run(*args, **kwargs):
         t0 = time.perf_counter()
         out = fn(*args, **kwargs)
-        out.seconds = time.perf_counter() - t0
+        for one in out if isinstance(out, list) else [out]:
+            one.seconds = time.perf_counter() - t0
         return out
     return run
 

@@ -4,10 +4,9 @@ Control rows ``(line_no, pattern, table_name, ...)`` are matched against names w
 ``name startsWith pattern``.  The match is an exact equi-join, not a nested loop: every name
 is cut to each distinct pattern length (a handful) and joined on
 ``(prefix, length) == (pattern, length(pattern))``, so the work is names × distinct lengths
-instead of names × control rows, and no pair is produced that does not match.  Control
-tables are configuration; when one is small (row count checked) it is broadcast and the
-join is a broadcast hash join with the names streaming through; above the limit both sides
-are shuffled on the prefix (AQE splits a hot prefix).
+instead of names × control rows, and no pair is produced that does not match.  Spark picks
+the join from its own size estimates: a small control table is broadcast, a large one and the
+names are shuffled on the prefix (AQE splits a hot prefix).
 """
 
 from __future__ import annotations
@@ -15,11 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_CONTROL_ROWS = 10_000
 
-
-def _matches(files: DataFrame, control: DataFrame, name_col: str, pattern_col: str,
-             broadcast: bool) -> DataFrame:
+def _matches(files: DataFrame, control: DataFrame, name_col: str, pattern_col: str) -> DataFrame:
     # distinct pattern lengths: bounded by the longest pattern, collected to build the cut
     lengths = sorted(r[0] for r in control.select(F.length(pattern_col).alias("n"))
                      .where(F.col("n").isNotNull()).distinct().collect())
@@ -29,24 +25,20 @@ def _matches(files: DataFrame, control: DataFrame, name_col: str, pattern_col: s
     cut = (files.withColumn("_plen", F.explode(F.array(*[F.lit(n) for n in lengths])))
            .withColumn("_prefix", F.expr(f"substring({name_col}, 1, _plen)")))
     ctrl = control.withColumn("_plen_c", F.length(pattern_col))
-    if broadcast:
-        ctrl = F.broadcast(ctrl)
     joined = cut.join(ctrl, (F.col("_prefix") == F.col(pattern_col)) &
                       (F.col("_plen") == F.col("_plen_c")))
     return joined.drop("_plen", "_prefix", "_plen_c")
 
 
 def route_all_matches(files: DataFrame, control: DataFrame, name_col: str = "file_name",
-                      pattern_col: str = "pattern",
-                      broadcast_limit: int = BROADCAST_CONTROL_ROWS) -> DataFrame:
+                      pattern_col: str = "pattern") -> DataFrame:
     """Every matching control row routes the file (a file matching two rows lands twice)."""
-    return _matches(files, control, name_col, pattern_col, control.count() <= broadcast_limit)
+    return _matches(files, control, name_col, pattern_col)
 
 
 def route_first_match(files: DataFrame, control: DataFrame, key_cols=("file_name",),
                       name_col: str = "file_name", pattern_col: str = "pattern",
-                      order_col: str = "line_no",
-                      broadcast_limit: int = BROADCAST_CONTROL_ROWS) -> DataFrame:
+                      order_col: str = "line_no") -> DataFrame:
     """Only the first matching control row (lowest ``order_col``) routes the file.
 
     The reduction keeps just the winning ``order_col`` per file key (a fixed-width buffer,
@@ -56,11 +48,9 @@ def route_first_match(files: DataFrame, control: DataFrame, key_cols=("file_name
     """
     key_cols = list(key_cols)
     file_cols = [c for c in files.columns if c not in key_cols]
-    small = control.count() <= broadcast_limit
-    m = _matches(files, control, name_col, pattern_col, small)
+    m = _matches(files, control, name_col, pattern_col)
     first = m.groupBy(*key_cols).agg(F.min(order_col).alias(order_col))
     if file_cols:
         first = first.join(files, key_cols)
-    ctrl = F.broadcast(control) if small else control
-    return first.join(ctrl, order_col).select(*key_cols, order_col, *file_cols,
+    return first.join(control, order_col).select(*key_cols, order_col, *file_cols,
                                               *[c for c in control.columns if c != order_col])

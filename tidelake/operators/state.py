@@ -88,13 +88,17 @@ def watermarks_with_default(sources: DataFrame, state: DataFrame | None,
 
 
 def seed_from_state(control: DataFrame, state: DataFrame | None, key, seed_col: str = "last_value",
-                    state_key: str = "source", out_col: str = "last_value") -> DataFrame:
-    """Existing state wins, otherwise the control row seeds the value (exact key match)."""
+                    state_key: str = "source", out_col: str = "last_value",
+                    flag_col: str | None = None) -> DataFrame:
+    """Existing state wins, otherwise the control row seeds the value (exact key match);
+    ``flag_col`` tells whether the value is a stored one."""
     if state is None:
-        return control
+        return control.withColumn(flag_col, F.lit(False)) if flag_col else control
     cur = current_watermarks(state).select(F.col(state_key).alias("_k"), F.col("value").alias("_sv"))
     k = F.col(key) if isinstance(key, str) else key
     joined = control.join(cur, k == F.col("_k"), "left")
+    if flag_col:
+        joined = joined.withColumn(flag_col, F.col("_sv").isNotNull())
     return joined.withColumn(out_col, F.coalesce(F.col("_sv"), F.col(seed_col))).drop("_k", "_sv")
 
 
@@ -122,14 +126,14 @@ def compact_state(spark: SparkSession, path: str) -> DataFrame | None:
 def _compact_loads(spark: SparkSession, path: str):
     """Keep only each source's latest load intent (all a pending check looks at)."""
     from tidelake.session import path_exists, sibling_staging, swap_into_place
-    from tidelake.sinks.loads import loads_path
+    from tidelake.sinks.loads import LOADS_SCHEMA, loads_path
 
     lp = loads_path(path)
     if not path_exists(spark, lp):
         return
-    loads = spark.read.parquet(lp)
-    latest = (loads.groupBy("source").agg(F.max(F.struct("run_ts", "load_id", "target", "dirs")).alias("l"))
-              .select("source", "l.load_id", "l.target", "l.dirs", "l.run_ts"))
+    loads = spark.read.schema(LOADS_SCHEMA).parquet(lp)
+    latest = (loads.groupBy("source").agg(F.max(F.struct("run_ts", "load_id", "target", "dirs", "whole")).alias("l"))
+              .select("source", "l.load_id", "l.target", "l.dirs", "l.run_ts", "l.whole"))
     staging = sibling_staging(lp)
     latest.select(*loads.columns).coalesce(1).write.parquet(staging)
     swap_into_place(spark, staging, lp)

@@ -25,7 +25,13 @@ def table_mode(table_type: Column) -> Column:
 
 
 def validate_table_control(control: DataFrame) -> DataFrame:
-    """Adds ``mode`` and ``error`` (comma list of bad fields, NULL when the row is valid)."""
+    """Adds ``mode`` and ``error`` (comma list of bad fields, NULL when the row is valid).  Names and
+    keywords are normalised here, once: trimmed, and vendor, target kind and table type in lower
+    case, so that later steps compare them as they are."""
+    names = [c for c in ("rdbms_table_name", "schema_name", "hive_table_name", "target_dir", "check_column",
+                         "split_by_col") if c in control.columns]
+    words = [c for c in ("db_name", "hive_normal", "table_type") if c in control.columns]
+    control = control.withColumns({**{c: F.trim(c) for c in names}, **{c: F.lower(F.trim(c)) for c in words}})
     staged = control.withColumn("_mode", table_mode(F.col("table_type")))
     mode = F.col("_mode")
     checks = [
@@ -36,6 +42,8 @@ def validate_table_control(control: DataFrame) -> DataFrame:
         F.when(_blank(F.col("rdbms_table_name")), F.lit("rdbms_table_name")),
         F.when((mode == "incremental") & _blank(F.col("check_column")), F.lit("check_column")),
     ]
+    if "hive_table_name" in control.columns:  # a catalog target needs a name to register
+        checks.append(F.when((F.col("hive_normal") == "hive") & _blank(F.col("hive_table_name")), F.lit("hive_table_name")))
     staged = staged.withColumn("error", F.nullif(F.concat_ws(",", *checks), F.lit("")))
     return (staged.withColumn("mode", F.when(F.col("error").isNull(), mode)).drop("_mode")
             .select(*control.columns, "mode", "error"))

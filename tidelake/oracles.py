@@ -24,15 +24,30 @@ CONTROL = """(select
     as last_value
 from customer)"""
 
+FIELDS = {"customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment", "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+          "part": "p_partkey p_name p_brand p_type p_size p_retailprice"}
+
+
+def _placed(place, *tables):
+    """Records of tables as six text fields, with the folder they are expected in."""
+    def one(t):
+        cols = [f"cast({c} as varchar)" for c in FIELDS[t].split()] + ["null"] * 6
+        return f"select {', '.join(f'{c} as f{i}' for i, c in enumerate(cols[:6]))}, '{place}' as place from {t}"
+    return " union all ".join(map(one, tables))
+
+
 ORACLES = {
     "raw_delimited_scan": "select * from customer",
     "raw_scan_untyped": ("select cast(c_custkey as varchar) as _c0, c_name as _c1, "
-                         "cast(c_nationkey as varchar) as _c2, c_mktsegment as _c3 from customer"),
-    "null_marker_roundtrip": ("select o_orderkey, nullif(o_orderpriority, '3-MEDIUM') as o_orderpriority "
-                              "from orders"),
-    "null_marker_literal": ("select o_orderkey, coalesce(nullif(o_orderpriority, '3-MEDIUM'), '\\N') "
-                            "as o_orderpriority from orders"),
-    "field_split_exact": ("select c_custkey, case when c_custkey % 3 = 0 then '' when c_custkey % 3 = 1 "
+                         "cast(c_nationkey as varchar) as _c2, cast(c_acctbal as varchar) as _c3, c_mktsegment as _c4 from customer"),
+    "raw_scan_ragged": ("select cast(c_custkey as varchar) as _c0, c_name as _c1, cast(c_nationkey as varchar) as _c2, "
+                        "cast(c_acctbal as varchar) as _c3, c_mktsegment as _c4 from customer union all "
+                        "select cast(s_suppkey as varchar), s_name, cast(s_nationkey as varchar), "
+                        "cast(s_acctbal as varchar), null from supplier"),
+    "null_marker_roundtrip": "select * replace (nullif(o_orderpriority, '3-MEDIUM') as o_orderpriority) from orders",
+    "null_marker_literal": ("select * replace (coalesce(nullif(o_orderpriority, '3-MEDIUM'), '\\N') as o_orderpriority) "
+                            "from orders"),
+    "field_split_exact": ("select *, case when c_custkey % 3 = 0 then '' when c_custkey % 3 = 1 "
                           "then null else c_name end as v, '' as tail from customer"),
     "multiline_repair": "select doc_id, replace(text, chr(10), chr(92) || ' ') as text from documents",
     "raw_to_cleansed": "select *, date '2024-01-02' as date_part from orders",
@@ -73,9 +88,8 @@ ORACLES = {
     "route_all_matches": (f"select file_name, tab as table_name from {M} m "
                           f"join {ROUTES} c on starts_with(file_name, pattern)"),
     "gzip_landing": "select *, date '2024-01-02' as date_part from customer",
-    "zip_landing": ("select 'customer' as table_name, count(*) as n_rows, cast(sum(c_custkey) as bigint) "
-                    "as key_sum from customer union all "
-                    "select 'supplier', count(*), cast(sum(s_suppkey) as bigint) from supplier"),
+    "zip_landing": ("select 'customer' as table_name, *, date '2024-01-02' as date_part from customer union all "
+                    "select 'supplier', s_suppkey, s_name, s_nationkey, s_acctbal, null, date '2024-01-02' from supplier"),
     "control_table_scan": f"select * from {CONTROL}",
     "control_validate": f"""
 with c as (select * from {CONTROL}),
@@ -91,9 +105,7 @@ e as (select target_dir, mode0, nullif(concat_ws(',',
       ), '') as error from m)
 select target_dir, case when error is null then mode0 end as mode, error from e""",
     "stream_landing": "select * from customer",
-    "stream_landing_archive": ("select 5 as n_fields, count(*) as n_landed, count(*) as n_archived from customer "
-                               "union all select 4, count(*), count(*) from supplier "
-                               "union all select 6, count(*), cast(0 as bigint) from part"),
+    "stream_landing_archive": f"{_placed('landed', 'customer', 'supplier', 'part')} union all {_placed('archived', 'customer', 'supplier')}",
     "table_query": "select c_custkey from customer where c_mktsegment = 'FURNITURE'",
     "pipe_display": ("select concat_ws('|', c_custkey, c_name, coalesce(nullif(c_mktsegment, 'FURNITURE'), 'null')) "
                      "as line from customer"),
@@ -105,18 +117,31 @@ select target_dir, case when error is null then mode0 end as mode, error from e"
                                    f"join {ROUTES} c on starts_with(file_name, pattern)"),
     "bucket_listing_line": f"select strftime(modified, '%Y%m%d%H%M%S') || '|' || file_name as line from {M}",
     "bucket_pickup": "select * from customer",
-    "incremental_lastmodified": ("select *, date '2024-01-02' as date_part from orders "
-                                 "where o_orderdate >= timestamp '1998-01-01' and o_orderdate < timestamp '1999-01-01'"),
+    "incremental_lastmodified": ("select *, case when o_orderdate < timestamp '1997-01-01' or o_orderdate is null "
+                                 "then date '2024-01-01' else date '2024-01-02' end as date_part from orders"),
+    "lastmodified_clock": ("select *, date '2024-01-02' as date_part from orders "
+                           "where o_orderdate >= timestamp '1998-01-01' and o_orderdate < timestamp '1999-01-01'"),
+    "ingest_where": ("select *, date '2024-01-02' as date_part from orders "
+                     "where o_orderstatus = 'F' and o_totalprice > 100000"),
+    "gzip_landing_two_patterns": ("select *, case when c_custkey % 4 < 2 then date '2024-01-01' else date '2024-01-02' end "
+                                  "as date_part from customer"),
+    "landing_report": ("select 'customer' as table_name, 'ok' as status, cast(1 as bigint) as n_files, count(*) as n_rows "
+                       "from customer union all select 'supplier', 'ok', 2, count(*) from supplier union all "
+                       "select 'part', 'ok', 3, count(*) from part union all select 'nation', 'no_new_data', 0, 0"),
+    "table_preview": "select *, date '2024-01-02' as date_part from customer order by c_custkey limit 10",
+    "table_ddl": ("select column_name as col_name, case data_type when 'VARCHAR' then 'string' when 'INTEGER' then 'int' else lower(data_type) end "
+                  "as data_type from information_schema.columns where table_name = 'customer' "
+                  "union all select 'date_part', 'date'"),
     "cleansed_replace_partition": "select *, date '2024-01-02' as date_part from orders",
     "raw_scan_csv_mode": "select * from customer",
     "run_summary": ("select 'customer' as table_name, 'ok' as status, cast(2 as bigint) as n_runs, "
                     "cast(null as bigint) as n_files, 2 * count(*) as n_rows from customer union all "
                     "select 'orders', 'ok', 1, null, count(*) from orders union all "
                     "select 'orders', 'no_new_data', 1, null, 0"),
-    "bucket_pickup_archive": ("select 5 as n_fields, cast(0 as bigint) as n_staged, count(*) as n_archived "
-                              "from customer union all select 4, count(*), 0 from supplier"),
+    "bucket_pickup_archive": f"{_placed('staged', 'supplier')} union all {_placed('archived', 'customer')}",
     "stream_cleansed": "select *, date '2024-01-02' as date_part from orders",
     "watermark_compacted": (f"select event_type as source, max(modified) as high_water, "
                             f"arg_max(file_name, (modified, file_name)) as file_name from {M} group by 1"),
-    "gzip_landing_minute": "select *, date '2024-01-02' as date_part from customer",
+    "gzip_landing_minute": ("select *, date '2024-01-02' as date_part from customer "
+                            "where c_mktsegment is distinct from 'FURNITURE'"),
 }

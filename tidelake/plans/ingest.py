@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from tidelake.operators.increments import append_increment, lastmodified_increment
+from tidelake.operators.increments import lastmodified_increment, read_increment
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame, timed
-from tidelake.operators.state import read_state, seed_from_state, utc_now
+from tidelake.operators.state import read_state, seed_from_state
 from tidelake.operators.validate import validate_table_control
 from tidelake.session import local_frame, recover_target, sibling_staging, swap_into_place, today
 from tidelake.sinks.loads import append_exactly_once
 from tidelake.sinks.raw import write_raw
 from tidelake.sinks.tables import PARTITION, stamp_date
 from tidelake.sources.relational import jdbc_options, read_jdbc
-from tidelake.sources.tables import register_raw_table, sync_partitions
+from tidelake.sources.tables import quoted, register_raw_table, sync_partitions
 
 Source = Callable[[dict], DataFrame]
 
@@ -39,10 +39,11 @@ def jdbc_source(spark: SparkSession, connections: dict) -> Source:
                             **connections.get(row["db_name"], {}))
         bounds = row.get("split_bounds")
         split = row.get("split_by_col") if bounds is not None or row.get("mode") != "incremental" else None
-        # the where also bounds the split query; applying it again later is a no-op filter
+        # the where text is the database's: it also bounds the split query
         return read_jdbc(spark, opts, where=row.get("where_clause"), split_by=split,
                          num_partitions=row.get("num_mapper"), fetch_size=row.get("fetch_size"),
                          bounds=bounds)
+    read.applies_where = True
     return read
 
 
@@ -60,7 +61,7 @@ def _register(spark, row, df: DataFrame, fmt: str, run_date, replaced: bool):
     """``hive`` target: create the external catalog table on first load, then only add the
     new partition (append) or re-sync partitions (snapshot)."""
     name = row.get("hive_table_name")
-    if row.get("hive_normal") != "hive" or not name:
+    if row["hive_normal"] != "hive":  # normalised by the validation, which also asks for the name
         return
     if spark.catalog.tableExists(name):
         sync_partitions(spark, name, run_date, replaced=replaced)
@@ -69,41 +70,56 @@ def _register(spark, row, df: DataFrame, fmt: str, run_date, replaced: bool):
         register_raw_table(spark, name, row["target_dir"], ddl)
     else:
         spark.catalog.createTable(name, path=row["target_dir"], source=fmt)
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {quoted(name)}")
+
+
+def state_key(app: str):
+    """``app/vendor/schema/table``: tables of one name in two schemas keep two watermarks."""
+    some = [F.nullif(F.trim(c), F.lit("")) for c in (F.lower("db_name"), F.col("schema_name"), F.col("rdbms_table_name"))]
+    return F.concat_ws("/", F.lit(app), *some)
 
 
 def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, source: Source,
                   app: str = "app", run_date=None, run_start=None, fmt: str = "raw",
-                  staging: bool = True, max_parallel: int = 4) -> DataFrame:
+                  staging: bool = True, max_parallel: int = 4,
+                  source_now: Callable[[dict], object] | None = None) -> DataFrame:
     """Import every control row; returns the run report.
 
     * snapshot: the whole target is replaced by today's load (written next to it first and
       renamed into place, so a failing source leaves the target as it was);
     * append: rows above the stored (or seeded) value up to the maximum seen at run start;
-    * lastmodified: rows changed in ``[last, run_start)``, appended.
-
+    * lastmodified: changed rows, appended.  The upper bound is the source's, never this
+      driver's clock: ``source_now(row)``, the source's current timestamp, loads
+      ``[last, now)``; without it the largest stamp seen at run start is the bound and the
+      range is ``(last, largest]`` (from a seed ``[seed, largest]``).  With the latter a row that
+      later gets exactly the stamp of the previous maximum is not seen: give the clock where
+      stamps are coarse.  ``run_start`` fixes the bound by hand.
+
+    A first increment without stored value or seed also loads the rows whose check column is NULL.
     Watermarks are written only after the data commits.  A failing table is reported and
     the others still run.  Control rows are configuration and are handed out on the driver;
     each table's read and write run as Spark jobs, up to ``max_parallel`` at a time.
     """
-    run_start = run_start or utc_now()
     run_date = run_date or today(spark)  # one load date for every table of the run
     state = read_state(spark, state_path)
-    key = F.concat(F.lit(app + "/"), F.col("rdbms_table_name"))
-    rows = [r.asDict() for r in validate_table_control(seed_from_state(control, state, key)).collect()]
+    seeded = seed_from_state(control, state, state_key(app), flag_col="stored")
+    rows = [r.asDict() for r in validate_table_control(seeded).withColumn("source_key", state_key(app)).collect()]
     state_lock = threading.Lock()
+    for target in sorted({r["target_dir"] for r in rows if r["error"] is None and r["target_dir"]}):
+        recover_target(spark, target)
 
     def run(row: dict) -> Outcome:
         table = row.get("rdbms_table_name")
         spark.sparkContext.setJobDescription(f"tidelake ingest {app}/{table}")
         if row["error"] is not None or not row.get("target_dir"):
             return Outcome(app, table, row.get("mode"), INVALID, message=row["error"] or "target_dir")
-        kind = (row.get("table_type") or "snapshot").strip().lower()
+        kind = row.get("table_type") or "snapshot"
         try:
+            now = run_start if run_start is not None else source_now(row) if source_now else None
             return _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
-                               run_start, fmt, staging, state)
+                               now, fmt, staging, state)
         except Exception as e:  # reported per table; the others still run
-            return Outcome(app, table, kind, FAILED, message=str(e)[:1000])
+            return Outcome(app, table, kind, FAILED, message=str(e))
 
     # tables are independent Spark jobs: run a few at once so small tables do not leave a
     # large cluster idle (Spark schedules concurrent jobs from several driver threads)
@@ -112,15 +128,14 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
     return report_frame(spark, outcomes)
 
 
-def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, run_start, fmt,
+def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, now, fmt,
                 staging, state=None) -> Outcome:
     table = row.get("rdbms_table_name")
-    df = source(row)
-    if row.get("where_clause"):
-        df = df.where(row["where_clause"])
+    # a source that evaluates the where text itself says so; for others it is Spark SQL
+    where = None if getattr(source, "applies_where", False) else row.get("where_clause")
+    df = source(row).where(where) if where else source(row)
     obs = Observation(f"rows_{table}_{uuid.uuid4().hex[:6]}")
     if row["mode"] == "snapshot":
-        recover_target(spark, row["target_dir"])
         dest = sibling_staging(row["target_dir"]) if staging else row["target_dir"]
         _write(df, dest, run_date, "overwrite", fmt, obs)
         if staging:
@@ -130,36 +145,44 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
     check, last = row["check_column"], row.get("last_value")
     ctype = df.schema[check].dataType.simpleString()
     split = row.get("split_by_col") if (row.get("num_mapper") or 0) > 1 else None
-    lo = last if last is not None else "0001-01-01 00:00:00"
+    by_clock = kind == "lastmodified" and now is not None
 
     def increment(frame: DataFrame, hi=None) -> DataFrame:
-        if kind == "lastmodified":
-            return lastmodified_increment(frame, check, lo, str(run_start))
-        if last is None:
-            return frame if hi is None else frame.where(F.col(check) <= F.lit(str(hi)).cast(ctype))
-        return append_increment(frame, check, last, hi)
-
-    # one aggregate over the pushed increment range: the append upper bound (fixed once at
-    # run start, so every split reads the same range) and the split column's range
-    aggs = ([F.max(check).alias("hi")] if kind == "append" else []) + \
+        """Rows of this run; without ``hi`` the upper bound is still open."""
+        col = F.col(check)
+        if last is None:  # first load: everything so far, rows without a check value included
+            if by_clock:
+                return frame.where((col < F.lit(str(now)).cast(ctype)) | col.isNull())
+            return frame if hi is None else frame.where((col <= F.lit(str(hi)).cast(ctype)) | col.isNull())
+        if by_clock:
+            return lastmodified_increment(frame, check, last, str(now))
+        if kind == "lastmodified" and not row["stored"]:
+            seeded = frame.where(col >= F.lit(str(last)).cast(ctype))
+            return seeded if hi is None else seeded.where(col <= F.lit(str(hi)).cast(ctype))
+        if hi is None:
+            return frame.where(col > F.lit(str(last)).cast(ctype))
+        return read_increment(frame, check, last, "append", hi=hi)
+
+    # one aggregate over the pushed increment range: the upper bound (fixed once at run start,
+    # so every split reads the same range) and the split column's range
+    aggs = ([] if by_clock else [F.max(check).alias("hi")]) + \
         ([F.min(split).alias("s_lo"), F.max(split).alias("s_hi")] if split else [])
     b = increment(df).agg(*aggs).first() if aggs else None
-    hi = b["hi"] if kind == "append" else None
-    if kind == "append" and hi is None:
+    hi = None if by_clock else b["hi"]
+    if not by_clock and hi is None:
         return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
     if split and b["s_lo"] is not None:
         df = source({**row, "split_bounds": (b["s_lo"], b["s_hi"])})
-        if row.get("where_clause"):
-            df = df.where(row["where_clause"])
+        df = df.where(where) if where else df
     inc = increment(df, hi)
-    new_value = str(hi) if kind == "append" else str(run_start)
-    st = local_frame(spark, [(f"{app}/{table}", new_value, ctype)],
+    new_value = str(now) if by_clock else str(hi)
+    st = local_frame(spark, [(row["source_key"], new_value, ctype)],
                      "source string, value string, value_type string")
     # staged, renamed into place and committed with the watermark: a rerun after a crash
     # between data and watermark removes the uncommitted files instead of duplicating them
     written = append_exactly_once(spark, lambda path: _write(inc, path, run_date, "append", fmt, obs),
-                                  row["target_dir"], f"{app}/{table}", state_path, st, state_lock,
-                                  state=state)
+                                  row["target_dir"], row["source_key"], state_path, st, state_lock,
+                                  state=state, recover=False)
     if not written:  # an empty increment leaves target and watermark as they were
         return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
     _register(spark, row, df, fmt, run_date, replaced=False)

@@ -1,4 +1,10 @@
-"""File landing: new flat files (gzip per table, or one zip with many tables) into the lake."""
+"""File landing: new flat files (gzip per table, or one zip with many tables) into the lake.
+
+A run fixes what it lands once: the files of the listing that are newer than the stored watermark,
+up to the newest of them.  The content is then read from the folder under the same bounds on each
+file's own name, size and time, which Spark applies while listing, so no list of paths is made and a
+file rewritten meanwhile waits for the next run instead of slipping past the watermark.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +12,9 @@ import datetime as dt
 import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -15,18 +22,18 @@ from tidelake.operators.filters import (
     files_newer_than,
     files_newer_than_minute,
     files_non_empty,
-    files_with_prefix,
 )
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame, timed
 from tidelake.operators.routing import route_first_match
-from tidelake.operators.state import advance_watermarks, read_state, watermarks_with_default
+from tidelake.operators.state import append_state, read_state, watermarks_with_default
 from tidelake.operators.validate import validate_file_control
-from tidelake.sinks.loads import append_exactly_once
+from tidelake.sinks.loads import append_exactly_once, clean_pending
 from tidelake.sinks.raw import write_lines
 from tidelake.sinks.tables import PARTITION, stamp_date, write_routed_lines
-from tidelake.sources.archives import zip_member_lines, zip_members
-from tidelake.session import local_frame, move_path, today
-from tidelake.sources.listing import glob_escape, list_files
+from tidelake.sources.archives import zip_directory, zip_member_lines
+from tidelake.sources.control import first_row
+from tidelake.session import local_frame, move_path, recover_target, today
+from tidelake.sources.listing import file_lines, list_files
 
 
 def _watermarks(spark, state, sources) -> dict:
@@ -45,21 +52,47 @@ def _new_files(manifest: DataFrame, wm, precision: str) -> DataFrame:
     return files_non_empty(newer(manifest, wm))
 
 
+def _newest(files: DataFrame, *counts: Column):
+    """Number of files, the newest stamp (microseconds, so no local time is in the way) and name
+    among them, and ``counts``: one job."""
+    newest = F.max(F.struct(F.unix_micros("modified").alias("us"), "file_name")).alias("hi")
+    return files.agg(F.count(F.lit(1)).alias("n"), newest, *counts).first()
+
+
+def _mark(spark, source: str, hi) -> DataFrame:
+    row = local_frame(spark, [(source, hi["us"], hi["file_name"])], "source string, us bigint, file_name string")
+    return row.select("source", F.timestamp_micros("us").alias("high_water"), "file_name")
+
+
+def _up_to(files: DataFrame, hi) -> DataFrame:
+    return files.where(F.unix_micros("modified") <= F.lit(hi["us"]))
+
+
+def _first_match(patterns: list[str], numbers: list[int]) -> Column:
+    """Number of the first pattern that the file name begins with, or NULL."""
+    out = F.lit(None).cast("int")
+    for p, i in reversed(list(zip(patterns, numbers))):
+        out = F.when(F.col("file_name").startswith(p), F.lit(i)).otherwise(out)
+    return out
+
+
 def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: str = "app",
                mode: str | None = None, run_date=None, precision: str = "second",
                max_parallel: int = 4) -> DataFrame:
     """Land new files named by a file control table; returns the run report.
 
-    ``mode=None``: every control row is handled on its own — files ``pattern*`` in its
-    ``source_dir`` newer than the table's watermark and not empty are read (gzip is
-    decompressed by the text source) and appended under ``<target>/<table>/date_part=D``.
-    A file matching two rows lands in both tables.
+    ``mode=None``: files ``pattern*`` in a row's ``source_dir`` newer than the table's watermark
+    and not empty are read (gzip is decompressed by the text source) and appended under
+    ``<target>/<table>/date_part=D``.  Rows that name the same table and target are one load with
+    one watermark: each file lands once, counted for the first row whose pattern it begins with.
+    A file matching rows of two tables lands in both.
 
-    ``mode="consolidated"``: all files below the first row's ``source_dir`` newer than the
-    app's watermark are zip archives; their members are routed to the first control row
-    whose pattern prefixes the member name, written in one job and committed under
-    ``<target>/<table>/date_part=D`` (first row's ``target_dir``), the layout of per-table
-    mode; unmatched members are dropped.
+    ``mode="consolidated"``: all files below the first control row's ``source_dir`` (even if that
+    row is otherwise invalid) newer than the app's watermark are zip archives; their members are
+    routed to the first valid control row whose pattern prefixes the member name, written in one
+    job and committed under that row's ``<target>/<table>/date_part=D``; unmatched members are
+    dropped.  An archive that cannot be read is reported as ``failed``, and it and all archives
+    from its time on wait until it is replaced, so the watermark never passes it.
 
     ``precision="minute"`` reproduces the minute-granular cut-off of the source system.
     """
@@ -72,93 +105,134 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     if mode == "consolidated":
         return _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision)
     state_lock = threading.Lock()
-    valid = [r for r in rows if r["error"] is None]
-    marks = _watermarks(spark, state, [f"{app}/{r['table_name']}" for r in valid])
+    groups: dict[tuple[str, str], list[int]] = {}
+    for i, r in enumerate(rows):
+        if r["error"] is None:
+            groups.setdefault((r["table_name"], r["target_dir"].rstrip("/")), []).append(i)
+    targets: dict[str, int] = {}
+    for table, _ in groups:
+        targets[table] = targets.get(table, 0) + 1
+    source_of = {(t, d): f"{app}/{t}" if targets[t] == 1 else f"{app}/{t}#{d}" for t, d in groups}
+    marks = _watermarks(spark, state, source_of.values()) if groups else {}
     # one listing per source folder, shared by every control row reading from it
-    listings = {d: list_files(spark, d) for d in sorted({r["source_dir"] for r in valid})}
+    listings = {d: list_files(spark, d) for d in sorted({r["source_dir"] for r in rows if r["error"] is None})}
+    for table, target in groups:
+        recover_target(spark, f"{target}/{table}")
 
-    def run(row: dict) -> Outcome:
-        table = row["table_name"]
-        spark.sparkContext.setJobDescription(f"tidelake land {app}/{table}")
-        if row["error"] is not None:
-            return Outcome(app, table, "files", INVALID, message=row["error"])
+    def run(key: tuple[str, str]) -> list[Outcome]:
+        spark.sparkContext.setJobDescription(f"tidelake land {app}/{key[0]}")
+        mine = [rows[i] for i in groups[key]]
         try:
-            return _land_table(spark, row, listings[row["source_dir"]], marks[f"{app}/{table}"],
-                               state_path, state_lock, app, run_date, precision, state)
+            return _land_table(spark, mine, listings, marks[source_of[key]], state_path, state_lock, app,
+                               source_of[key], run_date, precision, state)
         except Exception as e:
-            return Outcome(app, table, "files", FAILED, message=str(e)[:1000])
-
-    # control rows are independent jobs; a few run at once to keep a large cluster busy
-    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(rows) or 1))) as pool:
-        outcomes = list(pool.map(inheritable_thread_target(spark)(timed(run)), rows))
-    return report_frame(spark, outcomes)
-
-
-def _land_table(spark, row, listing, wm, state_path, state_lock, app, run_date, precision,
-                state=None) -> Outcome:
-    table = row["table_name"]
-    source = f"{app}/{table}"
-    manifest = _new_files(files_with_prefix(listing, row["pattern"]), wm, precision)
-    # the new files of this table, taken from the folder's one shared listing: reading them
-    # by path avoids listing the (possibly huge) source folder again for every control row
-    new = manifest.select("path").collect()
-    if not new:
-        return Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0)
-    # paths are read as globs: escape glob characters that may occur in file names
-    lines = spark.read.text([glob_escape(r["path"]) for r in new]).select("value")
-    obs = Observation(f"land_{table}_{uuid.uuid4().hex[:6]}")
-    out = stamp_date(lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
-    append_exactly_once(spark, lambda path: write_lines(out, path, partition_by=PARTITION),
-                        f"{row['target_dir'].rstrip('/')}/{table}", source, state_path,
-                        advance_watermarks(manifest, F.lit(source)), state_lock, state=state)
-    return Outcome(app, table, "files", OK, n_files=len(new), n_rows=obs.get["n"])
+            return [Outcome(app, key[0], "files", FAILED, message=str(e)) for _ in mine]
 
+    # tables are independent jobs; a few run at once to keep a large cluster busy
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(groups) or 1))) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(timed(run)), groups))
+    outcomes = {i: Outcome(app, r["table_name"], "files", INVALID, message=r["error"], seconds=0.0)
+                for i, r in enumerate(rows) if r["error"] is not None}
+    for key, found in zip(groups, done):
+        outcomes.update(zip(groups[key], found))
+    return report_frame(spark, [outcomes[i] for i in range(len(rows))])
 
-def _table_folder(rel: str) -> str:
-    """``table_name=T/date_part=D`` (one partitioned write) -> ``T/date_part=D``."""
-    from urllib.parse import unquote
 
-    head, _, rest = rel.partition("/")
-    if not head.startswith("table_name="):
-        return rel
-    return f"{unquote(head.split('=', 1)[1])}/{rest}"  # partition values are %-escaped
+def _land_table(spark, rows, listings, wm, state_path, state_lock, app, source, run_date, precision,
+                state=None) -> list[Outcome]:
+    table = rows[0]["table_name"]
+    by_dir: dict[str, list[int]] = {}
+    for i, r in enumerate(rows):
+        by_dir.setdefault(r["source_dir"], []).append(i)
+
+    def picked(frame_of):
+        """Rows of each folder's frame that a pattern picks, with the control row's index."""
+        parts = []
+        for folder, mine in by_dir.items():
+            named = _first_match([rows[i]["pattern"] for i in mine], mine)
+            parts.append(_new_files(frame_of(folder), wm, precision).withColumn("_row", named)
+                         .where(F.col("_row").isNotNull()))
+        return reduce(DataFrame.unionByName, parts)
+
+    per_row = [F.count_if(F.col("_row") == i).alias(f"n{i}") for i in range(len(rows))]
+    found = _newest(picked(listings.get), *per_row)
+    if not found["n"]:
+        return [Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0) for _ in rows]
+    lines = _up_to(picked(lambda folder: file_lines(spark, folder)), found["hi"])
+    obs = Observation(f"land_{table}_{uuid.uuid4().hex[:6]}")
+    lines = lines.observe(obs, *[F.sum(F.when(F.col("_row") == i, 1).otherwise(0)).alias(f"r{i}") for i in range(len(rows))])
+    out = stamp_date(lines.select("value"), run_date)
+    append_exactly_once(spark, lambda path: write_lines(out, path, partition_by=PARTITION),
+                        f"{rows[0]['target_dir'].rstrip('/')}/{table}", source, state_path,
+                        _mark(spark, source, found["hi"]), state_lock, state=state, recover=False)
+    counts = obs.get
+    return [Outcome(app, table, "files", OK if found[f"n{i}"] else NO_NEW_DATA, n_files=found[f"n{i}"],
+                    n_rows=counts.get(f"r{i}") or 0) for i in range(len(rows))]
 
 
 def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision):
+    from urllib.parse import unquote
+
     valid = [r for r in rows if r["error"] is None]
+    invalid = [Outcome(app, r["table_name"], "zip", INVALID, message=r["error"]) for r in rows if r["error"] is not None]
     if not valid:
-        return report_frame(spark, [Outcome(app, r["table_name"], "zip", INVALID, message=r["error"])
-                                    for r in rows])
-    first = valid[0]
+        return report_frame(spark, invalid)
+    folder = (first_row(ctrl).orderBy("control_file").first()["source_dir"] or "").strip() or valid[0]["source_dir"]
     wm = _watermark(spark, state, app)
-    archives = _new_files(list_files(spark, first["source_dir"], recursive=True), wm, precision)
-    summary = archives.agg(F.count(F.lit(1)).alias("n")).first()
-    if not summary["n"]:
-        return report_frame(spark, [Outcome(app, r["table_name"], "zip", NO_NEW_DATA, 0, 0)
-                                    for r in valid])
-    members = zip_members(archives).withColumn("file_name", F.substring_index("member", "/", -1))
-    routing = ctrl.where(F.col("error").isNull()).select("line_no", "pattern", "table_name")
+    archives = _new_files(list_files(spark, folder, recursive=True), wm, precision)
+    listed = _newest(archives)
+    if not listed["n"]:
+        return report_frame(spark, invalid + [Outcome(app, r["table_name"], "zip", NO_NEW_DATA, 0, 0) for r in valid])
+    archives = _up_to(archives, listed["hi"])
+    directory = zip_directory(archives)
+    bad = directory.where(F.col("error").isNotNull())
+    failed = bad.groupBy("archive").agg(F.first("error").alias("error"), F.min(F.unix_micros("modified")).alias("us"))
+    blocked = failed.agg(F.min("us").alias("us"), F.count(F.lit(1)).alias("n")).first()
+    broken = []
+    if blocked["n"]:  # their paths go into the report, one row each
+        broken = [Outcome(app, r["archive"], "zip", FAILED, n_files=1, message=r["error"]) for r in failed.collect()]
+        archives = archives.where(F.unix_micros("modified") < F.lit(blocked["us"]))
+        directory = directory.where(F.unix_micros("modified") < F.lit(blocked["us"]))
+        listed = _newest(archives)
+        if not listed["n"]:
+            return report_frame(spark, invalid + broken)
+    members = (directory.where(F.col("error").isNull())
+               .withColumn("file_name", F.substring_index("member", "/", -1)))
+    # a row's number stands for its table and target folder, which the commit looks up
+    number = {}
+    for r in valid:
+        number.setdefault((r["table_name"], r["target_dir"].rstrip("/")), len(number))
+    places = [f"{d}/{t}" for t, d in number]
+    routing = local_frame(spark, [(r["line_no"], r["pattern"], number[r["table_name"], r["target_dir"].rstrip("/")])
+                                  for r in valid], "line_no int, pattern string, place int")
     routed = route_first_match(members.select("archive", "member", "file_name", "member_size"), routing,
                                key_cols=("archive", "member", "file_name", "member_size"))
-    tables = sorted({r["table_name"] for r in valid})
     obs = Observation(f"zip_rows_{uuid.uuid4().hex[:6]}")
-    lines = zip_member_lines(routed.select("archive", "member", "member_size", "table_name"))
+    lines = zip_member_lines(routed.select("archive", "member", F.col("place").cast("string").alias("table_name")))
     # rows and members (those with a first line) per table, counted while the lines are written
-    is_t = [F.col("table_name") == t for t in tables]
+    is_t = [F.col("table_name") == str(i) for i in range(len(places))]
     lines = lines.observe(
         obs, *[F.sum(F.when(c, 1).otherwise(0)).alias(f"t{i}") for i, c in enumerate(is_t)],
         *[F.sum(F.when(c & (F.col("line_no") == 0), 1).otherwise(0)).alias(f"f{i}") for i, c in enumerate(is_t)])
+
+    def place(rel: str) -> str:
+        """``table_name=<number>/date_part=D`` of the one partitioned write -> its own folder."""
+        first, _, rest = rel.partition("/")
+        return f"{places[int(unquote(first.split('=', 1)[1]))]}/{rest}"
+
+    mark = _mark(spark, app, listed["hi"])
     try:
-        # one write for all tables, landed as <target>/<table>/date_part=D like per-table mode
-        append_exactly_once(spark, lambda path: write_routed_lines(lines, path, run_date),
-                            first["target_dir"], app, state_path, advance_watermarks(archives, F.lit(app)),
-                            place=_table_folder)
+        written = append_exactly_once(spark, lambda path: write_routed_lines(lines, path, run_date),
+                                      valid[0]["target_dir"], app, state_path, mark,
+                                      place=place, state=state)
+        if not written:  # every archive was read, none had a member for these tables
+            append_state(mark, state_path)
     except Exception as e:
-        return report_frame(spark, [Outcome(app, t, "zip", FAILED, message=str(e)[:1000]) for t in tables])
+        return report_frame(spark, invalid + broken + [Outcome(app, t, "zip", FAILED, message=str(e)) for t, _ in number])
     counts = obs.get
-    return report_frame(spark, [Outcome(app, t, "zip", OK, n_files=counts.get(f"f{i}", 0) or 0,
-                                        n_rows=counts.get(f"t{i}", 0) or 0)
-                                for i, t in enumerate(tables)])
+    return report_frame(spark, invalid + broken + [
+        Outcome(app, t, "zip", OK, n_files=counts.get(f"f{i}") or 0, n_rows=counts.get(f"t{i}") or 0)
+        for i, (t, _) in enumerate(number)])
 
 
 def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_path: str,
@@ -168,21 +242,22 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
 
     With ``archive_dir``, the batch staged by the previous run is moved (one folder rename)
     to ``archive_dir/batch-<time>`` before the new batch is written, so ``stage_dir`` holds
-    only the latest batch for the dependent load.  Nothing is moved when nothing is new.
+    only the latest batch for the dependent load.  What a run that died left uncommitted in
+    ``stage_dir`` is removed first, so it is not archived.  Nothing is moved when nothing is new.
     """
     run_date = run_date or today(spark)
     state = read_state(spark, state_path)
     wm = _watermark(spark, state, source)
-    manifest = files_newer_than(list_files(spark, source_dir), wm)
-    new = manifest.select("path").collect()  # this run's new objects, from the one listing
-    if not new:
+    found = _newest(files_newer_than(list_files(spark, source_dir), wm))
+    if not found["n"]:
         return report_frame(spark, [Outcome(source, None, "pickup", NO_NEW_DATA, 0, 0)])
+    clean_pending(spark, state_path, source, state)
     if archive_dir:
         stamp = dt.datetime.now().strftime("%Y%m%d%H%M%S%f")
         move_path(spark, stage_dir, f"{archive_dir.rstrip('/')}/batch-{stamp}")
-    new_lines = spark.read.text([glob_escape(r["path"]) for r in new]).select("value")
+    new_lines = _up_to(files_newer_than(file_lines(spark, source_dir), wm), found["hi"]).select("value")
     obs = Observation(f"pickup_{uuid.uuid4().hex[:6]}")
     lines = stamp_date(new_lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
     append_exactly_once(spark, lambda path: write_lines(lines, path, partition_by=PARTITION), stage_dir,
-                        source, state_path, advance_watermarks(manifest, F.lit(source)))
-    return report_frame(spark, [Outcome(source, None, "pickup", OK, len(new), obs.get["n"])])
+                        source, state_path, _mark(spark, source, found["hi"]), state=state)
+    return report_frame(spark, [Outcome(source, None, "pickup", OK, found["n"], obs.get["n"])])

@@ -9,8 +9,8 @@ from tidelake.functions.text import pipe_line
 
 
 def query_table(spark: SparkSession, table, columns=None, where: dict | str | None = None,
-                limit: int | None = None) -> DataFrame:
-    """``SELECT columns FROM table WHERE ... [LIMIT n]``; ``table`` is a catalog name or a
+                limit: int | None = None, order_by=None) -> DataFrame:
+    """``SELECT columns FROM table WHERE ... [ORDER BY ...] [LIMIT n]``; ``table`` is a catalog name or a
     DataFrame.  Filters and the projection reach the scan (pushed filters, pruned schema,
     partition pruning on ``date_part``)."""
     df = spark.table(table) if isinstance(table, str) else table
@@ -21,6 +21,8 @@ def query_table(spark: SparkSession, table, columns=None, where: dict | str | No
         df = df.where(where)
     if columns:
         df = df.select(*([columns] if isinstance(columns, str) else columns))
+    if order_by:
+        df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
     if limit is not None:
         df = df.limit(int(limit))
     return df

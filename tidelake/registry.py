@@ -26,9 +26,9 @@ from tidelake.plans.query import display_lines, query_table
 from tidelake.session import local_frame, scratch_path
 from tidelake.sinks.raw import write_lines, write_raw
 from tidelake.sinks.tables import replace_snapshot, write_catalog_table
-from tidelake.sources.control import read_control
-from tidelake.sources.raw import read_raw
-from tidelake.sources.tables import register_raw_table, table_ddl
+from tidelake.sources.control import TABLE_COLUMNS, read_control
+from tidelake.sources.raw import parse_raw_lines, read_raw
+from tidelake.sources.tables import register_raw_table, table_columns
 from tidelake.streaming.landing import stream_land
 
 # Fixed values of the registered queries (shared with their oracle SQL).
@@ -76,13 +76,19 @@ def raw_delimited_scan(spark, sf_dir):
 
 def raw_scan_untyped(spark, sf_dir):
     """Raw reader without a schema: string columns _c0.._cN."""
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return read_raw(spark, _raw_copy(spark, cust, "raw-untyped"))
+    return read_raw(spark, _raw_copy(spark, table(spark, sf_dir, "customer"), "raw-untyped"))
+
+
+def raw_scan_ragged(spark, sf_dir):
+    """Lines of different widths in one folder: no field of the wider ones is lost."""
+    path = _raw_copy(spark, table(spark, sf_dir, "supplier"), "raw-ragged")
+    write_raw(table(spark, sf_dir, "customer"), path)
+    return read_raw(spark, path)
 
 
 def _priority_nulls(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")).alias("o_orderpriority"))
+    return table(spark, sf_dir, "orders").withColumn(
+        "o_orderpriority", F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")))
 
 
 def null_marker_roundtrip(spark, sf_dir):
@@ -103,7 +109,7 @@ def field_split_exact(spark, sf_dir):
     v = (F.when(F.col("c_custkey") % 3 == 0, F.lit(""))
          .when(F.col("c_custkey") % 3 == 1, F.lit(None).cast("string"))
          .otherwise(F.col("c_name")))
-    df = cust.select("c_custkey", v.alias("v"), F.lit("").alias("tail"))
+    df = cust.select("*", v.alias("v"), F.lit("").alias("tail"))
     return read_raw(spark, _raw_copy(spark, df, "raw-split"), schema=ddl_of(df))
 
 
@@ -175,10 +181,18 @@ def source_where_pushdown(spark, sf_dir):
 
 
 def _table_control(spark, rows) -> DataFrame:
-    ddl = ("table_type string, db_name string, hive_normal string, rdbms_table_name string, "
-           "schema_name string, hive_table_name string, target_dir string, where_clause string, "
-           "split_by_col string, fetch_size int, num_mapper int, check_column string, last_value string")
-    return local_frame(spark, rows, ddl)
+    whole = ("fetch_size", "num_mapper")
+    return local_frame(spark, rows, ", ".join(f"{c} {'int' if c in whole else 'string'}" for c in TABLE_COLUMNS))
+
+
+def ingest_where(spark, sf_dir):
+    """A control row's where clause decides what a snapshot import lands."""
+    orders = table(spark, sf_dir, "orders")
+    target = scratch_path(spark, "lake-orders")
+    ctrl = _table_control(spark, [("snapshot", "oracle", "normal", "ORDERS", "TPCH", None, target,
+                                   "o_orderstatus = 'F' AND o_totalprice > 100000", None, None, None, None, None)])
+    ingest_tables(spark, ctrl, scratch_path(spark, "state"), source=lambda row: orders, app="erp", run_date=RUN_DATE).collect()
+    return read_raw(spark, target, schema=ddl_of(orders))
 
 
 def _orders_ingest(spark, sf_dir, first_source):
@@ -334,14 +348,53 @@ def gzip_landing(spark, sf_dir):
     return read_raw(spark, f"{target}/customer", schema=ddl_of(cust))
 
 
+def gzip_landing_two_patterns(spark, sf_dir):
+    """Two control rows feed one table, run twice: every file lands once (C4, K6)."""
+    cust = table(spark, sf_dir, "customer")
+    one, two = scratch_path(spark, "landing-one"), scratch_path(spark, "landing-two")
+    target, st = scratch_path(spark, "landing-target"), scratch_path(spark, "state")
+    ctrl = _file_control(spark, [("part-", "customer", one, target), ("part-0", "customer", two, target)])
+    for k, day in enumerate((PREV_DATE, RUN_DATE)):
+        write_raw(cust.where(F.col("c_custkey") % 4 == 2 * k), one, compression="gzip")
+        write_raw(cust.where(F.col("c_custkey") % 4 == 2 * k + 1), two, compression="gzip")
+        land_files(spark, ctrl, st, app="crm", run_date=day).collect()
+    return read_raw(spark, f"{target}/customer", schema=ddl_of(cust))
+
+
+def landing_report(spark, sf_dir):
+    """Files and rows per table in the landing's report (A1, A4)."""
+    target, rows = scratch_path(spark, "landing-target"), []
+    for i, name in enumerate(("customer", "supplier", "part"), start=1):
+        src = scratch_path(spark, f"landing-{name}")
+        write_raw(table(spark, sf_dir, name).repartition(i), src)
+        rows.append(("part-", name, src, target))
+    rows.append(("none-", "nation", rows[0][2], target))
+    rep = land_files(spark, _file_control(spark, rows), scratch_path(spark, "state"), app="crm", run_date=RUN_DATE)
+    return rep.select("table_name", "status", "n_files", "n_rows")
+
+
+def _set_times(spark, path, stamp):
+    """Modification time of all files of a folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(p):
+        fs.setTimes(st.getPath(), int(stamp.replace(tzinfo=dt.timezone.utc).timestamp() * 1000), -1)
+
+
 def gzip_landing_minute(spark, sf_dir):
-    """Per-table gzip landing with the minute-granular cut-off."""
+    """Minute-granular cut-off against a stored watermark: of two later drops, the one in the
+    watermark's own minute stays out (F4, C4)."""
     cust = table(spark, sf_dir, "customer")
-    src, target = scratch_path(spark, "landing-src"), scratch_path(spark, "landing-target")
-    write_raw(cust, src, compression="gzip")
-    ctrl = _file_control(spark, [("part-", "customer", src, target)])
-    land_files(spark, ctrl, scratch_path(spark, "state"), app="crm", run_date=RUN_DATE,
-               precision="minute").collect()
+    root, target, st = scratch_path(spark, "landing"), scratch_path(spark, "landing-target"), scratch_path(spark, "state")
+    ctrl = _file_control(spark, [("part-", "customer", f"{root}/*", target)])
+    seg = F.col("c_mktsegment")
+    drops = [(seg == "BUILDING", "a", dt.datetime(2024, 1, 1, 12, 0, 30)), (seg == "FURNITURE", "b", dt.datetime(2024, 1, 1, 12, 0, 50)),
+             (~seg.isin("BUILDING", "FURNITURE") | seg.isNull(), "c", dt.datetime(2024, 1, 1, 12, 1, 30))]
+    for runs in (drops[:1], drops[1:]):
+        for rows, name, stamp in runs:
+            write_raw(cust.where(rows), f"{root}/{name}", compression="gzip")
+            _set_times(spark, f"{root}/{name}", stamp)
+        land_files(spark, ctrl, st, app="crm", run_date=RUN_DATE, precision="minute").collect()
     return read_raw(spark, f"{target}/customer", schema=ddl_of(cust))
 
 
@@ -362,20 +415,18 @@ def zip_landing(spark, sf_dir):
     lines = (cust.select(F.lit("customer").alias("table_name"), _raw_line(cust).alias("value"))
              .unionByName(supp.select(F.lit("supplier").alias("table_name"), _raw_line(supp).alias("value"))))
     src = scratch_path(spark, "zip-src")
-    target = scratch_path(spark, "zip-target")
+    one, two = scratch_path(spark, "zip-one"), scratch_path(spark, "zip-two")
     pack_zip_drops(lines, src).collect()
-    ctrl = _file_control(spark, [("customer_", "customer", src, target),
-                                 ("supplier_", "supplier", src, target),
-                                 ("cust", "other", src, target)])
+    ctrl = _file_control(spark, [("customer_", "customer", src, one),
+                                 ("supplier_", "supplier", src, two),
+                                 ("cust", "other", src, one)])
     land_files(spark, ctrl, scratch_path(spark, "state"), app="crm", mode="consolidated",
                run_date=RUN_DATE).collect()
-    landed = None
-    for t in ("customer", "supplier"):  # landed as <target>/<table>/date_part=D
-        part = spark.read.text(f"{target}/{t}").select(F.lit(t).alias("table_name"), "value")
-        landed = part if landed is None else landed.unionByName(part)
-    return (landed.groupBy("table_name")
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.sum(F.substring_index("value", BEL, 1).cast("bigint")).alias("key_sum")))
+    c = read_raw(spark, f"{one}/customer", schema=ddl_of(cust))
+    s = read_raw(spark, f"{two}/supplier", schema=ddl_of(supp))
+    return c.select(F.lit("customer").alias("table_name"), *c.columns).unionByName(
+        s.select(F.lit("supplier").alias("table_name"), *[F.col(x).alias(x.replace("s_", "c_", 1).replace("suppkey", "custkey"))
+                                                          for x in s.columns]), allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- control tables
@@ -413,14 +464,9 @@ def _control_file(spark, sf_dir) -> str:
     return path
 
 
-CONTROL_COLUMNS = ["table_type", "db_name", "hive_normal", "rdbms_table_name", "schema_name",
-                   "hive_table_name", "target_dir", "where_clause", "split_by_col", "fetch_size",
-                   "num_mapper", "check_column", "last_value"]
-
-
 def control_table_scan(spark, sf_dir):
     """Control file derived from customer, read back with quoting and blanks."""
-    return read_control(spark, _control_file(spark, sf_dir), "tables").select(*CONTROL_COLUMNS)
+    return read_control(spark, _control_file(spark, sf_dir), "tables").select(*TABLE_COLUMNS)
 
 
 def control_validate(spark, sf_dir):
@@ -471,12 +517,17 @@ def stream_landing_archive(spark, sf_dir):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
-    n_fields = F.size(split_exact("value")).alias("n_fields")
-    landed = spark.read.text(target).select(n_fields, F.lit(1).alias("l"), F.lit(0).alias("a"))
-    archived = (spark.read.option("recursiveFileLookup", "true").text(archive)
-                .select(n_fields, F.lit(0).alias("l"), F.lit(1).alias("a")))
-    return (landed.unionByName(archived).groupBy("n_fields")
-            .agg(F.sum("l").cast("bigint").alias("n_landed"), F.sum("a").cast("bigint").alias("n_archived")))
+    return _placed(spark, landed=target, archived=archive)
+
+
+def _placed(spark, **folders) -> DataFrame:
+    """Records of each folder (whatever table they are of) as six text fields."""
+    out = None
+    for place, folder in folders.items():
+        lines = spark.read.option("recursiveFileLookup", "true").text(folder)
+        part = parse_raw_lines(lines, ", ".join(f"f{i} string" for i in range(6))).withColumn("place", F.lit(place))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # ---------------------------------------------------------------- catalog tables and queries
@@ -504,13 +555,13 @@ def pipe_display(spark, sf_dir):
 
 
 def table_preview(spark, sf_dir):
-    """limit 10 preview (T2, P2; rows only)."""
-    return query_table(spark, _registered_customer(spark, sf_dir), limit=10)
+    """The first ten rows by key."""
+    return query_table(spark, _registered_customer(spark, sf_dir), limit=10, order_by="c_custkey")
 
 
 def table_ddl_query(spark, sf_dir):
-    """SHOW CREATE TABLE of the raw table (S17; rows only)."""
-    return table_ddl(spark, _registered_customer(spark, sf_dir))
+    """Columns of the registered raw table."""
+    return table_columns(spark, _registered_customer(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- further operator paths
@@ -544,15 +595,15 @@ def repair_to_raw(spark, sf_dir):
 
 
 def route_first_match_equijoin(spark, sf_dir):
-    """First-match routing without a forced broadcast of the control rows (large-control path)."""
+    """First-match routing by a shuffled join (the plan of a large control table)."""
     m = manifest(spark, sf_dir).select("file_name")
-    return routing.route_first_match(m, _routes(spark), broadcast_limit=0).select("file_name", "table_name")
+    return routing.route_first_match(m, _routes(spark).hint("merge")).select("file_name", "table_name")
 
 
 def route_all_matches_equijoin(spark, sf_dir):
-    """Every-match routing without a forced broadcast of the control rows (large-control path)."""
+    """Every-match routing by a shuffled join (the plan of a large control table)."""
     m = manifest(spark, sf_dir).select("file_name")
-    return routing.route_all_matches(m, _routes(spark), broadcast_limit=0).select("file_name", "table_name")
+    return routing.route_all_matches(m, _routes(spark).hint("merge")).select("file_name", "table_name")
 
 
 def bucket_listing_line(spark, sf_dir):
@@ -581,22 +632,30 @@ def bucket_pickup_archive(spark, sf_dir):
         write_raw(table(spark, sf_dir, name), f"{bucket}/{name}")
         pickup_files(spark, f"{bucket}/*", stage, st, source="crm", run_date=RUN_DATE,
                      archive_dir=archive).collect()
-    n_fields = F.size(split_exact("value")).alias("n_fields")
-    staged = spark.read.text(stage).select(n_fields, F.lit(1).alias("s"), F.lit(0).alias("a"))
-    archived = (spark.read.option("recursiveFileLookup", "true").text(archive)
-                .select(n_fields, F.lit(0).alias("s"), F.lit(1).alias("a")))
-    return (staged.unionByName(archived).groupBy("n_fields")
-            .agg(F.sum("s").cast("bigint").alias("n_staged"), F.sum("a").cast("bigint").alias("n_archived")))
+    return _placed(spark, staged=stage, archived=archive)
 
 
 def incremental_lastmodified(spark, sf_dir):
-    """Control-driven lastmodified import."""
+    """Control-driven lastmodified import over two runs of a source whose stamps lie far behind this
+    driver's clock: every row once, under the date of the run that first saw it (C3, S5)."""
+    orders = table(spark, sf_dir, "orders")
+    target, st = scratch_path(spark, "lake-orders"), scratch_path(spark, "state")
+    ctrl = _table_control(spark, [("LastModified", "Oracle", "normal", "ORDERS", "TPCH", None, target, None,
+                                   None, None, None, "o_orderdate", None)])
+    early = orders.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    for run_date, src in ((PREV_DATE, early), (RUN_DATE, orders)):
+        ingest_tables(spark, ctrl, st, source=lambda row, s=src: s, app="erp", run_date=run_date).collect()
+    return read_raw(spark, target, schema=ddl_of(orders))
+
+
+def lastmodified_clock(spark, sf_dir):
+    """Lastmodified import up to the source's own current time."""
     orders = table(spark, sf_dir, "orders")
     target = scratch_path(spark, "lake-orders")
     ctrl = _table_control(spark, [("lastmodified", "oracle", "normal", "ORDERS", "TPCH", None, target, None,
                                    None, None, None, "o_orderdate", "1998-01-01 00:00:00")])
     ingest_tables(spark, ctrl, scratch_path(spark, "state"), source=lambda row: orders, app="erp",
-                  run_date=RUN_DATE, run_start="1999-01-01 00:00:00").collect()
+                  run_date=RUN_DATE, source_now=lambda row: "1999-01-01 00:00:00").collect()
     return read_raw(spark, target, schema=ddl_of(orders))
 
 
@@ -683,4 +742,9 @@ QUERIES = {
     "stream_cleansed": stream_cleansed,
     "watermark_compacted": watermark_compacted,
     "gzip_landing_minute": gzip_landing_minute,
+    "gzip_landing_two_patterns": gzip_landing_two_patterns,
+    "landing_report": landing_report,
+    "raw_scan_ragged": raw_scan_ragged,
+    "ingest_where": ingest_where,
+    "lastmodified_clock": lastmodified_clock,
 }

@@ -12,13 +12,18 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and stream checkpoints.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (a shared file system
-    or object store path).  Only when the session names none (local runs, tests) do we make a
-    local one and register it as the checkpoint dir, so that ``checkpoint()`` works too.
+    or object store path); a cluster session that names none is refused, because a folder of
+    the driver's machine is not what executors see.  Only a ``local`` master without the
+    setting gets a local folder, registered as the checkpoint dir so that ``checkpoint()``
+    works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidelake-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -29,6 +34,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidelake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of its file system (the session's default one for ``/x``)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
 
@@ -94,7 +106,8 @@ def recover_target(spark: SparkSession, target: str) -> None:
     """Before writing to ``target``: undo a swap that a dead driver left half done (target
     moved aside, replacement not yet in place: the old folder comes back, the interrupted
     load simply runs again) and delete staging / moved-aside siblings of loads that never
-    finished.  Assumes one writer per target, which the control tables guarantee."""
+    finished.  A run calls it once per target, before any of its own loads begins (another
+    load's staging folder in mid-write would otherwise be taken for a dead one)."""
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
     dst = Path(target)
@@ -114,19 +127,29 @@ def recover_target(spark: SparkSession, target: str) -> None:
 
 
 def local_frame(spark: SparkSession, rows, ddl: str):
-    """A small DataFrame from driver-side rows (control rows, report rows, state rows),
-    built from literals so it is planned as an inline table and read without Python
-    workers.  Only for configuration-sized data."""
+    """A small DataFrame from driver-side rows (control rows, report rows, state rows), handed
+    over as one Arrow table, so its cost does not grow with an expression per value.  Values
+    that do not fit their column's type as they are (a number given as text) are cast by
+    Spark.  Only for configuration-sized data."""
+    import pyarrow as pa
     from pyspark.sql import functions as F
-    from pyspark.sql.types import StructType
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StringType, StructType, TimestampType
 
     schema = StructType.fromDDL(ddl)
     rows = list(rows)
     if not rows:
         return spark.createDataFrame([], schema)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
-               for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    columns, casts = [], []
+    for field, values in zip(schema.fields, zip(*rows)):
+        if isinstance(field.dataType, TimestampType):  # naive stamps are the driver's local time
+            values = [v.astimezone() if hasattr(v, "astimezone") else v for v in values]
+        try:
+            columns.append(pa.array(values, to_arrow_type(field.dataType)))
+        except (pa.ArrowInvalid, pa.ArrowTypeError, TypeError):
+            columns.append(pa.array([None if v is None else str(v) for v in values], to_arrow_type(StringType())))
+        casts.append(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name))
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names)).select(*casts)
 
 
 def today(spark: SparkSession) -> str:

@@ -4,14 +4,19 @@ An append and the watermark that follows it are two writes; a driver that dies b
 would, on rerun, load the same range again.  A load therefore goes:
 
 1. written in full to a staging folder next to the target (a Spark job);
-2. an *intent* row ``(source, load_id, target, dirs)`` is appended to ``<state>_loads``;
-3. the staged files are renamed into the target, named ``load-<id>-<file>``;
-4. the watermark rows are appended to the state table carrying ``load_id`` (the commit).
-
-A run first looks for its source's latest intent; if no state row carries that ``load_id``
-the load never committed, and its files (only in the recorded folders) are deleted before
-the range is loaded again.  Renames are metadata operations on HDFS-like stores; on object
-stores they are copies, still idempotent.
+2. an *intent* row ``(source, load_id, target, dirs, whole)`` is appended to ``<state>_loads``;
+3. each staged folder is renamed into the target.  A folder that the target does not have yet
+   (the first load of a date) is one rename, however many files it holds, and is recorded in
+   ``whole``; into a folder that exists its files are renamed one by one, a few at a time, as
+   ``load-<id>-<file>``;
+4. the watermark rows are appended to the state table carrying ``load_id`` (the commit), and
+   ``_SUCCESS`` is written.
+
+A run first looks for its source's latest intent; if no state row carries that ``load_id`` the
+load never committed, and its files are deleted before the range is loaded again: those named
+by its id, and in folders it created those that no later load named.  Loads of other sources
+into the same folder keep their files.  Renames are metadata operations on HDFS-like stores; on
+object stores they are copies, still idempotent.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ from pyspark.sql import functions as F
 
 from tidelake.session import local_frame, recover_target, sibling_staging
 
-LOADS_SCHEMA = "source string, load_id string, target string, dirs array<string>, run_ts timestamp"
+LOADS_SCHEMA = ("source string, load_id string, target string, dirs array<string>, run_ts timestamp, "
+                "whole array<string>")
+RENAMES_AT_ONCE = 16
 
 
 def loads_path(state_path: str) -> str:
@@ -37,58 +44,92 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def staged_files(spark: SparkSession, staging: str) -> list[tuple[str, str]]:
-    """``(relative folder, file name)`` of the data files of one staged load."""
-    jvm, root, fs = _fs(spark, staging)
-    if not fs.exists(root):
-        return []
-    base = fs.makeQualified(root).toString().rstrip("/")
-    out, it = [], fs.listFiles(root, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        name = p.getName()
-        if name.startswith("_") or name.startswith("."):
-            continue
-        parent = fs.makeQualified(p.getParent()).toString().rstrip("/")
-        out.append((parent[len(base):].lstrip("/"), name))
-    return out
-
-
 def _join(*parts: str) -> str:
     return "/".join(x.strip("/") if i else x.rstrip("/") for i, x in enumerate(parts) if x)
 
 
-def commit_files(spark: SparkSession, staging: str, target: str, load_id: str, files,
+def _dest(target: str, rel: str) -> str:
+    """A placed folder: below ``target``, or where it says itself (an absolute path)."""
+    return rel if rel.startswith("/") or "://" in rel or rel.startswith("file:") else _join(target, rel)
+
+
+def staged_folders(spark: SparkSession, staging: str) -> list[str]:
+    """Folders (relative) of a staged load that hold data files: one listing call each."""
+    jvm, root, fs = _fs(spark, staging)
+    if not fs.exists(root):
+        return []
+    base = fs.makeQualified(root).toString().rstrip("/")
+    out, todo = [], [root]
+    while todo:
+        folder, files = todo.pop(), False
+        for st in fs.listStatus(folder):
+            name = st.getPath().getName()
+            if name.startswith("_") or name.startswith("."):
+                continue
+            if st.isDirectory():
+                todo.append(st.getPath())
+            else:
+                files = True
+        if files:
+            out.append(fs.makeQualified(folder).toString().rstrip("/")[len(base):].lstrip("/"))
+    return sorted(out)
+
+
+def commit_files(spark: SparkSession, staging: str, target: str, load_id: str, folders, whole=(),
                  place: Callable[[str], str] | None = None):
-    """Rename staged files into ``target`` (``place`` maps a staged folder to its target
+    """Rename staged folders into ``target`` (``place`` maps a staged folder to its target
     folder, e.g. ``table_name=T/date_part=D`` -> ``T/date_part=D``)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     jvm, _, fs = _fs(spark, target)
     Path = jvm.org.apache.hadoop.fs.Path
-    for rel, name in files:
-        dst_dir = Path(_join(target, place(rel) if place else rel))
-        fs.mkdirs(dst_dir)
-        if not fs.rename(Path(_join(staging, rel, name)), Path(dst_dir, f"load-{load_id}-{name}")):
-            raise OSError(f"cannot move staged file {rel}/{name} into {target}")
+    for rel in folders:
+        placed = place(rel) if place else rel
+        dst = Path(_dest(target, placed))
+        if placed in whole:
+            fs.mkdirs(dst.getParent())
+            if not fs.rename(Path(_join(staging, rel)), dst):
+                raise OSError(f"cannot move staged folder {rel} into {target}")
+            continue
+        fs.mkdirs(dst)
+
+        def move(src, dst=dst):
+            if not fs.rename(src, Path(dst, f"load-{load_id}-{src.getName()}")):
+                raise OSError(f"cannot move staged file {src} into {dst}")
+
+        names = [st.getPath() for st in fs.listStatus(Path(_join(staging, rel))) if st.isFile()]
+        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+            list(pool.map(move, [p for p in names if not p.getName().startswith(("_", "."))]))
     fs.delete(Path(staging), True)
-    fs.create(Path(_join(target, "_SUCCESS")), True).close()  # for marker-driven schedulers
 
 
-def clean_load(spark: SparkSession, target: str, load_id: str, dirs) -> int:
-    """Delete the files of an uncommitted load (only in the folders it recorded)."""
+def clean_load(spark: SparkSession, target: str, load_id: str, dirs, whole=()) -> int:
+    """Delete the files of an uncommitted load (only in the folders it recorded): those that carry
+    its id, and in folders it created those that carry no id at all."""
     jvm, _, fs = _fs(spark, target)
     Path = jvm.org.apache.hadoop.fs.Path
     removed, prefix = 0, f"load-{load_id}-"
     for rel in dirs or [""]:
-        d = Path(_join(target, rel))
+        d = Path(_dest(target, rel))
         if not fs.exists(d):
             continue
         for st in fs.listStatus(d):
-            if st.getPath().getName().startswith(prefix):
-                fs.delete(st.getPath(), False)
+            name = st.getPath().getName()
+            if name.startswith(prefix) or (rel in (whole or ()) and not name.startswith("load-")):
+                fs.delete(st.getPath(), True)
                 removed += 1
+        if rel in (whole or ()) and not fs.listStatus(d):
+            fs.delete(d, True)
     return removed
 
 
+def clean_pending(spark: SparkSession, state_path: str, source: str, state: DataFrame | None = None) -> None:
+    """Remove what a load of ``source`` that never committed left in its target."""
+    pend = pending_load(spark, state_path, source, state)
+    if pend is not None:
+        clean_load(spark, pend["target"], pend["load_id"], pend["dirs"], pend["whole"])
+
+
 def pending_load(spark: SparkSession, state_path: str, source: str, state: DataFrame | None = None):
     """The source's latest intent if no state row commits it, else None (``state``: the
     state table if the caller has it open already)."""
@@ -98,8 +139,8 @@ def pending_load(spark: SparkSession, state_path: str, source: str, state: DataF
     lp = loads_path(state_path)
     if not path_exists(spark, lp):
         return None
-    latest = (spark.read.parquet(lp).where(F.col("source") == source)
-              .agg(F.max(F.struct("run_ts", "load_id", "target", "dirs")).alias("l"))
+    latest = (spark.read.schema(LOADS_SCHEMA).parquet(lp).where(F.col("source") == source)
+              .agg(F.max(F.struct("run_ts", "load_id", "target", "dirs", "whole")).alias("l"))
               .select("l.*").where(F.col("load_id").isNotNull()))
     state = state if state is not None else read_state(spark, state_path)
     if state is not None:  # one query: the latest intent unless a state row commits it
@@ -112,33 +153,37 @@ def pending_load(spark: SparkSession, state_path: str, source: str, state: DataF
 def append_exactly_once(spark: SparkSession, write: Callable[[str], None], target: str, source: str,
                         state_path: str, state_rows: DataFrame, lock=None,
                         state: DataFrame | None = None,
-                        place: Callable[[str], str] | None = None) -> bool:
+                        place: Callable[[str], str] | None = None, recover: bool = True) -> bool:
     """Run ``write(staging_folder)`` and commit it into ``target`` together with
     ``state_rows``; returns False (and commits nothing) when the load wrote no file.
-    ``place`` maps staged folders to target folders (see :func:`commit_files`)."""
+    ``place`` maps staged folders to target folders (see :func:`commit_files`).  A run loads a
+    source once; with several loads into one target it calls :func:`recover_target` itself
+    before the first and passes ``recover=False``."""
     from contextlib import nullcontext
 
     from tidelake.operators.state import append_state
 
     guard = lock or nullcontext()
-    pend = pending_load(spark, state_path, source, state)
-    if pend is not None:
-        clean_load(spark, pend["target"], pend["load_id"], pend["dirs"])
-    recover_target(spark, target)
+    clean_pending(spark, state_path, source, state)
+    if recover:
+        recover_target(spark, target)
     staging = sibling_staging(target)
     write(staging)
-    files = staged_files(spark, staging)
-    if not files:
-        _, root, fs = _fs(spark, staging)
+    folders = staged_folders(spark, staging)
+    jvm, root, fs = _fs(spark, staging)
+    if not folders:
         fs.delete(root, True)
         return False
     load_id = uuid.uuid4().hex[:16]
-    dirs = sorted({place(rel) if place else rel for rel, _ in files})
-    intent = local_frame(spark, [(source, load_id, target, dirs, None)], LOADS_SCHEMA) \
-        .withColumn("run_ts", F.current_timestamp())
-    with guard:
+    dirs = sorted({place(rel) if place else rel for rel in folders})
+    with guard:  # a folder is created by one load only
+        whole = [d for d in dirs if d and not fs.exists(jvm.org.apache.hadoop.fs.Path(_dest(target, d)))]
+        intent = local_frame(spark, [(source, load_id, target, dirs, None, whole)], LOADS_SCHEMA) \
+            .withColumn("run_ts", F.current_timestamp())
         intent.coalesce(1).write.mode("append").parquet(loads_path(state_path))
-    commit_files(spark, staging, target, load_id, files, place)
+        commit_files(spark, staging, target, load_id, folders, whole, place)
     with guard:
         append_state(state_rows, state_path, load_id=load_id)
+        for folder in sorted({target, *(d.split("/date_part=")[0] for d in dirs if _dest(target, d) == d)}):
+            fs.create(jvm.org.apache.hadoop.fs.Path(_join(folder, "_SUCCESS")), True).close()  # for marker-driven schedulers
     return True

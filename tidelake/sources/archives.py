@@ -4,25 +4,27 @@
   gzip cannot be split), so :func:`read_gzip_lines` is a plain text scan.
 * zip: Hadoop has no zip codec.  Archives are opened on executors: one pass lists the
   members of each archive (central directory only), the member list is routed and
-  re-partitioned so that members (and byte ranges of large members) spread over tasks,
-  and a second pass streams the lines out in Arrow batches — a large member never
-  becomes one value or one task's work.
+  re-partitioned so that members spread over tasks, and a second pass streams the lines
+  out in Arrow batches.  A deflated member can only be read from its start, so each is
+  inflated once, by one task, block by block: it never becomes one value, and a task's
+  memory does not grow with it.
 """
 
 from __future__ import annotations
 
 import zipfile
+from itertools import chain, groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.session import is_local_path, local_os_path
+from tidelake.session import is_local_path, local_os_path, qualified
 
 MEMBER_SCHEMA = "archive string, member string, member_size bigint"
 LINE_SCHEMA = "archive string, member string, line_no bigint, value string"
 BATCH_LINES = 8192
-RANGE_BYTES = 64 << 20  # uncompressed bytes of a member handled by one task
+DIRECTORY_SCHEMA = MEMBER_SCHEMA + ", error string, modified timestamp"
 
 
 def read_gzip_lines(spark: SparkSession, paths) -> DataFrame:
@@ -47,22 +49,27 @@ def open_binary(path: str):
     return filesystem.open_input_file(inner)
 
 
+def _signed(path: str) -> bool:
+    with open_binary(path) as fh:
+        return fh.read(2) == b"PK"
+
+
 def _list_members(batches):
-    cols = ["archive", "member", "member_size"]
+    cols = ["archive", "member", "member_size", "error", "modified"]
     for pdf in batches:
         rows = []
-        for archive in pdf["archive"]:
-            with open_binary(archive) as fh:
-                if not zipfile.is_zipfile(fh):
-                    continue  # not an archive: nothing to unpack (as unzip would refuse it)
-                fh.seek(0)
-                zf = zipfile.ZipFile(fh)
-                for info in zf.infolist():
-                    if not info.is_dir():
-                        rows.append((archive, info.filename, info.file_size))
-                        if len(rows) >= BATCH_LINES:
-                            yield pd.DataFrame(rows, columns=cols)
-                            rows = []
+        for archive, modified in zip(pdf["archive"], pdf["modified"]):
+            try:
+                with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
+                    for info in zf.infolist():
+                        if not info.is_dir():
+                            rows.append((archive, info.filename, info.file_size, None, modified))
+                            if len(rows) >= BATCH_LINES:
+                                yield pd.DataFrame(rows, columns=cols)
+                                rows = []
+            except (zipfile.BadZipFile, EOFError) as e:
+                if archive.lower().endswith(".zip") or _signed(archive):  # damaged; other files are no archives
+                    rows.append((archive, None, None, f"{archive}: {e}", modified))
         if rows:
             yield pd.DataFrame(rows, columns=cols)
 
@@ -70,53 +77,22 @@ def _list_members(batches):
 READ_BYTES = 1 << 20
 
 
-def member_line_batches(raw, start: int, end: int | None):
-    """Lines of a member stream whose first byte lies in ``[start, end)``, in blocks.
-
-    Yields ``(first_line_no, lines)`` with line numbers counted from the member's first
-    line.  Bytes before ``start`` are inflated and only their line breaks counted; blocks
-    lying wholly inside the range are split and decoded with single C-level calls, so
-    Python touches individual lines only at the two range borders.  A member split into
-    byte ranges thus gives every range exactly its own lines.  Lines end at LF; a CR
-    before the LF is dropped.
-    """
-    line_no = 0
-    carry, carry_at = b"", 0          # bytes of the line in progress and its offset
-    while True:
-        block = raw.read(READ_BYTES)
-        if not block:
-            break
-        data, data_at = carry + block, carry_at
-        if data_at < start:                                  # skip lines starting before start
-            cut = data.rfind(b"\n", 0, min(start - data_at, len(data)))
-            if cut >= 0:
-                line_no += data.count(b"\n", 0, cut + 1)
-                data, data_at = data[cut + 1:], data_at + cut + 1
-        last_nl = data.rfind(b"\n")
-        if last_nl < 0:
-            carry, carry_at = data, data_at
+def member_line_batches(raw):
+    """Lines of a member stream in blocks: ``(first_line_no, lines)``.  Blocks are split and
+    decoded with single C-level calls.  Lines end at LF; a CR before the LF is dropped."""
+    line_no, carry = 0, []
+    while block := raw.read(READ_BYTES):
+        last = block.rfind(b"\n")
+        if last < 0:
+            carry.append(block)  # joined once, when the line ends
             continue
-        complete, carry, carry_at = data[:last_nl], data[last_nl + 1:], data_at + last_nl + 1
-        parts = complete.split(b"\n")
-        if data_at >= start and (end is None or carry_at <= end):
-            yield line_no, _decode(parts)                    # whole block inside the range
-            line_no += len(parts)
-            continue
-        keep, first, at = [], None, data_at
-        for part in parts:                                   # border block
-            if end is not None and at >= end:
-                if keep:
-                    yield first, _decode(keep)
-                return
-            if at >= start:
-                first = line_no if first is None else first
-                keep.append(part)
-            line_no += 1
-            at += len(part) + 1
-        if keep:
-            yield first, _decode(keep)
-    if carry and carry_at >= start and (end is None or carry_at < end):
-        yield line_no, _decode([carry])
+        parts = (b"".join(carry) + block[:last]).split(b"\n")
+        carry = [block[last + 1:]]
+        yield line_no, _decode(parts)
+        line_no += len(parts)
+    rest = b"".join(carry)
+    if rest:
+        yield line_no, _decode([rest])
 
 
 def _decode(parts: list) -> list:
@@ -134,9 +110,8 @@ def _member_lines_fn(extra):
                 with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
                     for rec in group.itertuples(index=False):
                         tags = {c: getattr(rec, c) for c in extra}
-                        end = None if rec.range_end < 0 else int(rec.range_end)
                         with zf.open(rec.member) as raw:
-                            for first, lines in member_line_batches(raw, int(rec.range_start), end):
+                            for first, lines in member_line_batches(raw):
                                 for i in range(0, len(lines), BATCH_LINES):
                                     chunk = lines[i:i + BATCH_LINES]
                                     nos = range(first + i, first + i + len(chunk))
@@ -152,35 +127,29 @@ def _lines_frame(archive, member, line_nos, lines, tags):
     return pd.DataFrame(cols)
 
 
+def zip_directory(archives: DataFrame, path_col: str = "path") -> DataFrame:
+    """``(archive, member, member_size, error, modified)``: a row for every file inside each
+    archive, or one row with ``error`` for an archive (by name or signature) that cannot be read."""
+    modified = F.col("modified") if "modified" in archives.columns else F.lit(None).cast("timestamp").alias("modified")
+    return archives.select(F.col(path_col).alias("archive"), modified).mapInPandas(_list_members, DIRECTORY_SCHEMA)
+
+
 def zip_members(archives: DataFrame, path_col: str = "path") -> DataFrame:
-    """``(archive, member, member_size)`` for every file inside each archive."""
-    return archives.select(F.col(path_col).alias("archive")).mapInPandas(_list_members, MEMBER_SCHEMA)
+    """``(archive, member, member_size)`` for every file inside each readable archive; see
+    :func:`zip_directory` for the others."""
+    return zip_directory(archives, path_col).where("error is null").drop("error", "modified")
 
 
-def zip_member_lines(members: DataFrame, num_partitions: int | None = None,
-                     range_bytes: int = RANGE_BYTES) -> DataFrame:
+def zip_member_lines(members: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Lines of the given members: ``(archive, member, line_no, value)`` plus any other
     string columns of ``members`` (e.g. the routed table name), carried along per member.
-
-    A member larger than ``range_bytes`` (uncompressed, from ``member_size``) is cut into
-    byte ranges handled by different tasks, so one huge member is no hot task: each range
-    inflates the stream up to its end but decodes and emits only its own lines.  Ranges are
-    hash-spread over ``num_partitions`` tasks (default: shuffle partitions).
-    """
+    Members are hash-spread over ``num_partitions`` tasks (default: shuffle partitions)."""
     spark = members.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     extra = [c for c in members.columns if c not in ("archive", "member", "member_size")]
-    size = F.col("member_size") if "member_size" in members.columns else F.lit(0).cast("bigint")
-    n_ranges = F.greatest(F.lit(1), F.ceil(size / F.lit(range_bytes))).cast("int")
-    ranges = (members.select("archive", "member", *[F.col(c).cast("string") for c in extra],
-                             F.explode(F.sequence(F.lit(0), n_ranges - 1)).alias("_r"), n_ranges.alias("_n"))
-              .withColumn("range_start", (F.col("_r") * range_bytes).cast("bigint"))
-              .withColumn("range_end", F.when(F.col("_r") == F.col("_n") - 1, F.lit(-1).cast("bigint"))
-                          .otherwise(((F.col("_r") + 1) * range_bytes).cast("bigint")))
-              .drop("_r", "_n"))
-    spread = ranges.repartition(n, "archive", "member", "range_start")
+    wanted = members.select("archive", "member", *[F.col(c).cast("string") for c in extra])
     schema = LINE_SCHEMA + "".join(f", {c} string" for c in extra)
-    return spread.mapInPandas(_member_lines_fn(extra), schema)
+    return wanted.repartition(n, "archive", "member").mapInPandas(_member_lines_fn(extra), schema)
 
 
 def open_output(path: str):
@@ -196,25 +165,26 @@ def open_output(path: str):
 
 
 def _pack_fn(out_dir: str, suffix: str, run_tag: str):
+    """Writes a task's lines, sorted by table, member after member as they come."""
     def run(batches):
         from pyspark import TaskContext
 
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        if pdf.empty:
+        rows = ((t, v) for pdf in batches for t, v in zip(pdf["table_name"], pdf["value"]))
+        first = next(rows, None)
+        if first is None:
             return
         # named by partition: a retried or speculative attempt rewrites the same archive
         tag = f"{run_tag}_{TaskContext.get().partitionId():05d}"
-        archive = f"{out_dir.rstrip('/')}/drop_{tag}.zip"
-        rows = []
+        archive, done = f"{out_dir.rstrip('/')}/drop_{tag}.zip", []
         with open_output(archive) as fh, zipfile.ZipFile(fh, "w", zipfile.ZIP_DEFLATED) as zf:
-            for t, g in pdf.groupby("table_name", sort=True):
-                member = f"{t}_{tag}{suffix}"
-                zf.writestr(member, "".join(v + "\n" for v in g["value"]))
-                rows.append((archive, member, len(g)))
-        yield pd.DataFrame(rows, columns=["archive", "member", "n_lines"])
+            for table, lines in groupby(chain([first], rows), key=lambda r: r[0]):
+                member, n = f"{table}_{tag}{suffix}", 0
+                with zf.open(member, "w", force_zip64=True) as out:
+                    for _, value in lines:
+                        out.write(value.encode() + b"\n")
+                        n += 1
+                done.append((archive, member, n))
+        yield pd.DataFrame(done, columns=["archive", "member", "n_lines"])
     return run
 
 
@@ -227,6 +197,6 @@ def pack_zip_drops(lines: DataFrame, out_dir: str, num_archives: int | None = No
     import uuid
 
     n = num_archives or lines.rdd.getNumPartitions()
-    spread = lines.select("table_name", "value").repartition(max(1, int(n)))
-    return spread.mapInPandas(_pack_fn(out_dir, suffix, uuid.uuid4().hex[:8]),
+    spread = lines.select("table_name", "value").repartition(max(1, int(n))).sortWithinPartitions("table_name")
+    return spread.mapInPandas(_pack_fn(qualified(lines.sparkSession, out_dir), suffix, uuid.uuid4().hex[:8]),
                               "archive string, member string, n_lines bigint")

@@ -12,6 +12,7 @@ TABLE_CONTROL = (
     "schema_name string, hive_table_name string, target_dir string, where_clause string, "
     "split_by_col string, fetch_size int, num_mapper int, check_column string, last_value string"
 )
+TABLE_COLUMNS = [c.split()[0] for c in TABLE_CONTROL.split(", ")]
 KINDS = {"files": FILE_CONTROL, "tables": TABLE_CONTROL}
 
 

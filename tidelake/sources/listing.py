@@ -42,6 +42,16 @@ def list_files(spark: SparkSession, path, pattern: str | None = None,
     )
 
 
+def file_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines of the files under ``path`` with the columns of their manifest row: ``(value,
+    file_name, length, modified)``.  Filters on these columns are applied to the listing, so
+    files they exclude are not opened (gzip is decompressed by suffix)."""
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return spark.read.text(path).select(
+        "value", name.alias("file_name"), F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modified"))
+
+
 def listing_line(manifest: DataFrame, ts_col: str = "modified",
                  name_col: str = "file_name") -> DataFrame:
     """Bucket-listing projection: ``YYYYMMDDHHMMSS|name`` per object."""

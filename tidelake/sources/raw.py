@@ -46,13 +46,16 @@ def read_raw(
     sep: str = BEL,
     null_marker: str | None = NULL_MARKER,
     exact: bool = True,
+    rejects: str | None = None,
     **options,
 ) -> DataFrame:
     """Delimited raw scan.
 
-    Without ``schema`` every field is a string named ``_c0.._cN`` (width taken from the
-    first line, as the CSV source infers it); with a schema (StructType or DDL) fields are
-    converted with ``try_cast`` so a bad value becomes NULL instead of failing the job.
+    Without ``schema`` every field is a string named ``_c0.._cN``, as many as the widest line
+    has (one pass over the text), so fields that later files added are kept; with a schema
+    (StructType or DDL) fields are converted with ``try_cast`` so a bad value becomes NULL
+    instead of failing the job.  ``rejects="name"`` adds an array column of that name with the
+    names of the fields whose text could not be converted (empty when all could).
 
     ``exact=True`` (default) splits the text line itself, so an empty field stays ``''``
     and only the null marker becomes NULL.  ``exact=False`` uses Spark's CSV source, which
@@ -74,28 +77,30 @@ def read_raw(
 
     lines = _typed_date_part(read_raw_lines(spark, path, **options))
     if st is None:
-        first = (lines.select(F.size(split_exact("value", sep)).alias("n")).where("n > 0")
-                 .limit(1).collect())
-        width = first[0]["n"] if first else 0
+        width = lines.agg(F.max(F.size(split_exact("value", sep)))).first()[0] or 0
         st = StructType.fromDDL(", ".join(f"_c{i} string" for i in range(width))) if width else StructType()
-    return parse_raw_lines(lines, st, sep=sep, null_marker=null_marker)
+    return parse_raw_lines(lines, st, sep=sep, null_marker=null_marker, rejects=rejects)
 
 
 def parse_raw_lines(lines: DataFrame, schema, sep: str = BEL,
-                    null_marker: str | None = NULL_MARKER) -> DataFrame:
+                    null_marker: str | None = NULL_MARKER, rejects: str | None = None) -> DataFrame:
     """Fields of raw lines (column ``value``) as typed columns; other columns (partition
     columns) are kept.  Works on batch and streaming DataFrames alike."""
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     part_cols = [c for c in lines.columns if c != "value"]
     f = F.col("_f")
-    cols = []
+    cols, bad = [], []
     for i, fld in enumerate(st.fields):
         v = F.get(f, i)
         if null_marker is not None:
             v = F.when(v != F.lit(null_marker), v)
         if fld.dataType.simpleString() != "string":
-            v = v.try_cast(fld.dataType)
+            text, v = v, v.try_cast(fld.dataType)
+            bad.append(F.when(text.isNotNull() & v.isNull(), F.lit(fld.name)))
         cols.append(v.alias(fld.name))
+    if rejects:
+        none = F.array().cast("array<string>")
+        cols.append((F.array_compact(F.array(*bad)) if bad else none).alias(rejects))
     return lines.select(split_exact("value", sep).alias("_f"), *part_cols).select(*cols, *part_cols)
 
 

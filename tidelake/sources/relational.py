@@ -58,8 +58,11 @@ def split_bounds(spark: SparkSession, options: dict, split_by: str, where: str |
 def read_jdbc(spark: SparkSession, options: dict, where: str | None = None,
               split_by: str | None = None, num_partitions: int | None = None,
               fetch_size: int | None = None, bounds=None) -> DataFrame:
-    """Snapshot scan of one table; ``where`` and later filters are pushed to the database."""
-    reader = spark.read.format("jdbc").options(**options).option("preferTimestampNTZ", "true")
+    """Snapshot scan of one table.  ``where`` is text of the database's own dialect and goes to it
+    as it is, inside the relation that is read; later filters are pushed down by Spark."""
+    relation = f"(SELECT * FROM {options['dbtable']} WHERE {where}) q" if where else options["dbtable"]
+    reader = (spark.read.format("jdbc").options(**{**options, "dbtable": relation})
+              .option("preferTimestampNTZ", "true"))
     if fetch_size:
         reader = reader.option("fetchsize", str(int(fetch_size)))
     if split_by and num_partitions and int(num_partitions) > 1:
@@ -68,5 +71,4 @@ def read_jdbc(spark: SparkSession, options: dict, where: str | None = None,
         if lo is not None and hi is not None and not isinstance(lo, str):
             reader = (reader.option("partitionColumn", split_by).option("lowerBound", str(lo))
                       .option("upperBound", str(hi)).option("numPartitions", str(int(num_partitions))))
-    df = reader.load()
-    return df.where(where) if where else df
+    return reader.load()

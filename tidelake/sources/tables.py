@@ -19,25 +19,33 @@ def _sql_str(s: str) -> str:
     return "'" + "".join(out) + "'"
 
 
-def _q(name: str) -> str:
+def quoted(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
 def register_raw_table(spark: SparkSession, name: str, path: str, ddl: str,
-                       partitioned: bool = True, sep: str = BEL, null_marker: str = NULL_MARKER):
+                       partitioned: bool = True, sep: str = BEL, null_marker: str = NULL_MARKER,
+                       replace: bool = False):
     """External catalog table over a raw folder (``date_part=`` sub-folders become a
-    partition column, so queries on it prune folders)."""
+    partition column, so queries on it prune folders).  A table of this name that exists is
+    only replaced when ``replace`` says so, and never when it is a managed one, whose data
+    dropping it would delete.  SQL reads the folder through Spark's CSV source, which also
+    makes an unquoted empty field NULL; :func:`tidelake.sources.raw.read_raw` keeps it as the
+    empty string."""
     part = ", date_part DATE" if partitioned else ""
-    spark.sql(f"DROP TABLE IF EXISTS {_q(name)}")
+    if spark.catalog.tableExists(name):
+        if not replace or spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"table {name} exists")
+        spark.sql(f"DROP TABLE {quoted(name)}")
     opts = {"delimiter": sep, "nullValue": null_marker, "quote": "", "escape": "",
             "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
     opt_sql = ", ".join(f"{_sql_str(k)} {_sql_str(v)}" for k, v in opts.items())
     spark.sql(
-        f"CREATE TABLE {_q(name)} ({ddl}{part}) USING csv OPTIONS ({opt_sql}) "
+        f"CREATE TABLE {quoted(name)} ({ddl}{part}) USING csv OPTIONS ({opt_sql}) "
         + ("PARTITIONED BY (date_part) " if partitioned else "")
         + f"LOCATION {_sql_str(path)}")
     if partitioned:
-        spark.sql(f"MSCK REPAIR TABLE {_q(name)}")
+        spark.sql(f"MSCK REPAIR TABLE {quoted(name)}")
 
 
 def sync_partitions(spark: SparkSession, name: str, new_date=None, replaced: bool = False):
@@ -45,12 +53,18 @@ def sync_partitions(spark: SparkSession, name: str, new_date=None, replaced: boo
     ``date_part`` for an append, or re-sync all partitions (dropping vanished ones) after a
     snapshot replaced the folder.  Avoids re-listing every partition on each append."""
     if replaced or new_date is None:
-        spark.sql(f"MSCK REPAIR TABLE {_q(name)} SYNC PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {quoted(name)} SYNC PARTITIONS")
     else:
-        spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS PARTITION (date_part = {_sql_str(str(new_date))})")
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD IF NOT EXISTS PARTITION (date_part = {_sql_str(str(new_date))})")
     spark.catalog.refreshTable(name)  # drop cached file listings of the table
 
 
 def table_ddl(spark: SparkSession, name: str) -> DataFrame:
     """``SHOW CREATE TABLE`` as a one-row DataFrame (column ``createtab_stmt``)."""
-    return spark.sql(f"SHOW CREATE TABLE {_q(name)}")
+    return spark.sql(f"SHOW CREATE TABLE {quoted(name)}")
+
+
+def table_columns(spark: SparkSession, name: str) -> DataFrame:
+    """Column list of a table: ``(col_name, data_type)``, partition columns last."""
+    return (spark.sql(f"DESCRIBE TABLE {quoted(name)}").where("col_name <> '' and not col_name like '#%'")
+            .select("col_name", "data_type").distinct())

@@ -1,12 +1,19 @@
 """Landing as a file-source stream.
 
 The file source remembers every file it has processed in the checkpoint, so a run picks up
-exactly the files not seen before (late files included, unlike a timestamp watermark) and
+exactly the files not seen before (late files included, unlike a timestamp watermark: see
+``max_file_age``) and
 the file sink commits each micro-batch once; a rerun after a failure resumes from the
 checkpoint.  ``availableNow`` (default) processes what is there and stops, which is how a
 scheduled pickup runs; ``processing_time="1 minute"`` keeps the query running and returns
-its handle (``run_date`` left empty then stamps each micro-batch with its own day).  With ``archive_dir`` the source moves the files of a committed batch there
-(the batch before the current one), like the source system's archive step.
+its handle (``run_date`` left empty then stamps each micro-batch with its own day).  With
+``archive_dir`` the source moves the files of a committed batch there (the batch before the
+current one), like the source system's archive step.
+
+``max_file_age`` is handed to Spark's ``maxFileAge``: files older than the newest one seen by
+more than this are never landed.  Spark's own default of seven days would drop late files for
+good, so the default here is a hundred years, which loses nothing; a shorter age bounds the
+number of file names that the checkpoint remembers, at the price of files later than that.
 """
 
 from __future__ import annotations
@@ -14,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tidelake.functions.time import run_date_col
-from tidelake.session import scratch_path
+
+KEEP_ALL = "36500d"
 
 
 def _run(writer, target: str, processing_time: str | None, timeout_s: float | None = None):
@@ -34,16 +42,15 @@ def _run(writer, target: str, processing_time: str | None, timeout_s: float | No
 
 
 def stream_land(spark: SparkSession, source_dir: str, target_dir: str,
-                checkpoint: str | None = None, archive_dir: str | None = None,
+                checkpoint: str, archive_dir: str | None = None,
                 run_date=None, max_files_per_trigger: int | None = None,
-                timeout_s: float | None = None, processing_time: str | None = None):
+                timeout_s: float | None = None, processing_time: str | None = None,
+                max_file_age: str = KEEP_ALL):
     """Land new lines of ``source_dir`` into ``target_dir/date_part=D`` (text); returns
     ``{"batches": n, "rows": n}`` for this run, or the running query with
     ``processing_time``.  Pass the same ``checkpoint`` on every run: it is what remembers the
-    files already landed (without one, a fresh folder under the scratch root is used and
-    the run starts from nothing)."""
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-    reader = spark.readStream.format("text")
+    files already landed."""
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
@@ -55,9 +62,10 @@ def stream_land(spark: SparkSession, source_dir: str, target_dir: str,
 
 
 def stream_raw_to_cleansed(spark: SparkSession, raw_dir: str, cleansed_dir: str, schema,
-                           checkpoint: str | None = None, run_date=None, sep: str = "\u0007",
+                           checkpoint: str, run_date=None, sep: str = "\u0007",
                            null_marker: str | None = "\\N", fmt: str = "com.databricks.spark.avro",
-                           max_files_per_trigger: int | None = None, processing_time: str | None = None):
+                           max_files_per_trigger: int | None = None, processing_time: str | None = None,
+                           max_file_age: str = KEEP_ALL):
     """Raw -> cleansed as a stream: new raw files are parsed with the batch reader's rules,
     stamped with ``date_part`` and appended to a date-partitioned Avro table by the file sink
     (exactly once per file via the checkpoint and the sink log).  Readers of ``cleansed_dir``
@@ -65,8 +73,7 @@ def stream_raw_to_cleansed(spark: SparkSession, raw_dir: str, cleansed_dir: str,
     :func:`stream_land`, pass the same ``checkpoint`` on every run."""
     from tidelake.sources.raw import parse_raw_lines
 
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     parsed = parse_raw_lines(reader.load(raw_dir).select("value"), schema, sep=sep, null_marker=null_marker)
