@@ -44,7 +44,7 @@ def texts(batch: pa.RecordBatch, name: str) -> pa.Array:
     col = batch.column(batch.schema.get_field_index(name))
     if not pa.types.is_string(col.type):
         col = col.cast(pa.string())
-    return pc.fill_null(col, "")
+    return pc.fill_null(col, "") if col.null_count else col
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

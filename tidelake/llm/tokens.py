@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from tidelake.llm.words import raw_text, run_hashes
 
-SLOTS_LOG2 = 22  # slots of the cache's hash table, filled to a half
+SLOTS_LOG2 = 21  # slots of the cache's hash table, filled to a half
 LONG = 64
 PARTS = 20_000  # parts encoded in one call, line by line
 PLAIN = np.arange(1, 257, dtype=np.uint64)
@@ -191,7 +191,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def by_bytes(col: pa.Array, limit: int = 1 << 20):
+def by_bytes(col: pa.Array, limit: int = 1 << 19):
     """Row ranges of a string array of about ``limit`` bytes each (a longer row alone)."""
     off = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
     lo = 0

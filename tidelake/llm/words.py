@@ -13,7 +13,7 @@ import pyarrow as pa
 # splitmix64 finaliser and odd multipliers.
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE, GOLDEN = 0x9E3779B97F4A7C15 | 1, np.uint64(0x9E3779B97F4A7C15)
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
