@@ -8,8 +8,12 @@
    that fit in the sketch are exact), so a class with ``s`` values enters the lists of its
    ``s - c + 1`` rarest values only: a value common to many otherwise different documents is not
    followed.  Short lists give all their pairs.  A long list gives each member's pair with the
-   list's smallest member; after verification only members outside that member's component
-   remain, and these are paired with the list in bounded rounds until none is left.
+   list's smallest member, which after verification leaves most members in one component.
+   Lists that still have several components are finished exactly on full sets: among their
+   members, those outside their list's commonest component look for partners of other components
+   by their rarest shingles (prefix and positional filter): shingles that no other member has
+   come first, so a member with too many of them is paired with nobody, and a large group that
+   is already one component pairs nothing.
 3. Union-sketch estimates drop hopeless pairs, and the Jaccard similarity of the full sets
    decides, as ``den * intersection >= num * union``.
 4. Components of the links (``components``) give every document its component.
@@ -26,14 +30,14 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import column, stored, table, texts
 from tidelake.llm.components import components
 from tidelake.llm.words import mix, shingle_sets
 
-SHINGLE, SKETCH, SHORT_LIST = 5, 32, 8
+SHINGLE, SKETCH, SHORT_LIST, BITS = 5, 32, 8, 1 << 24
 MISSED = 1e-9
 
 
@@ -64,15 +68,29 @@ def sketch_rows(docs: DataFrame, shingle: int, k: int) -> DataFrame:
         run, "doc_id long, n long, d1 long, d2 long, sketch array<long>")
 
 
-def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, items): full shingle sets of the documents whose id is in ``wanted`` (node), found
+    without moving texts: a bit table of fixed size (``BITS``) with the wanted ids' hashes goes to the
+    tasks, and a document whose bit is unset is skipped.  Some others come along unasked; they
+    match nothing later."""
+    place = F.pmod(F.xxhash64(F.col("node")), F.lit(BITS))
+    words = (wanted.withColumn("place", place)
+             .selectExpr("cast(place div 32 as int) as w", "shiftleft(1, cast(place % 32 as int)) as x").groupBy("w").agg(F.bit_or("x").alias("x")).toArrow())  # at most BITS / 32 rows
+    table_ = np.zeros(BITS // 32, np.uint32)
+    table_[words["w"].to_numpy()] = words["x"].to_numpy().view(np.uint32)
+    shared = docs.sparkSession.sparkContext.broadcast(table_)
+
     def run(batches):
         for batch in batches:
+            at = column(batch, "place").to_numpy()
+            asked = (shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)
+            batch = batch.filter(pa.array(asked.astype(bool)))
             sets = [s.view(np.int64) for s in shingle_sets(texts(batch, "text"), shingle)]
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(sets, pa.list_(pa.int64()))],
+            yield pa.RecordBatch.from_arrays([column(batch, "node"), pa.array(sets, pa.list_(pa.int64()))],
                                              names=["node", "items"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "node long, items array<long>")
+    named = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string")).where("node is not null")
+    return named.withColumn("place", place.cast("long")).mapInArrow(run, "node long, items array<long>")
 
 
 def sizes_agree(a: str, b: str, num: int, den: int) -> Column:
@@ -86,18 +104,23 @@ class Linker:
         self.docs, self.nodes, self.shingle = docs, nodes, shingle
         self.k, self.num, self.den, self.c = k, num, den, least_shared(k, num, den)
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (a, b) whose full sets reach the threshold."""
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, items): full shingle sets of ``nodes`` (node), one row each."""
+        return stored(full_sets(self.docs, nodes, self.shingle).dropDuplicates(["node"]), "sets")
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (a, b) that the union-sketch estimate does not rule out."""
         sk = self.nodes.select("node", "sketch")
         near = (pairs.join(sk.toDF("a", "sa"), "a").join(sk.toDF("b", "sb"), "b")
                 .withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, self.k))
                 .withColumn("m", F.size(F.array_intersect(F.array_intersect("u", "sa"), "sb")))
                 .where(F.when(F.size("u") < self.k, F.col("m") * self.den >= F.size("u") * self.num)
                        .otherwise(F.col("m") >= self.c)))
-        near = stored(near.select("a", "b"), "near-pairs")
-        wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-        full = stored(full_sets(self.docs.join(wanted, "doc_id", "left_semi"), self.shingle), "sets")
-        both = (near.join(full.toDF("a", "ia"), "a").join(full.toDF("b", "ib"), "b")
+        return stored(near.select("a", "b"), "near-pairs")
+
+    def verified(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (a, b) whose full sets reach the threshold."""
+        both = (pairs.join(full.toDF("a", "ia"), "a").join(full.toDF("b", "ib"), "b")
                 .withColumn("i", F.size(F.array_intersect("ia", "ib")))
                 .where(F.col("i") * self.den >= (F.size("ia") + F.size("ib") - F.col("i")) * self.num))
         return stored(both.select("a", "b"), "links")
@@ -122,7 +145,6 @@ def ordered(x: str, y: str) -> list[Column]:
 
 def link_classes(docs: DataFrame, nodes: DataFrame, shingle: int, k: int, num: int, den: int) -> DataFrame:
     """(node, comp) of every class that has a link."""
-    spark = docs.sparkSession
     linker = Linker(docs, nodes, shingle, k, num, den)
     index = stored(inverted_lists(nodes, k, num, den), "index")
     lists = index.groupBy("v").agg(F.count("*").alias("m"), F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"))
@@ -133,32 +155,38 @@ def link_classes(docs: DataFrame, nodes: DataFrame, shingle: int, k: int, num: i
     long = stored(index.join(lists.where(F.col("m") > SHORT_LIST), "v"), "long-lists")
     stars = (long.where(F.col("node") != F.col("hub")).where(sizes_agree("n", "hub_n", num, den))
              .select(*ordered("node", "hub")))
-    links = linker.verified(pairs.union(stars).distinct())
+    near = linker.near(pairs.union(stars).distinct())
+    wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    links = linker.verified(near, linker.sets_of(wanted))
     comps = components(links)
 
-    # Members of long lists outside their hub's component, by rounds of bounded size in hash order.
-    order, done, top = F.xxhash64("node"), -(1 << 63), (1 << 63) - 1
-    while True:
-        member = (long.select("v", "node", "n", "hub").join(comps, "node", "left")
-                  .withColumn("comp", F.coalesce("comp", "node")))
-        hubs = comps.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-        member = stored(member.join(hubs, "hub", "left").withColumn("hub_comp", F.coalesce("hub_comp", "hub")), "members")
-        out = F.col("comp") != F.col("hub_comp")
-        left = stored(member.groupBy("v").agg(F.count("*").alias("m"), F.sum((out & (order > done)).cast("long")).alias("r"))
-                      .where("r > 0"), "open-lists")
-        work, rows = left.agg(F.sum(F.col("m") * F.col("r")), F.sum("m")).first()
-        if not work:
-            return comps
-        share = min(1.0, (4 * rows + 1_000_000) / work)
-        upto = top if share == 1.0 else done + max(1, int((top - done) * share))
-        member = member.join(left.select("v"), "v")
-        outer = member.where(out & (order > done) & (order <= upto)).select("v", "node", "n", "comp")
-        more = (member.select("v", "node", "n", "comp").toDF("v", "node2", "n2", "comp2").join(outer, "v")
-                .where(F.col("comp") != F.col("comp2")).where(sizes_agree("n", "n2", num, den))
-                .select(*ordered("node", "node2")).distinct())
-        found = linker.verified(more)
-        links = links.union(found)
-        comps, done = components(links), upto
+    member = long.select("v", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    member = stored(member, "members")
+    per = member.groupBy("v", "comp").agg(F.count("*").alias("k"))
+    per = per.groupBy("v").agg(F.max(F.struct("k", "comp")).getField("comp").alias("main"), F.count("*").alias("comps"))
+    several = member.join(per.where("comps > 1"), "v")
+    left = stored(several.groupBy("node", "comp").agg(F.max(F.col("comp") != F.col("main")).alias("outer")), "open-classes")
+    if not left.limit(1).count():
+        return comps
+    full = linker.sets_of(left.select("node"))
+    more = stored(across_components(full.join(left, "node"), num, den), "near-pairs")
+    return components(links.union(linker.verified(more, full)))
+
+
+def across_components(classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): pairs of an ``outer`` one of ``classes`` (node, items, comp, outer) and a class of
+    another component that may reach the threshold, by prefix and positional filter over the outer
+    one's shingles in order of rarity."""
+    rows = classes.select("node", "comp", "outer", F.size("items").alias("n"), F.explode("items").alias("g"))
+    rarity = rows.groupBy("g").agg(F.count("*").alias("df"))
+    rank = Window.partitionBy("node").orderBy("df", "g")  # a class's own shingles
+    outer = rows.where("outer").drop("outer").join(rarity, "g").withColumn("p", F.row_number().over(rank))
+    outer = outer.where((F.col("p") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) & (F.col("df") > 1)).drop("df")
+    other = rows.drop("outer").toDF("node2", "comp2", "n2", "g")
+    reach = 1 + F.col("n") - F.col("p")  # largest possible intersection, if this is the first shared shingle
+    fits = ((F.col("comp") != F.col("comp2")) & sizes_agree("n", "n2", num, den)
+            & (reach * (num + den) >= (F.col("n") + F.col("n2")) * num))
+    return outer.join(other, "g").where(fits).select(*ordered("node", "node2")).distinct()
 
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, shingle: int = SHINGLE, k: int = SKETCH) -> DataFrame:
