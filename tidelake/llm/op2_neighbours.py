@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidelake.llm.common import column, stored, table
 from tidelake.llm.graph_partition import balanced_parts, neighbours, train_router
 
-SAMPLE, PART_ROWS, GRAPH_K, RECALL = 8192, 1500, 10, 0.985
+SAMPLE, PART_ROWS, GRAPH_K, RECALL = 8192, 4096, 10, 0.97
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 
 
