@@ -12,7 +12,7 @@ def components(links: DataFrame) -> DataFrame:
     """``links`` (a long, b long) -> (node, comp): comp is the smallest node reachable.  Each
     round takes the least label among neighbours, then replaces a label by that label's own, so
     long chains halve; tables are written between rounds, nothing is collected but a count."""
-    both = stored(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "edges")
+    both = stored(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))), "edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                     .select("node", F.least("node", "m").alias("comp")), "labels")
     while True:

@@ -170,7 +170,8 @@ def link_classes(docs: DataFrame, nodes: DataFrame, shingle: int, k: int, num: i
         return comps
     full = linker.sets_of(left.select("node"))
     more = stored(across_components(full.join(left, "node"), num, den), "near-pairs")
-    return components(links.union(linker.verified(more, full)))
+    found = linker.verified(more, full)
+    return components(links.union(found)) if found.limit(1).count() else comps
 
 
 def across_components(classes: DataFrame, num: int, den: int) -> DataFrame:
