@@ -15,7 +15,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from tidelake.llm.words import raw_text, run_hashes
+from tidelake.llm.words import by_bytes, raw_text, run_hashes
 
 SLOTS_LOG2 = 21  # slots of the cache's hash table, filled to a half
 LONG = 64
@@ -191,16 +191,6 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def by_bytes(col: pa.Array, limit: int = 1 << 19):
-    """Row ranges of a string array of about ``limit`` bytes each (a longer row alone)."""
-    off = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
-    lo = 0
-    while lo < len(col):
-        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, side="right")) - 1)
-        yield lo, hi
-        lo = hi
-
-
 def documents(enc: Encoder, col: pa.Array, end_id: int):
     """Ids of each row with ``end_id`` appended, in order."""
     end = np.array([end_id], np.uint32)

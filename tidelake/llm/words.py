@@ -99,13 +99,25 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(acc)
 
 
+def by_bytes(col: pa.Array, limit: int = 1 << 19):
+    """Row ranges of a string array of about ``limit`` bytes each (a longer row alone)."""
+    off = np.frombuffer(col.buffers()[1], dtype=np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+    lo = 0
+    while lo < len(col):
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, side="right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 def shingle_sets(col: pa.Array, n: int):
     """For each row the sorted distinct hashes of its ``n``-word shingles; a row of fewer words
-    has the hash of its whole sequence; a row without words has none."""
-    words, rows = hash_words(col)
-    grams = ngram_hashes(words, n)
-    for lo, hi in zip(rows[:-1], rows[1:]):
-        if hi - lo >= n:
-            yield np.unique(grams[lo:hi - n + 1])
-        else:
-            yield ngram_hashes(words[lo:hi], hi - lo) if hi > lo else np.zeros(0, np.uint64)
+    has the hash of its whole sequence; a row without words has none.  Rows are hashed some at a
+    time, so memory does not follow the column's size."""
+    for a, b in by_bytes(col):
+        words, rows = hash_words(col.slice(a, b - a))
+        grams = ngram_hashes(words, n)
+        for lo, hi in zip(rows[:-1], rows[1:]):
+            if hi - lo >= n:
+                yield np.unique(grams[lo:hi - n + 1])
+            else:
+                yield ngram_hashes(words[lo:hi], hi - lo) if hi > lo else np.zeros(0, np.uint64)
