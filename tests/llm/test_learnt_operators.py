@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +68,17 @@ def test_blocks_and_parts_do_not_lose_pairs(spark, monkeypatch):
     assert same(got, brute(rows, lambda i: i % 10 == 0, 5))
 
 
+def test_a_block_gives_a_row_per_query_and_the_recall_stays():
+    assert op2_neighbours.RECALL >= 0.985
+    g = np.random.default_rng(5)
+    x = g.normal(size=(50, 4))
+    block = pa.table({"cid": np.arange(50), "vec": pa.array(x.tolist())})
+    got = op2_neighbours.best_in_block(6)(block, block.slice(0, 9))
+    assert got["query"].to_pylist() == list(range(9))
+    for i, best in enumerate(got["best"].to_pylist()):
+        assert [b["cid"] for b in best] == np.argsort(-(x @ x[i]), kind="stable")[:6].tolist()
+
+
 def test_few_and_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert op2_neighbours.nearest(spark.createDataFrame([], schema), F.lit(True)).count() == 0

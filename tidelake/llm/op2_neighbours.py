@@ -7,7 +7,8 @@ need for a recall of ``RECALL``, and all vectors there are ranked by the exact i
 
 Equal vectors are one class with its smallest ids (a query's 20 nearest need no more than 21 of
 them), so copies cost one row however many there are.  Parts are split into blocks of candidates
-and of queries, and a task sees one block of each; the best of the blocks are then merged.
+and of queries, and a task sees one block of each; a query gets one row from a block, the list of its
+best there, and the lists are then merged.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, neither do vectors whose size is not the commonest one (ties: the larger) or rows without id;
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from tidelake.llm.common import column, stored, table
 from tidelake.llm.graph_partition import balanced_parts, neighbours, train_router
 
-SAMPLE, PART_ROWS, GRAPH_K, RECALL = 8192, 4096, 10, 0.97
+SAMPLE, PART_ROWS, GRAPH_K, RECALL = 8192, 4096, 10, 0.985
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 
 
@@ -103,25 +104,40 @@ def routed(rows: DataFrame, index: Index, probes: int, sizes: dict[int, int] | N
     return rows.select("cid", "vec").mapInArrow(run, "cid long, vec array<double>, part int")
 
 
+BEST = pa.list_(pa.struct([("s", pa.float64()), ("cid", pa.int64())]))
+
+
+def best_lists(who: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.Table:
+    """A row per query: its list of (-score, cid), from matrices of a row per query."""
+    pairs = pa.StructArray.from_arrays([pa.array(-scores.ravel()), pa.array(ids.ravel())], fields=list(BEST.value_type))
+    ends = np.arange(len(who) + 1, dtype=np.int32) * ids.shape[1]
+    return pa.table({"query": pa.array(who, pa.int64()), "best": pa.ListArray.from_arrays(pa.array(ends), pairs).cast(BEST)})
+
+
 def best_in_block(keep: int):
     def run(cand: pa.Table, query: pa.Table) -> pa.Table:
-        schema = pa.schema([("query", pa.int64()), ("cid", pa.int64()), ("score", pa.float64())])
         if not cand.num_rows or not query.num_rows:
-            return schema.empty_table()
+            return pa.schema([("query", pa.int64()), ("best", BEST)]).empty_table()
         cand = cand.sort_by("cid")
         ids = cand["cid"].to_numpy()
         x, q = matrix(cand["vec"].combine_chunks()), matrix(query["vec"].combine_chunks())
-        who, out = query["cid"].to_numpy(), []
+        top, score = [], []
         k = min(keep, len(ids))
         for lo in range(0, len(q), 256):
             s = q[lo:lo + 256] @ x.T
-            top = np.argsort(-s, axis=1, kind="stable")[:, :k]  # ties to the smaller id
-            out.append((np.repeat(who[lo:lo + 256], k), ids[top].ravel(), np.take_along_axis(s, top, axis=1).ravel()))
-        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
+            t = np.argsort(-s, axis=1, kind="stable")[:, :k]  # ties to the smaller id
+            top.append(ids[t])
+            score.append(np.take_along_axis(s, t, axis=1))
+        return best_lists(query["cid"].to_numpy(), np.concatenate(top), np.concatenate(score))
 
     return run
 
 
+def merged(lists: DataFrame, keep: int) -> DataFrame:
+    """(query, best): the ``keep`` best of all of a query's lists, ties to the smaller id."""
+    return lists.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, keep).alias("best"))
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> DataFrame:
     """``vectors`` (vec_id, embedding): the ``k`` nearest others found for each row that ``is_query``
     names (over vec_id): query_id, rank, vec_id, score."""
@@ -150,13 +166,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = SAM
          .withColumn("c", F.explode(F.sequence(F.lit(0), F.col("cb") - 1))).where("cb > 0"))
     keys, cols = ("part", "c", "q"), ("part", "c", "q", "cid", "vec")
     found = c.select(*cols).groupBy(*keys).cogroup(q.select(*cols).groupBy(*keys)).applyInArrow(
-        best_in_block(k + 1), "query long, cid long, score double")
+        best_in_block(k + 1), "query long, best array<struct<s: double, cid: long>>")
 
-    by_class = Window.partitionBy("query").orderBy(F.desc("score"), "cid")
-    top = found.withColumn("r", F.row_number().over(by_class)).where(F.col("r") <= k + 1)
-    each = (top.join(classes.select("cid", "ids"), "cid")
-            .select("query", "score", F.explode("ids").alias("vec_id")))
-    lists = (each.groupBy("query").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")))
+    top = merged(found, k + 1).select("query", F.explode("best").alias("b")).select("query", "b.s", "b.cid")
+    each = top.join(classes.select("cid", "ids"), "cid").select("query", "s", F.explode("ids").alias("vec_id"))
+    lists = (each.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("s", "vec_id")))
                                        .alias("all")))  # at most (k + 1)**2 entries
     others = F.slice(F.filter("all", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     return (asked.join(lists, asked.cid == lists.query).select("query_id", F.posexplode(others).alias("p", "x"))
