@@ -96,6 +96,24 @@ def test_recall_on_the_given_vectors(spark):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def found_share(got, want):
+    return sum(len({c for c, _ in got[q]} & {c for c, _ in want[q]}) for q in want) / sum(map(len, want.values()))
+
+
+def test_recall_through_many_parts_on_the_given_vectors(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    got = result(op2_neighbours.nearest(df, F.col("vec_id") % 20 == 0, sample=640, part_rows=100))
+    assert found_share(got, brute([(r.vec_id, r.embedding) for r in df.collect()], lambda i: i % 20 == 0, 20)) >= 0.95
+
+
+def test_probes_are_measured_on_rows_that_trained_nothing(spark):
+    g = np.random.default_rng(6)  # no structure to learn: a small sample flatters itself
+    rows = [(i, v.tolist()) for i, v in enumerate(g.normal(size=(4000, 8)).astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = result(op2_neighbours.nearest(df, F.col("vec_id") % 10 == 0, sample=1024, part_rows=125))
+    assert found_share(got, brute(rows, lambda i: i % 10 == 0, 20)) >= 0.965
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     g = np.random.default_rng(0)
     centres = g.normal(size=(4, 8)) * 4

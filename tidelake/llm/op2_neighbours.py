@@ -2,8 +2,9 @@
 
 A bounded sample of the vectors gives a neighbour graph; the graph is cut into balanced parts,
 and a small classifier learns to tell a vector's parts.  Every vector is indexed under its most
-probable part.  A query goes to its most probable parts, as many as the sample's own neighbours
-need for a recall of ``RECALL``, and all vectors there are ranked by the exact inner product.
+probable part.  A query goes to its most probable parts, and all vectors there are ranked by the
+exact inner product.  How many parts that takes for a recall of ``RECALL`` is measured on held-out
+vectors: a second bounded sample that trained nothing, searched exactly against all vectors.
 
 Equal vectors are one class with its smallest ids (a query's 20 nearest need no more than 21 of
 them), so copies cost one row however many there are.  Parts are split into blocks of candidates
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from tidelake.llm.common import column, stored, table
 from tidelake.llm.graph_partition import balanced_parts, neighbours, train_router
 
-SAMPLE, PART_ROWS, GRAPH_K, RECALL = 8192, 4096, 10, 0.985
+SAMPLE, HELD_OUT, PART_ROWS, GRAPH_K, RECALL = 8192, 1024, 4096, 10, 0.985
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 
 
@@ -50,20 +51,13 @@ def classes_of(vectors: DataFrame, keep: int) -> DataFrame:
 
 
 class Index:
-    """Routes vectors to parts."""
+    """Routes vectors to parts; ``probes`` is all of them until ``probes_needed`` says less."""
 
     def __init__(self, sample: np.ndarray, parts: int):
-        self.parts = parts
+        self.parts = self.probes = parts
         if parts > 1:
             near = neighbours(sample, GRAPH_K)
             self.router = train_router(sample, near, balanced_parts(sample, near, parts), parts)
-            order = np.argsort(-self.router.logits(sample), axis=1)
-            place = np.empty_like(order)  # at which rank a part stands for a row
-            np.put_along_axis(place, order, np.arange(parts)[None, :], axis=1)
-            ranks = np.take_along_axis(place, order[:, 0][near], axis=1)
-            self.probes = next(p for p in range(1, parts + 1) if (ranks < p).mean() >= RECALL or p == parts)
-        else:
-            self.probes = 1
 
     def ranked(self, x: np.ndarray) -> np.ndarray:
         if self.parts == 1:
@@ -71,14 +65,72 @@ class Index:
         return np.argsort(-self.router.logits(x), axis=1, kind="stable")
 
 
-def build_index(classes: DataFrame, n: int, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> Index:
-    """Fit on about ``sample`` classes (a documented bound, by a hash of the id)."""
+BEST = pa.list_(pa.struct([("s", pa.float64()), ("cid", pa.int64())]))
+
+
+def best_lists(who: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.Table:
+    """A row per query: its list of (-score, cid), from matrices of a row per query."""
+    pairs = pa.StructArray.from_arrays([pa.array(-scores.ravel()), pa.array(ids.ravel())], fields=list(BEST.value_type))
+    ends = np.arange(len(who) + 1, dtype=np.int32) * ids.shape[1]
+    return pa.table({"query": pa.array(who, pa.int64()), "best": pa.ListArray.from_arrays(pa.array(ends), pairs).cast(BEST)})
+
+
+def merged(lists: DataFrame, keep: int) -> DataFrame:
+    """(query, best): the ``keep`` best of all of a query's lists, ties to the smaller id."""
+    return lists.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, keep).alias("best"))
+
+
+def build_index(classes: DataFrame, n: int, sample: int = SAMPLE, part_rows: int = PART_ROWS,
+                held_out: int = HELD_OUT) -> tuple[Index, pa.Table]:
+    """The index, fitted on about ``sample`` classes, and about ``held_out`` others (cid, vec) to
+    measure it with (documented bounds, by a hash of the id)."""
     parts = max(1, min(-(-n // part_rows), sample // 32))
     if parts == 1:
-        return Index(np.zeros((0, 0)), 1)
-    share = min(1.0, sample / n)
-    rows = classes.where(F.pmod(F.xxhash64("cid"), F.lit(1 << 30)) < int(share * (1 << 30))).select("vec").toArrow()
-    return Index(matrix(rows["vec"].combine_chunks()), parts)
+        return Index(np.zeros((0, 0)), 1), classes.limit(0).select("cid", "vec").toArrow()
+    held = min(0.25, held_out / n)
+    share = min(1.0 - held, sample / n)
+    place = F.pmod(F.xxhash64("cid"), F.lit(1 << 30))
+    first, last = int(share * (1 << 30)), int((share + held) * (1 << 30))
+    rows = classes.where(place < first).select("vec").toArrow()
+    others = classes.where((place >= first) & (place < last)).select("cid", "vec").toArrow()
+    return Index(matrix(rows["vec"].combine_chunks()), parts), others
+
+
+def probes_needed(cand: DataFrame, index: Index, held_out: pa.Table, k: int) -> int:
+    """How many parts hold ``RECALL`` of the true ``k`` nearest of the held-out rows, which are
+    compared with all of ``cand`` (cid, vec, part)."""
+    if index.parts == 1 or not held_out.num_rows:
+        return index.parts
+    who, x = held_out["cid"].to_numpy(), matrix(held_out["vec"].combine_chunks())
+    shared = cand.sparkSession.sparkContext.broadcast((who, x))
+
+    def run(batches):
+        who, x = shared.value
+        score, ids = np.zeros((len(who), 0)), np.zeros((len(who), 0), np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                block = batch.slice(lo, 4096)
+                cid = column(block, "cid").to_numpy()
+                s = x @ matrix(column(block, "vec")).T
+                s[who[:, None] == cid[None, :]] = -np.inf
+                some = np.argpartition(-s, min(k, len(cid)) - 1, axis=1)[:, :k]
+                score = np.hstack([score, np.take_along_axis(s, some, axis=1)])
+                ids = np.hstack([ids, cid[some]])
+                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                score, ids = np.take_along_axis(score, top, axis=1), np.take_along_axis(ids, top, axis=1)
+        if ids.shape[1]:
+            yield best_lists(who, ids, score).combine_chunks().to_batches()[0]
+
+    exact = cand.select("cid", "vec").mapInArrow(run, "query long, best array<struct<s: double, cid: long>>")
+    pairs = merged(exact, k).select("query", F.explode("best").alias("b")).select("query", "b.cid")
+    found = pairs.join(cand.select("cid", "part"), "cid").select("query", "part").toArrow()  # k numbers a held-out row
+    order = index.ranked(x)
+    place = np.empty_like(order)  # at which rank a part stands for a row
+    np.put_along_axis(place, order, np.arange(index.parts)[None, :], axis=1)
+    by_id = np.argsort(who)
+    row = by_id[np.searchsorted(who, found["query"].to_numpy(), sorter=by_id)]
+    rank = place[row, found["part"].to_numpy()]
+    return next(p for p in range(1, index.parts + 1) if (rank < p).mean() >= RECALL or p == index.parts)
 
 
 def routed(rows: DataFrame, index: Index, probes: int, sizes: dict[int, int] | None = None, least: int = 0) -> DataFrame:
@@ -104,16 +156,6 @@ def routed(rows: DataFrame, index: Index, probes: int, sizes: dict[int, int] | N
     return rows.select("cid", "vec").mapInArrow(run, "cid long, vec array<double>, part int")
 
 
-BEST = pa.list_(pa.struct([("s", pa.float64()), ("cid", pa.int64())]))
-
-
-def best_lists(who: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.Table:
-    """A row per query: its list of (-score, cid), from matrices of a row per query."""
-    pairs = pa.StructArray.from_arrays([pa.array(-scores.ravel()), pa.array(ids.ravel())], fields=list(BEST.value_type))
-    ends = np.arange(len(who) + 1, dtype=np.int32) * ids.shape[1]
-    return pa.table({"query": pa.array(who, pa.int64()), "best": pa.ListArray.from_arrays(pa.array(ends), pairs).cast(BEST)})
-
-
 def best_in_block(keep: int):
     def run(cand: pa.Table, query: pa.Table) -> pa.Table:
         if not cand.num_rows or not query.num_rows:
@@ -133,11 +175,6 @@ def best_in_block(keep: int):
     return run
 
 
-def merged(lists: DataFrame, keep: int) -> DataFrame:
-    """(query, best): the ``keep`` best of all of a query's lists, ties to the smaller id."""
-    return lists.groupBy("query").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, keep).alias("best"))
-
-
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = SAMPLE, part_rows: int = PART_ROWS) -> DataFrame:
     """``vectors`` (vec_id, embedding): the ``k`` nearest others found for each row that ``is_query``
     names (over vec_id): query_id, rank, vec_id, score."""
@@ -147,10 +184,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = SAM
     rows = rows.where(F.size("vec") == (widths.w if widths else 0))
     classes = stored(classes_of(rows, k + 1), "vector-classes")
     n = classes.count()
-    index = build_index(classes, n, sample, part_rows)
+    index, held_out = build_index(classes, n, sample, part_rows)
     asked = stored(rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vec").distinct()
                    .join(classes.select("vec", "cid"), "vec").select("query_id", "cid"), "queries")
     cand = stored(routed(classes, index, 1), "parts")
+    index.probes = probes_needed(cand, index, held_out, k)
     sizes = {r["part"]: r["n"] for r in cand.groupBy("part").agg(F.count("*").alias("n")).collect()}
     wanted = classes.join(asked.select("cid").distinct(), "cid", "left_semi")
     query = stored(routed(wanted, index, index.probes, sizes, k + 1), "routed-queries")
