@@ -310,6 +310,28 @@ def test_edited_passages_are_found(spark):
         assert all(r.score == 1.0 for r in got if (r.doc_id or 0) >= 300)
 
 
+def test_changed_and_partial_copies_are_found(spark):
+    r = random.Random(8)
+    vocab = [f"v{i}" for i in range(3000)]
+    items = {i: [r.choice(vocab) for _ in range(r.randint(40, 120))] for i in range(15)}
+    rows, want = [], set()
+    for i, words_ in items.items():
+        n = len(words_)
+        changed = list(words_)
+        for k in r.sample(range(n), n // 4):
+            changed[k] = r.choice(vocab)
+        at = r.randint(0, n - n // 2)
+        noise = [r.choice(vocab) for _ in range(400)]
+        two = words_[:n // 4] + noise[:n // 2] + words_[-(n // 4):]  # both ends, the middle rewritten
+        for k, copy in enumerate((changed, words_[at:at + n // 2], two)):
+            rows.append((100 * k + i, " ".join(noise[:200] + copy + noise[200:]), "x", 1))
+            want.add((100 * k + i, i))
+        rows.append((900 + i, " ".join(noise[:200] + words_[:7] + noise[200:] + words_[-7:]), "x", 1))  # too little
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = op8_decontaminate.contaminated(spark.createDataFrame(rows, DOCS), bench).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want
+
+
 def test_planted_passages_are_found(spark):
     got = op8_decontaminate.op8_decontaminate(spark, SF).collect()
     norm = lambda t: " " + " ".join(re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())) + " "

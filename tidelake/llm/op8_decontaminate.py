@@ -4,9 +4,13 @@ Words are lower-cased runs of letters and digits.  One pass counts the corpus fr
 ``n``-gram of the test items.  Each item keeps its rarest ``KEPT`` share of n-grams as seeds (ties
 by hash).  A second pass joins every passage to the items whose seeds it holds, cuts a window around
 seeds that agree on where the item would begin, and scores the window by local alignment: 1 for an
-equal word, -1 for another word or a gap, divided by the item's words.  A copy, whole or edited,
-that keeps 40 % of an item's n-grams has at least 15 % of them among the seeds, the share asked for
-before aligning.  No passage is grouped by seed, so a seed in a third of all rows costs nothing more.
+equal word, -1 for another word or a gap.  A copy, whole or edited, that keeps 40 % of an item's
+n-grams has at least 15 % of them among the seeds, the share asked for before aligning.  Of such a
+copy every word stays with a chance of 0.4 ** (1 / 3), so an alignment scores ``SCORE`` = 0.47 a word.
+A passage is a match if it scores that much per word of the whole item (items too short to ask for
+``FEW`` that way need ``FEW``, or ``SHORT`` of their words if that is less), or per word it spans with a
+score of ``SPAN`` at least: a part of an item, however long the item.  The score column is divided by
+the item's words.  No passage is grouped by seed, so a seed in a third of all rows costs nothing more.
 
 The items are a stated query set: they go to the tasks in blocks of about ``BLOCK`` bytes, each
 against all documents.
@@ -28,30 +32,43 @@ from pyspark.sql import functions as F
 from tidelake.llm.common import column, table, texts
 from tidelake.llm.words import NOT_ALNUM, hash_words, ngram_hashes
 
-NGRAM, KEPT, HITS, SCORE, BLOCK = 3, 0.75, 0.15, 0.6, 8 << 20
+NGRAM, KEPT, HITS, COPIED, BLOCK = 3, 0.75, 0.15, 0.4, 8 << 20
+SCORE = 2 * COPIED ** (1 / NGRAM) - 1  # equal words less changed ones, when COPIED of the n-grams stay
+SPAN, FEW, SHORT = 8, 6, 0.6
 MATCH = "doc_id long, item_id long, score double, first_word long, last_word long"
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment of ``item`` in ``window``: score, first and last window word."""
+    return alignments(item, window, SCORE, SPAN)[0]
+
+
+def alignments(item: np.ndarray, window: np.ndarray, least: float, span: int) -> tuple[tuple[int, int, int], tuple[int, int, int]]:
+    """The best local alignment, and the best of those that score ``span`` and ``least`` for each word they span."""
     m = len(window)
     step = np.arange(m + 1)
-    best, best_at = 0, (0, 0)
-    row, begin = np.zeros(m + 1, np.int64), np.arange(m + 1)
-    for w in item:
+    best, best_at, dense, dense_at = 0, (0, 0), 0, (0, 0)
+    row, begin, top = np.zeros(m + 1, np.int64), np.arange(m + 1), np.zeros(m + 1, np.int64)  # top: first item word
+    for i, w in enumerate(item, 1):
         same = np.where(window == w, 1, -1)
         diag, up = row[:-1] + same, row[1:] - 1
         score = np.zeros(m + 1, np.int64)
         score[1:] = np.maximum(np.maximum(diag, up), 0)
-        origin = step.copy()
+        origin, above = step.copy(), np.full(m + 1, i)
         origin[1:] = np.where(score[1:] == 0, step[1:], np.where(diag >= up, begin[:-1], begin[1:]))
+        above[1:] = np.where(score[1:] == 0, i, np.where(diag >= up, top[:-1], top[1:]))
         reach = np.maximum.accumulate(score + step)  # a gap along the window costs 1 a word
         first = np.maximum.accumulate(np.where(score + step == reach, step, 0))
-        row, begin = reach - step, origin[first]
+        row, begin, top = reach - step, origin[first], above[first]
         j = int(row.argmax())
         if row[j] > best:
             best, best_at = int(row[j]), (int(begin[j]), j)
-    return best, best_at[0], best_at[1] - 1
+        if row[j] >= max(span, dense + 1):
+            fine = np.where(row >= least * np.maximum(i - top, step - begin), row, 0)
+            j = int(fine.argmax())
+            if fine[j] >= max(span, dense + 1):
+                dense, dense_at = int(fine[j]), (int(begin[j]), j)
+    return (best, best_at[0], best_at[1] - 1), (dense, dense_at[0], dense_at[1] - 1)
 
 
 class Items:
@@ -124,6 +141,7 @@ def match_row(items: Items, words: np.ndarray, at: np.ndarray, grams: np.ndarray
         mine = items.seed_item[seed] == i
         item = items.words[i]
         slack = max(4, len(item) // 4)
+        whole = min(SHORT * len(item), max(least * len(item), FEW))
         begin, s = at[owner[mine]] - items.seed_pos[seed[mine]], seed[mine]
         order = np.argsort(begin, kind="stable")
         begin, s = begin[order], s[order]
@@ -133,9 +151,10 @@ def match_row(items: Items, words: np.ndarray, at: np.ndarray, grams: np.ndarray
                 continue
             a = max(0, int(begin[part[0]]) - slack)
             b = min(len(words), int(begin[part[-1]]) + len(item) + slack)
-            score, first, last = align(item, words[a:b])
+            found, dense = alignments(item, words[a:b], least, SPAN)
+            score, first, last = found if found[0] >= whole else dense
             best = max(best, (score, a + first, a + last))
-        if best[0] >= least * len(item):
+        if best[0]:
             yield i, best[0] / len(item), best[1], best[2]
 
 
