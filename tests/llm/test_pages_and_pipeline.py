@@ -69,6 +69,21 @@ def test_suffix_array_removes_repeated_runs(spark):
     assert op4_html.main_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_passages_that_few_pages_share_and_text_beside_teasers_stay(spark):
+    menu = "home news sport culture contact imprint search"
+    shared = "these ten words are in the articles of two pages"
+    bodies = [" ".join(f"b{i}x{k}" for k in range(30)) for i in range(8)]
+    rows = [(i, "http://a.example/", f"<div>{menu}</div><div>{b}</div><div>{shared if i < 2 else f'end{i}'}</div>", "t", "h")
+            for i, b in enumerate(bodies)]
+    teasers = "".join(f"<article>teaser number {i}</article>" for i in range(3))
+    rows.append((20, "http://b.example/", f"<div>{bodies[0]}</div>{teasers}", "t", "h"))
+    rows.append((21, "http://b.example/", f"<article>{bodies[1]}</article><div>an advert</div>", "t", "h"))
+    got = {r.page_id: r.text for r in op4_html.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert [got[i] for i in range(8)] == [f"{b}\n\n{shared if i < 2 else f'end{i}'}" for i, b in enumerate(bodies)]
+    assert got[20].startswith(bodies[0])
+    assert got[21] == bodies[1]
+
+
 def test_stages_keep_columns_and_run_equals_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     frame = docs
