@@ -128,12 +128,18 @@ def links_of(ta: pa.Table, tb: pa.Table) -> pa.Table:
     return ta.join(tb, ["doc", "end"], join_type="inner", use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")])
 
 
+def differs(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array has a new value."""
+    return np.append(True, x[1:] != x[:-1])[:len(x)]
+
+
 def group_texts(ta: pa.Table, tb: pa.Table, links: pa.Table, off: np.ndarray, written: pa.Array) -> list[str]:
     """Digest of each document's groups; '' for one without tokens."""
     n = len(off) - 1
     doc_a, doc_b, doc_l = (t["doc"].to_numpy() for t in (ta, tb, links))
     end_a, end_b = ta["end"].to_numpy() + off[doc_a], tb["end"].to_numpy() + off[doc_b]
-    cuts = np.unique(links["end"].to_numpy() + off[doc_l])
+    cuts = links["end"].to_numpy() + off[doc_l]
+    cuts = cuts[differs(cuts)]
     in_a, in_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
     last_a, last_b = (np.append(g[1:] != g[:-1], True)[:len(g)] for g in (in_a, in_b))
     ids = len(written) // 3
@@ -161,7 +167,8 @@ def align_slice(col: pa.Array, a: Side, b: Side, written: pa.Array):
     links = links_of(ta, tb)
     n = len(col)
     count = lambda t: np.bincount(t["doc"].to_numpy(), minlength=n)
-    groups = count(links.group_by(["doc", "end"]).aggregate([]))
+    doc = links["doc"].to_numpy()
+    groups = np.bincount(doc[differs(links["end"].to_numpy() + off[doc])], minlength=n)
     pairs = pc.bit_wise_or(pc.shift_left(links["a"].cast(pa.int64()), SIDE), links["b"].cast(pa.int64()))
     return (count(ta), count(tb), groups, count(links)), group_texts(ta, tb, links, off, written), pairs
 
