@@ -80,7 +80,7 @@ def marked(rows: DataFrame) -> DataFrame:
 
 def in_segments(rows: DataFrame) -> DataFrame:
     """``rows`` in order, stored, with place and segment: both grow along the order."""
-    light = marked(rows)
+    light = stored(marked(rows), "conv-marks")  # read twice: sampling for the ranges, and dealing out
     placed = ordered(light, ["conv", F.asc_nulls_first("turn"), "role", "digest"], "conv-order")
     before = Window.partitionBy(PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # rows by 4,096, and within these by 8 MB of the range; a range has less than 2**24 of the latter
