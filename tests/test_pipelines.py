@@ -8,6 +8,7 @@ from tidelake.operators.validate import validate_table_control
 from tidelake.plans.ingest import ingest_tables
 from tidelake.plans.landing import land_files, pickup_files
 from tidelake.registry import _file_control, _table_control, ddl_of, table
+from tidelake.sinks.loads import read_loads
 from tidelake.sinks.raw import write_raw
 from tidelake.sources.control import read_control
 from tidelake.sources.raw import read_raw
@@ -59,7 +60,7 @@ def test_snapshot_replaces_all_partitions_and_failure_keeps_target(spark, tmp):
     ctrl = _orders_ctrl(spark, target, "snapshot")
     ingest_tables(spark, ctrl, st, source=lambda row: orders, run_date="2024-01-01").collect()
     ingest_tables(spark, ctrl, st, source=lambda row: orders.where("o_orderstatus = 'F'"), run_date="2024-01-02").collect()
-    out = read_raw(spark, target, schema=ddl_of(orders))
+    out = read_loads(spark, target, st, schema=ddl_of(orders))
     assert out.count() == orders.where("o_orderstatus = 'F'").count()
     assert [r[0].isoformat() for r in out.select("date_part").distinct().collect()] == ["2024-01-02"]
 
@@ -67,7 +68,7 @@ def test_snapshot_replaces_all_partitions_and_failure_keeps_target(spark, tmp):
         return orders.withColumn("o_totalprice", F.raise_error(F.lit("source went away")))
     rep = ingest_tables(spark, ctrl, st, source=broken, run_date="2024-01-03").collect()
     assert rep[0].status == "failed"
-    assert read_raw(spark, target, schema=ddl_of(orders)).count() == orders.where("o_orderstatus = 'F'").count()
+    assert read_loads(spark, target, st, schema=ddl_of(orders)).count() == orders.where("o_orderstatus = 'F'").count()
 
 
 def test_one_failed_table_does_not_stop_the_others(spark, tmp):
@@ -114,7 +115,7 @@ def test_gzip_landing_twice_then_nothing_new(spark, tmp):
     r3 = {r.table_name: r for r in land_files(spark, ctrl, st, app="crm", run_date="2024-01-03").collect()}
     assert r2["customer"].n_rows == cust.where("c_nationkey >= 10").count()
     assert r3["customer"].status == "no_new_data"
-    out = read_raw(spark, target + "/customer", schema=ddl_of(cust))
+    out = read_loads(spark, target + "/customer", st, schema=ddl_of(cust))
     assert out.drop("date_part").exceptAll(cust).count() == 0 and out.count() == cust.count()
 
 
@@ -266,7 +267,7 @@ def test_catalog_partitions_follow_appends_and_snapshots(spark, tmp):
         for ctrl, st in ((app_ctrl, tmp + "/st_a"), (snap_ctrl, tmp + "/st_s")):
             rep = ingest_tables(spark, ctrl, st, source=lambda row, s=src: s, run_date=day).collect()
             assert rep[0].status == "ok"
-    parts = lambda t: sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect())
+    parts = lambda t: sorted(r[0].split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {t}__lines").collect())
     assert parts("tl_orders_app") == ["date_part=2024-01-01", "date_part=2024-01-02"]
     assert spark.table("tl_orders_app").count() == orders.count()
     assert parts("tl_orders_snap") == ["date_part=2024-01-02"]
@@ -293,27 +294,29 @@ def test_append_rerun_after_crash_before_watermark_loads_once(spark, tmp, monkey
     _crash_once(monkeypatch, state_mod, "append_state")
     rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
     assert rep[0].status == "failed"
-    assert read_raw(spark, target, schema=ddl_of(orders)).count() == orders.count()  # data landed, uncommitted
+    assert read_raw(spark, target, schema=ddl_of(orders)).count() == orders.count()  # data written, uncommitted
+    assert read_loads(spark, target, st, schema=ddl_of(orders)).count() == 0
     rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
     assert (rep[0].status, rep[0].n_rows) == ("ok", orders.count())
-    out = read_raw(spark, target, schema=ddl_of(orders))
+    out = read_loads(spark, target, st, schema=ddl_of(orders))
     assert out.count() == orders.count() and out.drop("date_part").exceptAll(orders).count() == 0
 
 
-def test_landing_rerun_after_crash_midway_through_commit_loads_once(spark, tmp, monkeypatch):
-    import tidelake.sinks.loads as loads_mod
+def test_landing_rerun_after_crash_midway_through_the_write_loads_once(spark, tmp, monkeypatch):
+    import tidelake.plans.landing as landing_mod
     cust = table(spark, SF_SMALL, "customer")
     src, target, st = tmp + "/src", tmp + "/lake", tmp + "/state"
     write_raw(cust.repartition(4), src, compression="gzip")
     ctrl = _file_control(spark, [("part-", "customer", src, target)])
-    real = loads_mod.commit_files
+    real = landing_mod.write_lines
 
-    def half(spark_, staging, target_, load_id, folders, whole, place=None):
-        real(spark_, staging, target_, load_id, folders[:1], whole, place)  # moved, then the driver dies
+    def half(lines, folder, **options):
+        real(lines.limit(20), folder, **options)  # some files are there, then the driver dies
         raise RuntimeError("driver died")
-    monkeypatch.setattr(loads_mod, "commit_files", half)
+    monkeypatch.setattr(landing_mod, "write_lines", half)
     assert land_files(spark, ctrl, st, app="crm").collect()[0].status == "failed"
-    monkeypatch.setattr(loads_mod, "commit_files", real)
+    assert read_loads(spark, target + "/customer", st, schema=ddl_of(cust)).count() == 0
+    monkeypatch.setattr(landing_mod, "write_lines", real)
     rep = land_files(spark, ctrl, st, app="crm").collect()[0]
     assert (rep.status, rep.n_rows) == ("ok", cust.count())
     out = read_raw(spark, target + "/customer", schema=ddl_of(cust))
@@ -321,20 +324,24 @@ def test_landing_rerun_after_crash_midway_through_commit_loads_once(spark, tmp,
     assert land_files(spark, ctrl, st, app="crm").collect()[0].status == "no_new_data"
 
 
-def test_compaction_keeps_commit_markers(spark, tmp):
-    from tidelake.operators.state import compact_state
-    from tidelake.sinks.loads import loads_path, pending_load
+def test_compaction_keeps_committed_loads(spark, tmp):
+    from tidelake.operators.state import compact_state, read_state
+    from tidelake.sinks.loads import committed_loads
     orders = table(spark, SF_SMALL, "orders")
     target, st = tmp + "/orders", tmp + "/state"
     ctrl = _orders_ctrl(spark, target)
     for src in (orders.where("o_orderkey <= 700"), orders):
         ingest_tables(spark, ctrl, st, source=lambda row, s=src: s, app="erp").collect()
     compact_state(spark, st)
-    assert spark.read.parquet(loads_path(st)).count() == 1
-    assert pending_load(spark, st, "erp/oracle/TPCH/ORDERS") is None
+    assert read_state(spark, st).count() == 1 and committed_loads(spark, st).count() == 2
     rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp").collect()
     assert rep[0].status == "no_new_data"
-    assert read_raw(spark, target, schema=ddl_of(orders)).count() == orders.count()
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    late = orders.where(F.col("o_orderkey") == top).limit(1).withColumn("o_totalprice", F.lit(0.5))  # a row at the watermark
+    for n in (1, 0):
+        rep = ingest_tables(spark, ctrl, st, source=lambda row: orders.unionByName(late), app="erp").collect()
+        assert rep[0].n_rows == n
+    assert read_loads(spark, target, st, schema=ddl_of(orders)).count() == orders.count() + 1
 
 
 def test_stream_land_continuous_mode_returns_running_query(spark, tmp):
@@ -435,18 +442,3 @@ def test_recover_target_after_interrupted_swap(spark, tmp):
     nation.limit(2).write.parquet(target + ".__staging-ccc")  # stale staging next to a good target
     recover_target(spark, target)
     assert sorted(os.listdir(tmp)) == ["t"] and spark.read.parquet(target).count() == 25
-
-
-def test_snapshot_after_interrupted_swap_runs_again(spark, tmp):
-    orders = table(spark, SF_SMALL, "orders")
-    target, st = tmp + "/orders", tmp + "/state"
-    ctrl = _orders_ctrl(spark, target, "snapshot")
-    ingest_tables(spark, ctrl, st, source=lambda row: orders, run_date="2024-01-01").collect()
-    os.rename(target, target + ".__old-zzz")  # the driver died right after moving the table aside
-    assert read_raw(spark, target + ".__old-zzz", schema=ddl_of(orders)).count() == orders.count()
-    rep = ingest_tables(spark, ctrl, st, source=lambda row: orders, run_date="2024-01-02").collect()
-    assert rep[0].status == "ok"
-    out = read_raw(spark, target, schema=ddl_of(orders))
-    assert out.count() == orders.count()
-    assert [r[0].isoformat() for r in out.select("date_part").distinct().collect()] == ["2024-01-02"]
-    assert not [d for d in os.listdir(tmp) if "__" in d]

@@ -15,7 +15,7 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _literal_regex(s: str) -> str:
+def literal_regex(s: str) -> str:
     """Java regex matching ``s`` literally."""
     return "\\Q" + s + "\\E"
 
@@ -30,7 +30,7 @@ def repair_escaped_breaks(c) -> Column:
 
 def split_exact(c, sep: str = BEL) -> Column:
     """Split keeping every field, trailing empty ones included."""
-    return F.split(_col(c), _literal_regex(sep), -1)
+    return F.split(_col(c), literal_regex(sep), -1)
 
 
 def join_fields(c, sep: str = BEL) -> Column:

@@ -10,8 +10,6 @@ source with a long history is no hot group.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -108,36 +106,22 @@ def compact_state(spark: SparkSession, path: str) -> DataFrame | None:
     leaves behind.  Run it when no pipeline writes to the same state table."""
     from tidelake.session import recover_target, sibling_staging, swap_into_place
 
+    from tidelake.operators.boundary import compact_edges
+    from tidelake.sinks.loads import compact_ledger
+
     recover_target(spark, path)
     state = read_state(spark, path)
     if state is None:
         return None
+    compact_ledger(spark, path, state)  # first: it keeps the ids of all committed loads
     last_run = (state.groupBy("source")
                 .agg(F.max(F.struct("run_ts", "load_id")).alias("_r"))
                 .select("source", F.col("_r.run_ts").alias("run_ts"), F.col("_r.load_id").alias("load_id")))
-    cur = current_watermarks(state).join(last_run, "source")
+    now = current_watermarks(state)
+    rows = now.join(last_run, "source")
+    at = F.coalesce(F.unix_micros(F.col("high_water").cast("timestamp")).cast("string"), "value")
+    compact_edges(spark, path, state, rows.select("source", at.alias("value"), "load_id"))
     staging = sibling_staging(path)
-    cur.select(*state.columns).coalesce(1).write.parquet(staging)
+    rows.select(*state.columns).coalesce(1).write.parquet(staging)
     swap_into_place(spark, staging, path)
-    _compact_loads(spark, path)
     return read_state(spark, path)
-
-
-def _compact_loads(spark: SparkSession, path: str):
-    """Keep only each source's latest load intent (all a pending check looks at)."""
-    from tidelake.session import path_exists, sibling_staging, swap_into_place
-    from tidelake.sinks.loads import LOADS_SCHEMA, loads_path
-
-    lp = loads_path(path)
-    if not path_exists(spark, lp):
-        return
-    loads = spark.read.schema(LOADS_SCHEMA).parquet(lp)
-    latest = (loads.groupBy("source").agg(F.max(F.struct("run_ts", "load_id", "target", "dirs", "whole")).alias("l"))
-              .select("source", "l.load_id", "l.target", "l.dirs", "l.run_ts", "l.whole"))
-    staging = sibling_staging(lp)
-    latest.select(*loads.columns).coalesce(1).write.parquet(staging)
-    swap_into_place(spark, staging, lp)
-
-
-def utc_now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -1,9 +1,10 @@
 """File landing: new flat files (gzip per table, or one zip with many tables) into the lake.
 
-A run fixes what it lands once: the files of the listing that are newer than the stored watermark,
-up to the newest of them.  The content is then read from the folder under the same bounds on each
-file's own name, size and time, which Spark applies while listing, so no list of paths is made and a
-file rewritten meanwhile waits for the next run instead of slipping past the watermark.
+A run fixes what it lands once: the tasks list the folder, and the files that are newer than the stored
+watermark, or have exactly its stamp and were not landed with it, are stored as a manifest.  The tasks
+then read the files that the manifest names; neither the driver nor a file index holds their names, and
+a file rewritten meanwhile waits for the next run.  Every load is a folder of its own, committed by the
+watermark (see :mod:`tidelake.sinks.loads`).
 """
 
 from __future__ import annotations
@@ -18,22 +19,18 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from tidelake.operators.filters import (
-    files_newer_than,
-    files_newer_than_minute,
-    files_non_empty,
-)
+from tidelake.operators.boundary import KEY, known_keys, write_edges
+from tidelake.operators.filters import files_newer_than, files_newer_than_minute, files_non_empty
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame, timed
 from tidelake.operators.routing import route_first_match
-from tidelake.operators.state import append_state, read_state, watermarks_with_default
+from tidelake.operators.state import read_state, watermarks_with_default
 from tidelake.operators.validate import validate_file_control
-from tidelake.sinks.loads import append_exactly_once, clean_pending
+from tidelake.session import local_frame, move_path, scratch_path, today
+from tidelake.sinks.loads import TASKS_COMMIT, commit_load, discard_unfinished, drop_load, open_load
 from tidelake.sinks.raw import write_lines
-from tidelake.sinks.tables import PARTITION, stamp_date, write_routed_lines
-from tidelake.sources.archives import zip_directory, zip_member_lines
+from tidelake.sources.archives import damaged_members, zip_directory, zip_member_lines
 from tidelake.sources.control import first_row
-from tidelake.session import local_frame, move_path, recover_target, today
-from tidelake.sources.listing import file_lines, list_files
+from tidelake.sources.listing import list_folders, manifest_lines
 
 
 def _watermarks(spark, state, sources) -> dict:
@@ -47,9 +44,30 @@ def _watermark(spark, state, source: str):
     return _watermarks(spark, state, [source])[source]
 
 
-def _new_files(manifest: DataFrame, wm, precision: str) -> DataFrame:
-    newer = files_newer_than_minute if precision == "minute" else files_newer_than
-    return files_non_empty(newer(manifest, wm))
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _new_files(manifest: DataFrame, wm, precision: str, known: DataFrame | None) -> DataFrame:
+    """Files newer than the watermark and, to the second, those with its stamp that did not land with it."""
+    if precision == "minute":
+        return files_non_empty(files_newer_than_minute(manifest, wm))
+    newer = files_newer_than(manifest, wm)
+    if known is None:
+        return files_non_empty(newer)
+    same = manifest.where(F.col("modified") == F.lit(wm)).join(known, F.col("path") == F.col(KEY), "left_anti")
+    return files_non_empty(newer.unionByName(same))
+
+
+def _us(stamp) -> str | None:
+    """A stamp as the text of its microseconds, by which boundary keys are kept."""
+    if stamp is None:
+        return None
+    gone = stamp.astimezone(dt.timezone.utc) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    return str((gone.days * 86400 + gone.seconds) * 1_000_000 + gone.microseconds)
 
 
 def _newest(files: DataFrame, *counts: Column):
@@ -64,8 +82,10 @@ def _mark(spark, source: str, hi) -> DataFrame:
     return row.select("source", F.timestamp_micros("us").alias("high_water"), "file_name")
 
 
-def _up_to(files: DataFrame, hi) -> DataFrame:
-    return files.where(F.unix_micros("modified") <= F.lit(hi["us"]))
+def _keep_edge(files: DataFrame, state_path: str, load, hi) -> None:
+    """Remember the files that land with exactly the newest stamp."""
+    edge = files.where(F.unix_micros("modified") == F.lit(hi["us"])).select(F.col("path").alias("key"))
+    write_edges(edge, state_path, load.source, load.load_id, str(hi["us"]))
 
 
 def _first_match(patterns: list[str], numbers: list[int]) -> Column:
@@ -82,19 +102,21 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     """Land new files named by a file control table; returns the run report.
 
     ``mode=None``: files ``pattern*`` in a row's ``source_dir`` newer than the table's watermark
-    and not empty are read (gzip is decompressed by the text source) and appended under
-    ``<target>/<table>/date_part=D``.  Rows that name the same table and target are one load with
-    one watermark: each file lands once, counted for the first row whose pattern it begins with.
-    A file matching rows of two tables lands in both.
+    and not empty are read (gzip is decompressed) and appended to ``<target>/<table>``.  Rows that name
+    the same table and target are one load with one watermark: each file lands once, counted for the
+    first row whose pattern it begins with.  A file matching rows of two tables lands in both; a
+    table landing in two targets has a watermark for each.
 
     ``mode="consolidated"``: all files below the first control row's ``source_dir`` (even if that
     row is otherwise invalid) newer than the app's watermark are zip archives; their members are
-    routed to the first valid control row whose pattern prefixes the member name, written in one
-    job and committed under that row's ``<target>/<table>/date_part=D``; unmatched members are
-    dropped.  An archive that cannot be read is reported as ``failed``, and it and all archives
-    from its time on wait until it is replaced, so the watermark never passes it.
-
-    ``precision="minute"`` reproduces the minute-granular cut-off of the source system.
+    routed to the first valid control row whose pattern prefixes the member name and appended to
+    that row's ``<target>/<table>``, all tables committed by one watermark; unmatched members are
+    dropped.  An archive that cannot be read, or holds an encrypted or damaged member, is reported as
+    ``failed`` in every run until it is replaced, and lands then; the others go on.
+
+    A file that appears later with exactly the watermark's stamp lands too.  ``precision="minute"``
+    reproduces the minute-granular cut-off of the source system, which passes such files by.
+    Targets are made of load folders: read them with :func:`tidelake.sinks.loads.read_loads`.
     """
     if mode not in (None, "", "consolidated"):
         raise ValueError(f"mode must be None or 'consolidated', got {mode!r}")
@@ -103,26 +125,30 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     ctrl = validate_file_control(control)
     rows = [r.asDict() for r in ctrl.orderBy("control_file", "line_no").collect()]
     if mode == "consolidated":
-        return _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision)
+        return _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision, max_parallel)
     state_lock = threading.Lock()
     groups: dict[tuple[str, str], list[int]] = {}
     for i, r in enumerate(rows):
         if r["error"] is None:
             groups.setdefault((r["table_name"], r["target_dir"].rstrip("/")), []).append(i)
-    targets: dict[str, int] = {}
-    for table, _ in groups:
-        targets[table] = targets.get(table, 0) + 1
-    source_of = {(t, d): f"{app}/{t}" if targets[t] == 1 else f"{app}/{t}#{d}" for t, d in groups}
+    source_of = {(t, d): f"{app}/{t}@{d}" for t, d in groups}
+    discard_unfinished(spark, state_path, source_of.values(), state)
     marks = _watermarks(spark, state, source_of.values()) if groups else {}
     # one listing per source folder, shared by every control row reading from it
-    listings = {d: list_files(spark, d) for d in sorted({r["source_dir"] for r in rows if r["error"] is None})}
-    for table, target in groups:
-        recover_target(spark, f"{target}/{table}")
+    listings, missing = {}, {}
+    for d in sorted({r["source_dir"] for r in rows if r["error"] is None}):
+        try:
+            listings[d] = list_folders(spark, d)
+        except FileNotFoundError as e:
+            missing[d] = f"no folder {e}"
 
     def run(key: tuple[str, str]) -> list[Outcome]:
         spark.sparkContext.setJobDescription(f"tidelake land {app}/{key[0]}")
         mine = [rows[i] for i in groups[key]]
         try:
+            for r in mine:
+                if r["source_dir"] in missing:
+                    raise FileNotFoundError(missing[r["source_dir"]])
             return _land_table(spark, mine, listings, marks[source_of[key]], state_path, state_lock, app,
                                source_of[key], run_date, precision, state)
         except Exception as e:
@@ -144,101 +170,138 @@ def _land_table(spark, rows, listings, wm, state_path, state_lock, app, source,
     by_dir: dict[str, list[int]] = {}
     for i, r in enumerate(rows):
         by_dir.setdefault(r["source_dir"], []).append(i)
-
-    def picked(frame_of):
-        """Rows of each folder's frame that a pattern picks, with the control row's index."""
-        parts = []
-        for folder, mine in by_dir.items():
-            named = _first_match([rows[i]["pattern"] for i in mine], mine)
-            parts.append(_new_files(frame_of(folder), wm, precision).withColumn("_row", named)
-                         .where(F.col("_row").isNotNull()))
-        return reduce(DataFrame.unionByName, parts)
-
+    known = known_keys(spark, state_path, source, _us(wm), state)
+    parts = []
+    for folder, mine in by_dir.items():
+        named = _first_match([rows[i]["pattern"] for i in mine], mine)
+        parts.append(_new_files(listings[folder], wm, precision, known).withColumn("_row", named).where(F.col("_row").isNotNull()))
+    files = _kept(reduce(DataFrame.unionByName, parts), "new-files")
     per_row = [F.count_if(F.col("_row") == i).alias(f"n{i}") for i in range(len(rows))]
-    found = _newest(picked(listings.get), *per_row)
+    found = _newest(files, *per_row)
     if not found["n"]:
         return [Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0) for _ in rows]
-    lines = _up_to(picked(lambda folder: file_lines(spark, folder)), found["hi"])
+    target = f"{rows[0]['target_dir'].rstrip('/')}/{table}"
+    load = open_load(spark, state_path, source, target, run_date, lock=state_lock)
+    _keep_edge(files, state_path, load, found["hi"])
     obs = Observation(f"land_{table}_{uuid.uuid4().hex[:6]}")
-    lines = lines.observe(obs, *[F.sum(F.when(F.col("_row") == i, 1).otherwise(0)).alias(f"r{i}") for i in range(len(rows))])
-    out = stamp_date(lines.select("value"), run_date)
-    append_exactly_once(spark, lambda path: write_lines(out, path, partition_by=PARTITION),
-                        f"{rows[0]['target_dir'].rstrip('/')}/{table}", source, state_path,
-                        _mark(spark, source, found["hi"]), state_lock, state=state, recover=False)
+    lines = manifest_lines(files, "_row")
+    lines = lines.observe(obs, *[F.sum(F.when(F.col("tag") == i, 1).otherwise(0)).alias(f"r{i}") for i in range(len(rows))])
+    write_lines(lines.select("value"), load.folder(), **TASKS_COMMIT)
+    commit_load(spark, state_path, load, _mark(spark, source, found["hi"]), state_lock)
     counts = obs.get
     return [Outcome(app, table, "files", OK if found[f"n{i}"] else NO_NEW_DATA, n_files=found[f"n{i}"],
                     n_rows=counts.get(f"r{i}") or 0) for i in range(len(rows))]
 
 
-def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision):
-    from urllib.parse import unquote
+FAILED_ARCHIVE = "!failed!"  # state rows of archives that could not be read: app, this, path
+
+
+def _known_bad(state: DataFrame | None, app: str) -> DataFrame | None:
+    """``(_bad, _was)``: path and ``microseconds:length`` of archives that are still waiting to be replaced."""
+    if state is None:
+        return None
+    prefix = f"{app}{FAILED_ARCHIVE}"
+    rows = state.where(F.col("source").startswith(prefix)).groupBy("source").agg(F.max(F.struct("run_ts", "value")).alias("v"))
+    return rows.where("v.value <> ''").select(F.substring("source", len(prefix) + 1, 1 << 20).alias("_bad"), F.col("v.value").alias("_was"))
 
+
+def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision, max_parallel):
     valid = [r for r in rows if r["error"] is None]
     invalid = [Outcome(app, r["table_name"], "zip", INVALID, message=r["error"]) for r in rows if r["error"] is not None]
     if not valid:
         return report_frame(spark, invalid)
+    # a target is one place, whichever and however many rows name it; rows are numbered once, in order
+    places: dict[str, str] = {}
+    for r in valid:
+        places.setdefault(f"{r['target_dir'].rstrip('/')}/{r['table_name']}", r["table_name"])
+    names = list(places)
+    discard_unfinished(spark, state_path, [app], state)
     folder = (first_row(ctrl).orderBy("control_file").first()["source_dir"] or "").strip() or valid[0]["source_dir"]
-    wm = _watermark(spark, state, app)
-    archives = _new_files(list_files(spark, folder, recursive=True), wm, precision)
-    listed = _newest(archives)
-    if not listed["n"]:
-        return report_frame(spark, invalid + [Outcome(app, r["table_name"], "zip", NO_NEW_DATA, 0, 0) for r in valid])
-    archives = _up_to(archives, listed["hi"])
-    directory = zip_directory(archives)
-    bad = directory.where(F.col("error").isNotNull())
-    failed = bad.groupBy("archive").agg(F.first("error").alias("error"), F.min(F.unix_micros("modified")).alias("us"))
-    blocked = failed.agg(F.min("us").alias("us"), F.count(F.lit(1)).alias("n")).first()
-    broken = []
-    if blocked["n"]:  # their paths go into the report, one row each
-        broken = [Outcome(app, r["archive"], "zip", FAILED, n_files=1, message=r["error"]) for r in failed.collect()]
-        archives = archives.where(F.unix_micros("modified") < F.lit(blocked["us"]))
-        directory = directory.where(F.unix_micros("modified") < F.lit(blocked["us"]))
+    try:
+        listing = list_folders(spark, folder, recursive=True)
+        archives, waiting = _new_archives(spark, listing, state, state_path, app, precision)
         listed = _newest(archives)
+        still = [Outcome(app, r["path"], "zip", FAILED, n_files=1, message="not replaced yet") for r in waiting]
         if not listed["n"]:
-            return report_frame(spark, invalid + broken)
-    members = (directory.where(F.col("error").isNull())
-               .withColumn("file_name", F.substring_index("member", "/", -1)))
-    # a row's number stands for its table and target folder, which the commit looks up
-    number = {}
-    for r in valid:
-        number.setdefault((r["table_name"], r["target_dir"].rstrip("/")), len(number))
-    places = [f"{d}/{t}" for t, d in number]
-    routing = local_frame(spark, [(r["line_no"], r["pattern"], number[r["table_name"], r["target_dir"].rstrip("/")])
-                                  for r in valid], "line_no int, pattern string, place int")
-    routed = route_first_match(members.select("archive", "member", "file_name", "member_size"), routing,
-                               key_cols=("archive", "member", "file_name", "member_size"))
-    obs = Observation(f"zip_rows_{uuid.uuid4().hex[:6]}")
-    lines = zip_member_lines(routed.select("archive", "member", F.col("place").cast("string").alias("table_name")))
-    # rows and members (those with a first line) per table, counted while the lines are written
-    is_t = [F.col("table_name") == str(i) for i in range(len(places))]
-    lines = lines.observe(
-        obs, *[F.sum(F.when(c, 1).otherwise(0)).alias(f"t{i}") for i, c in enumerate(is_t)],
-        *[F.sum(F.when(c & (F.col("line_no") == 0), 1).otherwise(0)).alias(f"f{i}") for i, c in enumerate(is_t)])
-
-    def place(rel: str) -> str:
-        """``table_name=<number>/date_part=D`` of the one partitioned write -> its own folder."""
-        first, _, rest = rel.partition("/")
-        return f"{places[int(unquote(first.split('=', 1)[1]))]}/{rest}"
-
-    mark = _mark(spark, app, listed["hi"])
-    try:
-        written = append_exactly_once(spark, lambda path: write_routed_lines(lines, path, run_date),
-                                      valid[0]["target_dir"], app, state_path, mark,
-                                      place=place, state=state)
-        if not written:  # every archive was read, none had a member for these tables
-            append_state(mark, state_path)
+            return report_frame(spark, invalid + still + [Outcome(app, t, "zip", NO_NEW_DATA, 0, 0) for t in places.values()])
+        routing = local_frame(spark, [(i, r["pattern"], names.index(f"{r['target_dir'].rstrip('/')}/{r['table_name']}"))
+                                      for i, r in enumerate(valid)], "line_no int, pattern string, place int")
+        directory = _kept(zip_directory(archives), "zip-members")
+        bad = directory.where(F.col("error").isNotNull()).select("archive", "error")
+        counts, broken = _land_members(spark, directory, bad, archives, routing, names, state_path, app, run_date,
+                                       listed["hi"], max_parallel, _known_bad(state, app))
+        if counts is None:  # members that break off: leave their archives out and write the others again
+            counts, broken = _land_members(spark, directory, broken, archives, routing, names, state_path, app, run_date,
+                                           listed["hi"], max_parallel, _known_bad(state, app))
+        if counts is None:
+            raise OSError("archives change while they are read")
     except Exception as e:
-        return report_frame(spark, invalid + broken + [Outcome(app, t, "zip", FAILED, message=str(e)) for t, _ in number])
-    counts = obs.get
-    return report_frame(spark, invalid + broken + [
-        Outcome(app, t, "zip", OK, n_files=counts.get(f"f{i}") or 0, n_rows=counts.get(f"t{i}") or 0)
-        for i, (t, _) in enumerate(number)])
+        return report_frame(spark, invalid + [Outcome(app, t, "zip", FAILED, message=str(e)) for t in places.values()])
+    failed = [Outcome(app, r["archive"], "zip", FAILED, n_files=1, message=r["error"]) for r in broken]
+    return report_frame(spark, invalid + still + failed + [
+        Outcome(app, t, "zip", OK, n_files=counts[i][1], n_rows=counts[i][0]) for i, t in enumerate(places.values())])
+
+
+def _new_archives(spark, listing, state, state_path, app, precision):
+    """New archives and replaced bad ones, stored; and the bad ones that are as they were."""
+    wm = _watermark(spark, state, app)
+    new = _new_files(listing, wm, precision, known_keys(spark, state_path, app, _us(wm), state))
+    bad = _known_bad(state, app)
+    if bad is None:
+        return _kept(new, "new-archives"), []
+    now = F.concat_ws(":", F.unix_micros("modified").cast("string"), F.col("length").cast("string"))
+    seen = _kept(listing.join(bad, F.col("path") == F.col("_bad")).select("path", "file_name", "length", "modified", (now != F.col("_was")).alias("changed")),
+                 "bad-archives")
+    again = files_non_empty(seen.where("changed").drop("changed"))
+    fresh = new.join(seen.select(F.col("path").alias("_seen")), F.col("path") == F.col("_seen"), "left_anti")
+    return _kept(fresh.unionByName(again), "new-archives"), seen.where("not changed").select("path").collect()
+
+
+def _land_members(spark, directory, bad, archives, routing, places, state_path, app, run_date, hi, max_parallel, known_bad):
+    """Write the members of all readable archives, a table at a time, and commit them together: (lines,
+    files) per place, and the unreadable archives.  Where a member turns out damaged nothing is committed:
+    None, and all archives with a damaged member."""
+    bad = _kept(bad.groupBy("archive").agg(F.first("error").alias("error")), "bad-archives")
+    members = (directory.where(F.col("error").isNull()).withColumn("file_name", F.substring_index("member", "/", -1))
+               .join(bad.select("archive"), "archive", "left_anti"))
+    keys = ("archive", "member", "file_name", "position", "member_size")
+    routed = _kept(route_first_match(members.select(*keys), routing, key_cols=keys).select("archive", "member", "position", "place"), "zip-routed")
+    used = {r["place"]: r["n"] for r in routed.groupBy("place").agg(F.count("*").alias("n")).collect()}
+    load = open_load(spark, state_path, app, [places[i] for i in sorted(used)], run_date)
+    _keep_edge(archives, state_path, load, hi)
+
+    def write(i: int):
+        obs = Observation(f"zip_rows_{uuid.uuid4().hex[:6]}")
+        lines = zip_member_lines(routed.where(F.col("place") == i).select("archive", "member", "position"))
+        good = F.col("error").isNull()
+        lines = lines.observe(obs, F.sum(F.when(good, 1).otherwise(0)).alias("n"), F.sum(F.when(good & (F.col("line_no") == 0), 1).otherwise(0)).alias("f"),
+                              F.sum(F.when(good, 0).otherwise(1)).alias("e"))
+        write_lines(lines.where(good).select("value"), load.folder(places[i]), **TASKS_COMMIT)
+        return obs.get
+
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(used) or 1))) as pool:
+        found = dict(zip(sorted(used), pool.map(inheritable_thread_target(spark)(write), sorted(used))))
+    if any(c["e"] for c in found.values()):
+        drop_load(spark, state_path, load)
+        worse = damaged_members(routed.select("archive", "member", "position")).select("archive", "error")
+        return None, bad.unionByName(worse)
+    broken = bad.collect()  # a report row each
+    stamp = F.concat_ws(":", F.unix_micros("modified").cast("string"), F.col("length").cast("string"))
+    marks = _mark(spark, app, hi).withColumn("value", F.lit(None).cast("string"))
+    named = F.concat(F.lit(f"{app}{FAILED_ARCHIVE}"), F.col("path")).alias("source")
+    none = F.lit(None).cast("timestamp").alias("high_water")
+    marks = marks.unionByName(archives.join(bad, F.col("path") == F.col("archive")).select(named, none, "file_name", stamp.alias("value")))
+    if known_bad is not None:  # replaced ones that landed are done
+        done = archives.join(known_bad, F.col("path") == F.col("_bad")).join(bad, F.col("path") == F.col("archive"), "left_anti")
+        marks = marks.unionByName(done.select(named, none, "file_name", F.lit("").alias("value")))
+    commit_load(spark, state_path, load, marks)
+    return [(found[i]["n"] or 0, found[i]["f"] or 0) if i in found else (0, 0) for i in range(len(places))], broken
 
 
 def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_path: str,
                  source: str = "bucket", run_date=None, archive_dir: str | None = None) -> DataFrame:
-    """Bucket pickup: objects newer (to the second, strictly) than the stored stamp are
-    copied as lines into ``stage_dir/date_part=D``; the stamp advances to the newest one.
+    """Bucket pickup: objects newer (to the second, strictly) than the stored stamp, or with that stamp
+    and not seen then, are copied as lines into ``stage_dir``; the stamp advances to the newest one.
 
     With ``archive_dir``, the batch staged by the previous run is moved (one folder rename)
     to ``archive_dir/batch-<time>`` before the new batch is written, so ``stage_dir`` holds
@@ -248,16 +311,24 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
     run_date = run_date or today(spark)
     state = read_state(spark, state_path)
     wm = _watermark(spark, state, source)
-    found = _newest(files_newer_than(list_files(spark, source_dir), wm))
+    known = known_keys(spark, state_path, source, _us(wm), state)
+    listing = list_folders(spark, source_dir)
+    newer = files_newer_than(listing, wm)
+    if known is not None:
+        same = listing.where(F.col("modified") == F.lit(wm))
+        newer = newer.unionByName(same.join(known, F.col("path") == F.col(KEY), "left_anti"))
+    files = _kept(newer, "new-files")
+    found = _newest(files)
     if not found["n"]:
         return report_frame(spark, [Outcome(source, None, "pickup", NO_NEW_DATA, 0, 0)])
-    clean_pending(spark, state_path, source, state)
+    discard_unfinished(spark, state_path, [source], state)
     if archive_dir:
         stamp = dt.datetime.now().strftime("%Y%m%d%H%M%S%f")
         move_path(spark, stage_dir, f"{archive_dir.rstrip('/')}/batch-{stamp}")
-    new_lines = _up_to(files_newer_than(file_lines(spark, source_dir), wm), found["hi"]).select("value")
+    load = open_load(spark, state_path, source, stage_dir, run_date)
+    _keep_edge(files, state_path, load, found["hi"])
     obs = Observation(f"pickup_{uuid.uuid4().hex[:6]}")
-    lines = stamp_date(new_lines, run_date).observe(obs, F.count(F.lit(1)).alias("n"))
-    append_exactly_once(spark, lambda path: write_lines(lines, path, partition_by=PARTITION), stage_dir,
-                        source, state_path, _mark(spark, source, found["hi"]), state=state)
+    lines = manifest_lines(files).select("value").observe(obs, F.count(F.lit(1)).alias("n"))
+    write_lines(lines, load.folder(), **TASKS_COMMIT)
+    commit_load(spark, state_path, load, _mark(spark, source, found["hi"]))
     return report_frame(spark, [Outcome(source, None, "pickup", OK, found["n"], obs.get["n"])])

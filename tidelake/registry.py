@@ -24,6 +24,7 @@ from tidelake.plans.ingest import ingest_tables
 from tidelake.plans.landing import land_files
 from tidelake.plans.query import display_lines, query_table
 from tidelake.session import local_frame, scratch_path
+from tidelake.sinks.loads import read_loads
 from tidelake.sinks.raw import write_lines, write_raw
 from tidelake.sinks.tables import replace_snapshot, write_catalog_table
 from tidelake.sources.control import TABLE_COLUMNS, read_control
@@ -191,8 +192,9 @@ def ingest_where(spark, sf_dir):
     target = scratch_path(spark, "lake-orders")
     ctrl = _table_control(spark, [("snapshot", "oracle", "normal", "ORDERS", "TPCH", None, target,
                                    "o_orderstatus = 'F' AND o_totalprice > 100000", None, None, None, None, None)])
-    ingest_tables(spark, ctrl, scratch_path(spark, "state"), source=lambda row: orders, app="erp", run_date=RUN_DATE).collect()
-    return read_raw(spark, target, schema=ddl_of(orders))
+    st = scratch_path(spark, "state")
+    ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp", run_date=RUN_DATE).collect()
+    return read_loads(spark, target, st, schema=ddl_of(orders))
 
 
 def _orders_ingest(spark, sf_dir, first_source):
@@ -204,7 +206,7 @@ def _orders_ingest(spark, sf_dir, first_source):
     sources = [first_source(orders), orders]
     for run_date, src in zip((PREV_DATE, RUN_DATE), sources):
         ingest_tables(spark, ctrl, st, source=lambda row, s=src: s, app="erp", run_date=run_date).collect()
-    return read_raw(spark, target, schema=ddl_of(orders))
+    return read_loads(spark, target, st, schema=ddl_of(orders))
 
 
 def incremental_append(spark, sf_dir):
@@ -344,8 +346,9 @@ def gzip_landing(spark, sf_dir):
     target = scratch_path(spark, "landing-target")
     write_raw(cust, src, compression="gzip")
     ctrl = _file_control(spark, [("part-", "customer", src, target)])
-    land_files(spark, ctrl, scratch_path(spark, "state"), app="crm", run_date=RUN_DATE).collect()
-    return read_raw(spark, f"{target}/customer", schema=ddl_of(cust))
+    st = scratch_path(spark, "state")
+    land_files(spark, ctrl, st, app="crm", run_date=RUN_DATE).collect()
+    return read_loads(spark, f"{target}/customer", st, schema=ddl_of(cust))
 
 
 def gzip_landing_two_patterns(spark, sf_dir):
@@ -358,7 +361,7 @@ def gzip_landing_two_patterns(spark, sf_dir):
         write_raw(cust.where(F.col("c_custkey") % 4 == 2 * k), one, compression="gzip")
         write_raw(cust.where(F.col("c_custkey") % 4 == 2 * k + 1), two, compression="gzip")
         land_files(spark, ctrl, st, app="crm", run_date=day).collect()
-    return read_raw(spark, f"{target}/customer", schema=ddl_of(cust))
+    return read_loads(spark, f"{target}/customer", st, schema=ddl_of(cust))
 
 
 def landing_report(spark, sf_dir):
@@ -395,7 +398,7 @@ def gzip_landing_minute(spark, sf_dir):
             write_raw(cust.where(rows), f"{root}/{name}", compression="gzip")
             _set_times(spark, f"{root}/{name}", stamp)
         land_files(spark, ctrl, st, app="crm", run_date=RUN_DATE, precision="minute").collect()
-    return read_raw(spark, f"{target}/customer", schema=ddl_of(cust))
+    return read_loads(spark, f"{target}/customer", st, schema=ddl_of(cust))
 
 
 def _raw_line(df: DataFrame):
@@ -420,10 +423,10 @@ def zip_landing(spark, sf_dir):
     ctrl = _file_control(spark, [("customer_", "customer", src, one),
                                  ("supplier_", "supplier", src, two),
                                  ("cust", "other", src, one)])
-    land_files(spark, ctrl, scratch_path(spark, "state"), app="crm", mode="consolidated",
-               run_date=RUN_DATE).collect()
-    c = read_raw(spark, f"{one}/customer", schema=ddl_of(cust))
-    s = read_raw(spark, f"{two}/supplier", schema=ddl_of(supp))
+    st = scratch_path(spark, "state")
+    land_files(spark, ctrl, st, app="crm", mode="consolidated", run_date=RUN_DATE).collect()
+    c = read_loads(spark, f"{one}/customer", st, schema=ddl_of(cust))
+    s = read_loads(spark, f"{two}/supplier", st, schema=ddl_of(supp))
     return c.select(F.lit("customer").alias("table_name"), *c.columns).unionByName(
         s.select(F.lit("supplier").alias("table_name"), *[F.col(x).alias(x.replace("s_", "c_", 1).replace("suppkey", "custkey"))
                                                           for x in s.columns]), allowMissingColumns=True)
@@ -561,7 +564,7 @@ def table_preview(spark, sf_dir):
 
 def table_ddl_query(spark, sf_dir):
     """Columns of the registered raw table."""
-    return table_columns(spark, _registered_customer(spark, sf_dir))
+    return table_columns(spark, _registered_customer(spark, sf_dir)).drop("position")
 
 
 # ---------------------------------------------------------------- further operator paths
@@ -620,7 +623,7 @@ def bucket_pickup(spark, sf_dir):
     write_raw(cust, bucket)
     pickup_files(spark, bucket, stage, st, source="crm", run_date=RUN_DATE).collect()
     pickup_files(spark, bucket, stage, st, source="crm", run_date=RUN_DATE).collect()  # nothing new
-    return read_raw(spark, stage, schema=ddl_of(cust)).drop("date_part")
+    return read_loads(spark, stage, st, schema=ddl_of(cust)).drop("date_part")
 
 
 def bucket_pickup_archive(spark, sf_dir):
@@ -645,7 +648,7 @@ def incremental_lastmodified(spark, sf_dir):
     early = orders.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
     for run_date, src in ((PREV_DATE, early), (RUN_DATE, orders)):
         ingest_tables(spark, ctrl, st, source=lambda row, s=src: s, app="erp", run_date=run_date).collect()
-    return read_raw(spark, target, schema=ddl_of(orders))
+    return read_loads(spark, target, st, schema=ddl_of(orders))
 
 
 def lastmodified_clock(spark, sf_dir):
@@ -654,9 +657,10 @@ def lastmodified_clock(spark, sf_dir):
     target = scratch_path(spark, "lake-orders")
     ctrl = _table_control(spark, [("lastmodified", "oracle", "normal", "ORDERS", "TPCH", None, target, None,
                                    None, None, None, "o_orderdate", "1998-01-01 00:00:00")])
-    ingest_tables(spark, ctrl, scratch_path(spark, "state"), source=lambda row: orders, app="erp",
+    st = scratch_path(spark, "state")
+    ingest_tables(spark, ctrl, st, source=lambda row: orders, app="erp",
                   run_date=RUN_DATE, source_now=lambda row: "1999-01-01 00:00:00").collect()
-    return read_raw(spark, target, schema=ddl_of(orders))
+    return read_loads(spark, target, st, schema=ddl_of(orders))
 
 
 def cleansed_replace_partition(spark, sf_dir):

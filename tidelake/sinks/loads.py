@@ -1,189 +1,196 @@
-"""Exactly-once appends.
-
-An append and the watermark that follows it are two writes; a driver that dies between them
-would, on rerun, load the same range again.  A load therefore goes:
-
-1. written in full to a staging folder next to the target (a Spark job);
-2. an *intent* row ``(source, load_id, target, dirs, whole)`` is appended to ``<state>_loads``;
-3. each staged folder is renamed into the target.  A folder that the target does not have yet
-   (the first load of a date) is one rename, however many files it holds, and is recorded in
-   ``whole``; into a folder that exists its files are renamed one by one, a few at a time, as
-   ``load-<id>-<file>``;
-4. the watermark rows are appended to the state table carrying ``load_id`` (the commit), and
-   ``_SUCCESS`` is written.
-
-A run first looks for its source's latest intent; if no state row carries that ``load_id`` the
-load never committed, and its files are deleted before the range is loaded again: those named
-by its id, and in folders it created those that no later load named.  Loads of other sources
-into the same folder keep their files.  Renames are metadata operations on HDFS-like stores; on
-object stores they are copies, still idempotent.
+"""Loads: every load lies in a folder of its own, and a state row is its commit.
+
+An append and the watermark that follows it are two writes; a driver that dies between them would,
+on rerun, load the same range again.  A load therefore goes:
+
+1. an *intent* row ``(source, load_id, target, folder, replaces)`` is appended to ``<state>_loads``;
+2. the data is written, by the tasks themselves, to ``<target>/date_part=D/load=<id>``.  No other load
+   ever has this folder, so nothing is renamed, and what the driver does is the same however many files
+   there are;
+3. the watermark rows are appended to the state table carrying ``load_id``: one file that appears at
+   once.  This is the commit; ``_SUCCESS`` in the target comes after it, for marker-driven schedulers.
+
+Readers (:func:`read_loads`) see the loads whose id a state row carries and no others.  A load that
+*replaces* (a snapshot) hides all earlier loads of its target from the moment of its commit: a reader
+sees the old table or the new one, never none or both.  The version it replaced keeps its files until
+the target's next load begins, for readers still busy with it.
+
+A run first deletes what its sources' earlier runs left uncommitted (:func:`discard_unfinished`), once,
+before any of its own loads begins; a folder belongs to one load, so no other load can be hit.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from contextlib import nullcontext
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidelake.session import local_frame, recover_target, sibling_staging
+from tidelake.session import local_frame, path_exists
 
-LOADS_SCHEMA = ("source string, load_id string, target string, dirs array<string>, run_ts timestamp, "
-                "whole array<string>")
-RENAMES_AT_ONCE = 16
+LEDGER = ("source string, load_id string, target string, folder string, replaces boolean, run_ts timestamp, "
+          "committed_at timestamp, closed boolean")
+LOAD = "load"  # the partition column of load folders
+# Task commits move a task's files into the load's folder themselves: nothing is left to the driver.
+TASKS_COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 def loads_path(state_path: str) -> str:
     return state_path.rstrip("/") + "_loads"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _join(*parts: str) -> str:
-    return "/".join(x.strip("/") if i else x.rstrip("/") for i, x in enumerate(parts) if x)
-
-
-def _dest(target: str, rel: str) -> str:
-    """A placed folder: below ``target``, or where it says itself (an absolute path)."""
-    return rel if rel.startswith("/") or "://" in rel or rel.startswith("file:") else _join(target, rel)
-
-
-def staged_folders(spark: SparkSession, staging: str) -> list[str]:
-    """Folders (relative) of a staged load that hold data files: one listing call each."""
-    jvm, root, fs = _fs(spark, staging)
-    if not fs.exists(root):
-        return []
-    base = fs.makeQualified(root).toString().rstrip("/")
-    out, todo = [], [root]
-    while todo:
-        folder, files = todo.pop(), False
-        for st in fs.listStatus(folder):
-            name = st.getPath().getName()
-            if name.startswith("_") or name.startswith("."):
-                continue
-            if st.isDirectory():
-                todo.append(st.getPath())
-            else:
-                files = True
-        if files:
-            out.append(fs.makeQualified(folder).toString().rstrip("/")[len(base):].lstrip("/"))
-    return sorted(out)
-
-
-def commit_files(spark: SparkSession, staging: str, target: str, load_id: str, folders, whole=(),
-                 place: Callable[[str], str] | None = None):
-    """Rename staged folders into ``target`` (``place`` maps a staged folder to its target
-    folder, e.g. ``table_name=T/date_part=D`` -> ``T/date_part=D``)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    jvm, _, fs = _fs(spark, target)
-    Path = jvm.org.apache.hadoop.fs.Path
-    for rel in folders:
-        placed = place(rel) if place else rel
-        dst = Path(_dest(target, placed))
-        if placed in whole:
-            fs.mkdirs(dst.getParent())
-            if not fs.rename(Path(_join(staging, rel)), dst):
-                raise OSError(f"cannot move staged folder {rel} into {target}")
-            continue
-        fs.mkdirs(dst)
-
-        def move(src, dst=dst):
-            if not fs.rename(src, Path(dst, f"load-{load_id}-{src.getName()}")):
-                raise OSError(f"cannot move staged file {src} into {dst}")
-
-        names = [st.getPath() for st in fs.listStatus(Path(_join(staging, rel))) if st.isFile()]
-        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
-            list(pool.map(move, [p for p in names if not p.getName().startswith(("_", "."))]))
-    fs.delete(Path(staging), True)
-
-
-def clean_load(spark: SparkSession, target: str, load_id: str, dirs, whole=()) -> int:
-    """Delete the files of an uncommitted load (only in the folders it recorded): those that carry
-    its id, and in folders it created those that carry no id at all."""
-    jvm, _, fs = _fs(spark, target)
-    Path = jvm.org.apache.hadoop.fs.Path
-    removed, prefix = 0, f"load-{load_id}-"
-    for rel in dirs or [""]:
-        d = Path(_dest(target, rel))
-        if not fs.exists(d):
-            continue
-        for st in fs.listStatus(d):
-            name = st.getPath().getName()
-            if name.startswith(prefix) or (rel in (whole or ()) and not name.startswith("load-")):
-                fs.delete(st.getPath(), True)
-                removed += 1
-        if rel in (whole or ()) and not fs.listStatus(d):
-            fs.delete(d, True)
-    return removed
-
-
-def clean_pending(spark: SparkSession, state_path: str, source: str, state: DataFrame | None = None) -> None:
-    """Remove what a load of ``source`` that never committed left in its target."""
-    pend = pending_load(spark, state_path, source, state)
-    if pend is not None:
-        clean_load(spark, pend["target"], pend["load_id"], pend["dirs"], pend["whole"])
-
-
-def pending_load(spark: SparkSession, state_path: str, source: str, state: DataFrame | None = None):
-    """The source's latest intent if no state row commits it, else None (``state``: the
-    state table if the caller has it open already)."""
-    from tidelake.operators.state import read_state
-    from tidelake.session import path_exists
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _log(spark: SparkSession, state_path: str, rows: list[tuple]) -> None:
+    """Append ``(source, load_id, target, folder, replaces, closed)`` rows to the ledger."""
+    full = [(*r[:5], None, None, r[5]) for r in rows]
+    frame = local_frame(spark, full, LEDGER).withColumn("run_ts", F.current_timestamp())
+    frame.coalesce(1).write.mode("append").parquet(loads_path(state_path))
+
+
+@dataclass
+class Load:
+    """A load in progress: its id and the folder of each target it writes to."""
+
+    source: str
+    load_id: str
+    folders: dict[str, str]
+
+    def folder(self, target: str | None = None) -> str:
+        return self.folders[target] if target is not None else next(iter(self.folders.values()))
+
+
+def open_load(spark: SparkSession, state_path: str, source: str, targets, run_date, replaces: bool = False,
+              lock=None) -> Load:
+    """Record the intent of a load of ``source`` into each of ``targets``; write the data into
+    ``load.folder(target)`` and then :func:`commit_load`."""
+    targets = [targets] if isinstance(targets, str) else list(targets)
+    load_id = "L" + uuid.uuid4().hex[:16]  # never reads as a number, so its column stays text
+    load = Load(source, load_id, {t: f"{t.rstrip('/')}/date_part={run_date}/{LOAD}={load_id}" for t in targets})
+    if targets:
+        with lock or nullcontext():
+            _log(spark, state_path, [(source, load_id, t.rstrip("/"), f, replaces, False) for t, f in load.folders.items()])
+    return load
 
+
+def commit_load(spark: SparkSession, state_path: str, load: Load, state_rows: DataFrame, lock=None) -> None:
+    """Make the load visible, together with ``state_rows``."""
+    from tidelake.operators import state
+
+    with lock or nullcontext():
+        state.append_state(state_rows, state_path, load_id=load.load_id)
+    for target in load.folders:
+        p, fs = _path(spark, f"{target.rstrip('/')}/_SUCCESS")
+        if not fs.exists(p):
+            fs.create(p, True).close()
+
+
+def drop_load(spark: SparkSession, state_path: str, load: Load, lock=None) -> None:
+    """Give a load up that was not committed."""
+    for folder in load.folders.values():
+        p, fs = _path(spark, folder)
+        fs.delete(p, True)
+    if not load.folders:
+        return
+    with lock or nullcontext():
+        _log(spark, state_path, [(load.source, load.load_id, t.rstrip("/"), f, False, True) for t, f in load.folders.items()])
+
+
+def _ledger(spark: SparkSession, state_path: str) -> DataFrame | None:
+    """Open ledger rows (those of no closed load), or None before the first load."""
     lp = loads_path(state_path)
     if not path_exists(spark, lp):
         return None
-    latest = (spark.read.schema(LOADS_SCHEMA).parquet(lp).where(F.col("source") == source)
-              .agg(F.max(F.struct("run_ts", "load_id", "target", "dirs", "whole")).alias("l"))
-              .select("l.*").where(F.col("load_id").isNotNull()))
+    rows = spark.read.schema(LEDGER).parquet(lp).where(F.col("folder").isNotNull())
+    per = rows.groupBy("source", "load_id", "target", "folder").agg(
+        F.max("replaces").alias("replaces"), F.min("run_ts").alias("run_ts"), F.max("committed_at").alias("committed_at"),
+        F.max(F.coalesce("closed", F.lit(False))).alias("closed"))
+    return per.where("not closed").drop("closed")
+
+
+def _with_commits(ledger: DataFrame, state: DataFrame | None) -> DataFrame:
+    """``ledger`` with ``committed_at`` from the state rows that carry a load's id."""
+    if state is None:
+        return ledger
+    done = (state.where(F.col("load_id").isNotNull()).groupBy(F.col("load_id").alias("_id"))
+            .agg(F.min("run_ts").alias("_at")))
+    return (ledger.join(done, F.col("load_id") == F.col("_id"), "left")
+            .withColumn("committed_at", F.coalesce("committed_at", "_at")).drop("_id", "_at"))
+
+
+def committed_loads(spark: SparkSession, state_path: str, state: DataFrame | None = None) -> DataFrame:
+    """``(source, load_id, target, folder, replaces, run_ts, committed_at)`` of all committed loads."""
+    from tidelake.operators.state import read_state
+
+    ledger = _ledger(spark, state_path)
+    if ledger is None:
+        return spark.createDataFrame([], StructType.fromDDL(LEDGER)).drop("closed")
     state = state if state is not None else read_state(spark, state_path)
-    if state is not None:  # one query: the latest intent unless a state row commits it
-        committed = state.where(F.col("source") == source).select("load_id").where(F.col("load_id").isNotNull())
-        latest = latest.join(committed, "load_id", "left_anti")
-    rows = latest.collect()
-    return rows[0] if rows else None
-
-
-def append_exactly_once(spark: SparkSession, write: Callable[[str], None], target: str, source: str,
-                        state_path: str, state_rows: DataFrame, lock=None,
-                        state: DataFrame | None = None,
-                        place: Callable[[str], str] | None = None, recover: bool = True) -> bool:
-    """Run ``write(staging_folder)`` and commit it into ``target`` together with
-    ``state_rows``; returns False (and commits nothing) when the load wrote no file.
-    ``place`` maps staged folders to target folders (see :func:`commit_files`).  A run loads a
-    source once; with several loads into one target it calls :func:`recover_target` itself
-    before the first and passes ``recover=False``."""
-    from contextlib import nullcontext
-
-    from tidelake.operators.state import append_state
-
-    guard = lock or nullcontext()
-    clean_pending(spark, state_path, source, state)
-    if recover:
-        recover_target(spark, target)
-    staging = sibling_staging(target)
-    write(staging)
-    folders = staged_folders(spark, staging)
-    jvm, root, fs = _fs(spark, staging)
-    if not folders:
-        fs.delete(root, True)
-        return False
-    load_id = uuid.uuid4().hex[:16]
-    dirs = sorted({place(rel) if place else rel for rel in folders})
-    with guard:  # a folder is created by one load only
-        whole = [d for d in dirs if d and not fs.exists(jvm.org.apache.hadoop.fs.Path(_dest(target, d)))]
-        intent = local_frame(spark, [(source, load_id, target, dirs, None, whole)], LOADS_SCHEMA) \
-            .withColumn("run_ts", F.current_timestamp())
-        intent.coalesce(1).write.mode("append").parquet(loads_path(state_path))
-        commit_files(spark, staging, target, load_id, folders, whole, place)
-    with guard:
-        append_state(state_rows, state_path, load_id=load_id)
-        for folder in sorted({target, *(d.split("/date_part=")[0] for d in dirs if _dest(target, d) == d)}):
-            fs.create(jvm.org.apache.hadoop.fs.Path(_join(folder, "_SUCCESS")), True).close()  # for marker-driven schedulers
-    return True
+    return _with_commits(ledger, state).where(F.col("committed_at").isNotNull())
+
+
+def visible_loads(spark: SparkSession, state_path: str, target: str, state: DataFrame | None = None) -> DataFrame:
+    """The committed loads that make up ``target`` now: from its last replacing load on."""
+    mine = committed_loads(spark, state_path, state).where(F.col("target") == target.rstrip("/"))
+    at = F.unix_micros("committed_at")
+    cut = mine.agg(F.max(F.when(F.col("replaces"), at))).first()[0]  # one number
+    return mine if cut is None else mine.where(at >= F.lit(cut))
+
+
+def discard_unfinished(spark: SparkSession, state_path: str, sources, state: DataFrame | None = None) -> int:
+    """Delete the folders of loads of ``sources`` that were never committed, and of versions that were
+    replaced before the current one; returns how many.  Call it before any load of the run begins."""
+    ledger = _ledger(spark, state_path)
+    if ledger is None:
+        return 0
+    rows = _with_commits(ledger, state).where(F.col("source").isin(sorted(set(sources))))
+    cut = (rows.where(F.col("replaces") & F.col("committed_at").isNotNull()).groupBy(F.col("target").alias("_t"))
+           .agg(F.max("committed_at").alias("_cut")))
+    dead = rows.join(cut, F.col("target") == F.col("_t"), "left").where(
+        F.col("committed_at").isNull() | (F.col("committed_at") < F.col("_cut")))
+    found = dead.select("source", "load_id", "target", "folder").collect()  # crashed or replaced loads since the last run
+    for r in found:
+        p, fs = _path(spark, r["folder"])
+        fs.delete(p, True)
+    if found:
+        _log(spark, state_path, [(r["source"], r["load_id"], r["target"], r["folder"], False, True) for r in found])
+    return len(found)
+
+
+def read_loads(spark: SparkSession, target: str, state_path: str, schema=None, fmt: str = "raw", **options) -> DataFrame:
+    """A table made of loads: the rows of its visible loads, with ``date_part``.  ``schema`` (DDL) types
+    raw text; without a visible load the result is empty and needs it."""
+    from tidelake.sources.raw import read_raw
+
+    loads = visible_loads(spark, state_path, target)
+    ids = loads.select(F.col("load_id").alias("_id"))
+    if path_exists(spark, target):
+        df = (read_raw(spark, target, schema=schema, **options) if fmt == "raw"
+              else spark.read.format(fmt).options(**options).load(target))
+        if LOAD in df.columns:
+            return df.join(ids, df[LOAD] == F.col("_id"), "left_semi").drop(LOAD)
+    if schema is None:
+        raise ValueError(f"no load in {target}")
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return spark.createDataFrame([], st).withColumn("date_part", F.lit(None).cast("date"))
+
+
+def compact_ledger(spark: SparkSession, state_path: str, state: DataFrame | None) -> None:
+    """Rewrite the ledger without closed loads, with the commit times of committed ones.  Run it, as
+    :func:`tidelake.operators.state.compact_state` does, when no pipeline uses the state."""
+    from tidelake.session import sibling_staging, swap_into_place
+
+    ledger = _ledger(spark, state_path)
+    if ledger is None:
+        return
+    lp = loads_path(state_path)
+    staging = sibling_staging(lp)
+    rows = _with_commits(ledger, state).withColumn("closed", F.lit(False))
+    rows.select(*StructType.fromDDL(LEDGER).names).coalesce(1).write.parquet(staging)
+    swap_into_place(spark, staging, lp)

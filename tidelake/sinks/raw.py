@@ -9,7 +9,7 @@ from tidelake.sources.raw import TIMESTAMP_TEXT
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "append", partition_by=None,
-              sep: str = BEL, null_marker: str = NULL_MARKER, compression: str | None = None):
+              sep: str = BEL, null_marker: str = NULL_MARKER, compression: str | None = None, **options):
     """Delimited raw sink: BEL-separated, NULL as ``\\N``, empty as empty, never quoted.
 
     Values are written as they are (no trimming of surrounding spaces).  Timestamps keep
@@ -20,7 +20,7 @@ def write_raw(df: DataFrame, path: str, mode: str = "append", partition_by=None,
          .options(sep=sep, nullValue=null_marker, emptyValue="", quote="", escapeQuotes=False,
                   header=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
                   timestampNTZFormat=TIMESTAMP_TEXT, timestampFormat=TIMESTAMP_TEXT,
-                  dateFormat="yyyy-MM-dd"))
+                  dateFormat="yyyy-MM-dd", **options))
     if compression:
         w = w.option("compression", compression)
     if partition_by:
@@ -29,9 +29,9 @@ def write_raw(df: DataFrame, path: str, mode: str = "append", partition_by=None,
 
 
 def write_lines(df: DataFrame, path: str, mode: str = "append", partition_by=None,
-                compression: str | None = None):
+                compression: str | None = None, **options):
     """Text sink for already-formatted lines (single string column plus partition columns)."""
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).options(**options)
     if compression:
         w = w.option("compression", compression)
     if partition_by:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidelake.functions.time import run_date_col
 
@@ -53,20 +52,6 @@ def replace_snapshot(df: DataFrame, path: str, run_date=None, fmt: str = "parque
         swap_into_place(df.sparkSession, dest, path)
 
 
-def append_partition(df: DataFrame, path: str, run_date=None, fmt: str = "parquet",
-                     **options):
-    """Incremental append under ``date_part=run_date``."""
-    (stamp_date(df, run_date).write.mode("append").format(fmt).options(**options)
-     .partitionBy(PARTITION).save(path))
-
-
-def write_routed_lines(lines: DataFrame, path: str, run_date=None, table_col: str = "table_name",
-                       mode: str = "append"):
-    """Multi-table landing in one job: raw lines go to ``table_name=T/date_part=D``."""
-    (stamp_date(lines.select(F.col(table_col).alias("table_name"), "value"), run_date)
-     .write.mode(mode).partitionBy("table_name", PARTITION).text(path))
-
-
 def write_catalog_table(df: DataFrame, name: str, path: str | None = None,
                         target: str = "hive", mode: str = "append", fmt: str = "parquet",
                         partition_by=None):

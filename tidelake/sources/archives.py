@@ -1,7 +1,7 @@
 """Compressed drops.
 
-* gzip: Spark's text / CSV sources decompress ``*.gz`` by suffix (one task per file, since
-  gzip cannot be split), so :func:`read_gzip_lines` is a plain text scan.
+* gzip: decompressed by suffix, one task per file, since gzip cannot be split (Spark's text and
+  CSV sources, and :func:`tidelake.sources.listing.manifest_lines`).
 * zip: Hadoop has no zip codec.  Archives are opened on executors: one pass lists the
   members of each archive (central directory only), the member list is routed and
   re-partitioned so that members spread over tasks, and a second pass streams the lines
@@ -12,7 +12,9 @@
 
 from __future__ import annotations
 
+import lzma
 import zipfile
+import zlib
 from itertools import chain, groupby
 
 import pandas as pd
@@ -21,17 +23,14 @@ from pyspark.sql import functions as F
 
 from tidelake.session import is_local_path, local_os_path, qualified
 
-MEMBER_SCHEMA = "archive string, member string, member_size bigint"
-LINE_SCHEMA = "archive string, member string, line_no bigint, value string"
+MEMBER_SCHEMA = "archive string, member string, position int, member_size bigint"
+LINE_SCHEMA = "archive string, member string, line_no bigint, value string, error string"
+DAMAGE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, NotImplementedError, RuntimeError, OSError)
 BATCH_LINES = 8192
 DIRECTORY_SCHEMA = MEMBER_SCHEMA + ", error string, modified timestamp"
 
 
-def read_gzip_lines(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file_path"), "value")
-
-
-def _arrow_fs(path: str):
+def arrow_fs(path: str):
     from pyarrow import fs as pafs
 
     # Hadoop's S3 connector schemes name the same store pyarrow calls s3
@@ -45,7 +44,7 @@ def open_binary(path: str):
     """Random-access binary handle for a local or cluster file system path."""
     if is_local_path(path):
         return open(local_os_path(path), "rb")
-    filesystem, inner = _arrow_fs(path)
+    filesystem, inner = arrow_fs(path)
     return filesystem.open_input_file(inner)
 
 
@@ -55,23 +54,25 @@ def _signed(path: str) -> bool:
 
 
 def _list_members(batches):
-    cols = ["archive", "member", "member_size", "error", "modified"]
+    cols = ["archive", "member", "position", "member_size", "error", "modified"]
     for pdf in batches:
         rows = []
         for archive, modified in zip(pdf["archive"], pdf["modified"]):
             try:
                 with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
-                    for info in zf.infolist():
+                    for i, info in enumerate(zf.infolist()):
+                        if info.flag_bits & 1:
+                            raise zipfile.BadZipFile(f"member {info.filename} is encrypted")
                         if not info.is_dir():
-                            rows.append((archive, info.filename, info.file_size, None, modified))
+                            rows.append((archive, info.filename, i, info.file_size, None, modified))
                             if len(rows) >= BATCH_LINES:
-                                yield pd.DataFrame(rows, columns=cols)
+                                yield pd.DataFrame(rows, columns=cols).astype({"position": "Int32", "member_size": "Int64"})
                                 rows = []
             except (zipfile.BadZipFile, EOFError) as e:
                 if archive.lower().endswith(".zip") or _signed(archive):  # damaged; other files are no archives
-                    rows.append((archive, None, None, f"{archive}: {e}", modified))
+                    rows.append((archive, None, None, None, f"{archive}: {e}", modified))
         if rows:
-            yield pd.DataFrame(rows, columns=cols)
+            yield pd.DataFrame(rows, columns=cols).astype({"position": "Int32", "member_size": "Int64"})
 
 
 READ_BYTES = 1 << 20
@@ -88,14 +89,14 @@ def member_line_batches(raw):
             continue
         parts = (b"".join(carry) + block[:last]).split(b"\n")
         carry = [block[last + 1:]]
-        yield line_no, _decode(parts)
+        yield line_no, decoded_lines(parts)
         line_no += len(parts)
     rest = b"".join(carry)
     if rest:
-        yield line_no, _decode([rest])
+        yield line_no, decoded_lines([rest])
 
 
-def _decode(parts: list) -> list:
+def decoded_lines(parts: list) -> list:
     joined = b"\n".join(parts)
     text = joined.decode("utf-8", errors="replace").split("\n")
     if b"\r" in joined:
@@ -103,53 +104,68 @@ def _decode(parts: list) -> list:
     return text
 
 
-def _member_lines_fn(extra):
+def _member_lines_fn(extra, with_lines=True):
     def run(batches):
         for pdf in batches:
             for archive, group in pdf.groupby("archive", sort=False):
                 with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
+                    infos = zf.infolist()
                     for rec in group.itertuples(index=False):
                         tags = {c: getattr(rec, c) for c in extra}
-                        with zf.open(rec.member) as raw:
-                            for first, lines in member_line_batches(raw):
-                                for i in range(0, len(lines), BATCH_LINES):
-                                    chunk = lines[i:i + BATCH_LINES]
-                                    nos = range(first + i, first + i + len(chunk))
-                                    yield _lines_frame(archive, rec.member, nos, chunk, tags)
+                        try:
+                            # by position: names may repeat
+                            with zf.open(infos[int(rec.position)]) as raw:
+                                for first, lines in member_line_batches(raw):
+                                    for i in range(0, len(lines) if with_lines else 0, BATCH_LINES):
+                                        chunk = lines[i:i + BATCH_LINES]
+                                        nos = range(first + i, first + i + len(chunk))
+                                        yield _lines_frame(archive, rec.member, nos, chunk, tags)
+                        except DAMAGE as e:
+                            yield _lines_frame(archive, rec.member, [-1], [None], tags, f"{archive}: {rec.member}: {e}")
     return run
 
 
-def _lines_frame(archive, member, line_nos, lines, tags):
+def _lines_frame(archive, member, line_nos, lines, tags, error=None):
     n = len(lines)
-    cols = {"archive": [archive] * n, "member": [member] * n, "line_no": line_nos, "value": lines}
+    cols = {"archive": [archive] * n, "member": [member] * n, "line_no": line_nos, "value": lines, "error": [error] * n}
     for c, v in tags.items():
         cols[c] = [v] * n
     return pd.DataFrame(cols)
 
 
 def zip_directory(archives: DataFrame, path_col: str = "path") -> DataFrame:
-    """``(archive, member, member_size, error, modified)``: a row for every file inside each
-    archive, or one row with ``error`` for an archive (by name or signature) that cannot be read."""
+    """``(archive, member, position, member_size, error, modified)``: a row for every file inside each
+    archive, by its position there, or one row with ``error`` for an archive (by name or signature)
+    that cannot be read or holds encrypted members."""
     modified = F.col("modified") if "modified" in archives.columns else F.lit(None).cast("timestamp").alias("modified")
     return archives.select(F.col(path_col).alias("archive"), modified).mapInPandas(_list_members, DIRECTORY_SCHEMA)
 
 
 def zip_members(archives: DataFrame, path_col: str = "path") -> DataFrame:
-    """``(archive, member, member_size)`` for every file inside each readable archive; see
+    """``(archive, member, position, member_size)`` for every file inside each readable archive; see
     :func:`zip_directory` for the others."""
     return zip_directory(archives, path_col).where("error is null").drop("error", "modified")
 
 
 def zip_member_lines(members: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Lines of the given members: ``(archive, member, line_no, value)`` plus any other
-    string columns of ``members`` (e.g. the routed table name), carried along per member.
+    """Lines of the given members: ``(archive, member, line_no, value, error)`` plus any other
+    string columns of ``members`` (e.g. the routed table name), carried along per member.  A member
+    that breaks off or is damaged gives a last row with ``error``.
     Members are hash-spread over ``num_partitions`` tasks (default: shuffle partitions)."""
-    spark = members.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    extra = [c for c in members.columns if c not in ("archive", "member", "member_size")]
-    wanted = members.select("archive", "member", *[F.col(c).cast("string") for c in extra])
+    return _over_members(members, num_partitions, True)
+
+
+def damaged_members(members: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """``(archive, member, error)`` of members that cannot be read to their end: reads them all."""
+    return _over_members(members, num_partitions, False).select("archive", "member", "error")
+
+
+def _over_members(members: DataFrame, num_partitions: int | None, with_lines: bool) -> DataFrame:
+    n = num_partitions or int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    extra = [c for c in members.columns if c not in ("archive", "member", "position", "member_size")]
+    wanted = members.select("archive", "member", "position", *[F.col(c).cast("string") for c in extra])
     schema = LINE_SCHEMA + "".join(f", {c} string" for c in extra)
-    return wanted.repartition(n, "archive", "member").mapInPandas(_member_lines_fn(extra), schema)
+    return wanted.repartition(n, "archive", "position").mapInPandas(_member_lines_fn(extra, with_lines), schema)
 
 
 def open_output(path: str):
@@ -160,7 +176,7 @@ def open_output(path: str):
         p = local_os_path(path)
         os.makedirs(os.path.dirname(p), exist_ok=True)
         return open(p, "wb")
-    filesystem, inner = _arrow_fs(path)
+    filesystem, inner = arrow_fs(path)
     return filesystem.open_output_stream(inner)
 
 
