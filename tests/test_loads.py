@@ -237,7 +237,8 @@ def test_listing_by_tasks_equals_the_file_index(spark, tmp):
         _put(f"{tmp}/src/{name}", "" if name == "empty" else name + "\n", age=1000)
     for args in ({}, {"recursive": True}, {"pattern": "b c#"}, {"pattern": "x", "recursive": True}):
         want = sorted(map(tuple, listing.list_files(spark, tmp + "/src", **args).collect()))
-        got = sorted(map(tuple, listing.list_folders(spark, tmp + "/src", **args).collect()))
+        found = listing.list_folders(spark, tmp + "/src", **args).where("length > 0")  # the index skips empty files
+        got = sorted(map(tuple, found.collect()))
         assert got == want, args
     assert listing.list_folders(spark, tmp + "/src/*").count() == 2
     with pytest.raises(FileNotFoundError):

@@ -1,5 +1,7 @@
 """Independent DuckDB SQL for each registered query (same column names and types)."""
 
+from tidelake.oracles_loads import LOAD_ORACLES
+
 M = ("(select event_type || '_' || event_id || '.txt' as file_name, event_id % 4 as length, "
      "ts as modified, event_type from events)")
 W = "timestamp '2024-01-15 12:01:10'"
@@ -145,3 +147,5 @@ select target_dir, case when error is null then mode0 end as mode, error from e"
     "gzip_landing_minute": ("select *, date '2024-01-02' as date_part from customer "
                             "where c_mktsegment is distinct from 'FURNITURE'"),
 }
+
+ORACLES.update(LOAD_ORACLES)

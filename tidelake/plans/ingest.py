@@ -48,6 +48,13 @@ def jdbc_source(spark: SparkSession, connections: dict) -> Source:
     return read
 
 
+def open_source(source: Source, row: dict) -> DataFrame:
+    """The rows of a control row's table that its ``where_clause`` keeps, evaluated at the source: by the
+    database where the source says so (``applies_where``), else as a pushed-down filter."""
+    where = None if getattr(source, "applies_where", False) else row.get("where_clause")
+    return source(row).where(where) if where else source(row)
+
+
 def _write(df: DataFrame, folder: str, fmt: str, obs: Observation) -> int:
     """Write a load's rows into its folder; the date is the folder's.  Returns their number."""
     out = df.drop(PARTITION).observe(obs, F.count(F.lit(1)).alias("n"))
@@ -149,13 +156,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
 
 def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, now, fmt, state) -> Outcome:
     table, key, target = row.get("rdbms_table_name"), row["source_key"], row["target_dir"]
-    # a source that evaluates the where text itself says so; for others it is Spark SQL
-    where = None if getattr(source, "applies_where", False) else row.get("where_clause")
-
-    def opened(r: dict) -> DataFrame:
-        return source(r).where(where) if where else source(r)
-
-    df = opened(row)
+    df = open_source(source, row)
     obs = Observation(f"rows_{table}_{uuid.uuid4().hex[:6]}")
 
     def mark(value, ctype) -> DataFrame:
@@ -203,7 +204,7 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
         return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)
     wide = df  # read over splits where the increment is large
     if split and b["s_lo"] is not None:
-        wide = opened({**row, "split_bounds": (b["s_lo"], b["s_hi"])})
+        wide = open_source(source, {**row, "split_bounds": (b["s_lo"], b["s_hi"])})
     load = open_load(spark, state_path, key, target, run_date, lock=state_lock)
     if by_clock:
         inc, new_value = above(wide), str(now)

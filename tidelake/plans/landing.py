@@ -317,7 +317,7 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
     if known is not None:
         same = listing.where(F.col("modified") == F.lit(wm))
         newer = newer.unionByName(same.join(known, F.col("path") == F.col(KEY), "left_anti"))
-    files = _kept(newer, "new-files")
+    files = _kept(files_non_empty(newer), "new-files")
     found = _newest(files)
     if not found["n"]:
         return report_frame(spark, [Outcome(source, None, "pickup", NO_NEW_DATA, 0, 0)])

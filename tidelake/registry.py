@@ -20,7 +20,7 @@ from tidelake.operators.increments import append_increment, increment_bounds, la
 from tidelake.operators.repair import repair_escaped_lines
 from tidelake.operators.validate import validate_table_control
 from tidelake.plans.cleansed import raw_to_cleansed
-from tidelake.plans.ingest import ingest_tables
+from tidelake.plans.ingest import ingest_tables, open_source
 from tidelake.plans.landing import land_files
 from tidelake.plans.query import display_lines, query_table
 from tidelake.session import local_frame, scratch_path
@@ -178,7 +178,8 @@ def lastmodified_increment_query(spark, sf_dir):
 def source_where_pushdown(spark, sf_dir):
     """Per-table where evaluated at the source (F2; PushedFilters)."""
     orders = table(spark, sf_dir, "orders")
-    return orders.where("o_orderstatus = 'F' AND o_totalprice > 100000").select("o_orderkey", "o_custkey")
+    row = {"where_clause": "o_orderstatus = 'F' AND o_totalprice > 100000"}
+    return open_source(lambda r: orders, row).select("o_orderkey", "o_custkey")
 
 
 def _table_control(spark, rows) -> DataFrame:
@@ -752,3 +753,7 @@ QUERIES = {
     "ingest_where": ingest_where,
     "lastmodified_clock": lastmodified_clock,
 }
+
+from tidelake.registry_loads import LOAD_QUERIES  # noqa: E402  (they use the helpers above)
+
+QUERIES.update(LOAD_QUERIES)
