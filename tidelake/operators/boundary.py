@@ -30,7 +30,7 @@ def write_edges(keys: DataFrame, state_path: str, source: str, load_id: str, val
     spark = keys.sparkSession
     path = f"{edges_path(state_path)}/of={load_id}"
     rows = keys.select(F.lit(source).alias("source"), F.lit(load_id).alias("load_id"), F.lit(value).alias("value"), "key")
-    rows.distinct().write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").parquet(path)
     return spark.read.schema(EDGES).parquet(path).select(F.col("key").alias(KEY))
 
 
@@ -40,7 +40,7 @@ def known_keys(spark: SparkSession, state_path: str, source: str, value: str, st
 
     if state is None or not path_exists(spark, edges_path(state_path)):
         return None
-    done = state.where(F.col("load_id").isNotNull()).select(F.col("load_id").alias("_id")).distinct()
+    done = state.where(F.col("load_id").isNotNull() & (F.col("source") == source)).select(F.col("load_id").alias("_id"))
     rows = spark.read.schema(EDGES).parquet(edges_path(state_path)).where((F.col("source") == source) & (F.col("value") == value))
     return rows.join(done, F.col("load_id") == F.col("_id"), "left_semi").select(F.col("key").alias(KEY))
 

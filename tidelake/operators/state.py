@@ -10,11 +10,14 @@ source with a long history is no hot group.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidelake.functions.time import DEFAULT_WATERMARK, watermark_literal
+from tidelake.session import append_rows
 
 
 def advance_watermarks(manifest: DataFrame, source, ts_col: str = "modified",
@@ -44,9 +47,19 @@ def read_state(spark: SparkSession, path: str) -> DataFrame | None:
     return state
 
 
-def append_state(rows: DataFrame, path: str, run_ts=None, load_id: str | None = None):
-    """Append watermark rows; call only after the data they describe is committed.
-    ``load_id`` marks the staged load these rows commit (see :mod:`tidelake.sinks.loads`)."""
+STATE = ("source string, high_water timestamp, file_name string, value string, value_type string, run_ts timestamp, "
+         "load_id string")
+
+
+def append_state(rows, path: str, run_ts=None, load_id: str | None = None, spark: SparkSession | None = None):
+    """Append watermark rows; call only after the data they describe is there.  ``rows`` is a DataFrame,
+    or a list of ``(source, high_water, file_name, value, value_type)`` of the driver's (with ``spark``),
+    which is one small file.  ``load_id`` marks the load these rows commit (see
+    :mod:`tidelake.sinks.loads`)."""
+    if isinstance(rows, list):
+        now = dt.datetime.now(dt.timezone.utc) if run_ts is None else run_ts
+        append_rows(spark, path, [(*r, now, load_id) for r in rows], STATE)
+        return
     ts = F.current_timestamp() if run_ts is None else F.lit(str(run_ts)).cast("timestamp")
     cols = {"high_water": None, "file_name": "string", "value": "string", "value_type": "string"}
     out = rows

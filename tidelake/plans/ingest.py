@@ -16,7 +16,7 @@ from tidelake.operators.increments import lastmodified_increment
 from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome, report_frame, timed
 from tidelake.operators.state import read_state, seed_from_state
 from tidelake.operators.validate import validate_table_control
-from tidelake.session import local_frame, today
+from tidelake.session import today
 from tidelake.sinks.loads import TASKS_COMMIT, Load, commit_load, discard_unfinished, drop_load, open_load, visible_loads
 from tidelake.sinks.raw import write_raw
 from tidelake.sinks.tables import PARTITION
@@ -159,8 +159,8 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
     df = open_source(source, row)
     obs = Observation(f"rows_{table}_{uuid.uuid4().hex[:6]}")
 
-    def mark(value, ctype) -> DataFrame:
-        return local_frame(spark, [(key, value, ctype)], "source string, value string, value_type string")
+    def mark(value, ctype) -> list[tuple]:
+        return [(key, None, None, value, ctype)]
 
     if row["mode"] == "snapshot":
         load = open_load(spark, state_path, key, target, run_date, replaces=True, lock=state_lock)

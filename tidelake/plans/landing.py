@@ -33,6 +33,9 @@ from tidelake.sources.control import first_row
 from tidelake.sources.listing import list_folders, manifest_lines
 
 
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
 def _watermarks(spark, state, sources) -> dict:
     """Current watermark of each source (default when none is stored), in one job."""
     src = local_frame(spark, [(s,) for s in sorted(set(sources))], "source string")
@@ -51,6 +54,15 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _kept_files(files: DataFrame, *counts: Column):
+    """``files`` written once and read again, and, seen on the way, their number ``n``, the newest stamp
+    (``us``, microseconds, so no local time is in the way) with the name of its file, and ``counts``."""
+    obs = Observation(f"files_{uuid.uuid4().hex[:6]}")
+    newest = F.max(F.struct(F.unix_micros("modified").alias("us"), "file_name")).alias("hi")
+    kept = _kept(files.observe(obs, F.count(F.lit(1)).alias("n"), newest, *counts), "new-files")
+    return kept, obs.get
+
+
 def _new_files(manifest: DataFrame, wm, precision: str, known: DataFrame | None) -> DataFrame:
     """Files newer than the watermark and, to the second, those with its stamp that did not land with it."""
     if precision == "minute":
@@ -66,20 +78,12 @@ def _us(stamp) -> str | None:
     """A stamp as the text of its microseconds, by which boundary keys are kept."""
     if stamp is None:
         return None
-    gone = stamp.astimezone(dt.timezone.utc) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-    return str((gone.days * 86400 + gone.seconds) * 1_000_000 + gone.microseconds)
+    return str((stamp.astimezone(dt.timezone.utc) - EPOCH) // dt.timedelta(microseconds=1))
 
 
-def _newest(files: DataFrame, *counts: Column):
-    """Number of files, the newest stamp (microseconds, so no local time is in the way) and name
-    among them, and ``counts``: one job."""
-    newest = F.max(F.struct(F.unix_micros("modified").alias("us"), "file_name")).alias("hi")
-    return files.agg(F.count(F.lit(1)).alias("n"), newest, *counts).first()
-
-
-def _mark(spark, source: str, hi) -> DataFrame:
-    row = local_frame(spark, [(source, hi["us"], hi["file_name"])], "source string, us bigint, file_name string")
-    return row.select("source", F.timestamp_micros("us").alias("high_water"), "file_name")
+def _mark(source: str, hi) -> tuple:
+    """State row of a new watermark."""
+    return source, EPOCH + dt.timedelta(microseconds=hi["us"]), hi["file_name"], None, None
 
 
 def _keep_edge(files: DataFrame, state_path: str, load, hi) -> None:
@@ -137,8 +141,9 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     # one listing per source folder, shared by every control row reading from it
     listings, missing = {}, {}
     for d in sorted({r["source_dir"] for r in rows if r["error"] is None}):
+        readers = sum(d in {rows[i]["source_dir"] for i in mine} for mine in groups.values())
         try:
-            listings[d] = list_folders(spark, d)
+            listings[d] = list_folders(spark, d, stored=readers > 1 or state is not None)
         except FileNotFoundError as e:
             missing[d] = f"no folder {e}"
 
@@ -175,9 +180,8 @@ def _land_table(spark, rows, listings, wm, state_path, state_lock, app, source,
     for folder, mine in by_dir.items():
         named = _first_match([rows[i]["pattern"] for i in mine], mine)
         parts.append(_new_files(listings[folder], wm, precision, known).withColumn("_row", named).where(F.col("_row").isNotNull()))
-    files = _kept(reduce(DataFrame.unionByName, parts), "new-files")
     per_row = [F.count_if(F.col("_row") == i).alias(f"n{i}") for i in range(len(rows))]
-    found = _newest(files, *per_row)
+    files, found = _kept_files(reduce(DataFrame.unionByName, parts), *per_row)
     if not found["n"]:
         return [Outcome(app, table, "files", NO_NEW_DATA, n_files=0, n_rows=0) for _ in rows]
     target = f"{rows[0]['target_dir'].rstrip('/')}/{table}"
@@ -187,7 +191,7 @@ def _land_table(spark, rows, listings, wm, state_path, state_lock, app, source,
     lines = manifest_lines(files, "_row")
     lines = lines.observe(obs, *[F.sum(F.when(F.col("tag") == i, 1).otherwise(0)).alias(f"r{i}") for i in range(len(rows))])
     write_lines(lines.select("value"), load.folder(), **TASKS_COMMIT)
-    commit_load(spark, state_path, load, _mark(spark, source, found["hi"]), state_lock)
+    commit_load(spark, state_path, load, [_mark(source, found["hi"])], state_lock)
     counts = obs.get
     return [Outcome(app, table, "files", OK if found[f"n{i}"] else NO_NEW_DATA, n_files=found[f"n{i}"],
                     n_rows=counts.get(f"r{i}") or 0) for i in range(len(rows))]
@@ -219,15 +223,14 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
     folder = (first_row(ctrl).orderBy("control_file").first()["source_dir"] or "").strip() or valid[0]["source_dir"]
     try:
         listing = list_folders(spark, folder, recursive=True)
-        archives, waiting = _new_archives(spark, listing, state, state_path, app, precision)
-        listed = _newest(archives)
+        archives, listed, waiting = _new_archives(spark, listing, state, state_path, app, precision)
         still = [Outcome(app, r["path"], "zip", FAILED, n_files=1, message="not replaced yet") for r in waiting]
         if not listed["n"]:
             return report_frame(spark, invalid + still + [Outcome(app, t, "zip", NO_NEW_DATA, 0, 0) for t in places.values()])
         routing = local_frame(spark, [(i, r["pattern"], names.index(f"{r['target_dir'].rstrip('/')}/{r['table_name']}"))
                                       for i, r in enumerate(valid)], "line_no int, pattern string, place int")
         directory = _kept(zip_directory(archives), "zip-members")
-        bad = directory.where(F.col("error").isNotNull()).select("archive", "error")
+        bad = _by_archive(directory.where(F.col("error").isNotNull()))
         counts, broken = _land_members(spark, directory, bad, archives, routing, names, state_path, app, run_date,
                                        listed["hi"], max_parallel, _known_bad(state, app))
         if counts is None:  # members that break off: leave their archives out and write the others again
@@ -237,7 +240,7 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
             raise OSError("archives change while they are read")
     except Exception as e:
         return report_frame(spark, invalid + [Outcome(app, t, "zip", FAILED, message=str(e)) for t in places.values()])
-    failed = [Outcome(app, r["archive"], "zip", FAILED, n_files=1, message=r["error"]) for r in broken]
+    failed = [Outcome(app, path, "zip", FAILED, n_files=1, message=error) for path, error in broken.items()]
     return report_frame(spark, invalid + still + failed + [
         Outcome(app, t, "zip", OK, n_files=counts[i][1], n_rows=counts[i][0]) for i, t in enumerate(places.values())])
 
@@ -248,26 +251,31 @@ def _new_archives(spark, listing, state, state_path, app, precision):
     new = _new_files(listing, wm, precision, known_keys(spark, state_path, app, _us(wm), state))
     bad = _known_bad(state, app)
     if bad is None:
-        return _kept(new, "new-archives"), []
+        return *_kept_files(new), []
     now = F.concat_ws(":", F.unix_micros("modified").cast("string"), F.col("length").cast("string"))
     seen = _kept(listing.join(bad, F.col("path") == F.col("_bad")).select("path", "file_name", "length", "modified", (now != F.col("_was")).alias("changed")),
                  "bad-archives")
     again = files_non_empty(seen.where("changed").drop("changed"))
     fresh = new.join(seen.select(F.col("path").alias("_seen")), F.col("path") == F.col("_seen"), "left_anti")
-    return _kept(fresh.unionByName(again), "new-archives"), seen.where("not changed").select("path").collect()
+    return *_kept_files(fresh.unionByName(again)), seen.where("not changed").select("path").collect()
+
+
+def _by_archive(errors: DataFrame) -> dict[str, str]:
+    """An error for each unreadable archive; each becomes a report row."""
+    return {r["archive"]: r["error"] for r in errors.groupBy("archive").agg(F.first("error").alias("error")).collect()}
 
 
 def _land_members(spark, directory, bad, archives, routing, places, state_path, app, run_date, hi, max_parallel, known_bad):
     """Write the members of all readable archives, a table at a time, and commit them together: (lines,
     files) per place, and the unreadable archives.  Where a member turns out damaged nothing is committed:
     None, and all archives with a damaged member."""
-    bad = _kept(bad.groupBy("archive").agg(F.first("error").alias("error")), "bad-archives")
-    members = (directory.where(F.col("error").isNull()).withColumn("file_name", F.substring_index("member", "/", -1))
-               .join(bad.select("archive"), "archive", "left_anti"))
+    members = directory.where(F.col("error").isNull()).withColumn("file_name", F.substring_index("member", "/", -1))
+    left_out = local_frame(spark, [(path,) for path in bad], "archive string")
+    members = members.join(left_out, "archive", "left_anti") if bad else members
     keys = ("archive", "member", "file_name", "position", "member_size")
     routed = _kept(route_first_match(members.select(*keys), routing, key_cols=keys).select("archive", "member", "position", "place"), "zip-routed")
-    used = {r["place"]: r["n"] for r in routed.groupBy("place").agg(F.count("*").alias("n")).collect()}
-    load = open_load(spark, state_path, app, [places[i] for i in sorted(used)], run_date)
+    used = sorted(r["place"] for r in routed.select("place").distinct().collect())
+    load = open_load(spark, state_path, app, [places[i] for i in used], run_date)
     _keep_edge(archives, state_path, load, hi)
 
     def write(i: int):
@@ -280,22 +288,20 @@ def _land_members(spark, directory, bad, archives, routing, places, state_path,
         return obs.get
 
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(used) or 1))) as pool:
-        found = dict(zip(sorted(used), pool.map(inheritable_thread_target(spark)(write), sorted(used))))
+        found = dict(zip(used, pool.map(inheritable_thread_target(spark)(write), used)))
     if any(c["e"] for c in found.values()):
         drop_load(spark, state_path, load)
-        worse = damaged_members(routed.select("archive", "member", "position")).select("archive", "error")
-        return None, bad.unionByName(worse)
-    broken = bad.collect()  # a report row each
-    stamp = F.concat_ws(":", F.unix_micros("modified").cast("string"), F.col("length").cast("string"))
-    marks = _mark(spark, app, hi).withColumn("value", F.lit(None).cast("string"))
-    named = F.concat(F.lit(f"{app}{FAILED_ARCHIVE}"), F.col("path")).alias("source")
-    none = F.lit(None).cast("timestamp").alias("high_water")
-    marks = marks.unionByName(archives.join(bad, F.col("path") == F.col("archive")).select(named, none, "file_name", stamp.alias("value")))
+        return None, bad | _by_archive(damaged_members(routed.select("archive", "member", "position")))
+    marks = [_mark(app, hi)]
+    stamp = F.concat_ws(":", F.unix_micros("modified").cast("string"), F.col("length").cast("string")).alias("stamp")
+    if bad:  # they wait until they are replaced
+        waiting = archives.join(left_out, F.col("path") == F.col("archive"), "left_semi").select("path", "file_name", stamp)
+        marks += [(f"{app}{FAILED_ARCHIVE}{r['path']}", None, r["file_name"], r["stamp"], None) for r in waiting.collect()]
     if known_bad is not None:  # replaced ones that landed are done
-        done = archives.join(known_bad, F.col("path") == F.col("_bad")).join(bad, F.col("path") == F.col("archive"), "left_anti")
-        marks = marks.unionByName(done.select(named, none, "file_name", F.lit("").alias("value")))
+        done = archives.join(known_bad, F.col("path") == F.col("_bad"), "left_semi").select("path", "file_name")
+        marks += [(f"{app}{FAILED_ARCHIVE}{r['path']}", None, r["file_name"], "", None) for r in done.collect() if r["path"] not in bad]
     commit_load(spark, state_path, load, marks)
-    return [(found[i]["n"] or 0, found[i]["f"] or 0) if i in found else (0, 0) for i in range(len(places))], broken
+    return [(found[i]["n"] or 0, found[i]["f"] or 0) if i in found else (0, 0) for i in range(len(places))], bad
 
 
 def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_path: str,
@@ -312,13 +318,12 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
     state = read_state(spark, state_path)
     wm = _watermark(spark, state, source)
     known = known_keys(spark, state_path, source, _us(wm), state)
-    listing = list_folders(spark, source_dir)
+    listing = list_folders(spark, source_dir, stored=known is not None)
     newer = files_newer_than(listing, wm)
     if known is not None:
         same = listing.where(F.col("modified") == F.lit(wm))
         newer = newer.unionByName(same.join(known, F.col("path") == F.col(KEY), "left_anti"))
-    files = _kept(files_non_empty(newer), "new-files")
-    found = _newest(files)
+    files, found = _kept_files(files_non_empty(newer))
     if not found["n"]:
         return report_frame(spark, [Outcome(source, None, "pickup", NO_NEW_DATA, 0, 0)])
     discard_unfinished(spark, state_path, [source], state)
@@ -330,5 +335,5 @@ def pickup_files(spark: SparkSession, source_dir: str, stage_dir: str, state_pat
     obs = Observation(f"pickup_{uuid.uuid4().hex[:6]}")
     lines = manifest_lines(files).select("value").observe(obs, F.count(F.lit(1)).alias("n"))
     write_lines(lines, load.folder(), **TASKS_COMMIT)
-    commit_load(spark, state_path, load, _mark(spark, source, found["hi"]))
+    commit_load(spark, state_path, load, [_mark(source, found["hi"])])
     return report_frame(spark, [Outcome(source, None, "pickup", OK, found["n"], obs.get["n"])])

@@ -126,30 +126,63 @@ def recover_target(spark: SparkSession, target: str) -> None:
         fs.delete(st.getPath(), True)
 
 
-def local_frame(spark: SparkSession, rows, ddl: str):
-    """A small DataFrame from driver-side rows (control rows, report rows, state rows), handed
-    over as one Arrow table, so its cost does not grow with an expression per value.  Values
-    that do not fit their column's type as they are (a number given as text) are cast by
-    Spark.  Only for configuration-sized data."""
+def local_table(rows, ddl: str):
+    """Driver-side rows as an Arrow table, and for each column whether Spark has to cast it still (a number
+    given as text).  Naive stamps are the driver's local time."""
     import pyarrow as pa
-    from pyspark.sql import functions as F
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StringType, StructType, TimestampType
 
     schema = StructType.fromDDL(ddl)
-    rows = list(rows)
-    if not rows:
-        return spark.createDataFrame([], schema)
-    columns, casts = [], []
+    columns, texts = [], []
     for field, values in zip(schema.fields, zip(*rows)):
-        if isinstance(field.dataType, TimestampType):  # naive stamps are the driver's local time
+        if isinstance(field.dataType, TimestampType):
             values = [v.astimezone() if hasattr(v, "astimezone") else v for v in values]
         try:
             columns.append(pa.array(values, to_arrow_type(field.dataType)))
+            texts.append(False)
         except (pa.ArrowInvalid, pa.ArrowTypeError, TypeError):
             columns.append(pa.array([None if v is None else str(v) for v in values], to_arrow_type(StringType())))
-        casts.append(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name))
-    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names)).select(*casts)
+            texts.append(True)
+    return pa.Table.from_arrays(columns, names=schema.names), texts
+
+
+def local_frame(spark: SparkSession, rows, ddl: str):
+    """A small DataFrame from driver-side rows (control rows, report rows, state rows), handed
+    over as one Arrow table, so its cost does not grow with an expression per value.  Values
+    that do not fit their column's type as they are (a number given as text) are cast by
+    Spark.  Only for configuration-sized data."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(ddl)
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    table, _ = local_table(rows, ddl)
+    return spark.createDataFrame(table).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def append_rows(spark: SparkSession, path: str, rows, ddl: str) -> None:
+    """Append a few driver-side rows to the Parquet folder ``path``: one small file that appears at once,
+    without a Spark job."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    table, texts = local_table(rows, ddl)
+    if any(texts):
+        raise TypeError(f"rows do not fit {ddl}")
+    out = pa.BufferOutputStream()
+    pq.write_table(table, out)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder, name = Path(path), f"part-{uuid.uuid4().hex}.parquet"
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    stream = fs.create(Path(folder, f"_{name}"), True)
+    stream.write(bytearray(out.getvalue().to_pybytes()))
+    stream.close()
+    if not fs.rename(Path(folder, f"_{name}"), Path(folder, name)):
+        raise OSError(f"cannot write {path}/{name}")
 
 
 def today(spark: SparkSession) -> str:

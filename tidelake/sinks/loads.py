@@ -21,15 +21,16 @@ before any of its own loads begins; a folder belongs to one load, so no other lo
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from contextlib import nullcontext
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidelake.session import local_frame, path_exists
+from tidelake.session import append_rows, path_exists
 
 LEDGER = ("source string, load_id string, target string, folder string, replaces boolean, run_ts timestamp, "
           "committed_at timestamp, closed boolean")
@@ -49,9 +50,8 @@ def _path(spark: SparkSession, path: str):
 
 def _log(spark: SparkSession, state_path: str, rows: list[tuple]) -> None:
     """Append ``(source, load_id, target, folder, replaces, closed)`` rows to the ledger."""
-    full = [(*r[:5], None, None, r[5]) for r in rows]
-    frame = local_frame(spark, full, LEDGER).withColumn("run_ts", F.current_timestamp())
-    frame.coalesce(1).write.mode("append").parquet(loads_path(state_path))
+    now = dt.datetime.now(dt.timezone.utc)
+    append_rows(spark, loads_path(state_path), [(*r[:5], now, None, r[5]) for r in rows], LEDGER)
 
 
 @dataclass
@@ -79,12 +79,12 @@ def open_load(spark: SparkSession, state_path: str, source: str, targets, run_da
     return load
 
 
-def commit_load(spark: SparkSession, state_path: str, load: Load, state_rows: DataFrame, lock=None) -> None:
-    """Make the load visible, together with ``state_rows``."""
+def commit_load(spark: SparkSession, state_path: str, load: Load, state_rows, lock=None) -> None:
+    """Make the load visible, together with ``state_rows`` (see :func:`tidelake.operators.state.append_state`)."""
     from tidelake.operators import state
 
     with lock or nullcontext():
-        state.append_state(state_rows, state_path, load_id=load.load_id)
+        state.append_state(state_rows, state_path, load_id=load.load_id, spark=spark)
     for target in load.folders:
         p, fs = _path(spark, f"{target.rstrip('/')}/_SUCCESS")
         if not fs.exists(p):
@@ -102,12 +102,14 @@ def drop_load(spark: SparkSession, state_path: str, load: Load, lock=None) -> No
         _log(spark, state_path, [(load.source, load.load_id, t.rstrip("/"), f, False, True) for t, f in load.folders.items()])
 
 
-def _ledger(spark: SparkSession, state_path: str) -> DataFrame | None:
-    """Open ledger rows (those of no closed load), or None before the first load."""
+def _ledger(spark: SparkSession, state_path: str, wanted=None) -> DataFrame | None:
+    """Open ledger rows (those of no closed load) that ``wanted`` (a condition on source or target) picks,
+    or None before the first load.  They are one row a load: one task reads them, without a shuffle."""
     lp = loads_path(state_path)
     if not path_exists(spark, lp):
         return None
     rows = spark.read.schema(LEDGER).parquet(lp).where(F.col("folder").isNotNull())
+    rows = (rows if wanted is None else rows.where(wanted)).coalesce(1)
     per = rows.groupBy("source", "load_id", "target", "folder").agg(
         F.max("replaces").alias("replaces"), F.min("run_ts").alias("run_ts"), F.max("committed_at").alias("committed_at"),
         F.max(F.coalesce("closed", F.lit(False))).alias("closed"))
@@ -118,17 +120,17 @@ def _with_commits(ledger: DataFrame, state: DataFrame | None) -> DataFrame:
     """``ledger`` with ``committed_at`` from the state rows that carry a load's id."""
     if state is None:
         return ledger
-    done = (state.where(F.col("load_id").isNotNull()).groupBy(F.col("load_id").alias("_id"))
+    done = (state.where(F.col("load_id").isNotNull()).coalesce(1).groupBy(F.col("load_id").alias("_id"))
             .agg(F.min("run_ts").alias("_at")))
-    return (ledger.join(done, F.col("load_id") == F.col("_id"), "left")
+    return (ledger.join(done.hint("shuffle_hash"), F.col("load_id") == F.col("_id"), "left")
             .withColumn("committed_at", F.coalesce("committed_at", "_at")).drop("_id", "_at"))
 
 
-def committed_loads(spark: SparkSession, state_path: str, state: DataFrame | None = None) -> DataFrame:
+def committed_loads(spark: SparkSession, state_path: str, state: DataFrame | None = None, wanted=None) -> DataFrame:
     """``(source, load_id, target, folder, replaces, run_ts, committed_at)`` of all committed loads."""
     from tidelake.operators.state import read_state
 
-    ledger = _ledger(spark, state_path)
+    ledger = _ledger(spark, state_path, wanted)
     if ledger is None:
         return spark.createDataFrame([], StructType.fromDDL(LEDGER)).drop("closed")
     state = state if state is not None else read_state(spark, state_path)
@@ -137,22 +139,19 @@ def committed_loads(spark: SparkSession, state_path: str, state: DataFrame | Non
 
 def visible_loads(spark: SparkSession, state_path: str, target: str, state: DataFrame | None = None) -> DataFrame:
     """The committed loads that make up ``target`` now: from its last replacing load on."""
-    mine = committed_loads(spark, state_path, state).where(F.col("target") == target.rstrip("/"))
-    at = F.unix_micros("committed_at")
-    cut = mine.agg(F.max(F.when(F.col("replaces"), at))).first()[0]  # one number
-    return mine if cut is None else mine.where(at >= F.lit(cut))
+    mine = committed_loads(spark, state_path, state, F.col("target") == target.rstrip("/"))
+    cut = F.max(F.when(F.col("replaces"), F.col("committed_at"))).over(Window.partitionBy("target"))
+    return mine.withColumn("_cut", cut).where(F.col("_cut").isNull() | (F.col("committed_at") >= F.col("_cut"))).drop("_cut")
 
 
 def discard_unfinished(spark: SparkSession, state_path: str, sources, state: DataFrame | None = None) -> int:
     """Delete the folders of loads of ``sources`` that were never committed, and of versions that were
     replaced before the current one; returns how many.  Call it before any load of the run begins."""
-    ledger = _ledger(spark, state_path)
+    ledger = _ledger(spark, state_path, F.col("source").isin(sorted(set(sources))))
     if ledger is None:
         return 0
-    rows = _with_commits(ledger, state).where(F.col("source").isin(sorted(set(sources))))
-    cut = (rows.where(F.col("replaces") & F.col("committed_at").isNotNull()).groupBy(F.col("target").alias("_t"))
-           .agg(F.max("committed_at").alias("_cut")))
-    dead = rows.join(cut, F.col("target") == F.col("_t"), "left").where(
+    cut = F.max(F.when(F.col("replaces"), F.col("committed_at"))).over(Window.partitionBy("target"))
+    dead = _with_commits(ledger, state).withColumn("_cut", cut).where(
         F.col("committed_at").isNull() | (F.col("committed_at") < F.col("_cut")))
     found = dead.select("source", "load_id", "target", "folder").collect()  # crashed or replaced loads since the last run
     for r in found:

@@ -87,8 +87,10 @@ def _list_folders(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
 
 
-def list_folders(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False) -> DataFrame:
-    """The manifest of :func:`list_files`, made by the tasks and written as Parquet: folders are dealt to
+def list_folders(spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = False,
+                 stored: bool = True) -> DataFrame:
+    """The manifest of :func:`list_files`, made by the tasks and written as Parquet (without ``stored``, one
+    folder is listed whenever the result is read): folders are dealt to
     tasks, those found in them are the next round's.  The driver holds neither file names nor a file
     index, only the number of folders of each round; a folder is streamed, not held.  ``path`` may be a
     glob; it must be reachable from Python workers (local, HDFS, S3 and the like)."""
@@ -102,8 +104,10 @@ def list_folders(spark: SparkSession, path: str, pattern: str | None = None, rec
     while n:
         tasks = max(1, min(n, 4 * spark.sparkContext.defaultParallelism))
         out = scratch_path(spark, "listing")
-        folders.select("path").repartition(tasks).mapInArrow(_list_folders, LISTED).write.parquet(out)
-        found = spark.read.schema(LISTED).parquet(out)
+        found = folders.select("path").repartition(tasks).mapInArrow(_list_folders, LISTED)
+        if stored or recursive:
+            found.write.parquet(out)
+            found = spark.read.schema(LISTED).parquet(out)
         rounds.append(found.where("not folder"))
         folders = found.where("folder")
         n = folders.count() if recursive else 0
