@@ -319,3 +319,83 @@ def test_catalog_relation_shows_committed_loads_only(spark, tmp, monkeypatch, fm
     assert load(5) == "ok" and spark.table(name).columns == ["k", "v", "date_part"]
     assert sorted(r.k for r in spark.table(name).collect()) == [1, 2, 3, 4, 5]
     assert spark.read.parquet(loads_path(tmp + "/state")).where("closed").count() == 1
+
+
+# --- reconciliation and splits --------------------------------------------------------------------
+
+@pytest.mark.parametrize("zipped", [False, True])
+def test_a_line_lost_on_the_way_fails_the_load(spark, tmp, monkeypatch, zipped):
+    import tidelake.plans.landing as mod
+    src, st = tmp + "/src", tmp + "/state"
+    if zipped:
+        _zip(src + "/1.zip", {"f1": "a\nb\nc\n"})
+    else:
+        _put(src + "/f1", "a\nb\nc\n")
+    ctrl = _file_control(spark, [("f", "t", src, tmp + "/lake")])
+    real = mod.write_lines
+    monkeypatch.setattr(mod, "write_lines", lambda df, folder, **o: real(df.where("value <> 'b'"), folder, **o))
+    land = lambda: land_files(spark, ctrl, st, mode="consolidated" if zipped else None, check=True).collect()[0]
+    rep = land()
+    assert rep.status == "failed" and "written 3 rows, read back 2" in rep.message
+    monkeypatch.setattr(mod, "write_lines", lambda df, folder, **o: real(df.select(F.replace("value", F.lit("b"), F.lit("B")).alias("value")), folder, **o))
+    assert "content differs" in land().message
+    monkeypatch.setattr(mod, "write_lines", real)
+    assert (land().status, sorted(r._c0 for r in read_loads(spark, tmp + "/lake/t", st).collect())) == ("ok", ["a", "b", "c"])
+
+
+def test_a_value_that_the_format_cannot_carry_fails_a_checked_import(spark, tmp):
+    ctrl = _table_control(spark, [("append", "oracle", "normal", "T", "S", None, tmp + "/t", None, None, None, None, "k", None)])
+    for text, status in (("two\nlines", "failed"), ("sep\x07arator", "failed"), ("plain", "ok")):
+        df = spark.createDataFrame([(1, text), (2, None), (3, "")], "k long, v string")
+        assert ingest_tables(spark, ctrl, tmp + "/state", source=lambda row: df, check=True).collect()[0].status == status
+
+
+class _DuckJdbc:
+    """Stands in for ``spark``: queries run in DuckDB, reads over predicates are recorded."""
+
+    def __init__(self, spark, con):
+        self.spark, self.con, self.predicates, self.query = spark, con, None, None
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, f):
+        return self
+
+    def options(self, **o):
+        return self
+
+    def option(self, k, v):
+        self.query = v if k == "query" else self.query
+        return self
+
+    def load(self):
+        return self.spark.createDataFrame(self.con.execute(self.query).df())
+
+    def jdbc(self, url, table, predicates, properties):
+        self.predicates, self.table, self.properties = predicates, table, properties
+        return self.spark.range(1)
+
+
+def test_even_splits_of_skewed_and_text_keys(spark, tmp):
+    import duckdb
+
+    from tidelake.sources.relational import jdbc_options, read_jdbc
+    con = duckdb.connect()
+    con.execute("create schema S")
+    con.execute("create table S.T as select case when i % 50 = 0 then null else i * i * i end as num, "
+                "case when i % 3 = 0 then 'O''Brien' || (i % 100) else 'Customer#' || i end as txt, date '2020-01-01' + (i % 97)::int as day "
+                "from range(1, 2001) r(i)")
+    fake = _DuckJdbc(spark, con)
+    opts = jdbc_options("oracle", server="db", port=1521, sid="X", schema="S", table="T")
+    for column, where in (("num", None), ("txt", None), ("num", "num > 1000"), ("day", "txt like 'C%'")):
+        read_jdbc(fake, opts, where=where, split_by=column, num_partitions=8, fetch_size=100, even=True)
+        assert len(fake.predicates) == 8 and fake.properties["fetchsize"] == "100"
+        total = con.execute(f"select count(*) from {fake.table}").fetchone()[0]
+        per = [con.execute(f"select count(*) from {fake.table} where {p}").fetchone()[0] for p in fake.predicates]
+        assert sum(per) == total and max(per) <= 2 * total / 8, (column, per)
+    con.execute("create table S.H as select case when i < 900 then 5 else i end as num from range(1000) r(i)")
+    read_jdbc(fake, jdbc_options("oracle", server="db", port=1, sid="X", schema="S", table="H"), split_by="num", num_partitions=4, even=True)
+    per = [con.execute(f"select count(*) from S.H where {p}").fetchone()[0] for p in fake.predicates]
+    assert sum(per) == 1000  # one value is one split, whatever its size

@@ -33,4 +33,8 @@ LOAD_ORACLES = {
     "stream_late_files": "select * from customer",
     "pipe_display_all": ("select concat_ws('|', c_custkey, coalesce(c_name, 'null'), coalesce(cast(c_nationkey as varchar), 'null'), "
                          "coalesce(c_mktsegment, 'null')) as line from customer"),
+    "even_splits": ("select 'number' as key, cast(8 as bigint) as n_splits, count(*) as n_rows, true as even from lineitem "
+                    "union all select 'text', 8, count(*), true from customer"),
+    "reconciled_loads": " union all ".join(f"select '{t}' as table_name, 'ok' as status, count(*) as n_rows, null::varchar as message from {t}"
+                                           for t in ("part", "orders", "events", "customer", "supplier")),
 }

@@ -17,19 +17,21 @@ from tidelake.operators.report import FAILED, INVALID, NO_NEW_DATA, OK, Outcome,
 from tidelake.operators.state import read_state, seed_from_state
 from tidelake.operators.validate import validate_table_control
 from tidelake.session import today
-from tidelake.sinks.loads import TASKS_COMMIT, Load, commit_load, discard_unfinished, drop_load, open_load, visible_loads
+from tidelake.sinks.loads import TASKS_COMMIT, Load, commit_load, content_check, discard_unfinished, drop_load, open_load, reconcile, visible_loads
 from tidelake.sinks.raw import write_raw
 from tidelake.sinks.tables import PARTITION
+from tidelake.sources.raw import read_raw
 from tidelake.sources.relational import jdbc_options, read_jdbc
 from tidelake.sources.tables import add_load, register_loads
 
 Source = Callable[[dict], DataFrame]
 
 
-def jdbc_source(spark: SparkSession, connections: dict) -> Source:
+def jdbc_source(spark: SparkSession, connections: dict, even: bool = True) -> Source:
     """Source factory over JDBC; ``connections[vendor]`` holds server/port/sid/user/password.
 
-    Snapshots split on ``split_by_col`` with bounds from a MIN/MAX query over the table.  An
+    Snapshots split on ``split_by_col`` at boundaries between equally many rows (``even=False``: into equal
+    widths with bounds from a MIN/MAX query over the table).  An
     increment covers only part of the key range, so whole-table bounds would put nearly all
     of it into the last split: increments are first read without splitting for one
     aggregate (append bound and split range of the increment), then read again split over
@@ -43,7 +45,7 @@ def jdbc_source(spark: SparkSession, connections: dict) -> Source:
         # the where text is the database's: it also bounds the split query
         return read_jdbc(spark, opts, where=row.get("where_clause"), split_by=split,
                          num_partitions=row.get("num_mapper"), fetch_size=row.get("fetch_size"),
-                         bounds=bounds)
+                         bounds=bounds, even=even)
     read.applies_where = True
     return read
 
@@ -55,14 +57,22 @@ def open_source(source: Source, row: dict) -> DataFrame:
     return source(row).where(where) if where else source(row)
 
 
-def _write(df: DataFrame, folder: str, fmt: str, obs: Observation) -> int:
-    """Write a load's rows into its folder; the date is the folder's.  Returns their number."""
-    out = df.drop(PARTITION).observe(obs, F.count(F.lit(1)).alias("n"))
+def _write(df: DataFrame, folder: str, fmt: str, obs: Observation, check: bool) -> int:
+    """Write a load's rows into its folder; the date is the folder's.  With ``check`` they are read back
+    and compared.  Returns their number."""
+    rows = df.drop(PARTITION)
+    counts = content_check(rows.columns)
+    out = rows.observe(obs, *(counts if check else counts[:1]))
     if fmt == "raw":
         write_raw(out, folder, **TASKS_COMMIT)
     else:
         out.write.format(fmt).options(**TASKS_COMMIT).save(folder)
-    return obs.get["n"]
+    seen = obs.get
+    if check and seen["n"]:
+        spark = df.sparkSession
+        back = read_raw(spark, folder, schema=rows.schema) if fmt == "raw" else spark.read.schema(rows.schema).format(fmt).load(folder)
+        reconcile(back.select(*rows.columns), seen)
+    return seen["n"]
 
 
 def _register(spark, row, df: DataFrame, fmt: str, run_date, load: Load, state_path: str):
@@ -102,7 +112,7 @@ def _one_row_each(rows: list[dict]) -> None:
 
 def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, source: Source,
                   app: str = "app", run_date=None, run_start=None, fmt: str = "raw", max_parallel: int = 4,
-                  source_now: Callable[[dict], object] | None = None) -> DataFrame:
+                  source_now: Callable[[dict], object] | None = None, check: bool = False) -> DataFrame:
     """Import every control row; returns the run report.
 
     * snapshot: the table becomes today's load at the moment of its commit (a failing source leaves it
@@ -121,7 +131,8 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
     :mod:`tidelake.sinks.loads`; read targets with ``read_loads``).  One table may be loaded into several
     targets, each with its own watermark; a row that would load a table into a target twice, or
     replace what another row loads there, is invalid.  A failing table is reported and the others
-    still run.  Control rows are configuration and are handed out on the driver; each table's read
+    still run.  With ``check`` every load is read back before its commit and must hold the rows that were
+    written, by number and content.  Control rows are configuration and are handed out on the driver; each table's read
     and write run as Spark jobs, up to ``max_parallel`` at a time.
     """
     run_date = run_date or today(spark)  # one load date for every table of the run
@@ -143,7 +154,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
         kind = row.get("table_type") or "snapshot"
         try:
             now = run_start if run_start is not None else source_now(row) if source_now else None
-            return _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, now, fmt, state)
+            return _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, now, fmt, state, check)
         except Exception as e:  # reported per table; the others still run
             return Outcome(app, table, kind, FAILED, message=str(e))
 
@@ -154,7 +165,7 @@ def ingest_tables(spark: SparkSession, control: DataFrame, state_path: str, sour
     return report_frame(spark, outcomes)
 
 
-def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, now, fmt, state) -> Outcome:
+def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date, now, fmt, state, check_content) -> Outcome:
     table, key, target = row.get("rdbms_table_name"), row["source_key"], row["target_dir"]
     df = open_source(source, row)
     obs = Observation(f"rows_{table}_{uuid.uuid4().hex[:6]}")
@@ -164,7 +175,7 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
 
     if row["mode"] == "snapshot":
         load = open_load(spark, state_path, key, target, run_date, replaces=True, lock=state_lock)
-        n = _write(df, load.folder(), fmt, obs)
+        n = _write(df, load.folder(), fmt, obs, check_content)
         commit_load(spark, state_path, load, mark(None, None), state_lock)
         _register(spark, row, df, fmt, run_date, load, state_path)
         return Outcome(app, table, kind, OK, n_rows=n)
@@ -218,7 +229,7 @@ def _import_one(spark, row, kind, source, state_path, state_lock, app, run_date,
             upper = (col < at(hi)) | col.isNull() if last is None else col < at(hi)
             inc = above(wide).where(upper).unionByName(here)
             inc = inc if late is None else inc.unionByName(late)
-    n = _write(inc, load.folder(), fmt, obs)
+    n = _write(inc, load.folder(), fmt, obs, check_content)
     if not n:  # an empty increment leaves target and watermark as they were
         drop_load(spark, state_path, load, state_lock)
         return Outcome(app, table, kind, NO_NEW_DATA, n_rows=0)

@@ -26,7 +26,7 @@ from tidelake.operators.routing import route_first_match
 from tidelake.operators.state import read_state, watermarks_with_default
 from tidelake.operators.validate import validate_file_control
 from tidelake.session import local_frame, move_path, scratch_path, today
-from tidelake.sinks.loads import TASKS_COMMIT, commit_load, discard_unfinished, drop_load, open_load
+from tidelake.sinks.loads import TASKS_COMMIT, commit_load, content_check, discard_unfinished, drop_load, open_load, reconcile
 from tidelake.sinks.raw import write_lines
 from tidelake.sources.archives import damaged_members, zip_directory, zip_member_lines
 from tidelake.sources.control import first_row
@@ -102,7 +102,7 @@ def _first_match(patterns: list[str], numbers: list[int]) -> Column:
 
 def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: str = "app",
                mode: str | None = None, run_date=None, precision: str = "second",
-               max_parallel: int = 4) -> DataFrame:
+               max_parallel: int = 4, check: bool = False) -> DataFrame:
     """Land new files named by a file control table; returns the run report.
 
     ``mode=None``: files ``pattern*`` in a row's ``source_dir`` newer than the table's watermark
@@ -120,7 +120,8 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
 
     A file that appears later with exactly the watermark's stamp lands too.  ``precision="minute"``
     reproduces the minute-granular cut-off of the source system, which passes such files by.
-    Targets are made of load folders: read them with :func:`tidelake.sinks.loads.read_loads`.
+    With ``check`` every table's lines are read back before the commit and must be those that were
+    written, by number and content.  Targets are made of load folders: read them with :func:`tidelake.sinks.loads.read_loads`.
     """
     if mode not in (None, "", "consolidated"):
         raise ValueError(f"mode must be None or 'consolidated', got {mode!r}")
@@ -129,7 +130,7 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
     ctrl = validate_file_control(control)
     rows = [r.asDict() for r in ctrl.orderBy("control_file", "line_no").collect()]
     if mode == "consolidated":
-        return _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision, max_parallel)
+        return _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision, max_parallel, check)
     state_lock = threading.Lock()
     groups: dict[tuple[str, str], list[int]] = {}
     for i, r in enumerate(rows):
@@ -155,7 +156,7 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
                 if r["source_dir"] in missing:
                     raise FileNotFoundError(missing[r["source_dir"]])
             return _land_table(spark, mine, listings, marks[source_of[key]], state_path, state_lock, app,
-                               source_of[key], run_date, precision, state)
+                               source_of[key], run_date, precision, state, check)
         except Exception as e:
             return [Outcome(app, key[0], "files", FAILED, message=str(e)) for _ in mine]
 
@@ -170,7 +171,7 @@ def land_files(spark: SparkSession, control: DataFrame, state_path: str, app: st
 
 
 def _land_table(spark, rows, listings, wm, state_path, state_lock, app, source, run_date, precision,
-                state=None) -> list[Outcome]:
+                state=None, check=False) -> list[Outcome]:
     table = rows[0]["table_name"]
     by_dir: dict[str, list[int]] = {}
     for i, r in enumerate(rows):
@@ -189,14 +190,21 @@ def _land_table(spark, rows, listings, wm, state_path, state_lock, app, source,
     _keep_edge(files, state_path, load, found["hi"])
     obs = Observation(f"land_{table}_{uuid.uuid4().hex[:6]}")
     lines = manifest_lines(files, "_row")
-    lines = lines.observe(obs, *[F.sum(F.when(F.col("tag") == i, 1).otherwise(0)).alias(f"r{i}") for i in range(len(rows))])
+    per_row = [F.sum(F.when(F.col("tag") == i, 1).otherwise(0)).alias(f"r{i}") for i in range(len(rows))]
+    lines = lines.observe(obs, *per_row, *(content_check(["value"]) if check else []))
     write_lines(lines.select("value"), load.folder(), **TASKS_COMMIT)
+    if check:
+        _check_lines(spark, load.folder(), obs.get)
     commit_load(spark, state_path, load, [_mark(source, found["hi"])], state_lock)
     counts = obs.get
     return [Outcome(app, table, "files", OK if found[f"n{i}"] else NO_NEW_DATA, n_files=found[f"n{i}"],
                     n_rows=counts.get(f"r{i}") or 0) for i in range(len(rows))]
 
 
+def _check_lines(spark, folder: str, seen: dict) -> None:
+    reconcile(spark.read.option("lineSep", "\n").text(folder).select("value"), seen)
+
+
 FAILED_ARCHIVE = "!failed!"  # state rows of archives that could not be read: app, this, path
 
 
@@ -209,7 +217,7 @@ def _known_bad(state: DataFrame | None, app: str) -> DataFrame | None:
     return rows.where("v.value <> ''").select(F.substring("source", len(prefix) + 1, 1 << 20).alias("_bad"), F.col("v.value").alias("_was"))
 
 
-def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision, max_parallel):
+def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision, max_parallel, check):
     valid = [r for r in rows if r["error"] is None]
     invalid = [Outcome(app, r["table_name"], "zip", INVALID, message=r["error"]) for r in rows if r["error"] is not None]
     if not valid:
@@ -232,10 +240,10 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
         directory = _kept(zip_directory(archives), "zip-members")
         bad = _by_archive(directory.where(F.col("error").isNotNull()))
         counts, broken = _land_members(spark, directory, bad, archives, routing, names, state_path, app, run_date,
-                                       listed["hi"], max_parallel, _known_bad(state, app))
+                                       listed["hi"], max_parallel, _known_bad(state, app), check)
         if counts is None:  # members that break off: leave their archives out and write the others again
             counts, broken = _land_members(spark, directory, broken, archives, routing, names, state_path, app, run_date,
-                                           listed["hi"], max_parallel, _known_bad(state, app))
+                                           listed["hi"], max_parallel, _known_bad(state, app), check)
         if counts is None:
             raise OSError("archives change while they are read")
     except Exception as e:
@@ -265,7 +273,7 @@ def _by_archive(errors: DataFrame) -> dict[str, str]:
     return {r["archive"]: r["error"] for r in errors.groupBy("archive").agg(F.first("error").alias("error")).collect()}
 
 
-def _land_members(spark, directory, bad, archives, routing, places, state_path, app, run_date, hi, max_parallel, known_bad):
+def _land_members(spark, directory, bad, archives, routing, places, state_path, app, run_date, hi, max_parallel, known_bad, check):
     """Write the members of all readable archives, a table at a time, and commit them together: (lines,
     files) per place, and the unreadable archives.  Where a member turns out damaged nothing is committed:
     None, and all archives with a damaged member."""
@@ -282,10 +290,14 @@ def _land_members(spark, directory, bad, archives, routing, places, state_path,
         obs = Observation(f"zip_rows_{uuid.uuid4().hex[:6]}")
         lines = zip_member_lines(routed.where(F.col("place") == i).select("archive", "member", "position"))
         good = F.col("error").isNull()
-        lines = lines.observe(obs, F.sum(F.when(good, 1).otherwise(0)).alias("n"), F.sum(F.when(good & (F.col("line_no") == 0), 1).otherwise(0)).alias("f"),
+        lines = lines.observe(obs, F.sum(F.when(good & (F.col("line_no") == 0), 1).otherwise(0)).alias("f"),
                               F.sum(F.when(good, 0).otherwise(1)).alias("e"))
-        write_lines(lines.where(good).select("value"), load.folder(places[i]), **TASKS_COMMIT)
-        return obs.get
+        kept = Observation(f"zip_lines_{uuid.uuid4().hex[:6]}")
+        lines = lines.where(good).select("value").observe(kept, *(content_check(["value"]) if check else content_check(["value"])[:1]))
+        write_lines(lines, load.folder(places[i]), **TASKS_COMMIT)
+        if check:
+            _check_lines(spark, load.folder(places[i]), kept.get)
+        return obs.get | kept.get
 
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(used) or 1))) as pool:
         found = dict(zip(used, pool.map(inheritable_thread_target(spark)(write), used)))

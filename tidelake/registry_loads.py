@@ -209,6 +209,39 @@ def stream_late_files(spark, sf_dir):
     return read_raw(spark, target, schema=R.ddl_of(cust)).drop("date_part")
 
 
+def reconciled_loads(spark, sf_dir):
+    """Loads of every kind read back and compared with what was written, before their commit (A1, A4)."""
+    srcs = {n: R.table(spark, sf_dir, n) for n in ("orders", "events", "part")}
+    root, st, src = (scratch_path(spark, n) for n in ("lake", "state", "src"))
+    ctrl = R._table_control(spark, [
+        ("snapshot", "oracle", "normal", "part", "TPCH", None, f"{root}/part", None, None, None, None, None, None),
+        ("append", "oracle", "normal", "orders", "TPCH", None, f"{root}/orders", None, None, None, None, "o_orderkey", None),
+        ("lastmodified", "oracle", "normal", "events", "TPCH", None, f"{root}/events", None, None, None, None, "ts", None)])
+    first = ingest_tables(spark, ctrl, st, source=lambda row: srcs[row["rdbms_table_name"]], app="erp", run_date=R.RUN_DATE, check=True)
+    _drop(spark, R.table(spark, sf_dir, "customer"), src, "cust")
+    rows = [("cust", "customer", src, root)]
+    second = land_files(spark, R._file_control(spark, rows), f"{st}-files", app="crm", run_date=R.RUN_DATE, check=True)
+    zips = scratch_path(spark, "zips")
+    _packed(spark, zips, supplier=R.table(spark, sf_dir, "supplier"))
+    third = land_files(spark, R._file_control(spark, [("supplier", "supplier", zips, root)]), f"{st}-zip", app="crm", mode="consolidated",
+                       run_date=R.RUN_DATE, check=True)
+    return _union(first, second, third).select("table_name", "status", "n_rows", "message")
+
+
+def even_splits(spark, sf_dir):
+    """Split boundaries of a skewed key (cubes of the part number) and of a text key: every row in one split,
+    and no split above twice the mean (S6)."""
+    from tidelake.sources.relational import sampled_bounds, split_number
+    n, out = 8, []
+    items = R.table(spark, sf_dir, "lineitem").select(F.pow("l_partkey", F.lit(3)).alias("skewed"))
+    names = R.table(spark, sf_dir, "customer").select(F.col("c_name").alias("skewed"))
+    for key, df in (("number", items), ("text", names)):
+        per = df.groupBy(split_number("skewed", sampled_bounds(df, "skewed", n)).alias("split")).agg(F.count("*").alias("rows"))
+        out.append(per.agg(F.lit(key).alias("key"), F.count("*").alias("n_splits"), F.sum("rows").alias("n_rows"),
+                           (F.max("rows") <= 2 * F.avg("rows")).alias("even")))
+    return _union(*out)
+
+
 def pipe_display_all(spark, sf_dir):
     """All columns whose text SQL engines agree on, shown as |-joined lines."""
     from tidelake.plans.query import display_lines, query_table
@@ -219,4 +252,4 @@ def pipe_display_all(spark, sf_dir):
 LOAD_QUERIES = {f.__name__: f for f in (
     ingest_two_targets, snapshot_switch, increment_equal_values, landing_equal_stamps, landing_added_target,
     landing_overlapping_patterns, zip_two_controls, zip_bad_archive, folder_listing, sql_relation, table_statement,
-    stream_late_files, pipe_display_all)}
+    stream_late_files, pipe_display_all, even_splits, reconciled_loads)}

@@ -91,6 +91,20 @@ def commit_load(spark: SparkSession, state_path: str, load: Load, state_rows, lo
             fs.create(p, True).close()
 
 
+def content_check(columns: list[str]) -> list:
+    """Number of rows and a sum over their digests, which no order of rows changes: observed while rows are
+    written, and taken again from what was written."""
+    digest = F.xxhash64(*columns).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(digest), F.lit(0).cast("decimal(38,0)")).alias("check")]
+
+
+def reconcile(written: DataFrame, seen: dict) -> None:
+    """Compare what a folder holds with what was observed on its way there; a difference is an error."""
+    back = written.agg(*content_check(written.columns)).first()
+    if (back["n"], back["check"]) != (seen["n"], seen["check"]):
+        raise OSError(f"written {seen['n']} rows, read back {back['n']}, content {'differs' if back['n'] == seen['n'] else 'incomplete'}")
+
+
 def drop_load(spark: SparkSession, state_path: str, load: Load, lock=None) -> None:
     """Give a load up that was not committed."""
     for folder in load.folders.values():
