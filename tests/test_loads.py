@@ -399,3 +399,42 @@ def test_even_splits_of_skewed_and_text_keys(spark, tmp):
     read_jdbc(fake, jdbc_options("oracle", server="db", port=1, sid="X", schema="S", table="H"), split_by="num", num_partitions=4, even=True)
     per = [con.execute(f"select count(*) from S.H where {p}").fetchone()[0] for p in fake.predicates]
     assert sum(per) == 1000  # one value is one split, whatever its size
+
+
+# --- landing streams ------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("zipped", [False, True])
+def test_a_replayed_batch_lands_once(spark, tmp, monkeypatch, zipped):
+    import tidelake.operators.state as state_mod
+    from tidelake.streaming.landing import stream_land_tables
+    src, st = tmp + "/src", tmp + "/state"
+
+    def drop(k):
+        if zipped:
+            _zip(f"{src}/{k}.zip", {f"a{k}": f"a{k}\n", f"b{k}": f"b{k}\n"})
+        else:
+            _put(f"{src}/a{k}", f"a{k}\n")
+            _put(f"{src}/b{k}", f"b{k}\n")
+    ctrl = _file_control(spark, [("a", "ta", src, tmp + "/lake"), ("b", "tb", src, tmp + "/lake"), ("a1", "tc", src, tmp + "/lake")])
+    run = lambda: stream_land_tables(spark, ctrl, st, tmp + "/ck", mode="consolidated" if zipped else None, run_date="2024-01-01").collect()
+    drop(1)
+    assert {r.status for r in run()} == {"ok"} and run() == []
+    drop(2)
+    real, calls = state_mod.append_state, []
+
+    def dies(*a, **k):
+        calls.append(1)
+        if len(calls) == (1 if zipped else 2):  # the first table is committed, the second is not
+            raise RuntimeError("driver died")
+        return real(*a, **k)
+    monkeypatch.setattr(state_mod, "append_state", dies)
+    with pytest.raises(Exception):
+        run()
+    monkeypatch.setattr(state_mod, "append_state", real)
+    run()
+    _put(f"{src}/late.zip" if zipped else f"{src}/a0", "", age=0) if zipped else _put(f"{src}/a0", "a0\n", age=9e6)
+    run()
+    got = {t: sorted(r._c0 for r in read_loads(spark, f"{tmp}/lake/{t}", st).collect()) for t in ("ta", "tb")}
+    assert got == {"ta": ["a1", "a2"] if zipped else ["a0", "a1", "a2"], "tb": ["b1", "b2"]}
+    if not zipped:
+        assert [r._c0 for r in read_loads(spark, f"{tmp}/lake/tc", st).collect()] == ["a1"]

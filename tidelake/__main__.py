@@ -3,7 +3,7 @@
     python -m tidelake raw-to-cleansed RAW_PATH CLEANSED_PATH [--schema DDL] [--run-date D] [--partition D]
     python -m tidelake repair TMP_PATH RAW_PATH [--mode overwrite]
     python -m tidelake ingest --control APP.ctrl --state STATE --app APP --connections conn.json
-    python -m tidelake land --control APP.ctrl --state STATE --app APP [--mode consolidated]
+    python -m tidelake land --control APP.ctrl --state STATE --app APP [--mode consolidated] [--stream CKPT]
     python -m tidelake pickup SOURCE_DIR STAGE_DIR --state STATE [--archive DIR] [--source NAME]
     python -m tidelake stream-land SOURCE_DIR TARGET_DIR --checkpoint CKPT [--archive DIR]
     python -m tidelake query TABLE [--columns a,b] [--where col=value ...] [--limit N]
@@ -48,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--connections", required=True,
                    help="JSON file: {vendor: {server, port, sid, user, password}}")
     i.add_argument("--run-date")
+    i.add_argument("--run-start", help="the source's current time: lastmodified loads up to it, not including it")
+    i.add_argument("--check", action="store_true", help="read every load back before its commit")
     i.add_argument("--parallel", type=int, default=4)
 
     la = sub.add_parser("land", help="control-table driven file landing")
@@ -57,6 +59,8 @@ def _parser() -> argparse.ArgumentParser:
     la.add_argument("--mode", choices=["consolidated"])
     la.add_argument("--precision", default="second", choices=["second", "minute"])
     la.add_argument("--run-date")
+    la.add_argument("--check", action="store_true", help="read every load back before its commit")
+    la.add_argument("--stream", metavar="CHECKPOINT", help="land as a stream, remembering files by name here")
     la.add_argument("--parallel", type=int, default=4)
 
     pk = sub.add_parser("pickup", help="copy objects newer than the stored stamp to a stage folder")
@@ -109,14 +113,20 @@ def main(argv=None, spark: SparkSession | None = None, out=sys.stdout) -> int:
             connections = json.load(f)
         report = ingest_tables(spark, read_control(spark, args.control, "tables"), args.state,
                                source=jdbc_source(spark, connections), app=args.app,
-                               run_date=args.run_date, max_parallel=args.parallel)
+                               run_date=args.run_date, run_start=args.run_start, max_parallel=args.parallel,
+                               check=args.check)
         return _report(report, out)
     if args.command == "land":
         from tidelake.plans.landing import land_files
         from tidelake.sources.control import read_control
-        report = land_files(spark, read_control(spark, args.control, "files"), args.state, app=args.app,
-                            mode=args.mode, run_date=args.run_date, precision=args.precision,
-                            max_parallel=args.parallel)
+        from tidelake.streaming.landing import stream_land_tables
+        control = read_control(spark, args.control, "files")
+        if args.stream:
+            report = stream_land_tables(spark, control, args.state, args.stream, app=args.app, mode=args.mode,
+                                        run_date=args.run_date, max_parallel=args.parallel)
+        else:
+            report = land_files(spark, control, args.state, app=args.app, mode=args.mode, run_date=args.run_date,
+                                precision=args.precision, max_parallel=args.parallel, check=args.check)
         return _report(report, out)
     if args.command == "pickup":
         from tidelake.plans.landing import pickup_files

@@ -3,6 +3,10 @@
 STATEMENT = ("'CREATE TABLE spark_catalog.default.customer__lines ( value STRING, date_part DATE) USING text "
              "PARTITIONED BY (date_part) LOCATION ''customer'''")
 
+STREAMED = " union all ".join(
+    f"select '{t}' as table_name, cast({k} as varchar) as key, case when {k} % 2 = 0 then date '2024-01-01' else date '2024-01-02' end as date_part from {t}"
+    for t, k in (("customer", "c_custkey"), ("supplier", "s_suppkey")))
+
 LOAD_ORACLES = {
     "ingest_two_targets": ("select case when o_orderkey % 2 = 0 then 'even' else 'odd' end as target, *, "
                            "case when o_orderkey <= 5000 then date '2024-01-01' else date '2024-01-02' end as date_part from orders"),
@@ -37,4 +41,6 @@ LOAD_ORACLES = {
                     "union all select 'text', 8, count(*), true from customer"),
     "reconciled_loads": " union all ".join(f"select '{t}' as table_name, 'ok' as status, count(*) as n_rows, null::varchar as message from {t}"
                                            for t in ("part", "orders", "events", "customer", "supplier")),
+    "stream_zip_landing": STREAMED,
+    "stream_table_landing": STREAMED,
 }

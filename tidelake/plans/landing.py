@@ -217,16 +217,24 @@ def _known_bad(state: DataFrame | None, app: str) -> DataFrame | None:
     return rows.where("v.value <> ''").select(F.substring("source", len(prefix) + 1, 1 << 20).alias("_bad"), F.col("v.value").alias("_was"))
 
 
+def _places(spark, valid: list[dict]):
+    """Tables by target folder, the folders, and the routing rows.  A target is one place, whichever and
+    however many rows name it; rows are numbered once, in order."""
+    places: dict[str, str] = {}
+    for r in valid:
+        places.setdefault(f"{r['target_dir'].rstrip('/')}/{r['table_name']}", r["table_name"])
+    names = list(places)
+    routing = local_frame(spark, [(i, r["pattern"], names.index(f"{r['target_dir'].rstrip('/')}/{r['table_name']}"))
+                                  for i, r in enumerate(valid)], "line_no int, pattern string, place int")
+    return places, names, routing
+
+
 def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, precision, max_parallel, check):
     valid = [r for r in rows if r["error"] is None]
     invalid = [Outcome(app, r["table_name"], "zip", INVALID, message=r["error"]) for r in rows if r["error"] is not None]
     if not valid:
         return report_frame(spark, invalid)
-    # a target is one place, whichever and however many rows name it; rows are numbered once, in order
-    places: dict[str, str] = {}
-    for r in valid:
-        places.setdefault(f"{r['target_dir'].rstrip('/')}/{r['table_name']}", r["table_name"])
-    names = list(places)
+    places, names, routing = _places(spark, valid)
     discard_unfinished(spark, state_path, [app], state)
     folder = (first_row(ctrl).orderBy("control_file").first()["source_dir"] or "").strip() or valid[0]["source_dir"]
     try:
@@ -235,8 +243,6 @@ def _land_consolidated(spark, ctrl, rows, state, state_path, app, run_date, prec
         still = [Outcome(app, r["path"], "zip", FAILED, n_files=1, message="not replaced yet") for r in waiting]
         if not listed["n"]:
             return report_frame(spark, invalid + still + [Outcome(app, t, "zip", NO_NEW_DATA, 0, 0) for t in places.values()])
-        routing = local_frame(spark, [(i, r["pattern"], names.index(f"{r['target_dir'].rstrip('/')}/{r['table_name']}"))
-                                      for i, r in enumerate(valid)], "line_no int, pattern string, place int")
         directory = _kept(zip_directory(archives), "zip-members")
         bad = _by_archive(directory.where(F.col("error").isNotNull()))
         counts, broken = _land_members(spark, directory, bad, archives, routing, names, state_path, app, run_date,
@@ -273,10 +279,11 @@ def _by_archive(errors: DataFrame) -> dict[str, str]:
     return {r["archive"]: r["error"] for r in errors.groupBy("archive").agg(F.first("error").alias("error")).collect()}
 
 
-def _land_members(spark, directory, bad, archives, routing, places, state_path, app, run_date, hi, max_parallel, known_bad, check):
+def _land_members(spark, directory, bad, archives, routing, places, state_path, app, run_date, hi, max_parallel, known_bad, check, mark=None):
     """Write the members of all readable archives, a table at a time, and commit them together: (lines,
     files) per place, and the unreadable archives.  Where a member turns out damaged nothing is committed:
-    None, and all archives with a damaged member."""
+    None, and all archives with a damaged member.  ``mark`` is the state row that commits them, for callers
+    without a watermark."""
     members = directory.where(F.col("error").isNull()).withColumn("file_name", F.substring_index("member", "/", -1))
     left_out = local_frame(spark, [(path,) for path in bad], "archive string")
     members = members.join(left_out, "archive", "left_anti") if bad else members
@@ -284,7 +291,8 @@ def _land_members(spark, directory, bad, archives, routing, places, state_path,
     routed = _kept(route_first_match(members.select(*keys), routing, key_cols=keys).select("archive", "member", "position", "place"), "zip-routed")
     used = sorted(r["place"] for r in routed.select("place").distinct().collect())
     load = open_load(spark, state_path, app, [places[i] for i in used], run_date)
-    _keep_edge(archives, state_path, load, hi)
+    if mark is None:
+        _keep_edge(archives, state_path, load, hi)
 
     def write(i: int):
         obs = Observation(f"zip_rows_{uuid.uuid4().hex[:6]}")
@@ -304,7 +312,7 @@ def _land_members(spark, directory, bad, archives, routing, places, state_path,
     if any(c["e"] for c in found.values()):
         drop_load(spark, state_path, load)
         return None, bad | _by_archive(damaged_members(routed.select("archive", "member", "position")))
-    marks = [_mark(app, hi)]
+    marks = [_mark(app, hi) if mark is None else mark]
     stamp = F.concat_ws(":", F.unix_micros("modified").cast("string"), F.col("length").cast("string")).alias("stamp")
     if bad:  # they wait until they are replaced
         waiting = archives.join(left_out, F.col("path") == F.col("archive"), "left_semi").select("path", "file_name", stamp)

@@ -242,6 +242,33 @@ def even_splits(spark, sf_dir):
     return _union(*out)
 
 
+def stream_zip_landing(spark, sf_dir):
+    """Zip drops of two tables landed by a stream over two runs, for each batch one load (G1, K7)."""
+    from tidelake.streaming.landing import stream_land_tables
+    cust, supp = R.table(spark, sf_dir, "customer"), R.table(spark, sf_dir, "supplier")
+    src, target, st, ckpt = (scratch_path(spark, n) for n in ("src", "lake", "state", "ckpt"))
+    ctrl = R._file_control(spark, [("customer_", "customer", src, target), ("supplier_", "supplier", src, target)])
+    for i, day in enumerate((R.PREV_DATE, R.RUN_DATE)):
+        _packed(spark, src, customer=cust.where(F.col("c_custkey") % 2 == i), supplier=supp.where(F.col("s_suppkey") % 2 == i))
+        stream_land_tables(spark, ctrl, st, ckpt, app="crm", mode="consolidated", run_date=day).collect()
+    return _union(*[read_loads(spark, f"{target}/{t}", st, schema=R.ddl_of(df)).select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("key"), "date_part")
+                    for t, df, k in (("customer", cust, "c_custkey"), ("supplier", supp, "s_suppkey"))])
+
+
+def stream_table_landing(spark, sf_dir):
+    """A control table of plain and gzip drops landed by streams, two tables from two folders (G1, K6)."""
+    from tidelake.streaming.landing import stream_land_tables
+    cust, supp = R.table(spark, sf_dir, "customer"), R.table(spark, sf_dir, "supplier")
+    one, two, target, st, ckpt = (scratch_path(spark, n) for n in ("one", "two", "lake", "state", "ckpt"))
+    ctrl = R._file_control(spark, [("part-", "customer", one, target), ("s", "supplier", two, target)])
+    for i, day in enumerate((R.PREV_DATE, R.RUN_DATE)):
+        write_raw(cust.where(F.col("c_custkey") % 2 == i), one, compression="gzip")
+        _drop(spark, supp.where(F.col("s_suppkey") % 2 == i), two, f"s{i}_")
+        stream_land_tables(spark, ctrl, st, ckpt, app="crm", run_date=day).collect()
+    return _union(*[read_loads(spark, f"{target}/{t}", st, schema=R.ddl_of(df)).select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("key"), "date_part")
+                    for t, df, k in (("customer", cust, "c_custkey"), ("supplier", supp, "s_suppkey"))])
+
+
 def pipe_display_all(spark, sf_dir):
     """All columns whose text SQL engines agree on, shown as |-joined lines."""
     from tidelake.plans.query import display_lines, query_table
@@ -252,4 +279,5 @@ def pipe_display_all(spark, sf_dir):
 LOAD_QUERIES = {f.__name__: f for f in (
     ingest_two_targets, snapshot_switch, increment_equal_values, landing_equal_stamps, landing_added_target,
     landing_overlapping_patterns, zip_two_controls, zip_bad_archive, folder_listing, sql_relation, table_statement,
-    stream_late_files, pipe_display_all, even_splits, reconciled_loads)}
+    stream_late_files, pipe_display_all, even_splits, reconciled_loads, stream_zip_landing,
+    stream_table_landing)}

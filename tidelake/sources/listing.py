@@ -193,22 +193,25 @@ def line_array(block: bytes) -> pa.Array:
     return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(data.replace(b"\n", b"")))
 
 
-def _read_parts(batches):
-    for batch in batches:
-        cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-        for path, length, us, start, stop, tag in zip(*cols):
-            if not _unchanged(path, length, us):
-                continue
-            for block in _part_blocks(path, start, stop):
-                lines = line_array(block)
-                yield pa.RecordBatch.from_arrays([lines, pa.array([tag] * len(lines), pa.int32())], names=["value", "tag"])
+def _read_parts(as_listed: bool):
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for path, length, us, start, stop, tag in zip(*cols):
+                if as_listed and not _unchanged(path, length, us):
+                    continue
+                for block in _part_blocks(path, start, stop):
+                    lines = line_array(block)
+                    yield pa.RecordBatch.from_arrays([lines, pa.array([tag] * len(lines), pa.int32())], names=["value", "tag"])
+    return run
 
 
-def manifest_lines(files: DataFrame, tag: str | None = None, part_bytes: int = 64 << 20) -> DataFrame:
+def manifest_lines(files: DataFrame, tag: str | None = None, part_bytes: int = 64 << 20, as_listed: bool = True) -> DataFrame:
     """``(value, tag)``: the lines of the files of a manifest, read by the tasks without a file index;
     ``tag`` names an integer column to carry along.  Plain files are cut into ranges of ``part_bytes``,
     a gzip file is one task's.  A file that changed since it was listed gives no lines: its new stamp
-    brings it up in the next run."""
+    brings it up in the next run (with ``as_listed=False``, for pickers that know files by name alone, what
+    the listed length covers is read all the same)."""
     tagged = (F.col(tag) if tag else F.lit(None)).cast("int").alias("tag")
     whole = F.lower("path").endswith(".gz")
     starts = F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(
@@ -217,7 +220,7 @@ def manifest_lines(files: DataFrame, tag: str | None = None, part_bytes: int = 6
     stop = F.when(F.col("w"), F.col("length")).otherwise(F.least(F.col("start") + part_bytes, F.col("length")))
     n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = parts.select("path", "length", "us", "start", stop.alias("stop"), "tag").repartition(n, "path", "start")
-    return spread.mapInArrow(_read_parts, "value string, tag int")
+    return spread.mapInArrow(_read_parts(as_listed), "value string, tag int")
 
 
 def listing_line(manifest: DataFrame, ts_col: str = "modified",
