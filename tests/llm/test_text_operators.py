@@ -401,3 +401,34 @@ def test_id_bucket_is_crc32_of_the_text(spark):
     df = spark.createDataFrame([(7,), (None,), (123456,)], "doc_id long").select("doc_id", id_bucket("doc_id", 4).alias("b"))
     assert {r.doc_id: r.b for r in df.collect()} == {i: zlib.crc32(("" if i is None else str(i)).encode()) % 4 for i in (7, None, 123456)}
     assert df.where(F.col("b") < 4).count() == 3
+
+
+@pytest.mark.parametrize("size", [60, 200, 400, 2000])
+def test_excerpts_of_long_items_are_found(spark, size):
+    """A verbatim run of 12 words or more, and a run with every sixth word changed, of an item of any length."""
+    r = random.Random(size)
+    vocab = [f"w{i}" for i in range(3000)]
+    word = lambda k: [r.choice(vocab) for _ in range(k)]
+    items = [(i, " ".join(word(size))) for i in range(3)]
+    rows, want = [], set()
+    for d in range(60):
+        i, length = r.randrange(3), r.choice([12, 20, 40, 60])
+        words = items[i][1].split()
+        at = r.randrange(0, max(1, size - length + 1))
+        run = words[at:at + length]
+        if d % 3 == 1 and length >= 40:
+            run = [x if k % 6 else r.choice(vocab) for k, x in enumerate(run)]
+        if d % 3 < 2:
+            want.add((d, i))
+        rows.append((d, " ".join(word(r.randint(0, 300)) + (run if d % 3 < 2 else []) + word(r.randint(0, 300)))))
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in op8_decontaminate.contaminated(docs, bench).collect()}
+    assert got == want
+    plain = set()
+    for d, text in rows:  # alignment of every pair, without seeds
+        for i, item in items:
+            a, b = (np.array([int(w[1:]) for w in t.split()], np.uint64) for t in (item, text))
+            whole, dense = op8_decontaminate.alignments(a, b, op8_decontaminate.SCORE, op8_decontaminate.SPAN)
+            if whole[0] >= op8_decontaminate.SCORE * len(a) or dense[0]:
+                plain.add((d, i))
+    assert got == plain

@@ -1,16 +1,19 @@
 """Operator 8: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
 
 Words are lower-cased runs of letters and digits.  One pass counts the corpus frequency of every
-``n``-gram of the test items.  Each item keeps its rarest ``KEPT`` share of n-grams as seeds (ties
-by hash).  A second pass joins every passage to the items whose seeds it holds, cuts a window around
-seeds that agree on where the item would begin, and scores the window by local alignment: 1 for an
-equal word, -1 for another word or a gap.  A copy, whole or edited, that keeps 40 % of an item's
-n-grams has at least 15 % of them among the seeds, the share asked for before aligning.  Of such a
-copy every word stays with a chance of 0.4 ** (1 / 3), so an alignment scores ``SCORE`` = 0.47 a word.
-A passage is a match if it scores that much per word of the whole item (items too short to ask for
-``FEW`` that way need ``FEW``, or ``SHORT`` of their words if that is less), or per word it spans with a
-score of ``SPAN`` at least: a part of an item, however long the item.  The score column is divided by
-the item's words.  No passage is grouped by seed, so a seed in a third of all rows costs nothing more.
+``n``-gram of the test items.  Seeds are n-grams that the corpus holds at all: of each item the rarest
+``KEPT`` share of them (ties by hash), and of every ``STRETCH`` consecutive n-grams the rarest, so any
+run of 2 * STRETCH + n - 2 copied words holds a seed, however long the item.  A second pass joins every
+passage to the items whose seeds it holds and groups hits that agree on where the item would begin.  A
+group that holds ``HITS`` of the whole item's n-grams is aligned with the whole item; of any other group
+each stretch with ``LEAST`` different seeds (hits further than ``REACH`` words apart are two stretches) is
+aligned with the item's words around it.  Alignment is local: 1 for an equal word, -1 for another word
+or a gap.  Of a copy that keeps 40 % of the n-grams every word stays with a chance of 0.4 ** (1 / 3),
+so its alignment scores ``SCORE`` = 0.47 a word.  A passage is a match if it scores that much per word of
+the whole item (items too short to ask for ``FEW`` that way need ``FEW``, or ``SHORT`` of their words if
+that is less), or per word it spans with a score of ``SPAN`` at least: a part of an item, however long
+the item.  The score column is divided by the item's words.  No passage is grouped by seed, so a seed
+in a third of all rows costs nothing more.
 
 The items are a stated query set: they go to the tasks in blocks of about ``BLOCK`` bytes, each
 against all documents.
@@ -33,6 +36,7 @@ from tidelake.llm.common import column, table, texts
 from tidelake.llm.words import NOT_ALNUM, hash_words, ngram_hashes
 
 NGRAM, KEPT, HITS, COPIED, BLOCK = 3, 0.75, 0.15, 0.4, 8 << 20
+STRETCH, LEAST, REACH = 3, 2, 24
 SCORE = 2 * COPIED ** (1 / NGRAM) - 1  # equal words less changed ones, when COPIED of the n-grams stay
 SPAN, FEW, SHORT = 8, 6, 0.6
 MATCH = "doc_id long, item_id long, score double, first_word long, last_word long"
@@ -87,9 +91,12 @@ class Items:
     def seed(self, counts: dict[int, int], kept: float) -> None:
         rows = []
         for i, g in enumerate(self.grams):
-            u, at = np.unique(g, return_index=True)
-            order = sorted(range(len(u)), key=lambda k: (counts.get(int(u[k]), 0), int(u[k])))
-            keep = {int(u[k]) for k in order[:max(1, int(np.ceil(kept * len(u))))]}
+            held = [int(x) for x in np.unique(g) if counts.get(int(x), 0)]
+            held.sort(key=lambda x: (counts[x], x))
+            keep = set(held[:int(np.ceil(kept * len(held)))])
+            for a in range(0, len(g), STRETCH):
+                here = [x for x in g[a:a + STRETCH].tolist() if counts.get(x, 0)]
+                keep.update([min(here, key=lambda x: (counts[x], x))] if here else [])
             rows += [(int(x), i, p) for p, x in enumerate(g.tolist()) if int(x) in keep]
         rows.sort()
         self.seed_hash = np.array([r[0] for r in rows], np.uint64)
@@ -147,13 +154,27 @@ def match_row(items: Items, words: np.ndarray, at: np.ndarray, grams: np.ndarray
         begin, s = begin[order], s[order]
         best = (0, 0, 0)
         for part in np.split(np.arange(len(begin)), np.flatnonzero(np.diff(begin) > slack) + 1):
-            if len(np.unique(items.seed_hash[s[part]])) < max(1, hits * items.n_grams[i]):
+            seeds = len(np.unique(items.seed_hash[s[part]]))
+            if seeds >= max(1, hits * items.n_grams[i]):
+                a = max(0, int(begin[part[0]]) - slack)
+                b = min(len(words), int(begin[part[-1]]) + len(item) + slack)
+                found, dense = alignments(item, words[a:b], least, SPAN)
+                score, first, last = found if found[0] >= whole else dense
+                best = max(best, (score, a + first, a + last))
                 continue
-            a = max(0, int(begin[part[0]]) - slack)
-            b = min(len(words), int(begin[part[-1]]) + len(item) + slack)
-            found, dense = alignments(item, words[a:b], least, SPAN)
-            score, first, last = found if found[0] >= whole else dense
-            best = max(best, (score, a + first, a + last))
+            if seeds < LEAST:
+                continue
+            at_item = items.seed_pos[s[part]]
+            order = np.argsort(at_item, kind="stable")
+            for run in np.split(part[order], np.flatnonzero(np.diff(at_item[order]) > REACH) + 1):
+                if len(np.unique(items.seed_hash[s[run]])) < LEAST:
+                    continue
+                spot = items.seed_pos[s[run]]
+                here = begin[run] + spot
+                lo_i, hi_i = max(0, int(spot.min()) - REACH), min(len(item), int(spot.max()) + items.n + REACH)
+                a, b = max(0, int(here.min()) - REACH), min(len(words), int(here.max()) + items.n + REACH)
+                score, first, last = alignments(item[lo_i:hi_i], words[a:b], least, SPAN)[1]
+                best = max(best, (score, a + first, a + last))
         if best[0]:
             yield i, best[0] / len(item), best[1], best[2]
 
