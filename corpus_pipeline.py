@@ -5,8 +5,8 @@ documents that stay, with the columns they came with; the last returns packed pi
 works on all that its predecessor kept; ``run`` writes every stage's result as Parquet in the
 shared folder and reads it again.
 
-Rows without ``doc_id`` pass the stages that decide by id, and are packed like others.  A text is
-never changed.  Columns that clash with a stage's own are kept as they were.
+Stages decide by row, not by ``doc_id``: rows without one, and several texts of one id, are documents
+like others.  A text is never changed, and columns of any name are kept as they were.
 """
 
 from __future__ import annotations
@@ -25,9 +25,17 @@ MIN_LANGUAGE_SCORE = 0.5
 NEAR = (80, 100)  # similarity of the near-duplicate stage
 
 
-def by_id(docs: DataFrame, drop: DataFrame) -> DataFrame:
-    """``docs`` without the ids of ``drop`` (doc_id)."""
-    return docs.join(drop.select("doc_id").distinct(), "doc_id", "left_anti")
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, stored, as (doc_id: the number of the row, text, own: its id, row: all its columns)."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("doc_id"), F.col("text").cast("string").alias("text"),
+                              F.col("doc_id").cast("long").alias("own"), F.struct(*docs.columns).alias("row")), "numbered")
+
+
+def without(rows: DataFrame, drop: DataFrame) -> DataFrame:
+    """The documents of ``numbered`` rows that ``drop`` (doc_id) does not name; stored first, so that its
+    size is known and few rows are not joined by shuffling all texts."""
+    gone = stored(drop.select("doc_id").distinct(), "dropped")
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,27 +43,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return label(docs, model, "_pred", "_score").where(
-        (F.col("_pred") != "und") & (F.col("_score") >= MIN_LANGUAGE_SCORE)).drop("_pred", "_score")
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return label(rows, model, "_pred", "_score").where(
+        (F.col("_pred") != "und") & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id; rows that
-    repeat its id are one document."""
-    found = stored(near_duplicates(docs, *NEAR), "near")
-    once = by_id(docs, found.where("not kept")).withColumn(
-        "_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
-    return once.dropDuplicates(["doc_id", "_row"]).drop("_row")
+    """One document of each group of near-duplicates: the one with the smallest id (none: last)."""
+    rows = numbered(docs)
+    found = stored(near_duplicates(rows.select("doc_id", "text"), *NEAR), "near")
+    several = found.where("not kept").select("component_id").distinct()
+    group = found.join(several, "component_id").select("doc_id", "component_id").join(rows.select("doc_id", "own"), "doc_id")
+    first = F.min(F.struct(F.col("own").isNull(), "own", "doc_id")).alias("first")
+    stays = group.groupBy("component_id").agg(first).select(F.col("first.doc_id").alias("doc_id"))
+    return without(rows, group.join(stays, "doc_id", "left_anti"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ``benchmark``."""
-    return by_id(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
+    rows = numbered(docs)
+    return without(rows, contaminated(rows.select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without secrets."""
-    return by_id(docs, scan_secrets(docs).where(F.size("found") > 0))
+    rows = numbered(docs)
+    return without(rows, scan_secrets(rows.select("doc_id", "text")).where(F.size("found") > 0))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
