@@ -120,3 +120,22 @@ def test_stages_decide(spark):
     empty = docs.where("false")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0, name
+
+
+def test_pipeline_decides_by_row(spark):
+    """Clashing columns stay; several texts of one id and rows without id are judged one by one."""
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    base = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en' and length(text) between 300 and 900").orderBy("doc_id")
+    clean = [r["text"] for r in base.limit(6).collect()]
+    secret = clean[0] + " password = hunter2hunter2hunter2"
+    rows = [(1, clean[1], "a", 1), (1, clean[2], "b", 2), (None, clean[3], "c", 3), (None, secret, "d", 4), (None, clean[4] + " " + bench, "e", 5),
+            (5, clean[5], "f", 6), (2, clean[5], "g", 7), (None, clean[5], "h", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _pred string, row int").withColumn("lang", F.lit("en"))
+    stages = dict(corpus_pipeline.STAGES)
+    keys = lambda df: sorted(r["_pred"] for r in df.collect())
+    kept = stages["near_duplicates"](spark, docs, SF)
+    assert kept.columns == docs.columns and keys(kept) == ["a", "b", "c", "d", "e", "g"]
+    assert keys(stages["secrets"](spark, docs, SF)) == ["a", "b", "c", "e", "f", "g", "h"]
+    assert keys(stages["decontamination"](spark, docs, SF)) == ["a", "b", "c", "d", "f", "g", "h"]
+    assert set(keys(stages["language"](spark, docs, SF))) <= set("abcdefgh")
+    assert stages["language"](spark, docs, SF).columns == docs.columns
