@@ -25,17 +25,24 @@ MIN_LANGUAGE_SCORE = 0.5
 NEAR = (80, 100)  # similarity of the near-duplicate stage
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs``, stored, as (doc_id: the number of the row, text, own: its id, row: all its columns)."""
-    return stored(docs.select(F.monotonically_increasing_id().alias("doc_id"), F.col("text").cast("string").alias("text"),
-                              F.col("doc_id").cast("long").alias("own"), F.struct(*docs.columns).alias("row")), "numbered")
+def renamed(docs: DataFrame) -> tuple[DataFrame, list]:
+    """``docs`` with its columns as c0, c1, ... (``text`` stays), and the columns that give them back."""
+    names = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), [F.col(n).alias(c) for c, n in names.items()]
 
 
-def without(rows: DataFrame, drop: DataFrame) -> DataFrame:
+def numbered(docs: DataFrame) -> tuple[DataFrame, list]:
+    """``renamed`` documents, stored, with ``doc_id``, the number of the row, and ``own``, its id."""
+    rows, back = renamed(docs)
+    own = F.col(f"c{docs.columns.index('doc_id')}").cast("long").alias("own")
+    return stored(rows.select(F.monotonically_increasing_id().alias("doc_id"), own, "*"), "numbered"), back
+
+
+def without(rows: DataFrame, back: list, drop: DataFrame) -> DataFrame:
     """The documents of ``numbered`` rows that ``drop`` (doc_id) does not name; stored first, so that its
     size is known and few rows are not joined by shuffling all texts."""
     gone = stored(drop.select("doc_id").distinct(), "dropped")
-    return rows.join(gone, "doc_id", "left_anti").select("row.*")
+    return rows.join(gone, "doc_id", "left_anti").select(*back)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,32 +50,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    rows, back = renamed(docs)
     return label(rows, model, "_pred", "_score").where(
-        (F.col("_pred") != "und") & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select("row.*")
+        (F.col("_pred") != "und") & (F.col("_score") >= MIN_LANGUAGE_SCORE)).select(*back)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id (none: last)."""
-    rows = numbered(docs)
+    rows, back = numbered(docs)
     found = stored(near_duplicates(rows.select("doc_id", "text"), *NEAR), "near")
     several = found.where("not kept").select("component_id").distinct()
     group = found.join(several, "component_id").select("doc_id", "component_id").join(rows.select("doc_id", "own"), "doc_id")
     first = F.min(F.struct(F.col("own").isNull(), "own", "doc_id")).alias("first")
     stays = group.groupBy("component_id").agg(first).select(F.col("first.doc_id").alias("doc_id"))
-    return without(rows, group.join(stays, "doc_id", "left_anti"))
+    return without(rows, back, group.join(stays, "doc_id", "left_anti"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ``benchmark``."""
-    rows = numbered(docs)
-    return without(rows, contaminated(rows.select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
+    rows, back = numbered(docs)
+    return without(rows, back, contaminated(rows.select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without secrets."""
-    rows = numbered(docs)
-    return without(rows, scan_secrets(rows.select("doc_id", "text")).where(F.size("found") > 0))
+    rows, back = numbered(docs)
+    return without(rows, back, scan_secrets(rows.select("doc_id", "text")).where(F.size("found") > 0))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
