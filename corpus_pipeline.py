@@ -11,6 +11,9 @@ like others.  A text is never changed, and columns of any name are kept as they
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ from tidelake.llm.op8_decontaminate import contaminated
 from tidelake.llm.op10_secrets import scan_secrets
 
 MIN_LANGUAGE_SCORE = 0.5
+ROW = "_row_of_file"
 NEAR = (80, 100)  # similarity of the near-duplicate stage
 
 
@@ -32,10 +36,25 @@ def renamed(docs: DataFrame) -> tuple[DataFrame, list]:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, list]:
-    """``renamed`` documents, stored, with ``doc_id``, the number of the row, and ``own``, its id."""
+    """``renamed`` documents with ``doc_id``, the number of the row, and ``own``, its id.  A row's number is
+    its file's and its place there, if ``docs`` is one Parquet folder as Spark writes it (a stage's result
+    is); other frames are stored first."""
+    files = [re.search(r"/part-(\d+)-[^/]*$", f) for f in docs.inputFiles()]
+    numbers = {f.group(1) for f in files if f}
+    if files and len(numbers) == len(files):
+        try:
+            part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)-", 1).cast("long")
+            place = F.shiftleft(part, 33) + F.col("_metadata.row_index")
+            found, back = renamed(docs.withColumn(ROW, place))
+            return found.withColumnRenamed(f"c{len(docs.columns)}", "doc_id").withColumn("own", _own(docs)), back[:-1]
+        except AnalysisException:
+            pass  # not the folder's rows as they are
     rows, back = renamed(docs)
-    own = F.col(f"c{docs.columns.index('doc_id')}").cast("long").alias("own")
-    return stored(rows.select(F.monotonically_increasing_id().alias("doc_id"), own, "*"), "numbered"), back
+    return stored(rows.select(F.monotonically_increasing_id().alias("doc_id"), _own(docs).alias("own"), "*"), "numbered"), back
+
+
+def _own(docs: DataFrame):
+    return F.col(f"c{docs.columns.index('doc_id')}").cast("long")
 
 
 def without(rows: DataFrame, back: list, drop: DataFrame) -> DataFrame:
