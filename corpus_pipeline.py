@@ -26,9 +26,18 @@ from tidelake.llm.op10_secrets import scan_secrets
 
 MIN_LANGUAGE_SCORE = 0.5
 ROW = "_row_of_file"
+BATCH_ROWS = 1000
 NEAR = (80, 100)  # similarity of the near-duplicate stage
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows from here on: texts are long, and a task holds a batch on
+    its way to Python and one on its way back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def renamed(docs: DataFrame) -> tuple[DataFrame, list]:
     """``docs`` with its columns as c0, c1, ... (``text`` stays), and the columns that give them back."""
     names = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
@@ -68,6 +77,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language is recognised: not ``und``, and with a probability of at least one half."""
     import public_tokenizers
 
+    small_batches(spark)
     model = fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
     rows, back = renamed(docs)
     return label(rows, model, "_pred", "_score").where(
@@ -76,6 +86,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id (none: last)."""
+    small_batches(spark)
     rows, back = numbered(docs)
     found = stored(near_duplicates(rows.select("doc_id", "text"), *NEAR), "near")
     several = found.where("not kept").select("component_id").distinct()
@@ -87,6 +98,7 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ``benchmark``."""
+    small_batches(spark)
     rows, back = numbered(docs)
     return without(rows, back, contaminated(rows.select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
 
@@ -101,6 +113,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequence and offset."""
     import public_tokenizers
 
+    small_batches(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
