@@ -1,5 +1,6 @@
 """Page extraction and the corpus pipeline, with brute force and planted cases."""
 
+import random
 import re
 from collections import Counter
 
@@ -27,6 +28,9 @@ def text_of(html):
     ("<article>\n  a\t b\n c  </article>", "a b c"), ("", ""), ("plain", ""), ("<article></article>", ""),
     ("<article><p>x</p><script>never closed <p>no", "x"), ("</p></div><article>x</b>y</article>", "xy"),
     ("<article><p>readable headerless adder</p></article>", "readable headerless adder"),
+    ("<article><div class='article-header'><h1>T</h1></div><p class='share-price'>x</p></article>", "T\n\nx"),
+    ("<article><p class='share-buttons'>no</p><p class='cookie-notice'>no</p><div class='site-header'>no</div>x</article>", "x"),
+    ("<div class='article-header'>no</div><p class='share-price'>no</p><main>x</main>", "x"),
 ])
 def test_markup(html, want):
     assert text_of(html) == want
@@ -69,6 +73,65 @@ def test_suffix_array_removes_repeated_runs(spark):
     assert op4_html.main_text(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def plain_text(pages, least, run, depth):
+    """Main texts of one host's open pages (lists of blocks of words), from all substrings of all streams."""
+    streams = [[None] + [w for b in p for w in [*b, None]] for p in pages]
+    at_least = {}
+    for s in {tuple(s) for s in streams}:
+        for sub in {s[i:i + k] for i in range(len(s)) for k in range(1, depth + 1) if i + k <= len(s)}:
+            at_least[sub] = at_least.get(sub, 0) + 1
+    out = []
+    for s in streams:
+        gone = set()
+        for i in range(len(s)):
+            for k in range(1, depth + 1):
+                sub = tuple(s[i:i + k])
+                if i + k <= len(s) and at_least[sub] >= least:
+                    whole = sub[0] is None and sub[-1] is None
+                    if whole or sum(w is not None for w in sub) >= run:
+                        gone |= set(range(i, i + k))
+        blocks = " ".join("|" if w is None else w for i, w in enumerate(s) if w is None or i not in gone).split("|")
+        out.append("\n\n".join(b.strip() for b in blocks if b.strip()))
+    return out
+
+
+@pytest.mark.parametrize("seed,block", [(1, 10**6), (2, 60), (3, 17)])
+def test_suffix_array_equals_all_substrings(spark, seed, block):
+    """Random pages over few words, hosts of several sizes, and arrays cut over many tasks."""
+    r = random.Random(seed)
+    chrome = [[r.choice("abc") for _ in range(r.randint(1, 12))] for _ in range(4)]
+    hosts = {f"h{h}": [[r.choice(chrome) if r.random() < .4 else [r.choice("abcdefgh") for _ in range(r.randint(1, 9))]
+                        for _ in range(r.randint(0, 6))] for _ in range(n)] for h, n in enumerate((1, 2, 3, 7, 24))}
+    rows, want = [], {}
+    for h, pages in hosts.items():
+        distinct = len({str(p) for p in pages if p})
+        texts = plain_text(pages, max(op4_html.PAGES, -(-distinct // 2)), 4, 9)
+        for p, text in zip(pages, texts):
+            want[len(rows)] = text
+            rows.append((len(rows), f"http://{h}/", "".join(f"<div>{' '.join(b)}</div>" for b in p), None, None))
+    frame = spark.createDataFrame(rows, PAGES).repartition(5)
+    got = {x.page_id: x.text for x in op4_html.main_text(frame, run=4, depth=9, block=block).collect()}
+    assert got == want
+    assert any(want[i] != text_all(rows[i][2]) for i in want)
+
+
+def text_all(html):
+    return op4_html.join_blocks([t for t, _, _ in blocks_of(html)])
+
+
+def test_small_hosts_short_menus_and_copies(spark):
+    def page(i, host, *blocks):
+        return i, f"http://{host}/", "".join(f"<div>{b}</div>" for b in blocks), "t", "h"
+
+    rows = [page(i, "two.example", "the same text on both pages of this host", f"own {i}") for i in (0, 1)]
+    rows += [page(10 + i, "four.example", "home news contact", f"text number {i} by hand", "print") for i in range(4)]
+    rows += [page(20 + i, "copies.example", "all pages of this host are one page") for i in range(5)]
+    got = {r.page_id: r.text for r in op4_html.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[0] == "the same text on both pages of this host\n\nown 0"
+    assert [got[10 + i] for i in range(4)] == [f"text number {i} by hand" for i in range(4)]
+    assert {got[20 + i] for i in range(5)} == {"all pages of this host are one page"}
+
+
 def test_passages_that_few_pages_share_and_text_beside_teasers_stay(spark):
     menu = "home news sport culture contact imprint search"
     shared = "these ten words are in the articles of two pages"
