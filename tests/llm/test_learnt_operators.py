@@ -149,6 +149,29 @@ def test_forward_sums_all_segmentations():
     assert (known <= sum(map(len, words)) + 1e-9).all() and (known > 0).all()
 
 
+def test_long_words_and_pieces_are_whole(spark):
+    pieces = op6_language.vocabulary(PIECES)
+    assert max(len(p.lstrip("▁")) for p in pieces) > 12
+    rng = np.random.default_rng(1)
+    prob = rng.random((len(pieces), 2)) * 1e-3
+    lattice = op6_language.Lattice(pieces)
+    weight = op6_language.scaled(prob, np.array([len(p) for p in pieces]))
+    at = {p: i for i, p in enumerate(pieces)}
+    word = "▁" + "".join(rng.choice([p.lstrip("▁") for p in pieces], 60)) + "ж" * 40 + "donaudampfschiff" * 5
+
+    alpha = [np.zeros(2)]  # plain recursion over all pieces, in logarithms
+    for t in range(1, len(word) + 1):
+        ways = [alpha[t - n] + np.log(prob[at[word[t - n:t]]] if word[t - n:t] in at else op6_language.UNKNOWN)
+                for n in range(1, min(t, 17) + 1) if word[t - n:t] in at or n == 1]
+        alpha.append(np.logaddexp.reduce(ways))
+    for stretch in (7, 50, 4096):
+        assert op6_language.forward_long(word, lattice, weight, stretch) == pytest.approx(alpha[-1], rel=1e-9)
+    short = word[:40]
+    sizes, ends = lattice.find([short])
+    batch = np.log(op6_language.forward(sizes, ends, weight)[sizes, [0]][0]) - sizes[0] * np.log(op6_language.SCALE)
+    assert op6_language.forward_long(short, lattice, weight) == pytest.approx(batch)
+
+
 def test_language_accuracy_and_edges(spark):
     out = op6_language.op6_language(spark, SF)
     assert out.columns == ["doc_id", "held_out", "lang_pred", "score"]
