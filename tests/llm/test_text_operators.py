@@ -229,9 +229,10 @@ def made_corpus(seed, n=120):
     return docs
 
 
-@pytest.mark.parametrize("seed,num", [(1, 85), (2, 80)])
-def test_components_equal_all_pairs(spark, seed, num, monkeypatch):
+@pytest.mark.parametrize("seed,num,hot", [(1, 85, 1000), (2, 80, 4)])
+def test_components_equal_all_pairs(spark, seed, num, hot, monkeypatch):
     monkeypatch.setattr(op3_minhash, "SHORT_LIST", 2)
+    monkeypatch.setattr(op3_minhash, "HOT_ROWS", hot)
     docs = made_corpus(seed)
     rows = [(k, v, "t", 0) for k, v in docs.items()]
     got = op3_minhash.near_duplicates(spark.createDataFrame(rows, DOCS), num, 100).collect()

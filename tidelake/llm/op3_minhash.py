@@ -38,6 +38,7 @@ from tidelake.llm.components import components
 from tidelake.llm.words import mix, shingle_sets
 
 SHINGLE, SKETCH, SHORT_LIST, BITS = 5, 32, 8, 1 << 24
+HOT_ROWS, HOT_VALUES = 1000, 50_000  # a value with more rows is joined without shuffling them; at most so many values
 MISSED = 1e-9
 
 
@@ -126,12 +127,23 @@ class Linker:
         return stored(both.select("a", "b"), "links")
 
 
+def join_values(rows: DataFrame, values: DataFrame, count: str, total: int) -> DataFrame:
+    """``rows`` joined by ``v`` with ``values``, which have one row per ``v`` and in ``count`` its number of
+    rows among the ``total``.  Frequent values, ``HOT_VALUES`` at most by the threshold, go to all tasks, so
+    their rows stay where they are; the others' rows are shuffled."""
+    hot = max(HOT_ROWS, -(-total // HOT_VALUES))
+    often = F.broadcast(values.where(F.col(count) >= hot))
+    rest = rows.join(F.broadcast(values.where(F.col(count) >= hot).select("v")), "v", "left_anti")
+    return rows.join(often, "v").unionByName(rest.join(values.where(F.col(count) < hot), "v"))
+
+
 def inverted_lists(nodes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(v, node, n): each class under its rarest retained values, as many as a link needs."""
     c = least_shared(k, num, den)
     posts = nodes.select("node", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
-    shared = posts.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    held = (posts.join(shared, "v").groupBy("node", "n", "s")
+    shared = stored(posts.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "value-counts")
+    total = shared.agg(F.sum("df")).first()[0] or 0
+    held = (join_values(posts, shared, "df", total).groupBy("node", "n", "s")
             .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs")))  # at most k values
     need = F.ceil(F.col("n") * num / den)
     prefix = F.when(F.col("n") * den <= k * num, F.col("n") - need + 1).otherwise(F.col("s") - c + 1)
@@ -149,10 +161,11 @@ def link_classes(docs: DataFrame, nodes: DataFrame, shingle: int, k: int, num: i
     index = stored(inverted_lists(nodes, k, num, den), "index")
     lists = index.groupBy("v").agg(F.count("*").alias("m"), F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"))
     lists = stored(lists.where("m > 1"), "lists")
-    short = index.join(lists.where(F.col("m") <= SHORT_LIST).select("v"), "v")
+    total = index.count()
+    listed = stored(join_values(index, lists, "m", total), "lists-of-classes")
+    short, long = listed.where(F.col("m") <= SHORT_LIST).select("v", "node", "n"), listed.where(F.col("m") > SHORT_LIST)
     pairs = (short.join(short.toDF("v", "node2", "n2"), "v").where(F.col("node") < F.col("node2"))
              .where(sizes_agree("n", "n2", num, den)).select(*ordered("node", "node2")))
-    long = stored(index.join(lists.where(F.col("m") > SHORT_LIST), "v"), "long-lists")
     stars = (long.where(F.col("node") != F.col("hub")).where(sizes_agree("n", "hub_n", num, den))
              .select(*ordered("node", "hub")))
     near = linker.near(pairs.union(stars).distinct())
@@ -163,8 +176,9 @@ def link_classes(docs: DataFrame, nodes: DataFrame, shingle: int, k: int, num: i
     member = long.select("v", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     member = stored(member, "members")
     per = member.groupBy("v", "comp").agg(F.count("*").alias("k"))
-    per = per.groupBy("v").agg(F.max(F.struct("k", "comp")).getField("comp").alias("main"), F.count("*").alias("comps"))
-    several = member.join(per.where("comps > 1"), "v")
+    per = per.groupBy("v").agg(F.max(F.struct("k", "comp")).getField("comp").alias("main"), F.count("*").alias("comps"),
+                               F.sum("k").alias("m"))
+    several = join_values(member, stored(per.where("comps > 1"), "open-lists"), "m", total)
     left = stored(several.groupBy("node", "comp").agg(F.max(F.col("comp") != F.col("main")).alias("outer")), "open-classes")
     if not left.limit(1).count():
         return comps
