@@ -234,6 +234,40 @@ def test_toxicity_scores_clauses():
     assert sum(f("").values()) == 0
 
 
+def plain_marks(s):
+    """Marks of a clause by their definition, word by word."""
+    out = list(s)
+    for i, x in enumerate(s):
+        if x in "IT":
+            negated = "N" in s[max(0, i - 3):i]
+            out[i] = ("ab" if negated else "cd" if "R" in s else "ef" if "Y" in s else "IT")[x == "T"]
+    return "".join(out)
+
+
+def test_composed_transducers_equal_definition():
+    passes = op5_toxicity.passes()
+    for n in range(6):
+        for symbols in itertools.product("ITYNRO", repeat=n):
+            assert fst.rewrite(passes, "".join(symbols)) == plain_marks("".join(symbols)), symbols
+
+
+def test_toxicity_context_on_both_sides():
+    s = op5_toxicity.Scorer({"idiot": 1.0, "idiots": 1.0})
+    f = lambda t: dict(zip(op5_toxicity.PATTERNS, s.features(t)))
+    assert f("idiots like you")["insult_target"] == 1.0
+    assert f("'idiot', he said")["insult_reported"] == 1.0
+    assert f("idiot and idiots")["insult"] == 2.0
+    assert s.score(s.features("you idiot")) > s.score(s.features("an idiot")) > s.score(s.features("he said idiot"))
+    assert s.score(s.features("he said idiot")) > s.score(s.features(""))
+
+
+def test_toxicity_long_texts_and_clashing_columns(spark):
+    rows = [(1, "word " * 300_000 + "you idiot", 0.5, "x"), (2, "fine", 0.5, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, toxic string")
+    got = {r.doc_id: r for r in op5_toxicity.score_toxicity(docs, op5_toxicity.Scorer({"idiot": 1.0})).collect()}
+    assert got[1].insult_target == 1.0 and got[1].score > got[2].score
+
+
 def test_toxicity_held_out(spark):
     out = op5_toxicity.op5_toxicity(spark, "/root/testdata/sf0.1").select("doc_id", "held_out", "score", "predicted")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -54,3 +54,14 @@ def after(opens: str, marks: dict[str, str]) -> Transducer:
         return state, marks.get(symbol, symbol) if state else symbol
 
     return Transducer(0, step)
+
+
+def rewrite(passes: list[Chain], symbols: str) -> str:
+    """``symbols`` through the chains in turn, the first from left to right, the next from right to left, and so on."""
+    for chain in passes:
+        state, out = chain.start, []
+        for symbol in symbols:
+            state, sign = chain.step(state, symbol)
+            out.append(sign)
+        symbols = "".join(reversed(out))
+    return symbols[::-1] if len(passes) % 2 else symbols
