@@ -125,3 +125,32 @@ def test_line_repair_random_records_and_splits(spark, tmp):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
             spark.conf.unset("spark.sql.files.openCostInBytes")
         assert got == ["\\ ".join(p) for p in records], (trial, brk)
+
+
+def test_whole_file_repair_spreads_a_file_over_tasks(spark, tmp):
+    """One file is no longer one value in one task; records, numbers and odd ends are those of the whole file."""
+    import re
+    rnd = random.Random(5)
+    contents = ["", "\n", "\n\n", "a", "a\n\n", "a\n\n\n", "a\\", "a\\\n", "a\\\r", "a\\\r\n", "\ufeffa\\\nb\nc\\", "\\", "\r", "a\r\r\nb"]
+    for brk in ("\n", "\r\n", "\r"):
+        pieces = ["".join(rnd.choice("xyz \u00e9\\") for _ in range(rnd.randint(0, 40))) for _ in range(400)]
+        contents += [brk.join(pieces), brk.join(pieces) + "\\", brk.join(pieces) + "\\" + brk, brk.join([*pieces, "end"]) + brk]
+    os.makedirs(tmp + "/t")
+    want = {}
+    for i, content in enumerate(contents):
+        with open(f"{tmp}/t/{i}.txt", "w", newline="") as f:
+            f.write(content)
+        fixed = re.sub(r"\\(\r\n|\n|\r)", lambda m: "\\ ", content)
+        body = re.sub(r"(\r\n|\n|\r)(?=(\r\n|\n|\r)?\Z)", "", fixed)  # the last break, and an empty record before it
+        want |= {(i, k): v for k, v in enumerate(re.split(r"\r\n|\n|\r", body))} if body else {}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = repair_documents(spark, tmp + "/t")
+        assert "wholetext" not in got._jdf.queryExecution().toString().lower()
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(rows) == len(want)
+    assert {(int(os.path.basename(r.file_path)[:-4]), r.line_no): r.value for r in rows} == want

@@ -104,12 +104,33 @@ def parse_raw_lines(lines: DataFrame, schema, sep: str = BEL,
     return lines.select(split_exact("value", sep).alias("_f"), *part_cols).select(*cols, *part_cols)
 
 
-def read_documents(spark: SparkSession, path) -> DataFrame:
+# Fixed value: names of files that the text source decompresses; their size is not their content's.
+COMPRESSED = r"\.(?:gz|bz2|zst|lz4|snappy|deflate)$"
+
+
+def read_documents(spark: SparkSession, path, lines: bool = False) -> DataFrame:
     """Whole-file scan: one row per file, ``(file_path, content)``.
 
-    A file is one value, so it must fit in one row (< 2 GB) and is read by one task; the
-    line-based :func:`tidelake.operators.repair.repair_escaped_lines` has no such limit.
+    A file is one value, so it must fit in one row (< 2 GB) and is read by one task.  ``lines=True``
+    gives the same content in rows of a line, a file of any size spread over its splits:
+    ``(file_path, block_start, file_size, octets, cr, value)``, in file order within a split.
+    A line ends with CRLF, LF or CR; ``cr`` says that a CR ends it.  What lies between two LF is read as one
+    row: its first line has in ``octets`` its bytes and one for the LF, though a file's last LF may be missing,
+    and its other lines 0.  ``file_size`` is null where it does not count the content (compressed files).
     """
-    return (spark.read.text(path, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("file_path"),
-                    F.col("value").alias("content")))
+    if not lines:
+        return (spark.read.text(path, wholetext=True)
+                .select(F.col("_metadata.file_path").alias("file_path"),
+                        F.col("value").alias("content")))
+    m = "_metadata."
+    text = F.col("value")
+    cr = F.endswith(text, F.lit("\r"))
+    size = F.when(~F.col(m + "file_path").rlike(COMPRESSED), F.col(m + "file_size"))
+    stretch = spark.read.text(path, lineSep="\n").select(
+        F.col(m + "file_path").alias("file_path"), F.col(m + "file_block_start").alias("block_start"),
+        size.alias("file_size"), (F.octet_length(text) + 1).cast("long").alias("octets"),
+        F.split(F.make_valid_utf8(F.when(cr, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)), "\r", -1)
+        .alias("lines"), cr.alias("cr"))
+    return (stretch.select("*", F.posexplode("lines").alias("at", "value"))
+            .select("file_path", "block_start", "file_size", F.when(F.col("at") == 0, F.col("octets")).otherwise(0).alias("octets"),
+                    (F.col("cr") | (F.col("at") < F.size("lines") - 1)).alias("cr"), "value"))
