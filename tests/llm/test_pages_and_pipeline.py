@@ -147,6 +147,43 @@ def test_passages_that_few_pages_share_and_text_beside_teasers_stay(spark):
     assert got[21] == bodies[1]
 
 
+def test_array_takes_whole_pages_and_markup_checks_it(spark):
+    """Pages with an article are in the array too: what a host repeats beside articles does not outweigh them."""
+    notice = "please read our terms of use before you copy any text"
+    menu = " ".join(f"menu{k}" for k in range(60))
+    own = [" ".join(f"b{i}x{k}" for k in range(30)) for i in range(8)]
+    rows = [(i, "http://a.example/", f"<div>{menu}</div><article><h2>Summary</h2><p>{b}</p><p>{notice}</p></article><div>ad {i}</div>", "t", "h")
+            for i, b in enumerate(own)]  # more words in the menu than in the article
+    rows += [(10 + i, "http://b.example/", f"<div>{b}</div><article>teaser number {i}</article>", "t", "h") for i, b in enumerate(own)]
+    rows += [(20 + i, "http://c.example/", f"<article><p>{b}</p><p>{notice}</p></article>", "t", "h") for i, b in enumerate(own)]
+    rows += [(30 + i, "http://c.example/", f"<div>{own[i][::-1]}</div><div>{notice}</div>", "t", "h") for i in range(2)]  # no article
+    got = {r.page_id: r.text for r in op4_html.main_text(spark.createDataFrame(rows, PAGES).repartition(5)).collect()}
+    for i, b in enumerate(own):
+        assert got[i] == f"Summary\n\n{b}\n\n{notice}"
+        assert got[10 + i] == f"{b}\n\nteaser number {i}"
+        assert got[20 + i] == f"{b}\n\n{notice}"
+    assert [got[30 + i] for i in range(2)] == [b[::-1] for b in own[:2]]
+
+
+@pytest.mark.parametrize("chunk,parts", [(512, 1), (4, 3), (7, 6)])
+def test_beginnings_lose_no_repeat(spark, monkeypatch, chunk, parts):
+    """Whatever groups the pages fall into, every beginning on enough distinct pages is found."""
+    import numpy as np
+
+    monkeypatch.setattr(op4_html, "CHUNK", chunk)
+    r = random.Random(chunk)
+    pages = [[" ".join(r.choice("aab") for _ in range(r.randint(3, 8))) for _ in range(r.randint(2, 4))] for _ in range(30)]
+    pages += [pages[0]] * 9 + [pages[1]] * 4
+    distinct = list({tuple(p): p for p in pages}.values())
+    least = -(-len(distinct) // 2)
+    seen = Counter(g for c in op4_html.streams(distinct) for g in set(np.concatenate([x[y] for x, y in [op4_html.beginnings(c, 3)]]).tolist()))
+    want = {g for g, n in seen.items() if n >= least}
+    frame = spark.createDataFrame([("h", least / len(pages), b) for b in pages], "host string, need double, blocks array<string>")
+    frame = frame.withColumn("digest", F.xxhash64("blocks")).repartition(parts)
+    [row] = op4_html.common_beginnings(frame, 3).collect()
+    assert want and want <= {g % 2**64 for g in row.grams}
+
+
 def test_stages_keep_columns_and_run_equals_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     frame = docs

@@ -1,14 +1,10 @@
-"""Operator 4: main text of web pages by markup and the suffix array of their host.
+"""Operator 4: main text of web pages by the suffix array of their host, checked by the markup.
 
-What the markup says is taken first: the blocks inside an article or main element that nothing
-around them sets aside (menus, headers, footers, sidebars, forms, comments, adverts) are the text,
-unless the blocks that stand outside and are not set aside either hold more words (a page of plain
-elements beside article teasers).  Other pages are settled by their host's suffix array:
+Every page of a host takes part with all its blocks, its article's too; nothing is settled before the array:
 
-1. The token streams of everything outside articles, a mark between blocks, are concatenated by host.
-   Every position is a suffix, held as its first ``DEPTH`` tokens (32 bits of each token's hash).  Suffixes
-   are dealt out by ranges of (host, tokens) and sorted, ``BLOCK`` or so to a task, so a host or passage
-   with a third of all pages lies in many tasks.
+1. The token streams of whole pages, a mark between blocks, are concatenated by host.  Every position is a suffix,
+   held as its first ``DEPTH`` tokens (32 bits of each token's hash).  Suffixes are dealt out by ranges of (host,
+   tokens) and sorted, ``BLOCK`` or so to a task, so a host or passage with a third of all pages lies in many tasks.
 2. In a task, the common lengths of neighbours cut the array into intervals: the suffixes that share
    their first l tokens.  An interval's distinct pages tell whether that substring repeats.  Intervals
    that touch a task's first or last suffix may go on in the next task: their pages are counted over
@@ -17,10 +13,16 @@ elements beside article teasers).  Other pages are settled by their host's suffi
    ``SHARE`` of the host's.  It is boilerplate if it holds ``RUN`` words or consists of whole blocks (a menu
    of three words).  Repeats longer than ``DEPTH`` are covered by those of the following positions.
    Tokens that nothing covers are kept.
+4. The markup checks the result.  Blocks that it sets aside (menus, headers, footers, sidebars, forms, comments,
+   adverts) go.  The blocks in an article or main element are the text if they hold as many words as the array
+   leaves outside them; then their covered words come back, because articles of a host share sentences.
+
+Most suffixes share their beginning with too few pages and are left out before the sort, exactly: the pages of a
+host are dealt into groups of up to ``CHUNK``, and a substring on n of the host's pages is on its share of n, by the
+group's size, in at least one group.  So only positions stay whose first tokens reach that share in a group.
 
 So a passage that a few articles of a host share stays, and so do the texts of hosts with fewer than
-``PAGES`` distinct pages.  Hosts whose pages are all settled by markup need no array.  Pages with equal
-streams count as one, so copies of a page do not make its text boilerplate.
+``PAGES`` distinct pages.  Pages with equal streams count as one, so copies of a page do not make its text boilerplate.
 
 Defined cases: null or empty html gives the empty text; a null url is a host of its own; repeated
 rows and null ids are pages of their own; an empty table gives an empty result; extra columns are
@@ -42,8 +44,11 @@ from tidelake.llm.words import hash_words, mix
 
 RUN, PAGES, SHARE, SALT = 6, 3, 0.5, 32
 DEPTH, SHORTEST, BLOCK = 16, 3, 400_000  # tokens of a suffix; a mark, a word and a mark; suffixes of a task
+CHUNK, HELD = 512, 8_000_000  # pages of a group; tokens that a task holds at once
 END, MARK = 0, 1
-PARSED = "rid long, page_id long, url string, host string, settled boolean, text string, blocks array<string>, digest long, codes binary"
+MAIN, ASIDE = 1, 2
+PARSED = "rid long, page_id long, url string, host string, blocks array<string>, marks binary, open boolean"
+GRAMS = "host string, need double, gram long, digest long, codes binary"  # a common beginning, or a page not grouped yet
 SUFFIXES = "host string, prefix binary, rid long, at int, digest long, least long, open boolean"
 ARRAY = ("task int, rid long, at int, own int, front int, back int, "  # a suffix
          "side int, host string, prefix binary, digest long, least long")  # a page of an interval at a border
@@ -60,10 +65,6 @@ def join_blocks(blocks) -> str:
     return "\n\n".join(blocks)
 
 
-def n_words(blocks) -> int:
-    return sum(len(b.split()) for b in blocks)
-
-
 def marked_stream(blocks: list[str], words: np.ndarray) -> np.ndarray:
     """Codes of the blocks' words with a mark before each block and after the last."""
     ends = np.cumsum([0, *(len(b.split()) for b in blocks)])
@@ -71,38 +72,111 @@ def marked_stream(blocks: list[str], words: np.ndarray) -> np.ndarray:
     return np.insert(codes, ends, np.uint32(MARK)) if blocks else codes
 
 
+def streams(blocks: list[list[str]]) -> list[np.ndarray]:
+    """Token streams of pages, given as lists of blocks."""
+    words, rows = hash_words(pa.array([" ".join(b) for b in blocks], pa.string()))
+    return [marked_stream(b, words[lo:hi]) for b, lo, hi in zip(blocks, rows[:-1], rows[1:])]
+
+
 def parsed(pages: DataFrame) -> DataFrame:
+    """Pages with all their blocks in order, what the markup says of each (``MAIN``, ``ASIDE``), and whether it says
+    nothing of some: only such a page's own repeats can change its text, though all pages count for them."""
     def parse(batches):
         for batch in batches:
             rid, ids, urls = (column(batch, c) for c in ("rid", "page_id", "url"))
             html = texts(batch, "html")
             for lo in range(0, len(html), 500):
-                part = html.slice(lo, 500).to_pylist()
-                out = {k: [] for k in ("settled", "text", "blocks", "stream")}
-                for page in part:
-                    found = blocks_of(page)
-                    article = [t for t, main, aside in found if main and not aside]
-                    if n_words(article) < n_words(t for t, main, aside in found if not main and not aside):
-                        article = []  # teasers
-                    out["settled"].append(bool(article))
-                    out["text"].append(join_blocks(article))
-                    out["blocks"].append([] if article else [t for t, _, aside in found if not aside])
-                    out["stream"].append([t for t, main, aside in found if aside or not main] if article else out["blocks"][-1])
-                words, rows = hash_words(pa.array([" ".join(s) for s in out["stream"]], pa.string()))
-                codes = [marked_stream(s, words[a:b]) for s, a, b in zip(out["stream"], rows[:-1], rows[1:])]
-                digest = [int(mix(c + mix(np.arange(len(c), dtype=np.uint64))).sum(dtype=np.uint64).view(np.int64)) for c in codes]
+                found = [blocks_of(page) for page in html.slice(lo, 500).to_pylist()]
+                blocks = [[t for t, _, _ in page] for page in found]
+                marks = [bytes(MAIN * main | ASIDE * aside for _, main, aside in page) for page in found]
                 hosts = [host_of(u) for u in urls.slice(lo, 500).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [rid.slice(lo, 500), ids.slice(lo, 500), urls.slice(lo, 500), pa.array(hosts, pa.string()),
-                     pa.array(out["settled"]), pa.array(out["text"], pa.string()), pa.array(out["blocks"], pa.list_(pa.string())),
-                     pa.array(digest, pa.int64()), pa.array([c.tobytes() for c in codes], pa.binary())],
-                    names=["rid", "page_id", "url", "host", "settled", "text", "blocks", "digest", "codes"])
+                     pa.array(blocks, pa.list_(pa.string())), pa.array(marks, pa.binary()), pa.array([0 in m for m in marks], pa.bool_())],
+                    names=["rid", "page_id", "url", "host", "blocks", "marks", "open"])
 
     rows = pages.select(F.monotonically_increasing_id().alias("rid"), F.col("page_id").cast("long"),
                         F.col("url").cast("string"), F.col("html").cast("string"))
     return rows.mapInArrow(parse, PARSED)
 
 
+def beginnings(codes: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of the tokens that any boilerplate from a position begins with, the shortest whole block from a mark and
+    ``run`` tokens from a word, and whether the stream has so many there."""
+    grams, fits = np.zeros(len(codes), np.uint64), np.zeros(len(codes), bool)
+    for size, at in ((SHORTEST, codes == MARK), (max(run, 1), codes != MARK)):
+        n = max(0, len(codes) - size + 1)
+        gram = np.full(n, size, np.uint64)
+        for k in range(size):
+            gram = mix(gram + codes[k:k + n])
+        grams[:n][at[:n]] = gram[at[:n]]
+        fits[:n] |= at[:n]
+    return grams, fits
+
+
+def grouped(run: int, last: bool):
+    """A task's pages by host in groups of up to ``CHUNK``: the beginnings that ``need`` of a group's pages hold.  A
+    group so small that one page is enough is handed on as it is, unless ``last``."""
+    def group(batches):
+        held, tokens = {}, 0
+
+        def flush(host):
+            need, digests, codes = held.pop(host)
+            least = int(np.ceil(need * len(digests) - 1e-9))
+            if least <= 1 and not last:
+                for a in range(0, len(codes), 500):
+                    n = len(codes[a:a + 500])
+                    yield [host] * n, [need] * n, [None] * n, digests[a:a + 500], [c.tobytes() for c in codes[a:a + 500]]
+                return
+            found = [np.unique(g[fits]) for g, fits in (beginnings(c, run) for c in dict(zip(digests, codes)).values())]
+            gram, n = np.unique(np.concatenate(found), return_counts=True)  # of distinct pages
+            gram = gram[n >= least].view(np.int64).tolist()
+            for a in range(0, len(gram), 20_000):
+                n = len(gram[a:a + 20_000])
+                yield [host] * n, [need] * n, gram[a:a + 20_000], [None] * n, [None] * n
+
+        def frames(hosts):
+            for host in hosts:
+                for cols in flush(host):
+                    kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                                     names=["host", "need", "gram", "digest", "codes"])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                hosts, needs, digests = (column(part, c).to_pylist() for c in ("host", "need", "digest"))
+                if last:
+                    codes = [np.frombuffer(c, np.uint32) for c in column(part, "codes").to_pylist()]
+                else:
+                    codes = streams(column(part, "blocks").to_pylist())
+                for host, need, digest, c in zip(hosts, needs, digests, codes):
+                    _, ds, cs = held.setdefault(host, (need, [], []))
+                    ds.append(digest)
+                    cs.append(c)
+                    tokens += len(c)
+                    if len(ds) >= CHUNK:
+                        tokens -= sum(map(len, cs))
+                        yield from frames([host])
+                if tokens > HELD:
+                    yield from frames(list(held))
+                    tokens = 0
+        yield from frames(list(held))
+    return group
+
+
+def common_beginnings(pages: DataFrame, run: int) -> DataFrame:
+    """(host, grams): every beginning that ``need`` (a share) of a host's rows among ``pages`` (host, need, digest, blocks)
+    may hold, and few others.  Were one on less than that share in every group, it would be on less in all."""
+    first = stored(pages.select("host", "need", "digest", "blocks").mapInArrow(grouped(run, False), GRAMS), "page-groups")
+    rest = first.where("gram is null")
+    salts = rest.groupBy("host").agg(F.ceil(F.count("*") / (4 * CHUNK)).cast("long").alias("salts"))
+    rest = (rest.join(salts, "host").withColumn("salt", F.pmod("digest", "salts")).repartition("host", "salt")
+            .select("host", "need", "digest", "codes").mapInArrow(grouped(run, True), GRAMS))
+    return (first.where("gram is not null").select("host", "gram").union(rest.select("host", "gram"))
+            .groupBy("host").agg(F.collect_set("gram").alias("grams")))
+
+
 def binaries(matrix: np.ndarray) -> pa.Array:
     """The rows of a matrix as binary values."""
     data = np.ascontiguousarray(matrix)
@@ -110,23 +184,30 @@ def binaries(matrix: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def suffixes(pages: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """A row for every position of the ``codes`` of ``pages`` but the last mark's."""
+def suffixes(pages: DataFrame, run: int, depth: int = DEPTH) -> DataFrame:
+    """A row for every position of ``pages`` (host, rid, digest, least, open, blocks, grams) that begins with one of ``grams``."""
     def explode(batches):
+        common = {}  # one host's
         for batch in batches:
-            cols = {c: column(batch, c).to_pylist() for c in ("host", "rid", "digest", "least", "open", "codes")}
-            for host, rid, digest, least, is_open, codes in zip(*cols.values()):
-                padded = np.concatenate([np.frombuffer(codes, np.uint32), np.full(depth, END, np.uint32)])
-                windows = np.lib.stride_tricks.sliding_window_view(padded, depth)
-                for a in range(0, len(padded) - depth - 1, 20_000):
-                    part = windows[a:min(a + 20_000, len(padded) - depth - 1)]
-                    n = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(host, n), binaries(part), pa.repeat(rid, n), pa.array(np.arange(a, a + n, dtype=np.int32)),
-                         pa.repeat(digest, n), pa.repeat(least, n), pa.repeat(is_open, n)],
-                        names=["host", "prefix", "rid", "at", "digest", "least", "open"])
-
-    return pages.select("host", "rid", "digest", "least", "open", "codes").mapInArrow(explode, SUFFIXES)
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                cols = {c: column(part, c).to_pylist() for c in ("host", "rid", "digest", "least", "open")}
+                codes = streams(column(part, "blocks").to_pylist())
+                for i, (host, rid, digest, least, is_open) in enumerate(zip(*cols.values())):
+                    if host not in common:
+                        common = {host: column(part, "grams")[i].values.to_numpy(zero_copy_only=False).view(np.uint64)}
+                    grams, fits = beginnings(codes[i], run)
+                    at = np.flatnonzero(fits & np.isin(grams, common[host])).astype(np.int32)
+                    padded = np.concatenate([codes[i], np.full(depth, END, np.uint32)])
+                    windows = np.lib.stride_tricks.sliding_window_view(padded, depth)
+                    for a in range(0, len(at), 20_000):
+                        n = len(at[a:a + 20_000])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.repeat(host, n), binaries(windows[at[a:a + 20_000]]), pa.repeat(rid, n), pa.array(at[a:a + 20_000]),
+                             pa.repeat(digest, n), pa.repeat(least, n), pa.repeat(is_open, n)],
+                            names=["host", "prefix", "rid", "at", "digest", "least", "open"])
+
+    return pages.select("host", "rid", "digest", "least", "open", "blocks", "grams").mapInArrow(explode, SUFFIXES)
 
 
 def common_lengths(hosts: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -182,13 +263,13 @@ def frame(task: int, n: int, **given) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols], names=list(names))
 
 
-def longest_repeats(pages: DataFrame, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
-    """(rid, at, length): the longest repeat at each position of the ``open`` ones of ``pages`` (host, rid,
-    digest, codes, least: the pages a repeat is on at least, open)."""
-    tokens = pages.agg(F.sum(F.octet_length("codes") / 4)).first()[0] or 0
-    tasks = max(1, -int(-tokens // block))
+def longest_repeats(pages: DataFrame, run: int = RUN, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
+    """(rid, at, length): the longest repeat at each position of the ``open`` ones of ``pages`` (host, rid, digest, open, blocks, least: the pages
+    a repeat is on at least, grams: the beginnings of which any other is on fewer)."""
+    placed = stored(suffixes(pages, run, depth), "suffixes")  # counted, sampled for ranges and sorted
+    tasks = max(1, -int(-placed.count() // block))
     order = ["host", "prefix", "rid", "at"]
-    placed = suffixes(pages, depth).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed = placed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def build(batches):
         from pyspark import TaskContext
@@ -210,8 +291,9 @@ def longest_repeats(pages: DataFrame, depth: int = DEPTH, block: int = BLOCK) ->
             .select("rid", "at", found.alias("length")).where(F.col("length") >= SHORTEST))
 
 
-def unique_runs(blocks: list[str], repeats: list[tuple[int, int]], run: int) -> str:
-    """What no boilerplate among ``repeats`` (position, length) covers: each block's other tokens, in order."""
+def checked_text(blocks: list[str], marks: bytes, repeats: list[tuple[int, int]], run: int) -> str:
+    """What no boilerplate among ``repeats`` (position, length) covers, each block's other tokens in order, as far as
+    the markup (``marks`` of each block) agrees."""
     words = [b.split() for b in blocks]
     is_mark = np.concatenate([[True], *(np.arange(len(w) + 1) == len(w) for w in words)])
     before = np.cumsum(~is_mark) - ~is_mark  # words before a position
@@ -224,13 +306,12 @@ def unique_runs(blocks: list[str], repeats: list[tuple[int, int]], run: int) ->
         step[at] += 1
         step[end] -= 1
     gone = np.cumsum(step)[:-1][~is_mark] > 0
-    kept, at = [], 0
-    for w in words:
-        left = [x for k, x in enumerate(w) if not gone[at + k]]
-        at += len(w)
-        if left:
-            kept.append(" ".join(left))
-    return join_blocks(kept)
+    ends = np.cumsum([0, *map(len, words)])
+    left = [[x for x, g in zip(w, gone[a:]) if not g] for w, a in zip(words, ends)]
+    article = [b for b, m in zip(blocks, marks) if m == MAIN]
+    if article and sum(len(w) for w, m in zip(words, marks) if m == MAIN) >= sum(len(w) for w, m in zip(left, marks) if m == 0):
+        return join_blocks(article)
+    return join_blocks(" ".join(w) for w, m in zip(left, marks) if w and not m & ASIDE)
 
 
 def main_text(pages: DataFrame, run: int = RUN, pages_least: int | None = None, share: float = SHARE,
@@ -238,26 +319,33 @@ def main_text(pages: DataFrame, run: int = RUN, pages_least: int | None = None,
     """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.  ``pages_least`` asks for
     that many pages whatever the host's share.  ``run`` words must fit in ``depth`` tokens."""
     rows = stored(parsed(pages), "pages")
+    streamed = (rows.where(F.size("blocks") > 0).withColumn("digest", F.xxhash64("blocks"))
+                .withColumn("salt", F.pmod("rid", F.lit(SALT)).cast("int")))
     least = F.greatest(F.lit(PAGES), F.ceil(F.col("of") * share)) if pages_least is None else F.lit(pages_least)
-    hosts = (rows.where(F.octet_length("codes") > 0).groupBy("host")
-             .agg(F.count_distinct("digest").alias("of"), F.max(~F.col("settled")).alias("any"))
-             .select("host", least.cast("long").alias("least"), "of", "any").where("any and of >= least")
-             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))))
-    arrayed = (rows.where(F.octet_length("codes") > 0).withColumn("salt", F.pmod("rid", F.lit(SALT)).cast("int"))
-               .join(hosts, ["host", "salt"]).select("host", "rid", "digest", "codes", "least", (~F.col("settled")).alias("open")))
-    repeats = (longest_repeats(arrayed, depth, block).groupBy("rid")
-               .agg(F.collect_list(F.struct("at", "length")).alias("repeats")))  # at most a page's own positions
-    open_pages = rows.where(~F.col("settled")).select("rid", "page_id", "url", "blocks").join(repeats, "rid", "left")
+    hosts = stored(streamed.groupBy("host").agg(F.count_distinct("digest").alias("of"), F.count("*").alias("n"))
+                   .withColumn("least", least.cast("long")).where("of >= least")
+                   .select("host", "least", (F.col("least") / F.col("n")).alias("need")), "hosts")
+
+    def salted(known):  # few hosts are joined without shuffling pages
+        return known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+
+    grams = stored(common_beginnings(streamed.join(salted(hosts), ["host", "salt"]), run), "beginnings")
+    arrayed = streamed.join(salted(stored(hosts.join(grams, "host"), "known-hosts")), ["host", "salt"])
+    repeats = stored(longest_repeats(arrayed, run, depth, block).groupBy("rid")
+                     .agg(F.collect_list(F.struct("at", "length")).alias("repeats")), "repeats")  # at most a page's own positions
 
     def finish(batches):
         for batch in batches:
-            found = [[(r["at"], r["length"]) for r in rs or []] for rs in column(batch, "repeats").to_pylist()]
-            text = [unique_runs(b, r, run) for b, r in zip(column(batch, "blocks").to_pylist(), found)]
-            yield pa.RecordBatch.from_arrays([column(batch, "page_id"), column(batch, "url"), pa.array(text, pa.string())],
-                                             names=["page_id", "url", "text"])
-
-    rest = open_pages.select("page_id", "url", "blocks", "repeats").mapInArrow(finish, "page_id long, url string, text string")
-    out = rows.where("settled").select("page_id", "url", "text").union(rest)
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                found = [[(r["at"], r["length"]) for r in rs or []] for rs in column(part, "repeats").to_pylist()]
+                blocks, marks = column(part, "blocks").to_pylist(), column(part, "marks").to_pylist()
+                text = [checked_text(b, m, r, run) for b, m, r in zip(blocks, marks, found)]
+                yield pa.RecordBatch.from_arrays([column(part, "page_id"), column(part, "url"), pa.array(text, pa.string())],
+                                                 names=["page_id", "url", "text"])
+
+    out = (rows.join(repeats, "rid", "left").select("page_id", "url", "blocks", "marks", "repeats")
+           .mapInArrow(finish, "page_id long, url string, text string"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
