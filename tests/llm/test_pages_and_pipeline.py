@@ -184,6 +184,53 @@ def test_beginnings_lose_no_repeat(spark, monkeypatch, chunk, parts):
     assert want and want <= {g % 2**64 for g in row.grams}
 
 
+def test_pages_are_hashed_together(monkeypatch):
+    """The arrays of many pages are made in a few steps, whatever the number of pages and where these are cut."""
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(5)
+    pages = [[" ".join(r.choice("abcdé") for _ in range(r.randint(1, 9))) for _ in range(r.randint(1, 5))] for _ in range(400)]
+    least = 150
+    seen = Counter(g for c in op4_html.streams(pages) for g in set(np.concatenate([x[y] for x, y in [op4_html.beginnings(c, 2)]]).tolist()))
+    want = {g for g, n in seen.items() if n >= least}
+    names = ["host", "need", "digest", "blocks"]
+    batch = pa.RecordBatch.from_arrays([pa.repeat("h", 402), pa.repeat(least / 400, 402), pa.array(range(402)),
+                                        pa.array([["cut"], *pages, ["off"]], pa.list_(pa.string()))], names=names).slice(1, 400)
+    calls, mix = [], op4_html.mix
+    monkeypatch.setattr(op4_html, "mix", lambda x: calls.append(len(x)) or mix(x))
+
+    def found():
+        return {g % 2**64 for b in op4_html.grouped(2, False)(iter([batch.slice(0, 0), batch])) for g in b.column(2).to_pylist()}
+
+    assert want and found() == want
+    assert len(calls) < 50  # 5 a page before
+    monkeypatch.setattr(op4_html, "AT_ONCE", 300)
+    assert found() == want and max(calls[-5:]) < 1000
+
+
+def test_plain_tags_as_the_library_reads_them():
+    from html.parser import HTMLParser
+
+    from tidelake.llm import html_blocks
+
+    class Library(html_blocks.Blocks):
+        parse_starttag, parse_endtag, updatepos = HTMLParser.parse_starttag, HTMLParser.parse_endtag, HTMLParser.updatepos
+
+    r = random.Random(7)
+    tags = sorted(html_blocks.BLOCK | html_blocks.SILENT | html_blocks.VOID | {"a", "b", "span", "xx", "P", "x-y", "Script"})
+    other = ["text ", "a&amp;b", "<", "&", "</", "</>", "< p>", "<!-- c -->", "<!x>", "<?pi?>", " \n\x1c", "<p", "</p", "&nbsp;", "</script>"]
+    attrs = [" class=ad", " hidden", " role=main", "/", " class", ' id="article-header x"']
+    for _ in range(3000):
+        html = "".join(r.choice([f"<{r.choice(tags)}{r.choice(attrs) if r.random() < .4 else ''}>", f"</{r.choice(tags)}>", r.choice(other)])
+                       for _ in range(r.randint(1, 20)))
+        parser = Library()
+        parser.feed(html)
+        parser.close()
+        parser.cut()
+        assert blocks_of(html) == parser.found, html
+
+
 def test_stages_keep_columns_and_run_equals_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     frame = docs

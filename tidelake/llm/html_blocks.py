@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 # Elements of the HTML standard.
@@ -27,9 +28,13 @@ ARTICLE_PART = re.compile(r"(?:^|[_-])(?:article|post|entry|story|content|sectio
 FURNITURE = re.compile(r"[_-](?:bars?|box(?:es)?|buttons?|links?|lists?|items?|icons?|wrap|wrapper|containers?|labels?|text|blocks?|slots?"
                        r"|units?|areas?|messages?|msg|title|info|notes?|tools?|sections?|body|content|inner|counts?|meta|this|us|now"
                        r"|posts|articles|stories|more|media|top|bottom|left|right|main|row|col|\d+)$", re.I)
-SPACE = re.compile(r"\s+")
+# Elements whose content is markup like any other; their tags without attributes need no further rules
+ORDINARY = (BLOCK - {"title"}) | {"a", "abbr", "b", "br", "cite", "code", "em", "i", "mark", "q", "s", "small", "span", "strong",
+                                  "sub", "sup", "time", "u"}
+PLAIN_START, PLAIN_END = re.compile("<([a-z][a-z0-9]*)>"), re.compile("</([a-z][a-z0-9]*)>")
 
 
+@lru_cache(maxsize=4096)
 def furniture(tag: str, names: str, in_article: bool) -> bool:
     """Whether a class or id names page furniture.  In an article, the header of an article's part (``article-header``)
     does not, nor does a text element's compound that only begins with such a word (``share-price``)."""
@@ -56,38 +61,65 @@ class Blocks(HTMLParser):
 
     def cut(self) -> None:
         if self.held:
-            text = SPACE.sub(" ", "".join(self.held)).strip()
+            text = " ".join("".join(self.held).split())
             self.held = []
             if text:
                 self.found.append((text, self.main, self.aside))
 
+    def updatepos(self, i, j):  # lines are not counted
+        return j
+
+    def parse_starttag(self, i):
+        plain = PLAIN_START.match(self.rawdata, i)
+        if not plain or plain[1] not in ORDINARY:
+            return super().parse_starttag(i)
+        self.lasttag = plain[1]
+        self.handle_starttag(plain[1], ())
+        return plain.end()
+
+    def parse_endtag(self, i):
+        plain = PLAIN_END.match(self.rawdata, i) if self.cdata_elem is None else None
+        if not plain or plain[1] not in ORDINARY:
+            return super().parse_endtag(i)
+        self.handle_endtag(plain[1])
+        return plain.end()
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.cut()
             while self.open and tag in ENDS_ITSELF.get(self.open[-1][0], ()):
                 self.leave(len(self.open) - 1)
             if tag not in ("div", "section"):
-                at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] in BLOCK), -1)
-                if at >= 0 and tag in ENDS_ITSELF.get(self.open[at][0], ()):
-                    self.leave(at)
+                for at in range(len(self.open) - 1, -1, -1):
+                    if self.open[at][0] in BLOCK:
+                        if tag in ENDS_ITSELF.get(self.open[at][0], ()):
+                            self.leave(at)
+                        break
         if tag == "br":
             self.held.append(" ")
         if tag in VOID:
             return
-        a = dict(attrs) if attrs else {}
         self.open.append((tag, self.main, self.aside, self.silent))
+        if tag in ("article", "main"):
+            self.main = True
+        if tag in ASIDE:
+            self.aside = True
+        if tag in SILENT:
+            self.silent = True
+        if attrs:
+            self.attributes(tag, dict(attrs))
+
+    def attributes(self, tag, a):
         role = (a.get("role") or "").lower()
-        if tag in ("article", "main") or role in MAIN_ROLE:
+        if role in MAIN_ROLE:
             self.main = True
-        if tag in ASIDE or role in ASIDE_ROLE or "hidden" in a:
+        if role in ASIDE_ROLE or "hidden" in a:
             self.aside = True
         elif tag not in ("html", "body", "article", "main") and any(
-                furniture(tag, a.get(k) or "", self.main) for k in ("class", "id")):
+                furniture(tag, a[k], self.main) for k in ("class", "id") if a.get(k)):
             self.aside = True
         if tag in ("article", "main") and MARKED.search(a.get("class") or ""):
             self.aside = True  # a comment or an advert marked up as an article
-        if tag in SILENT:
-            self.silent = True
 
     def handle_startendtag(self, tag, attrs):
         if tag in BLOCK:

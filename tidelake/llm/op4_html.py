@@ -35,6 +35,7 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,7 @@ from tidelake.llm.words import hash_words, mix
 RUN, PAGES, SHARE, SALT = 6, 3, 0.5, 32
 DEPTH, SHORTEST, BLOCK = 16, 3, 400_000  # tokens of a suffix; a mark, a word and a mark; suffixes of a task
 CHUNK, HELD = 512, 8_000_000  # pages of a group; tokens that a task holds at once
+AT_ONCE = 1 << 20  # bytes of text, or codes, that a task turns into arrays at once
 END, MARK = 0, 1
 MAIN, ASIDE = 1, 2
 PARSED = "rid long, page_id long, url string, host string, blocks array<string>, marks binary, open boolean"
@@ -65,17 +67,46 @@ def join_blocks(blocks) -> str:
     return "\n\n".join(blocks)
 
 
-def marked_stream(blocks: list[str], words: np.ndarray) -> np.ndarray:
-    """Codes of the blocks' words with a mark before each block and after the last."""
-    ends = np.cumsum([0, *(len(b.split()) for b in blocks)])
+def spans(sizes: np.ndarray, limit: int):
+    """Ranges of up to 500 rows and about ``limit`` in all (a larger row alone)."""
+    ends, lo = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while lo < len(sizes):
+        hi = max(lo + 1, min(lo + 500, int(np.searchsorted(ends, ends[lo] + limit, side="right")) - 1))
+        yield lo, hi
+        lo = hi
+
+
+def portions(batch: pa.RecordBatch, name: str):
+    """Slices of a batch by the bytes of a column of binary values, or of lists of strings."""
+    if not batch.num_rows:
+        return
+    col = column(batch, name)
+    if pa.types.is_list(col.type):
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(col.flatten()).to_numpy(zero_copy_only=False))])
+        sizes = np.diff(ends[col.offsets.to_numpy() - col.offsets[0].as_py()])
+    else:
+        sizes = pc.binary_length(col).to_numpy(zero_copy_only=False)
+    for lo, hi in spans(sizes, AT_ONCE):
+        yield batch.slice(lo, hi - lo)
+
+
+def joined_streams(blocks: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Token streams of pages, one after the other, and the end of each: codes of the blocks' words with a mark before
+    each block of a page and after its last."""
+    words, rows = hash_words(blocks.flatten())
     codes = np.maximum((words >> np.uint64(32)).astype(np.uint32), np.uint32(MARK + 1))
-    return np.insert(codes, ends, np.uint32(MARK)) if blocks else codes
+    ends = blocks.offsets.to_numpy() - blocks.offsets[0].as_py()  # in blocks
+    some = np.cumsum(np.diff(ends) > 0)  # pages with a block so far, each has a mark more than blocks
+    before = np.arange(1, ends[-1] + 1) + np.repeat(some - 1, np.diff(ends))  # marks before a block's words
+    out = np.full(len(codes) + ends[-1] + (some[-1] if len(some) else 0), MARK, np.uint32)
+    out[np.arange(len(codes)) + np.repeat(before, np.diff(rows))] = codes
+    return out, rows[ends[1:]] + ends[1:] + some
 
 
-def streams(blocks: list[list[str]]) -> list[np.ndarray]:
-    """Token streams of pages, given as lists of blocks."""
-    words, rows = hash_words(pa.array([" ".join(b) for b in blocks], pa.string()))
-    return [marked_stream(b, words[lo:hi]) for b, lo, hi in zip(blocks, rows[:-1], rows[1:])]
+def streams(blocks: pa.ListArray | list[list[str]]) -> list[np.ndarray]:
+    """Token streams of pages, given as lists of blocks; each has memory of its own."""
+    codes, ends = joined_streams(blocks if isinstance(blocks, pa.Array) else pa.array(blocks, pa.list_(pa.string())))
+    return [codes[lo:hi].copy() for lo, hi in zip([0, *ends], ends)]
 
 
 def parsed(pages: DataFrame) -> DataFrame:
@@ -100,20 +131,47 @@ def parsed(pages: DataFrame) -> DataFrame:
     return rows.mapInArrow(parse, PARSED)
 
 
-def beginnings(codes: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+def beginnings(codes: np.ndarray, run: int, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """A hash of the tokens that any boilerplate from a position begins with, the shortest whole block from a mark and
-    ``run`` tokens from a word, and whether the stream has so many there."""
+    ``run`` tokens from a word, and whether the stream has so many there; ``ends`` of joined streams."""
     grams, fits = np.zeros(len(codes), np.uint64), np.zeros(len(codes), bool)
-    for size, at in ((SHORTEST, codes == MARK), (max(run, 1), codes != MARK)):
-        n = max(0, len(codes) - size + 1)
-        gram = np.full(n, size, np.uint64)
+    ends = np.array([len(codes)]) if ends is None else ends
+    left = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(codes))
+    for size, begins in ((SHORTEST, codes == MARK), (max(run, 1), codes != MARK)):
+        at = np.flatnonzero(begins & (left >= size))
+        gram = np.full(len(at), size, np.uint64)
         for k in range(size):
-            gram = mix(gram + codes[k:k + n])
-        grams[:n][at[:n]] = gram[at[:n]]
-        fits[:n] |= at[:n]
+            gram = mix(gram + codes[at + k])
+        grams[at], fits[at] = gram, True
     return grams, fits
 
 
+def shared_beginnings(codes: list[np.ndarray], run: int, least: int) -> np.ndarray:
+    """Beginnings that at least ``least`` of the streams hold."""
+    sizes, found, pages = np.array([len(c) for c in codes]), [], []
+    for lo, hi in spans(sizes, AT_ONCE // 4):
+        grams, fits = beginnings(np.concatenate(codes[lo:hi]), run, np.cumsum(sizes[lo:hi]))
+        found.append(grams[fits])
+        pages.append(np.repeat(np.arange(lo, hi, dtype=np.int32), sizes[lo:hi])[fits])
+    gram, page, least = np.concatenate(found), np.concatenate(pages), max(1, least)
+    ordered = np.sort(gram)
+    often = np.unique(ordered[least - 1:][ordered[least - 1:] == ordered[:len(ordered) - least + 1]])  # met so often
+    if least == 1 or not len(often):
+        return often
+    at = np.flatnonzero(among(gram, often))
+    gram, page = gram[at], page[at]
+    order = np.lexsort((page, gram))
+    gram, page = gram[order], page[order]
+    first = np.concatenate([[True], (gram[1:] != gram[:-1]) | (page[1:] != page[:-1])])  # once a page
+    gram, n = np.unique(gram[first], return_counts=True)
+    return gram[n >= least]
+
+
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is one of ``known``, which are in order."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def grouped(run: int, last: bool):
     """A task's pages by host in groups of up to ``CHUNK``: the beginnings that ``need`` of a group's pages hold.  A
     group so small that one page is enough is handed on as it is, unless ``last``."""
@@ -128,9 +186,7 @@ def grouped(run: int, last: bool):
                     n = len(codes[a:a + 500])
                     yield [host] * n, [need] * n, [None] * n, digests[a:a + 500], [c.tobytes() for c in codes[a:a + 500]]
                 return
-            found = [np.unique(g[fits]) for g, fits in (beginnings(c, run) for c in dict(zip(digests, codes)).values())]
-            gram, n = np.unique(np.concatenate(found), return_counts=True)  # of distinct pages
-            gram = gram[n >= least].view(np.int64).tolist()
+            gram = shared_beginnings([*dict(zip(digests, codes)).values()], run, least).view(np.int64).tolist()  # of distinct pages
             for a in range(0, len(gram), 20_000):
                 n = len(gram[a:a + 20_000])
                 yield [host] * n, [need] * n, gram[a:a + 20_000], [None] * n, [None] * n
@@ -143,13 +199,12 @@ def grouped(run: int, last: bool):
                                                      names=["host", "need", "gram", "digest", "codes"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for part in portions(batch, "codes" if last else "blocks"):
                 hosts, needs, digests = (column(part, c).to_pylist() for c in ("host", "need", "digest"))
                 if last:
                     codes = [np.frombuffer(c, np.uint32) for c in column(part, "codes").to_pylist()]
                 else:
-                    codes = streams(column(part, "blocks").to_pylist())
+                    codes = streams(column(part, "blocks"))
                 for host, need, digest, c in zip(hosts, needs, digests, codes):
                     _, ds, cs = held.setdefault(host, (need, [], []))
                     ds.append(digest)
@@ -166,7 +221,7 @@ def grouped(run: int, last: bool):
 
 
 def common_beginnings(pages: DataFrame, run: int) -> DataFrame:
-    """(host, grams): every beginning that ``need`` (a share) of a host's rows among ``pages`` (host, need, digest, blocks)
+    """(host, grams in order): every beginning that ``need`` (a share) of a host's rows among ``pages`` (host, need, digest, blocks)
     may hold, and few others.  Were one on less than that share in every group, it would be on less in all."""
     first = stored(pages.select("host", "need", "digest", "blocks").mapInArrow(grouped(run, False), GRAMS), "page-groups")
     rest = first.where("gram is null")
@@ -174,7 +229,7 @@ def common_beginnings(pages: DataFrame, run: int) -> DataFrame:
     rest = (rest.join(salts, "host").withColumn("salt", F.pmod("digest", "salts")).repartition("host", "salt")
             .select("host", "need", "digest", "codes").mapInArrow(grouped(run, True), GRAMS))
     return (first.where("gram is not null").select("host", "gram").union(rest.select("host", "gram"))
-            .groupBy("host").agg(F.collect_set("gram").alias("grams")))
+            .groupBy("host").agg(F.array_sort(F.collect_set("gram")).alias("grams")))
 
 
 def binaries(matrix: np.ndarray) -> pa.Array:
@@ -187,25 +242,26 @@ def binaries(matrix: np.ndarray) -> pa.Array:
 def suffixes(pages: DataFrame, run: int, depth: int = DEPTH) -> DataFrame:
     """A row for every position of ``pages`` (host, rid, digest, least, open, blocks, grams) that begins with one of ``grams``."""
     def explode(batches):
-        common = {}  # one host's
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                cols = {c: column(part, c).to_pylist() for c in ("host", "rid", "digest", "least", "open")}
-                codes = streams(column(part, "blocks").to_pylist())
-                for i, (host, rid, digest, least, is_open) in enumerate(zip(*cols.values())):
+            for part in portions(batch, "blocks"):
+                codes, ends = joined_streams(column(part, "blocks"))
+                grams, fits = beginnings(codes, run, ends)
+                starts, common, found = np.concatenate([[0], ends[:-1]]), {}, []
+                for i, host in enumerate(column(part, "host").to_pylist()):
                     if host not in common:
-                        common = {host: column(part, "grams")[i].values.to_numpy(zero_copy_only=False).view(np.uint64)}
-                    grams, fits = beginnings(codes[i], run)
-                    at = np.flatnonzero(fits & np.isin(grams, common[host])).astype(np.int32)
-                    padded = np.concatenate([codes[i], np.full(depth, END, np.uint32)])
-                    windows = np.lib.stride_tricks.sliding_window_view(padded, depth)
-                    for a in range(0, len(at), 20_000):
-                        n = len(at[a:a + 20_000])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.repeat(host, n), binaries(windows[at[a:a + 20_000]]), pa.repeat(rid, n), pa.array(at[a:a + 20_000]),
-                             pa.repeat(digest, n), pa.repeat(least, n), pa.repeat(is_open, n)],
-                            names=["host", "prefix", "rid", "at", "digest", "least", "open"])
+                        common[host] = column(part, "grams")[i].values.to_numpy(zero_copy_only=False)
+                    at = starts[i] + np.flatnonzero(fits[starts[i]:ends[i]])
+                    found.append(at[among(grams[at].view(np.int64), common[host])])
+                found = np.concatenate(found)
+                for a in range(0, len(found), 20_000):
+                    at = found[a:a + 20_000]
+                    page = np.searchsorted(ends, at, side="right")
+                    of = {c: column(part, c).take(pa.array(page)) for c in ("host", "rid", "digest", "least", "open")}
+                    window = at[:, None] + np.arange(depth)
+                    prefix = np.where(window < ends[page][:, None], codes[np.minimum(window, len(codes) - 1)], np.uint32(END))
+                    yield pa.RecordBatch.from_arrays(
+                        [of["host"], binaries(prefix), of["rid"], pa.array((at - starts[page]).astype(np.int32)), of["digest"], of["least"],
+                         of["open"]], names=["host", "prefix", "rid", "at", "digest", "least", "open"])
 
     return pages.select("host", "rid", "digest", "least", "open", "blocks", "grams").mapInArrow(explode, SUFFIXES)
 
@@ -294,6 +350,8 @@ def longest_repeats(pages: DataFrame, run: int = RUN, depth: int = DEPTH, block:
 def checked_text(blocks: list[str], marks: bytes, repeats: list[tuple[int, int]], run: int) -> str:
     """What no boilerplate among ``repeats`` (position, length) covers, each block's other tokens in order, as far as
     the markup (``marks`` of each block) agrees."""
+    if not repeats:
+        return agreed_text(blocks, marks, blocks)
     words = [b.split() for b in blocks]
     is_mark = np.concatenate([[True], *(np.arange(len(w) + 1) == len(w) for w in words)])
     before = np.cumsum(~is_mark) - ~is_mark  # words before a position
@@ -308,10 +366,16 @@ def checked_text(blocks: list[str], marks: bytes, repeats: list[tuple[int, int]]
     gone = np.cumsum(step)[:-1][~is_mark] > 0
     ends = np.cumsum([0, *map(len, words)])
     left = [[x for x, g in zip(w, gone[a:]) if not g] for w, a in zip(words, ends)]
+    return agreed_text(blocks, marks, [" ".join(w) for w in left])
+
+
+def agreed_text(blocks: list[str], marks: bytes, left: list[str]) -> str:
+    """The article among the blocks if it has as many words as are ``left`` outside it, else all that is left."""
     article = [b for b, m in zip(blocks, marks) if m == MAIN]
-    if article and sum(len(w) for w, m in zip(words, marks) if m == MAIN) >= sum(len(w) for w, m in zip(left, marks) if m == 0):
+    outside = sum(len(b.split()) for b, m in zip(left, marks) if m == 0)
+    if article and (not outside or sum(len(b.split()) for b in article) >= outside):
         return join_blocks(article)
-    return join_blocks(" ".join(w) for w, m in zip(left, marks) if w and not m & ASIDE)
+    return join_blocks(b for b, m in zip(left, marks) if b and not m & ASIDE)
 
 
 def main_text(pages: DataFrame, run: int = RUN, pages_least: int | None = None, share: float = SHARE,
